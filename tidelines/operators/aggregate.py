@@ -6,11 +6,13 @@ Everything is a partial-then-final aggregate, so large groups are combined befor
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tidelines.operators.windows import RowFeatures, add_features, lags
+from tidelines.panel import Panel
+
 # Pollutant columns and their daily names.
 POLLUTANTS = ["pm2_5_ugm3", "pm10_ugm3", "no2_ugm3", "o3_ugm3", "so2_ugm3", "co_ugm3"]
 POLLUTANT_MEANS = ["pm2_5_mean", "pm10_mean", "no2_mean", "o3_mean", "so2_mean", "co_mean"]
@@ -151,10 +153,26 @@ def year_over_year(df: DataFrame, col: str, time: str) -> DataFrame:
     return keyed.groupBy("year").pivot("month", list(range(1, 13))).agg(F.avg(col))
 
 
+def _pairwise(a: str, b: str) -> tuple[Column, Column]:
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    return F.when(both, F.col(a)), F.when(both, F.col(b))
+
+
+def _corr(a: str, b: str, frame: WindowSpec | None = None) -> Column:
+    """Correlation of the pairs without nulls; unlike ``corr`` it is null, not an error, without spread."""
+    x, y = _pairwise(a, b)
+    parts = [F.covar_pop(x, y), F.stddev_pop(x), F.stddev_pop(y)]
+    cov, sx, sy = [p.over(frame) for p in parts] if frame is not None else parts
+    return F.try_divide(cov, sx * sy)
+
+
 def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every column pair in long form, from a single pass."""
+    """Pearson correlation of every column pair in long form, from a single pass.
+
+    A column without spread has no correlation (null).
+    """
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    wide = df.agg(*[F.corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
+    wide = df.agg(*[_corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
     cells = F.array(
         *[
             F.struct(F.lit(a).alias("left"), F.lit(b).alias("right"), F.col(f"{i}").alias("corr"))
@@ -164,25 +182,23 @@ def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.select(F.inline(cells))
 
 
-def lag_correlations(df: DataFrame, panel, target: str, col: str, steps: Sequence[int]) -> DataFrame:
+def lag_correlations(df: DataFrame, panel: Panel, target: str, col: str, steps: Sequence[int]) -> DataFrame:
     """Correlation of the target with a column some rows earlier."""
-    from tidelines.operators.windows import add_features, lags
-
     lagged = add_features(df, panel, lags([col], steps, "_lag_{k}"))
-    wide = lagged.agg(*[F.corr(target, f"_lag_{k}").alias(f"{k}") for k in steps])
+    wide = lagged.agg(*[_corr(target, f"_lag_{k}").alias(f"{k}") for k in steps])
     return wide.select(
         F.inline(F.array(*[F.struct(F.lit(k).alias("lag"), F.col(f"{k}").alias("corr")) for k in steps]))
     )
 
 
-def rolling_correlation(df: DataFrame, panel, left: str, right: str, window: int, name: str = "rolling_corr"):
+def rolling_correlation(
+    df: DataFrame, panel: Panel, left: str, right: str, window: int, name: str = "rolling_corr"
+) -> DataFrame:
     """Correlation over the last ``window`` rows of an entity, null until the frame is full of pairs."""
-    from tidelines.operators.windows import RowFeatures, add_features
-
     def build(w):
         frame = w.rowsBetween(-(window - 1), 0)
         pairs = F.count(F.col(left) + F.col(right)).over(frame)
-        return [F.when(pairs == window, F.corr(left, right).over(frame)).alias(name)]
+        return [F.when(pairs == window, _corr(left, right, frame)).alias(name)]
 
     return add_features(df, panel, RowFeatures(build, back=window - 1))
 

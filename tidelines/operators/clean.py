@@ -71,6 +71,11 @@ def filter_rows(
     return df
 
 
+def keep_entities(df: DataFrame, chosen: DataFrame, entity: str) -> DataFrame:
+    """Rows of the entities listed in ``chosen``, a table of any size."""
+    return df.join(chosen.select(entity).distinct(), entity, "left_semi")
+
+
 def complete_entities(df: DataFrame, entity: str, col: str, max_missing_ratio: float = 0.3) -> DataFrame:
     """Rows of the entities whose share of nulls in ``col`` is within the limit."""
     share = F.avg(F.col(col).isNull().cast("double"))

@@ -13,25 +13,44 @@ _CELLS = 2048
 _FINISH = 100_000
 
 
-def row_at_rank(df: DataFrame, keys: list[str], rank: int) -> Row | None:
-    """The ``rank``-th row (from 1) in the order of ``keys``, which must not be null.
+def rows_at_ranks(df: DataFrame, keys: list[str], ratios: list[float]) -> list[Row | None]:
+    """The rows at position ``int(n * ratio)`` (from 1) in the order of ``keys``, which must not be null.
 
-    The candidates are narrowed by counting, key after key: each round is one scan with map-side counts
-    over at most a few thousand cells, and keeps the one cell that holds the rank. Only the last small
-    remainder is sorted, so the cost does not depend on how rows are spread over keys.
+    None where the position is 0. The candidates of a position are narrowed by counting, key after key:
+    each round is one scan with map-side counts over at most a few thousand cells, and keeps the one cell
+    that holds the position. Only the last small remainder is sorted, so the cost does not depend on how
+    rows are spread over keys.
     """
     rows = df.select(*keys)
-    for key in keys:
-        kind = df.schema[key].dataType
-        narrow = _narrow_text if isinstance(kind, T.StringType) else _narrow_number
-        rows, rank, left = narrow(rows, key, kind, rank)
-        if left <= _FINISH:
-            break
+    first = _extent(rows, keys[0])
+    total = first[2]
+    ranks = [int(total * ratio) for ratio in ratios]
+    if total <= _FINISH:
+        found = _pick(rows, keys, [r for r in ranks if r > 0])
     else:
-        # Every remaining candidate has identical keys.
-        return rows.first()
-    found = rows.orderBy(*keys).offset(rank - 1).limit(1).collect()
-    return found[0] if found else None
+        found = {r: _narrow(rows, keys, r, first) for r in set(ranks) if r > 0}
+    return [found.get(r) for r in ranks]
+
+
+def _extent(rows: DataFrame, key: str) -> Row:
+    axis = _axis(key, rows.schema[key].dataType)
+    return rows.agg(F.min(axis), F.max(axis), F.count(F.lit(1))).first()
+
+
+def _pick(rows: DataFrame, keys: list[str], ranks: list[int]) -> dict[int, Row]:
+    """Rows at the given positions of a table of at most _FINISH rows, sorted in one task."""
+    numbered = rows.withColumn("_rank", F.row_number().over(Window.orderBy(*keys)))
+    return {r["_rank"]: r for r in numbered.filter(F.col("_rank").isin(ranks)).collect()}
+
+
+def _narrow(rows: DataFrame, keys: list[str], rank: int, extent: Row) -> Row:
+    for i, key in enumerate(keys):
+        narrow = _narrow_text if isinstance(rows.schema[key].dataType, T.StringType) else _narrow_number
+        rows, rank, left = narrow(rows, key, rank, extent if i == 0 else _extent(rows, key))
+        if left <= _FINISH:
+            return _pick(rows, keys, [rank])[rank]
+    # Every remaining candidate has identical keys.
+    return rows.first()
 
 
 def _within(key: str, kind: T.DataType, lo, hi) -> Column:
@@ -47,9 +66,10 @@ def _axis(key: str, kind: T.DataType) -> Column:
     return F.col(key)
 
 
-def _narrow_number(rows: DataFrame, key: str, kind: T.DataType, rank: int) -> tuple[DataFrame, int, int]:
+def _narrow_number(rows: DataFrame, key: str, rank: int, extent: Row) -> tuple[DataFrame, int, int]:
+    kind = rows.schema[key].dataType
     axis = _axis(key, kind)
-    lo, hi, left = rows.agg(F.min(axis), F.max(axis), F.count(F.lit(1))).first()
+    lo, hi, left = extent
     while left > _FINISH and lo != hi:
         cell = F.least(F.floor((axis - F.lit(lo)) / F.lit((hi - lo) / _CELLS)), F.lit(_CELLS - 1))
         hist = rows.groupBy(cell.alias("cell")).agg(
@@ -61,8 +81,8 @@ def _narrow_number(rows: DataFrame, key: str, kind: T.DataType, rank: int) -> tu
     return rows, rank, left
 
 
-def _narrow_text(rows: DataFrame, key: str, kind: T.DataType, rank: int) -> tuple[DataFrame, int, int]:
-    lo, hi, left = rows.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
+def _narrow_text(rows: DataFrame, key: str, rank: int, extent: Row) -> tuple[DataFrame, int, int]:
+    lo, hi, left = extent
     width = 0
     while left > _FINISH and lo != hi:
         width += 2
