@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelines.operators.windows import RowFeatures, add_features, lags
@@ -153,17 +153,11 @@ def year_over_year(df: DataFrame, col: str, time: str) -> DataFrame:
     return keyed.groupBy("year").pivot("month", list(range(1, 13))).agg(F.avg(col))
 
 
-def _pairwise(a: str, b: str) -> tuple[Column, Column]:
-    both = F.col(a).isNotNull() & F.col(b).isNotNull()
-    return F.when(both, F.col(a)), F.when(both, F.col(b))
-
-
-def _corr(a: str, b: str, frame: WindowSpec | None = None) -> Column:
+def _corr(a: str, b: str, over: str = "") -> str:
     """Correlation of the pairs without nulls; unlike ``corr`` it is null, not an error, without spread."""
-    x, y = _pairwise(a, b)
-    parts = [F.covar_pop(x, y), F.stddev_pop(x), F.stddev_pop(y)]
-    cov, sx, sy = [p.over(frame) for p in parts] if frame is not None else parts
-    return F.try_divide(cov, sx * sy)
+    x = f"CASE WHEN `{b}` IS NOT NULL THEN `{a}` END"
+    y = f"CASE WHEN `{a}` IS NOT NULL THEN `{b}` END"
+    return f"try_divide(covar_pop({x}, {y}){over}, stddev_pop({x}){over} * stddev_pop({y}){over})"
 
 
 def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -172,7 +166,7 @@ def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     A column without spread has no correlation (null).
     """
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    wide = df.agg(*[_corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
+    wide = df.selectExpr(*[f"{_corr(a, b)} AS `{i}`" for i, (a, b) in enumerate(pairs)])
     cells = F.array(
         *[
             F.struct(F.lit(a).alias("left"), F.lit(b).alias("right"), F.col(f"{i}").alias("corr"))
@@ -185,7 +179,7 @@ def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def lag_correlations(df: DataFrame, panel: Panel, target: str, col: str, steps: Sequence[int]) -> DataFrame:
     """Correlation of the target with a column some rows earlier."""
     lagged = add_features(df, panel, lags([col], steps, "_lag_{k}"))
-    wide = lagged.agg(*[_corr(target, f"_lag_{k}").alias(f"{k}") for k in steps])
+    wide = lagged.selectExpr(*[f"{_corr(target, f'_lag_{k}')} AS `{k}`" for k in steps])
     return wide.select(
         F.inline(F.array(*[F.struct(F.lit(k).alias("lag"), F.col(f"{k}").alias("corr")) for k in steps]))
     )
@@ -195,12 +189,9 @@ def rolling_correlation(
     df: DataFrame, panel: Panel, left: str, right: str, window: int, name: str = "rolling_corr"
 ) -> DataFrame:
     """Correlation over the last ``window`` rows of an entity, null until the frame is full of pairs."""
-    def build(w):
-        frame = w.rowsBetween(-(window - 1), 0)
-        pairs = F.count(F.col(left) + F.col(right)).over(frame)
-        return [F.when(pairs == window, _corr(left, right, frame)).alias(name)]
-
-    return add_features(df, panel, RowFeatures(build, back=window - 1))
+    over = f" OVER ({{w}} ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW)"
+    text = f"CASE WHEN count(`{left}` + `{right}`){over} = {window} THEN {_corr(left, right, over)} END"
+    return add_features(df, panel, RowFeatures(((name, text),), back=window - 1))
 
 
 def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int) -> DataFrame:

@@ -27,7 +27,7 @@ DAILY_BOUNDS: dict[str, tuple[float, float]] = {
 
 def require(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """Rows in which all given columns are present (for example the target)."""
-    return df.filter(reduce(Column.__and__, [F.col(c).isNotNull() for c in cols]))
+    return df.filter(" AND ".join(f"`{c}` IS NOT NULL" for c in cols))
 
 
 def drop_null_rows(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
@@ -38,16 +38,16 @@ def drop_null_rows(df: DataFrame, cols: Iterable[str] | None = None) -> DataFram
 def clip(df: DataFrame, bounds: Mapping[str, tuple[float, float]] = DAILY_BOUNDS) -> DataFrame:
     """Limit columns to their bounds; null stays null, absent columns are skipped."""
 
-    def limited(c: str) -> Column:
-        lo, hi = (F.lit(float(v)) for v in bounds[c])
-        return F.when(F.col(c).isNotNull(), F.least(F.greatest(F.col(c), lo), hi)).alias(c)
+    def limited(c: str) -> str:
+        lo, hi = (f"{float(v)!r}D" for v in bounds[c])
+        return f"CASE WHEN `{c}` IS NOT NULL THEN least(greatest(`{c}`, {lo}), {hi}) END AS `{c}`"
 
-    return df.select(*[limited(c) if c in bounds else F.col(c) for c in df.columns])
+    return df.selectExpr(*[limited(c) if c in bounds else f"`{c}`" for c in df.columns])
 
 
 def add_placeholders(df: DataFrame, cols: Iterable[str], kind: str = "double") -> DataFrame:
     """Typed null columns for inputs that are not available yet."""
-    return df.select("*", *[F.lit(None).cast(kind).alias(c) for c in cols if c not in df.columns])
+    return df.selectExpr("*", *[f"CAST(NULL AS {kind}) AS `{c}`" for c in cols if c not in df.columns])
 
 
 def filter_rows(

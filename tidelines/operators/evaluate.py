@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelines.operators.windows import RowFeatures, add_features
+from tidelines.operators.windows import add_features, lags, leads
 from tidelines.panel import Panel
 
 
@@ -16,15 +16,8 @@ def persistence_forecast(df: DataFrame, panel: Panel, target: str, horizons: Seq
 
     Lag and leads share one window; the horizons are unpivoted from the same row, without a join.
     """
-    features = RowFeatures(
-        lambda w: [
-            F.lag(target, 1).over(w).alias("_predicted"),
-            *[F.lead(target, h).over(w).alias(f"_actual_{h}") for h in horizons],
-        ],
-        back=1,
-        ahead=max(horizons),
-    )
-    wide = add_features(df, panel, features)
+    features = [lags([target], [1], "_predicted"), leads([target], horizons, "_actual_{k}")]
+    wide = add_features(df, panel, *features)
     cells = F.array(
         *[F.struct(F.lit(h).alias("horizon"), F.col(f"_actual_{h}").alias("actual")) for h in horizons]
     )

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelines.panel import SLICE, Panel
 
+_BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+_UPTO = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
-def _known(col: str) -> Column:
+
+def _known(col: str) -> str:
     """Position and value of a known reading, null where the reading is missing."""
-    return F.when(F.col(col).isNotNull(), F.struct(F.col("_at").alias("at"), F.col(col).cast("double").alias("x")))
+    return f"CASE WHEN `{col}` IS NOT NULL THEN struct(_at AS at, CAST(`{col}` AS DOUBLE) AS x) END"
 
 
 def interpolate(
@@ -38,20 +41,23 @@ def interpolate(
         bounded = _neighbours(located, panel, cols)
     else:
         bounded = _neighbours_sliced(df, panel, cols)
-    filled = {c: _fill(c, method, max_gap) for c in cols}
-    return bounded.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
+    return bounded.selectExpr(*[_fill(c, method, max_gap) if c in cols else f"`{c}`" for c in df.columns])
 
 
 def _neighbours(located: DataFrame, panel: Panel, cols: list[str], *extra: str) -> DataFrame:
-    seen = panel.window(*extra).rowsBetween(Window.unboundedPreceding, 0)
-    coming = panel.reverse_window(*extra).rowsBetween(Window.unboundedPreceding, 0)
-    return located.select(
+    back, ahead = panel.clause(*extra), panel.reverse_clause(*extra)
+    return located.selectExpr(
         "*",
-        *[F.last(_known(c), ignorenulls=True).over(seen).alias(f"_prev_{c}") for c in cols],
-        *[F.last(_known(c), ignorenulls=True).over(coming).alias(f"_next_{c}") for c in cols],
+        *[f"last({_known(c)}, true) OVER ({back} {_UPTO}) AS `_prev_{c}`" for c in cols],
+        *[f"last({_known(c)}, true) OVER ({ahead} {_UPTO}) AS `_next_{c}`" for c in cols],
     )
 
 
+def _shifted(struct: str) -> str:
+    """A neighbour with its position counted from the start of the entity instead of the slice."""
+    return f"CASE WHEN `{struct}` IS NOT NULL THEN struct(`{struct}`.at + _offset AS at, `{struct}`.x AS x) END"
+
+
 def _neighbours_sliced(df: DataFrame, panel: Panel, cols: list[str]) -> DataFrame:
     """Neighbours for sliced entities: look within the slice, else carry over from other slices.
 
@@ -61,55 +67,44 @@ def _neighbours_sliced(df: DataFrame, panel: Panel, cols: list[str]) -> DataFram
     keys = [*panel.keys(), SLICE]
     summary = ranked.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_size"),
-        *[F.min(_known(c)).alias(f"_head_{c}") for c in cols],
-        *[F.max(_known(c)).alias(f"_tail_{c}") for c in cols],
-    )
-    by_slice = Window.partitionBy(*panel.keys()).orderBy(SLICE)
-    earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)
-    later = (
-        Window.partitionBy(*panel.keys()).orderBy(F.col(SLICE).desc()).rowsBetween(Window.unboundedPreceding, -1)
+        *[F.min(F.expr(_known(c))).alias(f"_head_{c}") for c in cols],
+        *[F.max(F.expr(_known(c))).alias(f"_tail_{c}") for c in cols],
     )
-    offset = summary.withColumn("_offset", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
-
-    def shifted(c: str) -> Column:
-        moved = F.struct((F.col(c)["at"] + F.col("_offset")).alias("at"), F.col(c)["x"].alias("x"))
-        return F.when(F.col(c).isNotNull(), moved)
-
-    placed = offset.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        *keys,
+    groups = ", ".join(f"`{k}`" for k in panel.keys())
+    part = f"PARTITION BY {groups} " if groups else ""
+    earlier, later = f"{part}ORDER BY {SLICE} {_BEFORE}", f"{part}ORDER BY {SLICE} DESC {_BEFORE}"
+    placed = summary.selectExpr(
+        "*", f"coalesce(sum(_size) OVER ({earlier}), 0) AS _offset"
+    ).selectExpr(
+        *[f"`{k}`" for k in keys],
         "_offset",
-        *[shifted(f"_head_{c}").alias(f"_head_{c}") for c in cols],
-        *[shifted(f"_tail_{c}").alias(f"_tail_{c}") for c in cols],
+        *[f"{_shifted(f'_{end}_{c}')} AS `_{end}_{c}`" for c in cols for end in ("head", "tail")],
     )
-    carries = placed.select(
-        *[f"_k_{k}" for k in keys],
+    carries = placed.selectExpr(
+        *[f"`{k}` AS `_k_{k}`" for k in keys],
         "_offset",
-        *[F.last(f"_tail_{c}", ignorenulls=True).over(earlier).alias(f"_carry_{c}") for c in cols],
-        *[F.last(f"_head_{c}", ignorenulls=True).over(later).alias(f"_ahead_{c}") for c in cols],
+        *[f"last(`_tail_{c}`, true) OVER ({earlier}) AS `_carry_{c}`" for c in cols],
+        *[f"last(`_head_{c}`, true) OVER ({later}) AS `_ahead_{c}`" for c in cols],
     )
-    local = _neighbours(ranked, panel, cols, SLICE)
-    on = F.lit(True)
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    joined = local.join(carries, on)
-    return joined.select(
-        *df.columns,
-        (F.col("_at") + F.col("_offset")).alias("_at"),
-        *[F.coalesce(shifted(f"_prev_{c}"), F.col(f"_carry_{c}")).alias(f"_prev_{c}") for c in cols],
-        *[F.coalesce(shifted(f"_next_{c}"), F.col(f"_ahead_{c}")).alias(f"_next_{c}") for c in cols],
+    on = F.expr(" AND ".join(f"`{k}` <=> `_k_{k}`" for k in keys))
+    joined = _neighbours(ranked, panel, cols, SLICE).join(carries, on)
+    return joined.selectExpr(
+        *[f"`{c}`" for c in df.columns],
+        "_at + _offset AS _at",
+        *[f"coalesce({_shifted(f'_prev_{c}')}, `_carry_{c}`) AS `_prev_{c}`" for c in cols],
+        *[f"coalesce({_shifted(f'_next_{c}')}, `_ahead_{c}`) AS `_next_{c}`" for c in cols],
     )
 
 
-def _fill(col: str, method: str, max_gap: int | None) -> Column:
-    before, after = F.col(f"_prev_{col}"), F.col(f"_next_{col}")
-    span = after["at"] - before["at"]
+def _fill(col: str, method: str, max_gap: int | None) -> str:
+    before, after = f"`_prev_{col}`", f"`_next_{col}`"
+    span = f"({after}.at - {before}.at)"
     if method == "linear":
-        value = before["x"] + (after["x"] - before["x"]) * (F.col("_at") - before["at"]) / span
+        value = f"{before}.x + ({after}.x - {before}.x) * (_at - {before}.at) / {span}"
     else:
-        nearer = (F.col("_at") - before["at"]) < (after["at"] - F.col("_at"))
-        value = F.when(nearer, before["x"]).otherwise(after["x"])
-    allowed = before.isNotNull() & after.isNotNull()
-    if max_gap is not None:
-        allowed = allowed & (span - 1 <= max_gap)
-    return F.when(F.col(col).isNotNull(), F.col(col)).when(allowed, value)
+        value = f"CASE WHEN _at - {before}.at < {after}.at - _at THEN {before}.x ELSE {after}.x END"
+    limit = "" if max_gap is None else f" AND {span} - 1 <= {max_gap}"
+    return (
+        f"CASE WHEN `{col}` IS NOT NULL THEN `{col}` "
+        f"WHEN {before} IS NOT NULL AND {after} IS NOT NULL{limit} THEN {value} END AS `{col}`"
+    )

@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
@@ -39,11 +38,11 @@ def fit(train: DataFrame, cols: Iterable[str], method: str = "standard") -> list
     cols = list(cols)
     if not cols:
         return []
-    first, second = (F.avg, F.stddev_samp) if method == "standard" else (F.min, F.max)
-    value = lambda c: F.col(c).cast("double")
-    row = train.agg(
-        *[first(value(c)).alias(f"{i}_1") for i, c in enumerate(cols)],
-        *[second(value(c)).alias(f"{i}_2") for i, c in enumerate(cols)],
+    first, second = ("avg", "stddev_samp") if method == "standard" else ("min", "max")
+    value = "CAST(`{}` AS DOUBLE)".format
+    row = train.selectExpr(
+        *[f"{first}({value(c)}) AS `{i}_1`" for i, c in enumerate(cols)],
+        *[f"{second}({value(c)}) AS `{i}_2`" for i, c in enumerate(cols)],
     ).first()
     return [Stat(c, method, row[f"{i}_1"], row[f"{i}_2"]) for i, c in enumerate(cols)]
 
@@ -55,21 +54,21 @@ def usable(stat: Stat, min_std: float = 0.0) -> bool:
     return stat.p2 > min_std if stat.method == "standard" else stat.p1 != stat.p2
 
 
-def scaled(stat: Stat) -> Column:
-    value = F.col(stat.feature).cast("double")
+def scaled(stat: Stat) -> str:
+    """SQL expression of the scaled feature; the parameters are written with full precision."""
     span = stat.p2 if stat.method == "standard" else stat.p2 - stat.p1
-    return (value - F.lit(stat.p1)) / F.lit(span)
+    return f"(CAST(`{stat.feature}` AS DOUBLE) - {stat.p1!r}D) / {span!r}D"
 
 
 def add_normalised(df: DataFrame, stats: Iterable[Stat], suffix: str = "_norm", min_std: float = 1e-8) -> DataFrame:
     """Keep the columns and add a scaled copy of each usable one."""
-    return df.select("*", *[scaled(s).alias(s.feature + suffix) for s in stats if usable(s, min_std)])
+    return df.selectExpr("*", *[f"{scaled(s)} AS `{s.feature}{suffix}`" for s in stats if usable(s, min_std)])
 
 
 def normalise_in_place(df: DataFrame, stats: Iterable[Stat]) -> DataFrame:
     """Replace every usable column by its scaled value."""
     by_name = {s.feature: s for s in stats if usable(s)}
-    return df.select(*[scaled(by_name[c]).alias(c) if c in by_name else F.col(c) for c in df.columns])
+    return df.selectExpr(*[f"{scaled(by_name[c])} AS `{c}`" if c in by_name else f"`{c}`" for c in df.columns])
 
 
 def stats_frame(spark: SparkSession, stats: Iterable[Stat]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelines.functions.geo import bearing_deg, haversine_km
+from tidelines.functions.geo import EARTH_RADIUS_KM
 
 RADIUS_KM = 800.0
 DECAY_KM = 200.0
@@ -30,12 +30,23 @@ def hotspot_locations(hotspots: DataFrame) -> DataFrame:
     )
 
 
+def _sines(lat: str, lon: str, prefix: str) -> list[Column]:
+    """Sines and cosines of a position, computed once per place instead of once per pair."""
+    a, o = F.radians(lat), F.radians(lon)
+    return [
+        F.sin(a).alias(f"{prefix}_sa"),
+        F.cos(a).alias(f"{prefix}_ca"),
+        F.sin(o).alias(f"{prefix}_so"),
+        F.cos(o).alias(f"{prefix}_co"),
+    ]
+
+
 def transboundary_index(
     hotspots: DataFrame,
     stations: DataFrame,
     radius_km: float = RADIUS_KM,
     decay_km: float = DECAY_KM,
-    salts: int = 8,
+    salts: int = 4,
 ) -> DataFrame:
     """Per (station, date): hotspot counts per country, FRP sum and the transport index within the radius.
 
@@ -47,41 +58,61 @@ def transboundary_index(
     each station day is listed in every cell its radius can reach; the exact distance filter follows. The
     salt spreads the places of one busy cell over several tasks, and the sums are combined map-side.
     """
-    size = radius_km / KM_PER_DEGREE
+    size = reach = radius_km / KM_PER_DEGREE
     places = hotspot_locations(hotspots).select(
         "date",
-        F.col("lat").alias("f_lat"),
-        F.col("lon").alias("f_lon"),
         "frp",
         *[f"n_{c}" for c in COUNTRIES],
+        *_sines("lat", "lon", "f"),
         F.floor(F.col("lat") / size).alias("cell_y"),
         F.floor(F.col("lon") / size).alias("cell_x"),
         F.pmod(F.hash("lat", "lon"), F.lit(salts)).alias("salt"),
     )
-    reach = radius_km / KM_PER_DEGREE
 
-    def span(centre: Column, half: Column) -> Column:
-        return F.sequence(F.floor((centre - half) / size), F.floor((centre + half) / size))
+    def span(centre: Column, half: Column, box: tuple[float, float]) -> Column:
+        first = F.floor(F.greatest(centre - half, F.lit(box[0])) / size)
+        last = F.floor(F.least(centre + half, F.lit(box[1])) / size)
+        # Stations out of reach of the region have no cell.
+        return F.when(first <= last, F.sequence(first, last))
 
     # One degree of longitude shrinks with latitude; take the widest circle of latitude in reach.
     far = F.least(F.abs(F.col("lat")) + reach, F.lit(89.0))
     half_lon = F.lit(reach) / F.cos(F.radians(far))
+    downwind = F.radians(F.col("wind_direction_mean") + 180.0)
     spread = (
-        stations.withColumn("cell_y", F.explode(span(F.col("lat"), F.lit(reach))))
-        .withColumn("cell_x", F.explode(span(F.col("lon"), half_lon)))
+        stations.select(
+            "stationID",
+            "date",
+            *_sines("lat", "lon", "s"),
+            F.sin(downwind).alias("w_sin"),
+            F.cos(downwind).alias("w_cos"),
+            span(F.col("lat"), F.lit(reach), BOUNDING_BOX["lat"]).alias("ys"),
+            span(F.col("lon"), half_lon, BOUNDING_BOX["lon"]).alias("xs"),
+        )
+        .withColumn("cell_y", F.explode("ys"))
+        .withColumn("cell_x", F.explode("xs"))
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        .drop("ys", "xs")
     )
-    distance = haversine_km(F.col("f_lat"), F.col("f_lon"), F.col("lat"), F.col("lon"))
-    toward = bearing_deg(F.col("f_lat"), F.col("f_lon"), F.col("lat"), F.col("lon"))
-    downwind = F.col("wind_direction_mean") + 180.0
-    aligned = F.greatest(F.lit(0.0), F.cos(F.radians(toward - downwind)))
-    near = (
-        spread.join(places, ["date", "cell_y", "cell_x", "salt"])
-        .withColumn("_km", distance)
-        .filter(F.col("_km") <= radius_km)
+    # Great-circle geometry from the sines alone: difference of longitudes, chord and bearing components.
+    pairs = spread.join(places, ["date", "cell_y", "cell_x", "salt"]).selectExpr(
+        "stationID",
+        "date",
+        "frp",
+        *[f"n_{c}" for c in COUNTRIES],
+        "w_sin",
+        "w_cos",
+        "(s_so * f_co - s_co * f_so) * s_ca AS east",
+        "f_ca * s_sa - f_sa * s_ca * (s_co * f_co + s_so * f_so) AS north",
+        "pow(s_ca * s_co - f_ca * f_co, 2) + pow(s_ca * s_so - f_ca * f_so, 2) + pow(s_sa - f_sa, 2) AS chord2",
     )
+    near = pairs.selectExpr(
+        "*", f"{2 * EARTH_RADIUS_KM!r}D * asin(least(sqrt(chord2) / 2, 1D)) AS km", "hypot(east, north) AS length"
+    ).filter(F.col("km") <= radius_km)
+    # A fire at the station itself counts as lying to its south (bearing 0).
+    aligned = "greatest(0D, coalesce(try_divide(north * w_cos + east * w_sin, length), w_cos))"
     return near.groupBy("stationID", "date").agg(
         *[F.sum(f"n_{c}").alias(f"hotspot_count_{c}") for c in COUNTRIES],
         F.sum("frp").alias("hotspot_frp_sum"),
-        F.sum(F.col("frp") * aligned * F.exp(-F.col("_km") / decay_km)).alias("transboundary_index"),
+        F.sum(F.expr(f"frp * {aligned} * exp(-km / {decay_km!r}D)")).alias("transboundary_index"),
     )

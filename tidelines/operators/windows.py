@@ -1,15 +1,15 @@
 """Row-frame features per entity: lags, leads, rolling statistics, changes, sequences.
 
-Features are described first and evaluated together: all of them share one window specification, so any
-number of columns costs one shuffle and one sort.
+Features are described first, as SQL window expressions, and evaluated together: all of them share one
+window specification, so any number of columns costs one shuffle and one sort.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelines.panel import SLICE, Panel
@@ -17,9 +17,12 @@ from tidelines.panel import SLICE, Panel
 
 @dataclass(frozen=True)
 class RowFeatures:
-    """Columns built from a window, and how many rows back and ahead they look."""
+    """Named window expressions, and how many rows back and ahead they look.
 
-    build: Callable[[WindowSpec], list[Column]]
+    In an expression ``{w}`` stands for the panel's PARTITION BY and ORDER BY.
+    """
+
+    exprs: tuple[tuple[str, str], ...]
     back: int = 0
     ahead: int = 0
 
@@ -33,48 +36,48 @@ def add_features(df: DataFrame, panel: Panel, *features: RowFeatures) -> DataFra
     of the plain window, and both branches read the same exchange.
     """
 
-    def build(window: WindowSpec) -> list[Column]:
-        return [column for feature in features for column in feature.build(window)]
+    def build(clause: str) -> list[str]:
+        return [f"{text.replace('{w}', clause)} AS `{name}`" for f in features for name, text in f.exprs]
 
     if panel.slices is None:
-        return df.select("*", *build(panel.window()))
+        return df.selectExpr("*", *build(panel.clause()))
 
     back = max((f.back for f in features), default=0)
     ahead = max((f.ahead for f in features), default=0)
     reach = back + ahead
-    window = panel.window(SLICE)
     ranked = panel.slices.attach(df).select(
         "*",
-        F.row_number().over(window).alias("_pos"),
+        F.row_number().over(panel.window(SLICE)).alias("_pos"),
         F.count(F.lit(1)).over(Window.partitionBy(*panel.keys(), SLICE)).alias("_size"),
     )
     whole = F.col(SLICE) < 0
     inside = whole | ((F.col("_pos") > back) & (F.col("_pos") <= F.col("_size") - ahead))
     rim = ~whole & ((F.col("_pos") <= reach) | (F.col("_pos") > F.col("_size") - reach))
-    inner = ranked.select("*", *build(window)).filter(inside)
-    outer = ranked.filter(rim).select("*", *build(panel.window())).filter(~inside)
+    inner = ranked.selectExpr("*", *build(panel.clause(SLICE))).filter(inside)
+    outer = ranked.filter(rim).selectExpr("*", *build(panel.clause())).filter(~inside)
     return inner.unionByName(outer).drop(SLICE, "_pos", "_size")
 
 
+def _last(n: int) -> str:
+    """Frame of the last ``n`` rows up to the current one."""
+    return f"{{w}} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW"
+
+
 def lags(cols: Iterable[str], steps: Iterable[int], name: str = "{c}_lag_{k}h") -> RowFeatures:
     """Value ``k`` rows earlier, for every column and step."""
     cols, steps = list(cols), list(steps)
-    return RowFeatures(
-        lambda w: [F.lag(c, k).over(w).alias(name.format(c=c, k=k)) for c in cols for k in steps],
-        back=max(steps, default=0),
-    )
+    exprs = tuple((name.format(c=c, k=k), f"lag(`{c}`, {k}) OVER ({{w}})") for c in cols for k in steps)
+    return RowFeatures(exprs, back=max(steps, default=0))
 
 
 def leads(cols: Iterable[str], steps: Iterable[int], name: str = "target_{c}_{k}h") -> RowFeatures:
     """Value ``k`` rows later (forecast targets)."""
     cols, steps = list(cols), list(steps)
-    return RowFeatures(
-        lambda w: [F.lead(c, k).over(w).alias(name.format(c=c, k=k)) for c in cols for k in steps],
-        ahead=max(steps, default=0),
-    )
+    exprs = tuple((name.format(c=c, k=k), f"lead(`{c}`, {k}) OVER ({{w}})") for c in cols for k in steps)
+    return RowFeatures(exprs, ahead=max(steps, default=0))
 
 
-_ROLLING = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+_ROLLING = {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
 
 
 def rolling(
@@ -85,28 +88,23 @@ def rolling(
 ) -> RowFeatures:
     """Statistics over the last ``n`` rows; null unless all ``n`` values are present."""
     cols, windows, stats = list(cols), list(windows), list(stats)
-
-    def build(w: WindowSpec) -> list[Column]:
-        out = []
-        for c in cols:
-            for n in windows:
-                frame = w.rowsBetween(-(n - 1), 0)
-                full = F.count(c).over(frame) == n
-                for stat in stats:
-                    value = _ROLLING[stat](c).over(frame)
-                    out.append(F.when(full, value).alias(name.format(c=c, n=n, stat=stat)))
-        return out
-
-    return RowFeatures(build, back=max(windows, default=1) - 1)
+    exprs = tuple(
+        (
+            name.format(c=c, n=n, stat=stat),
+            f"CASE WHEN count(`{c}`) OVER ({_last(n)}) = {n} THEN {_ROLLING[stat]}(`{c}`) OVER ({_last(n)}) END",
+        )
+        for c in cols
+        for n in windows
+        for stat in stats
+    )
+    return RowFeatures(exprs, back=max(windows, default=1) - 1)
 
 
 def differences(col: str, steps: Iterable[int] = (1, 24), name: str = "{c}_diff_{k}h") -> RowFeatures:
     """Difference to the value ``k`` rows earlier."""
     steps = list(steps)
-    return RowFeatures(
-        lambda w: [(F.col(col) - F.lag(col, k).over(w)).alias(name.format(c=col, k=k)) for k in steps],
-        back=max(steps),
-    )
+    exprs = tuple((name.format(c=col, k=k), f"`{col}` - lag(`{col}`, {k}) OVER ({{w}})") for k in steps)
+    return RowFeatures(exprs, back=max(steps))
 
 
 def percent_change(
@@ -118,52 +116,35 @@ def percent_change(
     """
     if zero_div not in ("null", "ieee"):
         raise ValueError(f"zero_div must be 'null' or 'ieee', got {zero_div!r}")
+    base = f"lag(`{col}`, {step}) OVER ({{w}})"
+    text = f"try_divide(`{col}` - {base}, {base}) * 100"
+    if zero_div == "ieee":
+        text = (
+            f"CASE WHEN {base} <> 0 THEN {text} WHEN `{col}` > {base} THEN double('Infinity') "
+            f"WHEN `{col}` < {base} THEN double('-Infinity') WHEN `{col}` = {base} THEN double('NaN') END"
+        )
+    return RowFeatures(((name.format(c=col, k=step), text),), back=step)
 
-    def build(w: WindowSpec) -> list[Column]:
-        base = F.lag(col, step).over(w)
-        diff = F.col(col) - base
-        value = F.try_divide(diff, base) * 100
-        if zero_div == "ieee":
-            sign = F.when(diff > 0, F.lit(float("inf"))).when(diff < 0, F.lit(float("-inf")))
-            value = F.when((base == 0) & diff.isNotNull(), sign.otherwise(F.lit(float("nan")))).otherwise(value)
-        return [value.alias(name.format(c=col, k=step))]
 
-    return RowFeatures(build, back=step)
-
-
-def rolling_error(
-    actual: str, predicted: str, window: int, name: str = "rolling_mae"
-) -> RowFeatures:
+def rolling_error(actual: str, predicted: str, window: int, name: str = "rolling_mae") -> RowFeatures:
     """Mean absolute error over the last ``window`` rows; null unless the frame is full."""
-
-    def build(w: WindowSpec) -> list[Column]:
-        frame = w.rowsBetween(-(window - 1), 0)
-        error = F.abs(F.col(actual) - F.col(predicted))
-        return [F.when(F.count(error).over(frame) == window, F.avg(error).over(frame)).alias(name)]
-
-    return RowFeatures(build, back=window - 1)
+    error, frame = f"abs(`{actual}` - `{predicted}`)", _last(window)
+    text = f"CASE WHEN count({error}) OVER ({frame}) = {window} THEN avg({error}) OVER ({frame}) END"
+    return RowFeatures(((name, text),), back=window - 1)
 
 
 def sequences(cols: Iterable[str], length: int = 30, name: str = "sequence") -> RowFeatures:
     """The last ``length`` rows as an array of structs, oldest first; null until there are enough rows."""
-    cols = list(cols)
-
-    def build(w: WindowSpec) -> list[Column]:
-        items = F.collect_list(F.struct(*cols)).over(w.rowsBetween(-(length - 1), 0))
-        return [F.when(F.size(items) == length, items).alias(name)]
-
-    return RowFeatures(build, back=length - 1)
+    items = ", ".join(f"`{c}`" for c in cols)
+    rows = f"collect_list(struct({items})) OVER ({_last(length)})"
+    return RowFeatures(((name, f"CASE WHEN size({rows}) = {length} THEN {rows} END"),), back=length - 1)
 
 
 def time_step(panel: Panel, name: str = "step_seconds") -> RowFeatures:
     """Seconds since the previous row of the entity."""
-
-    def build(w: WindowSpec) -> list[Column]:
-        now = F.unix_micros(F.col(panel.time).cast("timestamp"))
-        before = F.unix_micros(F.lag(panel.time, 1).over(w).cast("timestamp"))
-        return [((now - before) / F.lit(1_000_000)).alias(name)]
-
-    return RowFeatures(build, back=1)
+    now = f"unix_micros(CAST(`{panel.time}` AS TIMESTAMP))"
+    before = f"unix_micros(CAST(lag(`{panel.time}`, 1) OVER ({{w}}) AS TIMESTAMP))"
+    return RowFeatures(((name, f"({now} - {before}) / 1000000D"),), back=1)
 
 
 def time_gaps(df: DataFrame, panel: Panel, expected_seconds: float = 3600.0) -> DataFrame:

@@ -74,13 +74,24 @@ class Panel:
     def keys(self) -> list[str]:
         return [self.entity] if self.entity else []
 
-    def window(self, *extra: str) -> WindowSpec:
-        return Window.partitionBy(*self.keys(), *extra).orderBy(*self.order)
+    def clause(self, *extra: str) -> str:
+        """Window text of the panel: one group per entity (and ``extra`` columns), oldest row first."""
+        groups = ", ".join(f"`{c}`" for c in [*self.keys(), *extra])
+        order = ", ".join(f"`{c}`" for c in self.order)
+        return (f"PARTITION BY {groups} " if groups else "") + f"ORDER BY {order}"
 
-    def reverse_window(self, *extra: str) -> WindowSpec:
+    def reverse_clause(self, *extra: str) -> str:
         """Same groups from the latest row back; used instead of frames that end at UNBOUNDED
         FOLLOWING, which Spark re-evaluates from scratch for every row."""
-        return Window.partitionBy(*self.keys(), *extra).orderBy(*[F.col(c).desc() for c in self.order])
+        groups = ", ".join(f"`{c}`" for c in [*self.keys(), *extra])
+        order = ", ".join(f"`{c}` DESC" for c in self.order)
+        return (f"PARTITION BY {groups} " if groups else "") + f"ORDER BY {order}"
+
+    def window(self, *extra: str) -> WindowSpec:
+        return Window.partitionBy(*self.keys(), *extra).orderBy(*self.order)
+
+    def reverse_window(self) -> WindowSpec:
+        return Window.partitionBy(*self.keys()).orderBy(*[F.col(c).desc() for c in self.order])
 
     def fit(self, df: DataFrame, max_rows: int = MAX_ROWS, always: bool = False) -> Panel:
         """Measure row counts per entity and plan slices for those above ``max_rows``.

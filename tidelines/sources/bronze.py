@@ -57,7 +57,7 @@ def unreadable_files(spark: SparkSession, path: str, schema: T.StructType = AIR_
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.json*")
         .load(path)
-        .select(F.regexp_replace("path", "^file:/+", "file:///").alias("file_path"), "length")
+        .select(F.col("_metadata.file_path").alias("file_path"), "length")
     )
     return listed.join(read_bronze(spark, path, schema).select("file_path").distinct(), "file_path", "left_anti")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from functools import reduce
 
@@ -47,8 +48,10 @@ def layer_inventory(spark: SparkSession, layers: Mapping[str, str], glob: str =
     )
 
 
-def _name(path: str = "path") -> Column:
-    return F.regexp_extract(path, r"[^/]+$", 0)
+def _relative(file_path: Column, root: str) -> Column:
+    """Path of a file below the layer's folder; names alone repeat across partitions."""
+    folder = re.sub(r"^[a-z0-9]+:(//[^/]*)?", "", root).rstrip("/")
+    return F.regexp_extract(file_path, rf"\Q{folder}\E/+(.*)$", 1)
 
 
 def checksums(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
@@ -56,7 +59,7 @@ def checksums(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFr
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
     )
-    return files.select(_name().alias("name"), F.md5("content").alias("md5"))
+    return files.select(_relative(F.col("path"), path).alias("name"), F.md5("content").alias("md5"))
 
 
 def write_checksums(spark: SparkSession, path: str, target: str) -> None:
@@ -65,11 +68,22 @@ def write_checksums(spark: SparkSession, path: str, target: str) -> None:
     lines.write.mode("overwrite").text(target)
 
 
-def read_checksums(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Checksum lines from a table written above, or from ``.md5`` sidecar files (glob ``*.md5``)."""
-    text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path)
+def _lines(text: DataFrame) -> DataFrame:
     parts = F.split("value", r"\s+", 2)
-    return text.filter(F.length(F.trim("value")) > 0).select(parts[1].alias("name"), parts[0].alias("md5"))
+    return text.filter(F.length(F.trim("value")) > 0).withColumns({"md5": parts[0], "name": F.trim(parts[1])})
+
+
+def read_checksums(spark: SparkSession, path: str) -> DataFrame:
+    """A checksum table written by ``write_checksums``."""
+    return _lines(spark.read.text(path)).select("name", "md5")
+
+
+def read_sidecars(spark: SparkSession, path: str, glob: str = "*.md5") -> DataFrame:
+    """Checksums stored next to the files they belong to."""
+    text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path)
+    located = _lines(text.select("value", _relative(F.col("_metadata.file_path"), path).alias("side")))
+    folder = F.regexp_replace("side", "[^/]*$", "")
+    return located.select(F.concat(folder, "name").alias("name"), "md5")
 
 
 def verify_checksums(spark: SparkSession, path: str, recorded: DataFrame) -> DataFrame:
