@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidelines.operators import rank as rank_module
-from tidelines.operators.aggregate import exact_quantiles
+from tidelines.operators.aggregate import exact_quantiles, global_quantiles
 from tidelines.operators.clean import latest_per_key
 from tidelines.operators.interpolate import interpolate
 from tidelines.operators.rank import ordinal_rank, position_slice, rows_at_ranks
@@ -92,10 +92,10 @@ def test_rows_at_ranks(skewed, monkeypatch, finish, keys):
     monkeypatch.setattr(rank_module, "_FINISH", finish)
     known = skewed.filter(F.col("stationID").isNotNull())
     order = sorted(known.collect(), key=lambda r: tuple(r[k] for k in keys))
-    got = rows_at_ranks(known, keys, [0.0, 0.333, 0.7, 1.0])
-    assert got[0] is None
-    for found, ratio in zip(got[1:], [0.333, 0.7, 1.0]):
-        want = order[int(len(order) * ratio) - 1]
+    total, got = rows_at_ranks(known, keys, lambda n: [0, n // 3, n // 3 + 1, n, n + 1])
+    assert total == len(order) and got[0] is None and got[4] is None
+    for found, rank in zip(got[1:], [total // 3, total // 3 + 1, total]):
+        want = order[rank - 1]
         assert tuple(found[k] for k in keys) == tuple(want[k] for k in keys)
 
 
@@ -139,8 +139,20 @@ def test_exact_quantiles(skewed):
 
 
 def test_quantiles_of_one_repeated_value(spark):
-    df = spark.range(100).select(F.lit(4.0).alias("x"))
-    assert [r.value for r in exact_quantiles(df, "x", [0.1, 0.9]).collect()] == [4.0, 4.0]
+    df = spark.range(100).select(F.lit(4.0).alias("x"), F.lit("a").alias("g"))
+    assert [r.value for r in exact_quantiles(df, "x", [0.1, 0.9], ["g"]).collect()] == [4.0, 4.0]
+    assert [r.value for r in global_quantiles(df, "x", [0.1, 0.9]).collect()] == [4.0, 4.0]
+    assert [r.value for r in global_quantiles(df.filter("x < 0"), "x", [0.5]).collect()] == [None]
+
+
+@pytest.mark.parametrize("finish", [5, 100_000])
+def test_global_quantiles(skewed, monkeypatch, finish):
+    import numpy as np
+
+    monkeypatch.setattr(rank_module, "_FINISH", finish)
+    values = [r.x for r in skewed.collect() if r.x is not None]
+    for r in global_quantiles(skewed, "x", [0.0, 0.31, 0.5, 1.0]).collect():
+        assert r.value == pytest.approx(np.quantile(values, r.prob))
 
 
 def test_copies_are_limited_before_the_shuffle(skewed, capsys):

@@ -119,7 +119,7 @@ def top_k_stations(spark, sf_dir):
   SELECT unnest([0.5::DOUBLE, 0.95::DOUBLE]) AS p, unnest(quantile_cont({TARGET}, [0.5, 0.95])) AS v FROM obs)""",
 )
 def quantiles(spark, sf_dir):
-    return agg.exact_quantiles(obs(spark, sf_dir), TARGET, [0.5, 0.95]).select("prob", r6("value"))
+    return agg.global_quantiles(obs(spark, sf_dir), TARGET, [0.5, 0.95]).select("prob", r6("value"))
 
 
 @query(

@@ -5,19 +5,26 @@ Everything is a partial-then-final aggregate, so large groups are combined befor
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelines.operators.rank import rows_at_ranks
 from tidelines.operators.windows import RowFeatures, add_features, lags
 from tidelines.panel import Panel
+from tidelines.session import staged
 
 # Pollutant columns and their daily names.
 POLLUTANTS = ["pm2_5_ugm3", "pm10_ugm3", "no2_ugm3", "o3_ugm3", "so2_ugm3", "co_ugm3"]
 POLLUTANT_MEANS = ["pm2_5_mean", "pm10_mean", "no2_mean", "o3_mean", "so2_mean", "co_mean"]
 
 
+# Value ranges of grouped quantiles that may be broadcast (a few dozen bytes each).
+MAX_BROADCAST_RANGES = 100_000
+
+
 def _date(time: str, shift_hours: float) -> Column:
     at = F.col(time)
     if shift_hours:
@@ -217,7 +224,27 @@ def monthly_wind_vector(df: DataFrame, u: str, v: str, time: str) -> DataFrame:
     )
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+def global_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
+    """Exact interpolated quantiles of the whole table, as rows (prob, value), null for an empty table.
+
+    The order statistics on both sides of each quantile are found by counting (rows_at_ranks).
+    """
+    data = df.filter(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("x"))
+
+    def neighbours(total: int) -> list[int]:
+        at = [p * (total - 1) for p in probs]
+        return [r + 1 for a in at for r in (math.floor(a), math.ceil(a))]
+
+    total, rows = rows_at_ranks(data, ["x"], neighbours)
+    out = []
+    for i, p in enumerate(probs):
+        low, high = rows[2 * i], rows[2 * i + 1]
+        part = p * (total - 1) % 1
+        out.append((float(p), low.x + (high.x - low.x) * part if low is not None and high is not None else None))
+    return df.sparkSession.createDataFrame(out, "prob double, value double")
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str]) -> DataFrame:
     """Exact interpolated quantiles per group, as rows (by..., prob, value).
 
     Two counting passes over 1024 value cells each find the cells that hold the wanted order statistics;
@@ -226,9 +253,14 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequenc
     """
     cells = 1024
     by = list(by)
-    group = F.struct(*[F.col(c) for c in by]) if by else F.lit(0)
+    group = F.struct(*[F.col(c) for c in by])
     data = df.filter(F.col(col).isNotNull()).select(group.alias("g"), F.col(col).cast("double").alias("x"))
-    bounds = data.groupBy("g").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count(F.lit(1)).alias("n"))
+    bounds = staged(
+        data.groupBy("g").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count(F.lit(1)).alias("n")), "quantiles"
+    )
+    # With few groups the value ranges are broadcast, so the rows themselves are never shuffled; with many
+    # they are joined on the group, and AQE splits a group that is too large for one task.
+    small = bounds.count() * len(probs) <= MAX_BROADCAST_RANGES
     ranks = F.array(*[F.lit(float(p)) for p in probs])
     position = F.col("prob") * (F.col("n") - 1)
     wanted = bounds.select("g", "lo", "hi", "n", F.explode(ranks).alias("prob")).select(
@@ -240,7 +272,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequenc
         width = (F.col("hi") - F.col("lo")) / cells
         cell = F.coalesce(F.least(F.floor(F.try_divide(F.col("x") - F.col("lo"), width)), F.lit(cells - 1)), F.lit(0))
         counts = (
-            _within_spans(data, spans)
+            _within_spans(data, spans, small)
             .groupBy("g", F.col("lo").alias("span"), cell.alias("cell"))
             .agg(F.count(F.lit(1)).alias("rows"), F.min("x").alias("cell_lo"), F.max("x").alias("cell_hi"))
         )
@@ -250,7 +282,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequenc
             (F.col("w.rank") >= F.col("w.base") + F.col("c.before"))
             & (F.col("w.rank") < F.col("w.base") + F.col("c.before") + F.col("c.rows"))
         )
-        wanted = (
+        found = (
             wanted.alias("w")
             .join(counts.alias("c"), F.col("w.g").eqNullSafe(F.col("c.g")) & (F.col("w.lo") == F.col("c.span")) & hit)
             .select(
@@ -261,8 +293,10 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequenc
                 (F.col("w.base") + F.col("c.before")).alias("base"),
             )
         )
+        # A few rows per group; stored, so that the next pass does not repeat this one's scan.
+        wanted = staged(found, "quantiles")
     spans = wanted.select("g", "lo", "hi").distinct()
-    values = _within_spans(data, spans).groupBy("g", F.col("lo").alias("span"), "x").agg(
+    values = _within_spans(data, spans, small).groupBy("g", F.col("lo").alias("span"), "x").agg(
         F.count(F.lit(1)).alias("rows")
     )
     below = Window.partitionBy("g", "span").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
@@ -289,8 +323,8 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequenc
     return out.select(*[F.col("group")[c].alias(c) for c in by], "prob", "value")
 
 
-def _within_spans(data: DataFrame, spans: DataFrame) -> DataFrame:
+def _within_spans(data: DataFrame, spans: DataFrame, small: bool) -> DataFrame:
     """Rows that fall in one of their group's value ranges; ranges of a group never overlap."""
     s = spans.select(F.col("g").alias("_g"), "lo", "hi")
     on = F.col("g").eqNullSafe(F.col("_g")) & F.col("x").between(F.col("lo"), F.col("hi"))
-    return data.join(s, on).drop("_g")
+    return data.join(F.broadcast(s) if small else s, on).drop("_g")

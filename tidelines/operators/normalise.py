@@ -6,6 +6,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -32,19 +33,21 @@ def numeric_columns(df: DataFrame, exclude: Iterable[str] = (), integers: bool =
 
 
 def fit(train: DataFrame, cols: Iterable[str], method: str = "standard") -> list[Stat]:
-    """Statistics of all columns in one aggregate: one scan and one result row."""
+    """Statistics of all columns in one aggregate over (feature, value) pairs.
+
+    One row of parameters per column comes back. The long form keeps the aggregation buffer small, so it
+    stays in generated code however many columns there are, and it is combined map-side.
+    """
     if method not in ("standard", "minmax"):
         raise ValueError(f"method must be 'standard' or 'minmax', got {method!r}")
     cols = list(cols)
     if not cols:
         return []
-    first, second = ("avg", "stddev_samp") if method == "standard" else ("min", "max")
-    value = "CAST(`{}` AS DOUBLE)".format
-    row = train.selectExpr(
-        *[f"{first}({value(c)}) AS `{i}_1`" for i, c in enumerate(cols)],
-        *[f"{second}({value(c)}) AS `{i}_2`" for i, c in enumerate(cols)],
-    ).first()
-    return [Stat(c, method, row[f"{i}_1"], row[f"{i}_2"]) for i, c in enumerate(cols)]
+    first, second = (F.avg, F.stddev_samp) if method == "standard" else (F.min, F.max)
+    pairs = train.selectExpr(*[f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in cols]).unpivot([], cols, "feature", "value")
+    rows = pairs.groupBy("feature").agg(first("value").alias("p1"), second("value").alias("p2")).collect()
+    found = {r["feature"]: r for r in rows}
+    return [Stat(c, method, *(found[c][1:] if c in found else (None, None))) for c in cols]
 
 
 def usable(stat: Stat, min_std: float = 0.0) -> bool:

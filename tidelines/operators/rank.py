@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,10 +15,12 @@ _CELLS = 2048
 _FINISH = 100_000
 
 
-def rows_at_ranks(df: DataFrame, keys: list[str], ratios: list[float]) -> list[Row | None]:
-    """The rows at position ``int(n * ratio)`` (from 1) in the order of ``keys``, which must not be null.
+def rows_at_ranks(
+    df: DataFrame, keys: list[str], positions: Callable[[int], list[int]]
+) -> tuple[int, list[Row | None]]:
+    """Row count n, and the rows at ``positions(n)`` (from 1) in the order of ``keys``, which must not be null.
 
-    None where the position is 0. The candidates of a position are narrowed by counting, key after key:
+    None for positions outside the table. The candidates of a position are narrowed by counting, key after key:
     each round is one scan with map-side counts over at most a few thousand cells, and keeps the one cell
     that holds the position. Only the last small remainder is sorted, so the cost does not depend on how
     rows are spread over keys.
@@ -24,12 +28,13 @@ def rows_at_ranks(df: DataFrame, keys: list[str], ratios: list[float]) -> list[R
     rows = df.select(*keys)
     first = _extent(rows, keys[0])
     total = first[2]
-    ranks = [int(total * ratio) for ratio in ratios]
+    ranks = positions(total)
+    inside = {r for r in ranks if 0 < r <= total}
     if total <= _FINISH:
-        found = _pick(rows, keys, [r for r in ranks if r > 0])
+        found = _pick(rows, keys, sorted(inside)) if inside else {}
     else:
-        found = {r: _narrow(rows, keys, r, first) for r in set(ranks) if r > 0}
-    return [found.get(r) for r in ranks]
+        found = {r: _narrow(rows, keys, r, first) for r in inside}
+    return total, [found.get(r) for r in ranks]
 
 
 def _extent(rows: DataFrame, key: str) -> Row:
