@@ -43,6 +43,28 @@ def test_rolling_needs_full_window(series):
     assert column(out, "x_rolling_max_3h") == [None, None, 3, None, None, None, 7]
 
 
+@pytest.mark.parametrize("windows", [[1, 2], [5], [3, 7, 14], [24], [3, 6, 12, 24], [50]])
+def test_rolling_blocks_match_pandas(series, windows):
+    import random
+
+    rng = random.Random(5)
+    values = [None if rng.random() < 0.03 else rng.uniform(-1e3, 1e3) for _ in range(120)]
+    out = add_features(series(values), P, rolling(["x"], windows)).orderBy("i").toPandas()
+    for n in windows:
+        for stat in ("mean", "std", "min", "max"):
+            want = getattr(out["x"].astype("float64").rolling(n), stat)()
+            got = out[f"x_rolling_{stat}_{n}h"].astype("float64")
+            assert got.isna().tolist() == want.isna().tolist()
+            assert got.dropna().tolist() == pytest.approx(want.dropna().tolist(), rel=1e-9, abs=1e-9)
+
+
+def test_rolling_std_of_a_constant_is_zero(series):
+    out = add_features(series([1e9 + 0.1] * 30), P, rolling(["x"], [24], ["std"]))
+    assert column(out, "x_rolling_std_24h")[-1] == pytest.approx(0, abs=1e-6)
+    with pytest.raises(ValueError):
+        rolling(["x"], [3], ["median"])
+
+
 def test_percent_change_of_zero(series):
     df = series([0, 5, 10, 10])
     assert column(add_features(df, P, percent_change("x")), "x_pct_change_1h") == [None, None, 100, 0]

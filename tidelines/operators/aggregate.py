@@ -198,7 +198,7 @@ def rolling_correlation(
     """Correlation over the last ``window`` rows of an entity, null until the frame is full of pairs."""
     over = f" OVER ({{w}} ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW)"
     text = f"CASE WHEN count(`{left}` + `{right}`){over} = {window} THEN {_corr(left, right, over)} END"
-    return add_features(df, panel, RowFeatures(((name, text),), back=window - 1))
+    return add_features(df, panel, RowFeatures((((name, text),),), (name,), back=window - 1))
 
 
 def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int) -> DataFrame:

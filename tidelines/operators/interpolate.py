@@ -45,11 +45,16 @@ def interpolate(
 
 
 def _neighbours(located: DataFrame, panel: Panel, cols: list[str], *extra: str) -> DataFrame:
-    back, ahead = panel.clause(*extra), panel.reverse_clause(*extra)
+    """Value and position of the last known reading (``_px_``, ``_pa_``) and of the next (``_nx_``, ``_na_``)."""
+    sides = {"p": panel.clause(*extra), "n": panel.reverse_clause(*extra)}
     return located.selectExpr(
         "*",
-        *[f"last({_known(c)}, true) OVER ({back} {_UPTO}) AS `_prev_{c}`" for c in cols],
-        *[f"last({_known(c)}, true) OVER ({ahead} {_UPTO}) AS `_next_{c}`" for c in cols],
+        *[
+            f"last({value}, true) OVER ({clause} {_UPTO}) AS `_{side}{kind}_{c}`"
+            for side, clause in sides.items()
+            for c in cols
+            for kind, value in (("x", f"CAST(`{c}` AS DOUBLE)"), ("a", f"CASE WHEN `{c}` IS NOT NULL THEN _at END"))
+        ],
     )
 
 
@@ -91,20 +96,26 @@ def _neighbours_sliced(df: DataFrame, panel: Panel, cols: list[str]) -> DataFram
     return joined.selectExpr(
         *[f"`{c}`" for c in df.columns],
         "_at + _offset AS _at",
-        *[f"coalesce({_shifted(f'_prev_{c}')}, `_carry_{c}`) AS `_prev_{c}`" for c in cols],
-        *[f"coalesce({_shifted(f'_next_{c}')}, `_ahead_{c}`) AS `_next_{c}`" for c in cols],
+        *[
+            text
+            for c in cols
+            for side, carry in (("p", f"`_carry_{c}`"), ("n", f"`_ahead_{c}`"))
+            for text in (
+                f"CASE WHEN `_{side}a_{c}` IS NULL THEN {carry}.x ELSE `_{side}x_{c}` END AS `_{side}x_{c}`",
+                f"coalesce(`_{side}a_{c}` + _offset, {carry}.at) AS `_{side}a_{c}`",
+            )
+        ],
     )
 
 
 def _fill(col: str, method: str, max_gap: int | None) -> str:
-    before, after = f"`_prev_{col}`", f"`_next_{col}`"
-    span = f"({after}.at - {before}.at)"
+    x0, a0, x1, a1 = (f"`_{side}_{col}`" for side in ("px", "pa", "nx", "na"))
     if method == "linear":
-        value = f"{before}.x + ({after}.x - {before}.x) * (_at - {before}.at) / {span}"
+        value = f"{x0} + ({x1} - {x0}) * (_at - {a0}) / ({a1} - {a0})"
     else:
-        value = f"CASE WHEN _at - {before}.at < {after}.at - _at THEN {before}.x ELSE {after}.x END"
-    limit = "" if max_gap is None else f" AND {span} - 1 <= {max_gap}"
+        value = f"CASE WHEN _at - {a0} < {a1} - _at THEN {x0} ELSE {x1} END"
+    limit = "" if max_gap is None else f" AND {a1} - {a0} - 1 <= {max_gap}"
     return (
         f"CASE WHEN `{col}` IS NOT NULL THEN `{col}` "
-        f"WHEN {before} IS NOT NULL AND {after} IS NOT NULL{limit} THEN {value} END AS `{col}`"
+        f"WHEN {a0} IS NOT NULL AND {a1} IS NOT NULL{limit} THEN {value} END AS `{col}`"
     )

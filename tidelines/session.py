@@ -22,6 +22,8 @@ def build_session(app: str = "tidelines", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.parquet.compression.codec", "snappy")
+        # Wide feature tables generate methods the JVM would not compile; beyond this size Spark splits them.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     if master:
         builder = builder.master(master)
