@@ -15,7 +15,7 @@ from tidelines.catalog.derived import TIES, bronze_docs, obs, silver_obs
 from tidelines.operators.clean import add_missing_columns, conform, latest_per_key
 from tidelines.operators.normalise import Stat, fit, normalise_in_place, read_stats, usable, write_stats
 from tidelines.operators.planning import day_periods, periods
-from tidelines.operators.quality import Rule, column_group, quarantine, schema_diff
+from tidelines.operators.quality import Rule, column_group, quarantine, schema_diff, training_span
 from tidelines.plans.config import CombinedConfig, DailyConfig, HourlyConfig
 from tidelines.plans.gold_jobs import (
     combined_gold,
@@ -263,12 +263,31 @@ def test_hourly_and_combined_jobs_from_files(spark, sf_dir, tmp_path):
     silver.write_silver(air.unionByName(air), str(tmp_path / "air"))
     gens = [silver.Generation(str(tmp_path / "air"))]
     short = HourlyConfig(years=(2024,), lag_hours=(1,), rolling_windows=(3,), horizon=1)
-    run_hourly_gold(spark, gens, str(tmp_path / "gold"), short)
+    paths = run_hourly_gold(spark, gens, str(tmp_path / "gold"), short)
+    config = spark.read.json(paths["manifest"]).first().config
+    assert (int(config.rows_read), int(config.rows_dropped)) == (2 * air.count(), air.count())
     table = run_combined_gold(spark, gens, str(tmp_path / "gold"), CombinedConfig(years=(2024,)))["table"]
     # Every reading was stored twice and counts once.
     assert spark.read.parquet(table).count() == air.filter("pm2_5_ugm3 IS NOT NULL").count()
 
 
+def test_training_span(spark):
+    df = spark.sql("SELECT explode(array(date'2018-01-01', date'2018-01-10')) AS date, 'train' AS split")
+    assert tuple(training_span(df, "split", "date", 10).first()) == (10, True)
+    assert tuple(training_span(df, "split", "date").first()) == (10, False)
+
+
+def test_command_line(spark, sf_dir, tmp_path, capsys):
+    from tidelines.__main__ import main
+
+    silver.write_silver(silver_obs(spark, sf_dir), str(tmp_path / "air"))
+    main(["inspect", str(tmp_path / "air")])
+    main(["inventory", f"silver={tmp_path / 'air'}"])
+    main(["combined-gold", str(tmp_path / "gold"), f"{tmp_path / 'air'}:timestamp", "--years", "2024"])
+    out = capsys.readouterr().out
+    assert "unique_stations" in out and "|silver|true" in out and "airquality_combined" in out
+
+
 def test_bronze_written_by_month(spark, sf_dir):
     path = scratch_dir(spark, "bronze-test")
     docs = bronze_docs(spark, sf_dir).drop("event_id")

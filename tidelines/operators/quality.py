@@ -79,6 +79,12 @@ def temporal_coverage(df: DataFrame) -> DataFrame:
     )
 
 
+def training_span(df: DataFrame, split: str, date: str, min_days: int = 5 * 365) -> DataFrame:
+    """Days covered by the train rows, and whether they reach the required span (five years)."""
+    days = F.datediff(F.max(date), F.min(date)) + 1
+    return df.filter(F.col(split) == "train").agg(days.alias("days"), (days >= min_days).alias("sufficient"))
+
+
 def station_coverage(df: DataFrame, entity: str | None = None) -> DataFrame:
     """Distinct entities, rows and whole rows per entity."""
     entity = entity or ("stationID" if "stationID" in df.columns else "station_id")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import asdict
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidelines.functions.calendar import add_combined_calendar, add_daily_calendar, add_hourly_calendar
@@ -80,6 +81,17 @@ def newest_readings(df: DataFrame) -> DataFrame:
     return latest_per_key(df, ["stationID", "timestamp_utc"], [F.col(c).desc() for c in newest])
 
 
+def newest_counted(df: DataFrame) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """Newest readings, and a function that tells the rows read and dropped once the job has run.
+
+    The counts are observed while the data passes, without a pass of their own.
+    """
+    read, kept = Observation(), Observation()
+    rows = F.count(F.lit(1)).alias("rows")
+    out = newest_readings(df.observe(read, rows)).observe(kept, rows)
+    return out, lambda: {"rows_read": read.get["rows"], "rows_dropped": read.get["rows"] - kept.get["rows"]}
+
+
 def daily_features(
     weather: DataFrame, air_quality: DataFrame | None, config: DailyConfig = DailyConfig()
 ) -> DataFrame:
@@ -211,12 +223,13 @@ def run_daily_gold(
     """Silver folders to Gold splits, statistics and manifest below ``target``."""
     weather = silver.read_weather(spark, weather_path)
     air = silver.read_optional_air_quality(spark, air_quality_path) if air_quality_path else None
+    counts = dict  # nothing counted
     if config.dedupe:
-        weather = newest_readings(weather)
+        weather, counts = newest_counted(weather)
         air = newest_readings(air) if air is not None else None
     short = silver.to_short_names(air) if air is not None else None
     table, stats = daily_gold(weather, short, config)
-    return _write_gold(spark, table, stats, target, "date", asdict(config), config.version)
+    return _write_gold(spark, table, stats, target, "date", {**asdict(config), **counts()}, config.version)
 
 
 def run_hourly_gold(
@@ -226,10 +239,13 @@ def run_hourly_gold(
     config: HourlyConfig = HourlyConfig(),
 ) -> dict[str, str]:
     air = silver.read_air_quality(spark, generations, config.years)
+    # Row counts per station before deduplication bound those after it.
+    panel = Panel("stationID", "timestamp_utc", config.ties).fit(air)
+    counts = dict  # nothing counted
     if config.dedupe:
-        air = newest_readings(air)
-    table, stats = hourly_gold(air, config)
-    return _write_gold(spark, table, stats, target, "timestamp_utc", asdict(config), config.version)
+        air, counts = newest_counted(air)
+    table, stats = hourly_gold(air, config, panel)
+    return _write_gold(spark, table, stats, target, "timestamp_utc", {**asdict(config), **counts()}, config.version)
 
 
 def run_combined_gold(
@@ -239,10 +255,11 @@ def run_combined_gold(
     config: CombinedConfig = CombinedConfig(),
 ) -> dict[str, str]:
     air = silver.read_air_quality(spark, generations, config.years)
+    panel = Panel("stationID", "timestamp_utc", config.ties).fit(air)
     if config.dedupe:
         air = newest_readings(air)
     path = f"{target}/airquality_combined"
-    gold.write_table(combined_gold(air, config), path)
+    gold.write_table(combined_gold(air, config, panel), path)
     return {"table": path}
 
 
