@@ -733,6 +733,47 @@ def gold_manifest(spark, sf_dir):
     )
 
 
-@query("job_quality_report")
+_SILVER = {
+    "stationID": None,
+    "lat": "lat",
+    "lon": "lon",
+    "timestamp_utc": None,
+    "timestamp_unix_ms": "(epoch_us(timestamp_utc) // 1000)",
+    TARGET: TARGET,
+    "pm10_ugm3": "pm10_ugm3",
+    "nitrogen_dioxide_ugm3": "no2_ugm3",
+    "ozone_ugm3": "o3_ugm3",
+    "sulphur_dioxide_ugm3": "so2_ugm3",
+    "carbon_monoxide_ugm3": "co_ugm3",
+    "data_source": None,
+    "ingestion_timestamp_utc": None,
+    "load_id": None,
+    "pipeline_version": None,
+    "record_hash": None,
+}
+
+
+def _report_sql(name: str, value: str | None) -> str:
+    nulls = f"count(*) FILTER ({value} IS NULL)" if value else "0"
+    stats = [f"{fn}({value})::DOUBLE" if value else "NULL" for fn in ("min", "max", "avg")]
+    digits = 3 if name == "timestamp_unix_ms" else 6
+    return (
+        f"SELECT 'profile' AS section, '{name}' AS item, unnest(['null_count', 'null_pct', 'min', 'max', 'mean']) AS metric, "
+        f"round(unnest([({nulls})::DOUBLE, round(({nulls}) * 100.0::DOUBLE / count(*), 2), {', '.join(stats)}]), {digits}) AS value FROM obs"
+    )
+
+
+@query(
+    "job_quality_report",
+    f"WITH {OBS}, c AS (SELECT count(DISTINCT CAST(timestamp_utc AS DATE)) AS u, "
+    "datediff('day', min(timestamp_utc), max(timestamp_utc)) + 1 AS e, count(DISTINCT stationID) AS s, count(*) AS n FROM obs) "
+    + " UNION ALL ".join(_report_sql(name, value) for name, value in _SILVER.items())
+    + """ UNION ALL SELECT 'temporal', 'date', unnest(['unique_dates', 'expected_days', 'missing_days', 'coverage_pct']),
+  unnest([u::DOUBLE, e::DOUBLE, (e - u)::DOUBLE, round(u * 100.0::DOUBLE / e, 2)]) FROM c
+UNION ALL SELECT 'stations', 'stationID', unnest(['unique_stations', 'total_records', 'avg_records_per_station']),
+  unnest([s::DOUBLE, n::DOUBLE, (n // s)::DOUBLE]) FROM c""",
+)
 def job_quality_report(spark, sf_dir):
-    return quality_metrics(silver_obs(spark, sf_dir))
+    # Three digits for epoch times: SQL rounds by scaling, and six more digits do not fit a double there.
+    digits = F.when(F.col("item") == "timestamp_unix_ms", F.round("value", 3)).otherwise(F.round("value", 6))
+    return quality_metrics(silver_obs(spark, sf_dir)).select("section", "item", "metric", digits.alias("value"))

@@ -29,7 +29,10 @@ def column_profile(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         exprs.append(F.count_if(F.col(f.name).isNull()).alias(f"{i}_nulls"))
         if isinstance(f.dataType, _NUMERIC):
             value = F.col(f.name).cast("double")
-            exprs += [F.min(value).alias(f"{i}_min"), F.max(value).alias(f"{i}_max"), F.avg(value).alias(f"{i}_mean")]
+            # Sums of large integers (epoch times) leave the exact range of a double.
+            whole = isinstance(f.dataType, (T.LongType, T.IntegerType))
+            mean = F.avg(F.col(f.name).cast("decimal(26,6)") if whole else value).cast("double")
+            exprs += [F.min(value).alias(f"{i}_min"), F.max(value).alias(f"{i}_max"), mean.alias(f"{i}_mean")]
     wide = df.groupBy(*by).agg(*exprs)
     missing = F.lit(None).cast("double")
 
