@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from tests.conftest import column
 from tidelines.functions.calendar import add_combined_calendar, add_daily_calendar, add_hourly_calendar
+from tidelines.functions.geo import bearing_deg, haversine_km
 from tidelines.functions.wind import add_wind_vectors, wind_direction, wind_speed
 from tidelines.operators.aggregate import daily_weather
 from tidelines.operators.clean import clip, drop_null_rows
+from tidelines.operators.evaluate import seasonal_metrics
 from tidelines.operators.interpolate import interpolate
 from tidelines.operators.windows import (
     add_features,
@@ -161,3 +163,22 @@ def test_daily_weather_edges(spark):
     assert [str(r.date) for r in shifted] == ["2024-01-01", "2024-01-02"]
     with pytest.raises(ValueError):
         daily_weather(rows, resolution="hourly")
+
+
+def test_distance_and_bearing(spark):
+    lit = F.lit
+    row = spark.range(1).select(
+        haversine_km(lit(0.0), lit(0.0), lit(1.0), lit(0.0)).alias("north_km"),
+        bearing_deg(lit(0.0), lit(0.0), lit(0.0), lit(1.0)).alias("east"),
+        bearing_deg(lit(1.0), lit(0.0), lit(0.0), lit(0.0)).alias("south"),
+    ).first()
+    assert tuple(row) == pytest.approx((111.1949, 90.0, 180.0), abs=1e-3)
+
+
+def test_seasonal_metrics(spark):
+    df = spark.sql(
+        """SELECT 'm' AS model, 1 AS horizon, d AS at, 1D AS actual, p AS predicted FROM VALUES
+        (date'2024-01-05', 2D), (date'2024-12-05', 4D), (date'2024-07-05', 1D) AS t(d, p)"""
+    )
+    got = {r.season: (r.n, r.mae, r.bias) for r in seasonal_metrics(df, "at").collect()}
+    assert got == {"DJF": (2, 2.0, 2.0), "JJA": (1, 0.0, 0.0)}

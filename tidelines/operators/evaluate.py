@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelines.functions.calendar import season
 from tidelines.operators.windows import add_features, lags, leads
 from tidelines.panel import Panel
 
@@ -63,3 +64,8 @@ def value_band(value: Column, edges: Sequence[float]) -> Column:
 def banded_metrics(df: DataFrame, edges: Sequence[float], by: Sequence[str] = ("model", "horizon")) -> DataFrame:
     """Error metrics per band of the actual value; the last band holds the extreme rows."""
     return error_metrics(df.withColumn("band", value_band(F.col("actual"), edges)), [*by, "band"])
+
+
+def seasonal_metrics(df: DataFrame, time: str, by: Sequence[str] = ("model", "horizon")) -> DataFrame:
+    """Error metrics per meteorological season."""
+    return error_metrics(df.withColumn("season", season(F.col(time))), [*by, "season"])
