@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelines.llm import bpe, token_counts
-from tidelines.llm.common import documents, texts
+from tidelines.llm import bpe, simhash, token_counts
+from tidelines.llm.common import documents, staged
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -32,9 +32,16 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op6_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = staged(simhash.fingerprints(documents(spark, sf_dir)), "prints")
+    linked = simhash.components_of(prints)
+    return linked.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op3_token_counts": op3_token_counts,
+    "op6_simhash_components": op6_simhash_components,
 }
 
 ORACLES: dict[str, str] = {}
