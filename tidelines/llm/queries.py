@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelines.llm import bpe, quality, simhash, token_counts
+from tidelines.llm import bpe, quality, simhash, token_counts, toxicity
 from tidelines.llm.common import documents, labels, staged
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -38,6 +38,14 @@ def op6_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.train(docs, labels(spark, sf_dir), held_out=(3, 1))
+    scored = toxicity.score(docs, model)
+    held_out = quality.in_fold("doc_id", 3, 1).alias("held_out")
+    return scored.select("doc_id", held_out, "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = quality.train(docs, labels(spark, sf_dir), held_out=(5, 0))
@@ -50,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op3_token_counts": op3_token_counts,
     "op6_simhash_components": op6_simhash_components,
+    "op7_toxicity": op7_toxicity,
     "op9_quality": op9_quality,
 }
 
