@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -53,11 +54,18 @@ def map_slices(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.R
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts the lineage with files that outlive an executor."""
+    """Write ``df`` to the shared folder and read it back: cuts the lineage with files that outlive an executor.
+
+    Shuffle files of the job that wrote it are no longer needed; Spark drops them when the driver collects garbage,
+    which a driver with little to do would put off for long."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelines.llm import bpe, quality, simhash, token_counts, toxicity
+from tidelines.llm import bpe, quality, simhash, substring, token_counts, toxicity
 from tidelines.llm.common import documents, labels, staged
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -32,6 +32,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = substring.remove_repeats(documents(spark, sf_dir))
+    return removed.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = staged(simhash.fingerprints(documents(spark, sf_dir)), "prints")
     linked = simhash.components_of(prints)
@@ -57,6 +62,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op3_token_counts": op3_token_counts,
+    "op4_substring_dedup": op4_substring_dedup,
     "op6_simhash_components": op6_simhash_components,
     "op7_toxicity": op7_toxicity,
     "op9_quality": op9_quality,
