@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelines.llm import bpe, quality, simhash, substring, token_counts, toxicity
+from tidelines.llm import bpe, packing, quality, simhash, substring, token_counts, toxicity
 from tidelines.llm.common import documents, labels, staged
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -59,6 +59,17 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out, "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(documents(spark, sf_dir))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Pieces with the length and checksum of their ids instead of the ids."""
+    pieces = packing.pack(docs, public_tokenizers.path(BYTE_BPE))
+    length = (F.octet_length("ids") / 4).cast("long").alias("length")
+    return pieces.select("doc_id", "start", length, F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op3_token_counts": op3_token_counts,
@@ -66,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash_components": op6_simhash_components,
     "op7_toxicity": op7_toxicity,
     "op9_quality": op9_quality,
+    "op10_packing": op10_packing,
 }
 
 ORACLES: dict[str, str] = {}
