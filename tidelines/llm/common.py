@@ -80,3 +80,15 @@ def shared_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="tidelines-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+def keep_rows(docs: DataFrame, make: Callable[[], Callable[[list[str]], list[bool]]]) -> DataFrame:
+    """The rows of ``docs``, all columns, whose texts a function keeps; nothing is shuffled."""
+
+    def run(batches):
+        keep = make()
+        for part in slices(batches):
+            wanted = keep([t or "" for t in part.column("text").to_pylist()])
+            yield part.filter(pa.array(wanted, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

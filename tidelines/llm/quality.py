@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelines.llm.common import map_slices, texts
+from tidelines.llm.common import keep_rows, map_slices, texts
 
 MAX_LABELS = 20_000
 MAX_PAIRS = 200_000
@@ -163,3 +163,8 @@ def score(docs: DataFrame, model: Ranking) -> DataFrame:
         return step
 
     return map_slices(texts(docs), make, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
+
+
+def keep_good(docs: DataFrame, model: Ranking) -> DataFrame:
+    """The documents, all columns, whose score reaches the threshold."""
+    return keep_rows(docs, lambda: lambda found: (model.scores(np.array([features(t) for t in found], float)) >= THRESHOLD).tolist())

@@ -29,6 +29,10 @@ from tidelines.llm.components import components
 
 SEED = 42
 BUDGET = 3
+#: For near-duplicates of whole texts: fingerprints of words, words of a long fingerprint, bits in which it may differ.
+SERIES, PROOF, AGREE = 8, 8, 84
+#: Odd factors that make several hashes of one (arbitrary fixed values).
+FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x94D049BB133111EB, 0xBF58476D1CE4E5B9], np.uint64)
 #: Node pairs of the trie that are followed at once, and products of their sizes that are compared directly.
 FRONTIER = 1 << 20
 DIRECT = 16
@@ -235,34 +239,50 @@ def components_of(prints: DataFrame, budget: int = BUDGET) -> DataFrame:
     return prints.join(of_print, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-def wide_prints(docs: DataFrame, series: int, size: int, proof_words: int) -> DataFrame:
-    """doc_id, ``prints`` (array of ``series`` fingerprints over single words, each under its own seed) and ``proof``
-    (one long fingerprint over shingles of ``size`` words)."""
+def wide_prints(keyed: DataFrame, series: int, size: int) -> DataFrame:
+    """doc_id, key, ``prints`` (array of ``series`` fingerprints over the distinct words, each of its own hash) and
+    ``proof`` (``PROOF`` fingerprints over shingles of ``size`` words, in one value)."""
 
-    def make():
-        factor = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x94D049BB133111EB, 0xBF58476D1CE4E5B9], np.uint64)
-
-        def spread(h: np.ndarray, n: int) -> np.ndarray:
-            """n hashes from each 64-bit hash, by multiplication and folding."""
-            if not len(h):
-                return np.empty((0, 8 * n), np.uint8)
-            x = h.view(">u8").astype(np.uint64) * factor[:n]
-            x ^= x >> np.uint64(32)
-            x *= np.uint64(0xD6E8FEB86659FD93)
-            x ^= x >> np.uint64(29)
-            return x.astype(">u8").view(np.uint8)
+    def spread(h: np.ndarray, n: int) -> np.ndarray:
+        """n hashes from each 64-bit hash, by multiplication and folding."""
+        x = h.view(">u8").astype(np.uint64) * FACTORS[:n]
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0xD6E8FEB86659FD93)
+        x ^= x >> np.uint64(29)
+        return x.astype(">u8").view(np.uint8)
 
+    def make():
         def step(part: pa.RecordBatch) -> pa.RecordBatch:
             short, long = [], []
-            for t in part.column(1).to_pylist():
+            for t in part.column(2).to_pylist():
                 parts = words(t)
-                short.append(majority(spread(shingle_hashes(parts, 1), series)) if parts else bytes(8 * series))
-                long.append(majority(spread(shingle_hashes(parts, size), proof_words)) if parts else bytes(8 * proof_words))
+                short.append(majority(spread(shingle_hashes(sorted(set(parts)), 1), series)) if parts else bytes(8 * series))
+                long.append(majority(spread(shingle_hashes(parts, size), PROOF)) if parts else bytes(8 * PROOF))
             flat = np.frombuffer(b"".join(short), ">i8").astype(np.int64)
             prints = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, series), pa.int32()), pa.array(flat))
-            return pa.RecordBatch.from_arrays([part.column(0), prints, pa.array(long, pa.binary())], names=["doc_id", "prints", "proof"])
+            return pa.RecordBatch.from_arrays([part.column(0), part.column(1), prints, pa.array(long, pa.binary())], names=["doc_id", "key", "prints", "proof"])
 
         return step
 
-    source = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return map_slices(source, make, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, prints array<long>, proof binary")
+    return map_slices(keyed, make, f"doc_id {keyed.schema['doc_id'].dataType.simpleString()}, key binary, prints array<long>, proof binary")
+
+
+def one_of_each(docs: DataFrame, series: int = SERIES, size: int = 5, agree: int = AGREE) -> DataFrame:
+    """The rows of ``docs``, one of each group of near-duplicates (the smallest doc_id; equal rows count once).
+
+    Equal texts are one class. Classes are compared by fingerprints of their distinct words, which few edits hardly
+    move; a link needs one of the ``series`` within the budget, and shingles of ``size`` words whose long fingerprints
+    differ in at most ``agree`` bits. For sets of shingles, a Jaccard similarity of 0.8 is a cosine of 0.89 and 77 of
+    512 bits on average, so the default lets nearly all such pairs pass."""
+    keyed = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).select("doc_id", F.unhex(F.sha2("text", 256)).alias("key"), "text")
+    prints = wide_prints(keyed, series, size)
+    classes = prints.groupBy("key").agg(F.min("doc_id").alias("first"), F.first("prints").alias("prints"), F.first("proof").alias("proof"))
+    classes = staged(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    nodes = classes.select("node", F.posexplode("prints").alias("series", "print"), "proof")
+    found = components(links(nodes, agree=agree))
+    member = classes.select("node", "key", "first").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    kept = member.groupBy("component").agg(F.min(F.struct(F.col("first").isNull().alias("unknown"), "first", "key")).alias("least"))
+    kept = kept.select(F.col("least.first").alias("_first"), F.col("least.key").alias("_key"))
+    own = docs.withColumn("_own", F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)))
+    joined = own.join(kept, (own["_own"] == kept["_key"]) & own["doc_id"].eqNullSafe(kept["_first"]))
+    return joined.dropDuplicates(["_own", "doc_id"]).select(*docs.columns)

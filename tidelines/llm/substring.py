@@ -243,3 +243,31 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     id_kind = docs.schema["doc_id"].dataType.simpleString()
     return map_slices(joined, make, f"doc_id {id_kind}, n_words long, n_removed long, spans array<struct<start:int,stop:int>>, kept string")
+
+
+def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs``, all columns. A text with repeats becomes its kept words, joined by single blanks, and
+    ``n_chars`` (if there) its new length; other texts stay as they are, blanks included."""
+    spans = repeated_spans(docs, window).withColumnsRenamed({"doc_id": "_id", "key": "_key", "spans": "_spans"})
+    own = docs.withColumn("_own", text_key("text"))
+    joined = own.join(spans, (own["doc_id"] == spans["_id"]) & (own["_own"] == spans["_key"]), "left").select(*docs.columns, "_spans")
+    place = docs.columns.index("text")
+
+    def run(batches):
+        for part in slices(batches):
+            out = []
+            for t, found in zip(part.column("text").to_pylist(), part.column("_spans").to_pylist()):
+                if found:
+                    parts = words(t)
+                    edges = [0, *(x for s in _merge([(s["start"], s["stop"]) for s in found]) for x in s), len(parts)]
+                    t = b" ".join(w for a, b in zip(edges[::2], edges[1::2]) for w in parts[a:b]).decode()
+                out.append(t)
+            columns = [*part.columns[:-1]]
+            columns[place] = pa.array(out, part.schema.field(place).type)
+            yield pa.RecordBatch.from_arrays(columns, names=part.schema.names[:-1])
+
+    cut = joined.mapInArrow(run, docs.schema)
+    if "n_chars" not in docs.columns:
+        return cut
+    kind = docs.schema["n_chars"].dataType
+    return cut.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(kind)).otherwise(F.col("n_chars")))

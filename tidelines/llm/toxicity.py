@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelines.llm.common import map_slices, slices, staged, texts
+from tidelines.llm.common import keep_rows, map_slices, slices, staged, texts
 from tidelines.llm.quality import in_fold, labelled_sample, logistic
 
 MAX_LABELS = 16_000
@@ -202,3 +202,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         return step
 
     return map_slices(texts(docs), make, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
+
+
+def keep_civil(docs: DataFrame, model: Model) -> DataFrame:
+    """The documents, all columns, whose score stays below the threshold."""
+    return keep_rows(docs, lambda: lambda found: (model.scores(np.array([gains(model, t) for t in found], float)) < THRESHOLD).tolist())
