@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelines.llm import bpe, packing, quality, simhash, substring, token_counts, toxicity
+from tidelines.llm import bpe, digests, packing, quality, simhash, substring, token_counts, toxicity
 from tidelines.llm.common import documents, labels, staged
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -51,6 +51,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out, "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests.digest(documents(spark, sf_dir))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = quality.train(docs, labels(spark, sf_dir), held_out=(5, 0))
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_substring_dedup": op4_substring_dedup,
     "op6_simhash_components": op6_simhash_components,
     "op7_toxicity": op7_toxicity,
+    "op8_document_fingerprints": op8_document_fingerprints,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
 }
