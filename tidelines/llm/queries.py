@@ -8,12 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelines.llm import bpe, digests, packing, quality, simhash, substring, token_counts, toxicity
+from tidelines.llm import bpe, digests, packing, quality, simhash, substring, token_counts, toxicity, urls
 from tidelines.llm.common import documents, labels, staged
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECE_BPE = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
+URL_RULES = [
+    urls.Rule("block", "com", "/en/"),
+    urls.Rule("allow", "example.com", "/en/7"),
+    urls.Rule("allow", "net", "/de/"),
+    urls.Rule("block", "example.net", "/de/8"),
+    urls.Rule("block", "org", "/es/"),
+]
 
 
 def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +34,12 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    labelled = staged(urls.weak_labels(urls.with_parts(pages), URL_RULES), "labelled-urls")
+    return urls.judge(pages, URL_RULES, urls.train(labelled))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path(PIECE_BPE))
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -76,6 +89,7 @@ def packed(docs: DataFrame) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
+    "op2_url_filter": op2_url_filter,
     "op3_token_counts": op3_token_counts,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_simhash_components": op6_simhash_components,
