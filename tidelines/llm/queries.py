@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelines.llm import bpe, digests, packing, quality, simhash, substring, token_counts, toxicity, urls
+from tidelines.llm import bpe, digests, packing, quality, search, simhash, substring, token_counts, toxicity, urls
 from tidelines.llm.common import documents, labels, staged
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -50,6 +50,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(documents(spark, sf_dir), F.col("doc_id") % 50 == 0)
+
+
 def op6_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = staged(simhash.fingerprints(documents(spark, sf_dir)), "prints")
     linked = simhash.components_of(prints)
@@ -92,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op3_token_counts": op3_token_counts,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_top_k_search": op5_top_k_search,
     "op6_simhash_components": op6_simhash_components,
     "op7_toxicity": op7_toxicity,
     "op8_document_fingerprints": op8_document_fingerprints,
