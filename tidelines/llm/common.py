@@ -92,3 +92,10 @@ def keep_rows(docs: DataFrame, make: Callable[[], Callable[[list[str]], list[boo
             yield part.filter(pa.array(wanted, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
+
+
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """row (all columns of ``docs``), id and own (the digest of the text, a null as the empty one), whose names no
+    column of ``docs`` can clash with."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return docs.select(row, F.col("doc_id").alias("id"), F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("own"))

@@ -197,10 +197,11 @@ def with_next(docs: DataFrame) -> DataFrame:
 
     @F.pandas_udf("int")
     def cell(ids: pd.Series) -> pd.Series:
-        # Rows without doc_id form the lowest range.
-        return pd.Series(np.where(ids.isna(), 0, 1 + np.searchsorted(cuts, ids.fillna(0).to_numpy(cuts.dtype))).astype(np.int32))
+        return pd.Series((1 + np.searchsorted(cuts, ids.to_numpy())).astype(np.int32))
 
-    placed = source.withColumn("cell", cell("doc_id"))
+    # Rows without doc_id form the lowest range.
+    own = cell(F.coalesce("doc_id", F.lit(0)))
+    placed = source.withColumn("cell", F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(own))
     heads = placed.select("cell", "doc_id").groupBy("cell").agg(F.max("doc_id").alias("head")).orderBy("cell").collect()
     if not heads:
         return placed.select("cell", "doc_id", F.lit(False).alias("guest"), "text")

@@ -111,15 +111,23 @@ class Ranking:
         return np.where(self.slope > 0, 1 / (1 + np.exp(-np.clip(odds, -30, 30))), 0.5)
 
 
-def logistic(x: np.ndarray, y: np.ndarray, penalty: float, rounds: int = 25) -> np.ndarray:
-    """Weights of a logistic loss with an L2 penalty, by Newton steps."""
+def logistic(x: np.ndarray, y: np.ndarray, penalty: float, rounds: int = 60) -> np.ndarray:
+    """Weights of a logistic loss with an L2 penalty, by Newton steps that are halved until the loss falls."""
+
+    def loss(w):
+        odds = x @ w
+        return np.logaddexp(0, odds).sum() - y @ odds + penalty * (w @ w) / 2
+
     w = np.zeros(x.shape[1])
+    now = loss(w)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         slope = x.T @ (p - y) + penalty * w
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty * np.eye(len(w)), slope)
-        w -= step
-        if np.abs(step).max() < 1e-6:
+        while (new := loss(w - step)) > now and np.abs(step).max() > 1e-9:
+            step = step / 2
+        w, was, now = w - step, now, new
+        if was - now < 1e-9 * (1 + abs(now)):
             break
     return w
 

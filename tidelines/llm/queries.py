@@ -104,4 +104,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": op10_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_substring_dedup": r"""
+WITH w AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), windows AS (
+  SELECT r, doc_id, i, array_to_string(ws[i:i + 49], ' ') AS k
+  FROM w, unnest(range(1, greatest(len(ws) - 48, 1))) AS t(i)
+), hits AS (
+  SELECT r, i FROM (SELECT r, i, doc_id, min(doc_id) OVER (PARTITION BY k) AS earliest FROM windows)
+  WHERE earliest < doc_id
+), gone AS (
+  SELECT DISTINCT r, j FROM hits, unnest(range(i, i + 50)) AS u(j)
+), kept AS (
+  SELECT p.r, string_agg(p.word, ' ' ORDER BY p.j) AS kept
+  FROM (SELECT r, j, ws[j] AS word FROM w, unnest(range(1, len(ws) + 1)) AS v(j)) p
+  ANTI JOIN gone ON p.r = gone.r AND p.j = gone.j
+  GROUP BY p.r
+), removed AS (
+  SELECT r, count(*) AS n FROM gone GROUP BY r
+)
+SELECT w.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words, CAST(coalesce(removed.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (r) LEFT JOIN removed USING (r)
+""",
+}

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelines.llm.common import map_slices, staged
+from tidelines.llm.common import map_slices, staged, whole_rows
 from tidelines.llm.components import components
 
 SEED = 42
@@ -283,6 +283,5 @@ def one_of_each(docs: DataFrame, series: int = SERIES, size: int = 5, agree: int
     member = classes.select("node", "key", "first").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     kept = member.groupBy("component").agg(F.min(F.struct(F.col("first").isNull().alias("unknown"), "first", "key")).alias("least"))
     kept = kept.select(F.col("least.first").alias("_first"), F.col("least.key").alias("_key"))
-    own = docs.withColumn("_own", F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)))
-    joined = own.join(kept, (own["_own"] == kept["_key"]) & own["doc_id"].eqNullSafe(kept["_first"]))
-    return joined.dropDuplicates(["_own", "doc_id"]).select(*docs.columns)
+    joined = whole_rows(docs).join(kept, (F.col("own") == F.col("_key")) & F.col("id").eqNullSafe(F.col("_first")))
+    return joined.dropDuplicates(["own", "id"]).select("row.*")

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelines.llm.automaton import SuffixAutomaton
-from tidelines.llm.common import map_slices, slices, staged, texts
+from tidelines.llm.common import map_slices, slices, staged, texts, whole_rows
 
 WINDOW = 50
 ANCHOR = 25
@@ -248,23 +248,23 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs``, all columns. A text with repeats becomes its kept words, joined by single blanks, and
     ``n_chars`` (if there) its new length; other texts stay as they are, blanks included."""
-    spans = repeated_spans(docs, window).withColumnsRenamed({"doc_id": "_id", "key": "_key", "spans": "_spans"})
-    own = docs.withColumn("_own", text_key("text"))
-    joined = own.join(spans, (own["doc_id"] == spans["_id"]) & (own["_own"] == spans["_key"]), "left").select(*docs.columns, "_spans")
-    place = docs.columns.index("text")
+    spans = repeated_spans(docs, window)
+    joined = whole_rows(docs).join(spans, (F.col("id") == F.col("doc_id")) & (F.col("own") == F.col("key")), "left")
+    joined = joined.select("row", F.col("row.text").alias("text"), "spans")
+    place, names = docs.columns.index("text"), docs.columns
 
     def run(batches):
         for part in slices(batches):
             out = []
-            for t, found in zip(part.column("text").to_pylist(), part.column("_spans").to_pylist()):
+            for t, found in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
                 if found:
                     parts = words(t)
                     edges = [0, *(x for s in _merge([(s["start"], s["stop"]) for s in found]) for x in s), len(parts)]
                     t = b" ".join(w for a, b in zip(edges[::2], edges[1::2]) for w in parts[a:b]).decode()
                 out.append(t)
-            columns = [*part.columns[:-1]]
-            columns[place] = pa.array(out, part.schema.field(place).type)
-            yield pa.RecordBatch.from_arrays(columns, names=part.schema.names[:-1])
+            columns = part.column(0).flatten()
+            columns[place] = pa.array(out, columns[place].type)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     cut = joined.mapInArrow(run, docs.schema)
     if "n_chars" not in docs.columns:

@@ -34,6 +34,8 @@ MAX_LABELS = 16_000
 THRESHOLD = 0.7
 #: Characters of a window; a window ends with the word that reaches it.
 WINDOW = 96
+#: Ends every window: the compressor looks for no match in its last bytes.
+TAIL = "\n" * 12
 TOXIC_STRINGS = 500
 #: A toxic string is so many times as common in toxic documents, and so surprising (chi-square of one degree).
 CONTRAST = 10
@@ -58,10 +60,10 @@ def windows(text: str) -> list[bytes]:
         held.append(w)
         size += len(w) + 1
         if size >= WINDOW:
-            out.append((" " + " ".join(held)).encode())
+            out.append((" " + " ".join(held) + TAIL).encode())
             held, size = [], 0
     if held:
-        out.append((" " + " ".join(held)).encode())
+        out.append((" " + " ".join(held) + TAIL).encode())
     return out
 
 
@@ -134,7 +136,7 @@ def choose(counts: list[tuple[str, int, int]], n_toxic: int, n_ordinary: int) ->
 def calibrate(model: Model, x: np.ndarray, label: np.ndarray) -> Model:
     if not (label == 1).any() or not (label == 0).any():
         return model
-    return Model(model.toxic, model.ordinary, tuple(logistic(x, label.astype(float), penalty=0.01).tolist()))
+    return Model(model.toxic, model.ordinary, tuple(logistic(x, label.astype(float), penalty=0.1).tolist()))
 
 
 def string_counts(sample: DataFrame) -> DataFrame:
@@ -206,4 +208,6 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep_civil(docs: DataFrame, model: Model) -> DataFrame:
     """The documents, all columns, whose score stays below the threshold."""
+    if not model.weights:
+        return docs
     return keep_rows(docs, lambda: lambda found: (model.scores(np.array([gains(model, t) for t in found], float)) < THRESHOLD).tolist())
