@@ -65,7 +65,7 @@ def test_bronze_to_silver(spark, bronze_dir, tmp_path):
     stations = spark.createDataFrame([("st_1", 13.0, 100.0)], "stationID string, lat double, lon double")
     target = str(tmp_path / "silver")
     rows = run_bronze_to_silver(
-        spark, bronze_dir, target, stations=stations, checksums=str(tmp_path / "sums"), **LOAD
+        spark, bronze_dir, target, stations=stations, checksums=str(tmp_path / "sums"), losses=str(tmp_path / "lost"), **LOAD
     ).orderBy("timestamp_utc").collect()
     assert [(r.stationID, r.lat, r.pm2_5_ugm3, r.nitrogen_dioxide_ugm3, r.ozone_ugm3) for r in rows] == [
         ("st_1", 13.0, 1.5, 1.0, None),
@@ -85,10 +85,54 @@ def test_bronze_to_silver(spark, bronze_dir, tmp_path):
 
 
 def test_damaged_files_are_named(spark, bronze_dir):
-    docs = bronze.read_bronze(spark, bronze_dir).cache()
+    docs = bronze.read_bronze(spark, bronze_dir, skip_broken=True).cache()
     assert docs.filter("_corrupt IS NOT NULL").count() == 1
-    lost = bronze.unreadable_files(spark, bronze_dir).collect()
-    assert [os.path.basename(r.file_path) for r in lost] == ["batch_20231231_202312_st_4.json.gz"]
+    lost = {os.path.basename(r.file_path): (r.reason, r.documents) for r in bronze.losses(spark, bronze_dir).collect()}
+    assert "batch_20231231_202312_st_4.json.gz" in lost
+    assert sorted(n for _, n in lost.values() if n) == [1]
+
+
+def test_cut_file_is_named_and_stops_the_job(spark, tmp_path):
+    import gzip
+
+    from tidelines.sources.footers import LostData
+
+    lines = "\n".join(json.dumps({"stationID": "a", "hourly": {"time": ["2024-01-01T00:00"], "pm2_5": [k]}}) for k in range(5_000))
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "whole.json.gz").write_bytes(gzip.compress(lines[:2_000].rsplit("\n", 1)[0].encode()))
+    packed = gzip.compress(lines.encode())
+    (tmp_path / "b" / "cut.json.gz").write_bytes(packed[: len(packed) // 2])
+    load = {"data_source": "x", "load_id": "l", "ingested_at": "2024-02-01T00:00:00"}
+    with pytest.raises(LostData, match="cut.json.gz: truncated"):
+        run_bronze_to_silver(spark, str(tmp_path / "b"), str(tmp_path / "s"), **load)
+    assert not (tmp_path / "s").exists()
+    run_bronze_to_silver(spark, str(tmp_path / "b"), str(tmp_path / "s"), **load, losses=str(tmp_path / "lost"))
+    lost = spark.read.parquet(str(tmp_path / "lost")).collect()
+    assert {os.path.basename(r.file_path) for r in lost if r.reason == "truncated"} == {"cut.json.gz"}
+
+
+def test_mixed_folder_keeps_all_rows(spark, tmp_path):
+    us = pa.timestamp("us", tz="UTC")
+    folder = tmp_path / "air" / "year=2024" / "month=01"
+    folder.mkdir(parents=True)
+    times = [1_704_067_200_000_000 + 3_600_000_000 * k for k in range(4)]
+    kinds = {
+        "text": pa.array(["2024-01-02T03:04:05"] * 4),
+        "utc": pa.array([1_704_164_645_000_000] * 4, us),
+        "plain": pa.array([1_704_164_645_000_000] * 4, pa.timestamp("us")),
+    }
+    for name, ingested in kinds.items():
+        columns = {"stationID": [name] * 4, "timestamp_utc": pa.array(times, us), "pm2_5_ugm3": [1.0, 2.0, None, 4.0]}
+        pq.write_table(pa.table({**columns, "ingestion_timestamp_utc": ingested}), folder / f"{name}.parquet")
+    df = silver.read_air_quality(spark, [silver.Generation(str(tmp_path / "air"))])
+    assert df.count() == len(df.collect()) == 12
+    assert {str(r.ingestion_timestamp_utc) for r in df.collect()} == {"2024-01-02 03:04:05"}
+    (folder / "broken.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception, match="broken.parquet"):
+        silver.read_air_quality(spark, [silver.Generation(str(tmp_path / "air"))])
+    kept = silver.read_air_quality(spark, [silver.Generation(str(tmp_path / "air"))], losses=str(tmp_path / "lost"))
+    assert kept.count() == 12
+    assert spark.read.parquet(str(tmp_path / "lost")).count() == 1
 
 
 def test_numbered_station_names(spark, tmp_path):
@@ -135,7 +179,6 @@ def test_generations_are_reconciled(spark, tmp_path):
         folder = tmp_path / name / "year=2024" / "month=01"
         folder.mkdir(parents=True)
         pq.write_table(pa.table(data), folder / "part.parquet")
-    (tmp_path / "new" / "year=2024" / "month=01" / "broken.parquet").write_bytes(b"not parquet")
     before = spark.conf.get("spark.sql.legacy.parquet.nanosAsLong")
     silver.allow_nanoseconds(spark)
     try:

@@ -4,11 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelines.operators.planning import periods, remaining, work_list
 from tidelines.operators.quality import column_profile, station_coverage, temporal_coverage
-from tidelines.schemas import CORRUPT
+from tidelines.schemas import AIR_QUALITY_BRONZE, CORRUPT, WEATHER_BRONZE
 from tidelines.sources import bronze, inventory, silver
+from tidelines.sources.footers import accept
+
+
+def _sound_documents(spark: SparkSession, source: str, schema: T.StructType, losses: str | None, numbered: DataFrame | None) -> DataFrame:
+    """Well-formed documents with their station. Losses are an error, or go to the report ``losses``."""
+    lost = accept(bronze.losses(spark, source, schema), losses)
+    docs = bronze.with_station(bronze.read_bronze(spark, source, schema, skip_broken=lost), numbered)
+    return docs.filter(F.col(CORRUPT).isNull())
 
 
 def run_bronze_to_silver(
@@ -21,12 +30,14 @@ def run_bronze_to_silver(
     ingested_at: str,
     stations: DataFrame | None = None,
     checksums: str | None = None,
+    losses: str | None = None,
 ) -> DataFrame:
     """Load Bronze air-quality documents into Silver and return the Silver table.
 
-    Malformed documents are left out; ``bronze.unreadable_files`` and the ``_corrupt`` column report them.
+    Broken files and malformed documents end the job before it writes, unless ``losses`` names a folder: then they are
+    left out and listed there, with their numbers.
     """
-    docs = bronze.with_station(bronze.read_bronze(spark, source)).filter(F.col(CORRUPT).isNull())
+    docs = _sound_documents(spark, source, AIR_QUALITY_BRONZE, losses, None)
     rows = bronze.air_quality_silver(
         docs, data_source=data_source, load_id=load_id, ingested_at=ingested_at, stations=stations
     )
@@ -36,6 +47,32 @@ def run_bronze_to_silver(
     return silver.read_air_quality(spark, [silver.Generation(target)])
 
 
+def run_weather_to_silver(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    *,
+    data_source: str,
+    load_id: str,
+    ingested_at: str,
+    stations: DataFrame | None = None,
+    numbered: DataFrame | None = None,
+    losses: str | None = None,
+) -> DataFrame:
+    """Load Bronze weather documents into Silver and return the Silver table; ``numbered`` (number, stationID) names
+    the stations of numbered files."""
+    docs = _sound_documents(spark, source, WEATHER_BRONZE, losses, numbered)
+    rows = bronze.weather_silver(docs, data_source=data_source, load_id=load_id, ingested_at=ingested_at, stations=stations)
+    silver.write_silver(rows, target)
+    return silver.read_weather(spark, target)
+
+
+def done_periods(spark: SparkSession, path: str, numbered: DataFrame | None = None) -> DataFrame:
+    """stationID and start of the weather documents that already carry wind components."""
+    docs = bronze.has_wind_components(bronze.with_station(bronze.read_bronze(spark, path, WEATHER_BRONZE), numbered))
+    return docs.select("stationID", F.to_date(F.substring(F.get(F.col("hourly.time"), 0), 1, 10)).alias("start"))
+
+
 def backfill_plan(
     stations: DataFrame, done: DataFrame, start: str, end: str, months: int = 3, entity: str = "stationID"
 ) -> DataFrame:

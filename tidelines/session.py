@@ -40,9 +40,11 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         if app not in _LOCAL_SCRATCH:
-            _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+            _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="tidelines-")
         base = _LOCAL_SCRATCH[app]
     return f"{base.rstrip('/')}/tidelines/{purpose}-{uuid.uuid4().hex}"
 

@@ -21,24 +21,25 @@ from tidelines.schemas import (
     WEATHER_SILVER,
     WEATHER_VARIABLES,
 )
+from tidelines.sources.footers import broken_gzip
 
 # batch_<date>_<batch>_<station>.json.gz and batch_<date>_<station number>.json.gz.
 STATION_IN_NAME = r"batch_\d{8}_[^_/]+_(.+)\.json(?:\.gz)?$"
 NUMBER_IN_NAME = r"batch_\d{8}_(\d{4})\.json(?:\.gz)?$"
 
 
-def read_bronze(spark: SparkSession, path: str, schema: T.StructType = AIR_QUALITY_BRONZE) -> DataFrame:
+def read_bronze(spark: SparkSession, path: str, schema: T.StructType = AIR_QUALITY_BRONZE, skip_broken: bool = False) -> DataFrame:
     """Scan Bronze files. Malformed documents keep their text in ``_corrupt``.
 
-    Files that cannot be decompressed are skipped instead of failing the job; ``unreadable_files`` names
-    them.
+    A file that cannot be unpacked fails the job; with ``skip_broken`` its documents up to the fault are read, and
+    ``losses`` tells which files these are.
     """
     return (
         spark.read.schema(schema)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.json*")
-        .option("ignoreCorruptFiles", "true")
+        .option("ignoreCorruptFiles", str(skip_broken).lower())
         .json(path)
         .select("*", F.col("_metadata.file_path").alias("file_path"))
     )
@@ -50,16 +51,14 @@ def parse_bronze(df: DataFrame, text: str, schema: T.StructType = AIR_QUALITY_BR
     return df.withColumn("_doc", parsed).select(*df.columns, "_doc.*")
 
 
-def unreadable_files(spark: SparkSession, path: str, schema: T.StructType = AIR_QUALITY_BRONZE) -> DataFrame:
-    """Files of the layer that produced no document."""
-    listed = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.json*")
-        .load(path)
-        .select(F.col("_metadata.file_path").alias("file_path"), "length")
-    )
-    return listed.join(read_bronze(spark, path, schema).select("file_path").distinct(), "file_path", "left_anti")
+def losses(spark: SparkSession, path: str, schema: T.StructType = AIR_QUALITY_BRONZE) -> DataFrame:
+    """What a load would lose, per file: broken or cut files (reason), and the number of malformed documents."""
+    docs = read_bronze(spark, path, schema, skip_broken=True)
+    # Spark reads the text of malformed documents only together with another column of the file.
+    another = F.length(F.concat_ws("", "stationID")) >= 0
+    malformed = docs.filter(F.col(CORRUPT).isNotNull() & another).groupBy("file_path").agg(F.count(F.lit(1)).alias("documents"))
+    counted = malformed.select("file_path", F.lit("malformed documents").alias("reason"), "documents")
+    return broken_gzip(spark, path).unionByName(counted)
 
 
 def station_from_path(path: str = "file_path") -> Column:
@@ -249,11 +248,11 @@ __all__ = [
     "check_documents",
     "check_summary",
     "has_wind_components",
+    "losses",
     "parse_bronze",
     "read_bronze",
     "station_from_path",
     "unnest_hourly",
-    "unreadable_files",
     "weather_silver",
     "with_station",
     "write_bronze",

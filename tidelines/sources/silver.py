@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,14 +17,13 @@ from tidelines.schemas import (
     STATIONS,
     WEATHER_SILVER,
 )
+from tidelines.session import staged
+from tidelines.sources.footers import accept, has_files, parquet_types
 
 
 def _reader(spark: SparkSession, schema: T.StructType):
-    return (
-        spark.read.schema(schema)
-        .option("pathGlobFilter", "*.parquet")
-        .option("ignoreCorruptFiles", "true")
-    )
+    """A file whose types differ from ``schema``, or that is broken, is an error and never skipped."""
+    return spark.read.schema(schema).option("pathGlobFilter", "*.parquet")
 
 
 def read_weather(spark: SparkSession, path: str) -> DataFrame:
@@ -36,37 +34,32 @@ def read_weather(spark: SparkSession, path: str) -> DataFrame:
     wide = T.StructType(
         [T.StructField(f.name, T.DoubleType() if isinstance(f.dataType, T.FloatType) else f.dataType) for f in WEATHER_SILVER]
     )
-    df = _reader(spark, _with_partitions(wide)).parquet(path)
-    if not df.inputFiles():
-        raise FileNotFoundError(f"No parquet files found in {path}")
-    return df.select(*WEATHER_SILVER.names)
+    if has_files(spark, path) is False:
+        raise FileNotFoundError(f"{path} holds no Parquet file")
+    return _reader(spark, _with_partitions(wide)).parquet(path).select(*WEATHER_SILVER.names)
 
 
 def _with_partitions(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())])
 
 
-def read_optional_air_quality(spark: SparkSession, path: str) -> DataFrame | None:
+def read_optional_air_quality(spark: SparkSession, path: str, losses: str | None = None) -> DataFrame | None:
     """Air-quality scan, or None when the folder is missing or empty."""
-    try:
-        df = read_air_quality(spark, [Generation(path)])
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    return df if df.inputFiles() else None
+    return read_air_quality(spark, [Generation(path)], losses=losses) if has_files(spark, path) else None
 
 
 @dataclass(frozen=True)
 class Generation:
-    """Files written by one version of the loader.
+    """Files of one folder.
 
-    ``ingestion``: how the ingestion time is stored (timestamp, timestamp_ntz or string).
-    ``nanos``: ``timestamp_utc`` is stored in nanoseconds; see ``allow_nanoseconds``.
+    ``ingestion``: how the ingestion time is stored (timestamp, timestamp_ntz or string); None looks at every file,
+    so the folder may mix what several versions of the loader wrote.
+    ``nanos``: ``timestamp_utc`` is stored in nanoseconds (also found out if ``ingestion`` is None); see
+    ``allow_nanoseconds``.
     """
 
     path: str
-    ingestion: str = "timestamp"
+    ingestion: str | None = None
     nanos: bool = False
 
 
@@ -75,19 +68,43 @@ def allow_nanoseconds(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
 
 
-def read_generation(spark: SparkSession, generation: Generation) -> DataFrame:
-    """Scan one generation with every known column name; absent ones are null."""
+def _scan(spark: SparkSession, paths: list[str], ingestion: str, nanos: bool, base: str | None = None) -> DataFrame:
     kinds = {"timestamp": T.TimestampType(), "timestamp_ntz": T.TimestampNTZType(), "string": T.StringType()}
+    if nanos or ingestion.endswith("_nanos"):
+        allow_nanoseconds(spark)
     fields = []
     for f in AIR_QUALITY_SILVER.fields:
         kind = f.dataType
         if f.name == "ingestion_timestamp_utc":
-            kind = kinds[generation.ingestion]
-        if f.name == "timestamp_utc" and generation.nanos:
+            kind = T.LongType() if ingestion.endswith("_nanos") else kinds[ingestion]
+        if f.name == "timestamp_utc" and nanos:
             kind = T.LongType()
         fields.append(T.StructField(f.name, kind))
     fields += [T.StructField(short, T.DoubleType()) for short in SHORT_TO_LONG]
-    return _reader(spark, _with_partitions(T.StructType(fields))).parquet(generation.path)
+    reader = _reader(spark, _with_partitions(T.StructType(fields)))
+    return (reader.option("basePath", base) if base else reader).parquet(*paths)
+
+
+def read_generations(spark: SparkSession, generation: Generation, losses: str | None = None) -> list[DataFrame]:
+    """Scans of one folder, one for each combination of stored types, with every known column name.
+
+    Broken files are an error, or are left out and written to the report ``losses``. Folders of one kind are read as
+    folders, so only mixed ones are listed file by file.
+    """
+    if generation.ingestion is not None:
+        return [_scan(spark, [generation.path], generation.ingestion, generation.nanos)]
+    found = staged(parquet_types(spark, generation.path, ["ingestion_timestamp_utc", "timestamp_utc"]), "footers")
+    broken = found.filter("error IS NOT NULL").select("file_path", F.col("error").alias("reason"), F.lit(None).cast("long").alias("documents"))
+    accept(broken, losses)
+    ingestion = F.coalesce("ingestion_timestamp_utc", F.lit("timestamp")).alias("ingestion")
+    nanos = F.coalesce(F.col("timestamp_utc").endswith("_nanos"), F.lit(False)).alias("nanos")
+    kinds = found.select("file_path", "folder", F.col("error").isNotNull().alias("bad"), ingestion, nanos)
+    per_folder = kinds.groupBy("folder").agg(F.count_distinct("bad", "ingestion", "nanos").alias("n"))
+    mixed = kinds.join(per_folder, "folder").filter("NOT bad")
+    place = F.when(F.col("n") == 1, F.col("folder")).otherwise(F.col("file_path"))
+    classes = mixed.groupBy("ingestion", "nanos").agg(F.collect_set(place).alias("places")).collect()
+    base = generation.path
+    return [_scan(spark, sorted(r["places"]), r["ingestion"], r["nanos"], base) for r in sorted(classes, key=lambda r: (r["ingestion"], r["nanos"]))]
 
 
 def _utc(df: DataFrame, col: str) -> Column:
@@ -120,20 +137,22 @@ def read_air_quality(
     spark: SparkSession,
     generations: Sequence[Generation],
     years: Iterable[int] | None = None,
+    losses: str | None = None,
 ) -> DataFrame:
     """Union of all generations in canonical form. ``years`` prunes the year= folders.
 
-    The result is not sorted: operators order within their own windows.
+    Files that cannot be read are an error, unless ``losses`` names a folder for the report about them. The result is
+    not sorted: operators order within their own windows.
     """
+    if not generations:
+        raise ValueError("at least one folder of air-quality files is needed")
     frames = []
     for generation in generations:
-        df = read_generation(spark, generation)
-        if years is not None:
-            df = df.filter(F.col("year").isin(list(years)))
-        frames.append(reconcile(df))
-    if not frames:
-        raise ValueError("No data loaded: no generation given")
-    return union_all(*frames)
+        for df in read_generations(spark, generation, losses):
+            if years is not None:
+                df = df.filter(F.col("year").isin(list(years)))
+            frames.append(reconcile(df))
+    return union_all(*frames) if frames else spark.createDataFrame([], AIR_QUALITY_SILVER)
 
 
 def to_short_names(df: DataFrame) -> DataFrame:
@@ -149,11 +168,13 @@ def write_silver(df: DataFrame, path: str, time: str = "timestamp_utc", mode: st
     """Hive-partitioned snappy Parquet; year and month come from each row's own time.
 
     The rebalance hint gives files of even size: AQE splits a month that is too large for one task and
-    joins small ones. Spark's commit protocol publishes the files only when the job succeeds.
+    joins small ones. Rows are sorted within files, so row
+    groups can be skipped by station and time. Spark's commit protocol publishes the files only when the job succeeds.
     """
     keyed = df.withColumns({"year": F.date_format(time, "yyyy"), "month": F.date_format(time, "MM")})
     (
         keyed.hint("rebalance", "year", "month")
+        .sortWithinPartitions("year", "month", *[c for c in ("stationID", time) if c in df.columns])
         .write.mode(mode)
         .partitionBy("year", "month")
         .option("compression", "snappy")
@@ -166,7 +187,7 @@ __all__ = [
     "Generation",
     "allow_nanoseconds",
     "read_air_quality",
-    "read_generation",
+    "read_generations",
     "read_optional_air_quality",
     "read_stations",
     "read_weather",

@@ -25,18 +25,19 @@ def read_stream(
 
 
 def read_bronze_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Bronze documents as they arrive; malformed ones are left out."""
+    """Bronze documents as they arrive. Malformed ones are left out and counted: the query's progress has the metrics
+    ``bronze_documents`` (documents, malformed). A file that cannot be unpacked stops the query."""
     reader = (
         spark.readStream.schema(AIR_QUALITY_BRONZE)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.json*")
-        .option("ignoreCorruptFiles", "true")
     )
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     docs = reader.json(path).select("*", F.col("_metadata.file_path").alias("file_path"))
-    return bronze.with_station(docs.filter(F.col(CORRUPT).isNull()))
+    counts = [F.count(F.lit(1)).alias("documents"), F.count_if(F.col(CORRUPT).isNotNull()).alias("malformed")]
+    return bronze.with_station(docs.observe("bronze_documents", *counts).filter(F.col(CORRUPT).isNull()))
 
 
 def append_parquet(
@@ -111,32 +112,32 @@ def incremental_features(
 ) -> StreamingQuery:
     """Look-back features (lags, rolling) for each micro-batch of rows in time order.
 
-    A batch is computed together with the last rows per entity of the history, as many as the features look
-    back. The rows themselves are appended to the history, one folder per batch, so a repeated batch
-    replaces itself and never sees its own earlier attempt.
+    A batch is computed together with the last rows per entity, as many as the features look back. These rows are the
+    state: one folder per batch, written from the one before, so its size follows the number of entities and not the
+    age of the stream, and a repeated batch replaces itself. Rows older than their entity's state would get wrong
+    neighbours; they are written to ``{target}-late`` instead. Folders of older states may be deleted at any time.
     """
     if any(f.ahead for f in features):
         raise ValueError("Features that look ahead cannot be computed on arrival")
     back = max((f.back for f in features), default=0)
-    stored = T.StructType([*stream.schema.fields, T.StructField("batch", T.IntegerType())])
+    stored = T.StructType([*stream.schema.fields])
 
     def write(batch: DataFrame, number: int) -> None:
-        if number > 0 and back > 0:
-            newest = panel.reverse_window()
-            tail = (
-                batch.sparkSession.read.schema(stored)
-                .parquet(history)
-                .filter(F.col("batch") < number)
-                .withColumn("_rn", F.row_number().over(newest))
-                .filter(F.col("_rn") <= back)
-                .drop("_rn", "batch")
-            )
-            both = batch.withColumn("_new", F.lit(True)).unionByName(tail.withColumn("_new", F.lit(False)))
-        else:
-            both = batch.withColumn("_new", F.lit(True))
+        spark = batch.sparkSession
+        state = spark.createDataFrame([], stored)
+        if number > 0:
+            state = spark.read.schema(stored).parquet(f"{history}/batch={number - 1}")
+        newest = state.groupBy(F.col(panel.entity).alias("_entity")).agg(F.max(panel.time).alias("_newest"))
+        marked = batch.join(newest, F.col(panel.entity).eqNullSafe(F.col("_entity")), "left")
+        late = F.coalesce(F.col(panel.time) < F.col("_newest"), F.lit(False))
+        marked.filter(late).select(*batch.columns).write.mode("overwrite").parquet(f"{target}-late/batch={number}")
+        new = marked.filter(~late).select(*batch.columns)
+        both = new.withColumn("_new", F.lit(True)).unionByName(state.withColumn("_new", F.lit(False)))
         out = add_features(both, panel, *features).filter("_new").drop("_new")
         out.write.mode("overwrite").parquet(f"{target}/batch={number}")
-        batch.write.mode("overwrite").parquet(f"{history}/batch={number}")
+        order = F.row_number().over(panel.reverse_window())
+        tail = both.withColumn("_rn", order).filter(F.col("_rn") <= max(1, back)).select(*batch.columns)
+        tail.write.mode("overwrite").parquet(f"{history}/batch={number}")
 
     return (
         stream.writeStream.option("checkpointLocation", checkpoint)
