@@ -166,7 +166,7 @@ def groups(batches, keys: int):
 
 
 def links(nodes: DataFrame, budget: int = BUDGET, agree: int | None = None) -> DataFrame:
-    """A spanning forest (``src``, ``dst``) of the links between ``nodes`` (node, print long, series int).
+    """A spanning forest (``src``, ``dst``) of the links between ``nodes`` (node long, print long, series int).
 
     Rows are compared within a series. With ``agree``, the column ``proof`` (binary, of one length) must also differ in
     at most so many bits."""
@@ -218,10 +218,13 @@ def links(nodes: DataFrame, budget: int = BUDGET, agree: int | None = None) -> D
                     near = np.bitwise_count(proofs[i] ^ proofs[j]).sum(axis=1) <= agree
                     i, j = i[near], j[near]
                 forest(n, i, j, root)
-            linked = np.flatnonzero(root != np.arange(n))
-            ids = table.column(3).combine_chunks()
-            take = lambda at: ids.take(pa.array(order[at]))
-            yield pa.RecordBatch.from_arrays([take(linked), take(root[linked])], names=["src", "dst"])
+            # A tree hangs on its smallest node: trees of one group found in many blocks then share their links.
+            ids = table.column(3).to_numpy()[order]
+            least = ids.copy()
+            np.minimum.at(least, root, ids)
+            least = least[root]
+            linked = np.flatnonzero(ids != least)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[linked]), pa.array(least[linked])], names=["src", "dst"])
 
     sorted_in = spread.repartition("part", "value").sortWithinPartitions("part", "value")
     return sorted_in.mapInArrow(run, f"src {kind}, dst {kind}").distinct()
