@@ -505,7 +505,7 @@ WHERE step IS NOT NULL AND step <> 3600""",
 )
 def time_gaps_query(spark, sf_dir):
     hours = station_hours(spark, sf_dir)
-    gaps = time_gaps(hours, Panel("stationID", "timestamp_utc"))
+    gaps = time_gaps(hours, Panel("stationID", "timestamp_utc").fit(hours))
     return gaps.select("stationID", moment("timestamp_utc", "at"), "step_seconds")
 
 

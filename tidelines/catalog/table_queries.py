@@ -660,21 +660,24 @@ f AS (SELECT event_id, stationID, timestamp_utc, pm10_ugm3, has_no2, {TARGET} AS
   avg({TARGET}) OVER (w ROWS BETWEEN 23 PRECEDING AND CURRENT ROW) AS m24, lead({TARGET}, 24) OVER w AS target
   FROM i WINDOW w AS (PARTITION BY stationID ORDER BY rn)),
 g AS (SELECT *, row_number() OVER (ORDER BY timestamp_utc, stationID, event_id) AS rk, count(*) OVER () AS n FROM f
-  WHERE l24 IS NOT NULL AND target IS NOT NULL AND pm10_ugm3 IS NOT NULL AND has_no2 AND l1 <> 0),
+  WHERE l24 IS NOT NULL AND target IS NOT NULL AND pm10_ugm3 IS NOT NULL AND has_no2),
 s AS (SELECT *, CASE WHEN rk <= floor(n * 0.7::DOUBLE) THEN 'train'
   WHEN rk <= floor(n * (0.7::DOUBLE + 0.15::DOUBLE)) THEN 'val' ELSE 'test' END AS split FROM g),
 t AS (SELECT avg(c) AS cm, stddev_samp(c) AS cs, avg(pm10_ugm3) AS pm, stddev_samp(pm10_ugm3) AS ps, avg(hour) AS hm,
   stddev_samp(hour) AS hs, avg(weekend) AS wm, stddev_samp(weekend) AS ws, avg(m24) AS mm, stddev_samp(m24) AS ms,
-  avg((c - l1) / l1 * 100) AS dm, stddev_samp((c - l1) / l1 * 100) AS ds FROM s WHERE split = 'train')
+  avg(CASE WHEN l1 <> 0 THEN (c - l1) / l1 * 100 END) AS dm,
+  stddev_samp(CASE WHEN l1 <> 0 THEN (c - l1) / l1 * 100 END) AS ds FROM s WHERE split = 'train')
 SELECT lpad(event_id::VARCHAR, 20, '0') AS record_hash, split, round((c - cm) / cs, 6) AS {TARGET},
   round((pm10_ugm3 - pm) / ps, 6) AS pm10_ugm3, round((hour - hm) / hs, 6) AS hour, round((weekend - wm) / ws, 6) AS is_weekend,
   round((m24 - mm) / ms, 6) AS {TARGET}_rolling_mean_24h,
-  round(((c - l1) / l1 * 100 - dm) / ds, 6) AS {TARGET}_pct_change_1h, target AS target_{TARGET}_24h FROM s, t""",
+  CASE WHEN l1 <> 0 THEN round(((c - l1) / l1 * 100 - dm) / ds, 6) END AS {TARGET}_pct_change_1h, target AS target_{TARGET}_24h FROM s, t""",
 )
 def job_hourly_gold(spark, sf_dir):
     gold_table, _ = hourly_gold(silver_obs(spark, sf_dir), HourlyConfig())
-    cols = [TARGET, "pm10_ugm3", "hour", "is_weekend", f"{TARGET}_rolling_mean_24h", f"{TARGET}_pct_change_1h"]
-    return gold_table.select("record_hash", "split", *[r6(c) for c in cols], f"target_{TARGET}_24h")
+    cols = [TARGET, "pm10_ugm3", "hour", "is_weekend", f"{TARGET}_rolling_mean_24h"]
+    change = f"{TARGET}_pct_change_1h"  # infinite after a zero, which SQL has as null
+    finite = F.when(F.abs(change) < float("inf"), F.round(change, 6)).alias(change)
+    return gold_table.select("record_hash", "split", *[r6(c) for c in cols], finite, f"target_{TARGET}_24h")
 
 
 @query(

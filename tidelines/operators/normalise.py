@@ -45,6 +45,7 @@ def fit(train: DataFrame, cols: Iterable[str], method: str = "standard") -> list
         return []
     first, second = (F.avg, F.stddev_samp) if method == "standard" else (F.min, F.max)
     pairs = train.selectExpr(*[f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in cols]).unpivot([], cols, "feature", "value")
+    pairs = pairs.filter(F.abs("value") < float("inf"))  # neither infinity nor NaN has a place on a scale
     rows = pairs.groupBy("feature").agg(first("value").alias("p1"), second("value").alias("p2")).collect()
     found = {r["feature"]: r for r in rows}
     return [Stat(c, method, *(found[c][1:] if c in found else (None, None))) for c in cols]

@@ -20,7 +20,7 @@ def rows_at_ranks(
 ) -> tuple[int, list[Row | None]]:
     """Row count n, and the rows at ``positions(n)`` (from 1) in the order of ``keys``, which must not be null.
 
-    None for positions outside the table. The candidates of a position are narrowed by counting, key after key:
+    None for positions outside the table. NaN is the largest value, as in Spark's order. The candidates of a position are narrowed by counting, key after key:
     each round is one scan with map-side counts over at most a few thousand cells, and keeps the one cell
     that holds the position. Only the last small remainder is sorted, so the cost does not depend on how
     rows are spread over keys.
@@ -71,17 +71,47 @@ def _axis(key: str, kind: T.DataType) -> Column:
     return F.col(key)
 
 
+def _special(axis: Column) -> list[Column]:
+    """Cells of the values that no width can divide: minus infinity, infinity and NaN, which comes last."""
+    infinity = F.lit(float("inf"))
+    return [axis == -infinity, axis == infinity, F.isnan(axis)]
+
+
 def _narrow_number(rows: DataFrame, key: str, rank: int, extent: Row) -> tuple[DataFrame, int, int]:
     kind = rows.schema[key].dataType
     axis = _axis(key, kind)
+    fractional = isinstance(kind, (T.DoubleType, T.FloatType))
     lo, hi, left = extent
+    if fractional and left > _FINISH:
+        # Three cells of equal values and one of all others; only the last needs narrowing.
+        low, high, nan = _special(axis)
+        cell = F.when(low, 0).when(nan, 3).when(high, 2).otherwise(1)
+        hist = rows.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.min(axis).alias("lo"), F.max(axis).alias("hi"))
+        hit, rank = _hit(hist, rank)
+        lo, hi, left = hit["lo"], hit["hi"], hit["n"]
+        rows = rows.filter([low, ~low & ~high & ~nan, high, nan][hit["cell"]])
+        if hit["cell"] != 1:
+            return rows, rank, left
     while left > _FINISH and lo != hi:
-        cell = F.least(F.floor((axis - F.lit(lo)) / F.lit((hi - lo) / _CELLS)), F.lit(_CELLS - 1))
+        # The halves of a range of doubles may be further apart than the largest double.
+        width = (hi / _CELLS - lo / _CELLS) if fractional else (hi - lo) / _CELLS
+        if fractional and width == 0:
+            cell = axis  # neighbours among the smallest doubles: each value is a cell
+        else:
+            cell = F.least(F.floor(axis / F.lit(width) - F.lit(lo / width)) if fractional else F.floor((axis - F.lit(lo)) / F.lit(width)), F.lit(_CELLS - 1))
         hist = rows.groupBy(cell.alias("cell")).agg(
             F.count(F.lit(1)).alias("n"), F.min(axis).alias("lo"), F.max(axis).alias("hi")
         )
         hit, rank = _hit(hist, rank)
-        lo, hi, left = hit["lo"], hit["hi"], hit["n"]
+        if hit["n"] == left:  # no pass may leave all as it was: halve by value
+            middle = lo / 2 + hi / 2 if fractional else (lo + hi) // 2
+            below = rows.filter(axis <= F.lit(middle)).agg(F.count(F.lit(1)), F.min(axis), F.max(axis)).first()
+            above = rows.filter(axis > F.lit(middle)).agg(F.count(F.lit(1)), F.min(axis), F.max(axis)).first()
+            part = below if rank <= below[0] else above
+            rank -= 0 if part is below else below[0]
+            left, lo, hi = part
+        else:
+            lo, hi, left = hit["lo"], hit["hi"], hit["n"]
         rows = rows.filter(_within(key, kind, lo, hi))
     return rows, rank, left
 

@@ -6,14 +6,15 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # A window group up to this size stays in one task (it streams and spills there).
 MAX_ROWS = 2_000_000
-# Upper bound on the number of sliced entities: the row limit grows with the table so that
-# total_rows / limit, and with it everything that is broadcast below, never exceeds this.
+# Upper bound on the number of sliced entities and of slices: the row limit grows with the table so that
+# total_rows / limit, and with it everything that is broadcast below, stays within a fixed multiple of this.
 MAX_SLICED = 20_000
-CELLS_PER_SLICE = 16
+# Rows that are drawn for each slice border. Slices differ in size by chance only: with so many, one of twice its
+# intended size is out of reach.
+DRAWN_PER_SLICE = 64
 
 SLICE = "_slice"
 
@@ -23,34 +24,36 @@ def as_micros(col: str) -> Column:
     return F.unix_micros(F.col(col).cast("timestamp"))
 
 
+def order_key(time: str, ties: tuple[str, ...]) -> Column:
+    """Place of a row in its entity's order. Nulls come first, as in Spark's windows."""
+    return F.struct(as_micros(time).alias("time"), *[F.col(c).alias(f"tie{k}") for k, c in enumerate(ties)])
+
+
 @dataclass(frozen=True)
 class Slices:
-    """Time slices of the entities that are too large for one window group.
+    """Slices, in the order of time and ties, of the entities that are too large for one window group.
 
-    ``table`` has one row per sliced entity: first time, cell width and, per equal-width time cell, the
-    slice it belongs to. It holds at most MAX_SLICED rows and about CELLS_PER_SLICE * MAX_SLICED cells
-    in total, which makes it safe to broadcast.
+    ``table`` has one row per sliced entity: the order key at which each of its slices but the first begins. It holds
+    at most MAX_SLICED rows and about twice as many borders, which makes it safe to broadcast.
     """
 
     table: DataFrame
     entity: str | None
     time: str
+    ties: tuple[str, ...]
 
     def attach(self, df: DataFrame) -> DataFrame:
         """Add ``_slice``: the slice number of a row, or -1 for entities that are not sliced."""
-        hot = self.table
+        key = order_key(self.time, self.ties)
+        number = lambda borders: F.size(F.filter(borders, lambda b: b <= key))
         if self.entity is None:
-            # The whole table is one entity, so ``table`` has a single row.
-            on: Column = F.lit(True)
-        else:
-            on = F.col(self.entity).eqNullSafe(F.col("_hot"))
-        cell = F.floor((as_micros(self.time) - F.col("_origin")) / F.col("_width")).cast("int")
-        cell = F.greatest(F.lit(0), F.least(cell, F.size("_cells") - 1))
-        number = F.when(F.col("_cells").isNull(), F.lit(-1)).otherwise(
-            F.coalesce(F.get(F.col("_cells"), cell), F.lit(0))
-        )
-        joined = df.join(F.broadcast(hot), on, "left")
-        return joined.select(*[df[c] for c in df.columns], number.alias(SLICE))
+            # The whole table is one entity; its borders become literals.
+            kind = self.table.schema["_borders"].dataType.elementType
+            borders = F.array(*[F.struct(*[F.lit(b[f.name]).cast(f.dataType).alias(f.name) for f in kind.fields]) for b in self.table.first()["_borders"]])
+            return df.withColumn(SLICE, number(borders.cast(self.table.schema["_borders"].dataType)))
+        joined = df.join(F.broadcast(self.table), F.col(self.entity).eqNullSafe(F.col("_hot")), "left")
+        own = F.when(F.col("_borders").isNull(), F.lit(-1)).otherwise(number(F.col("_borders")))
+        return joined.select(*[df[c] for c in df.columns], own.alias(SLICE))
 
 
 @dataclass(frozen=True)
@@ -101,10 +104,8 @@ class Panel:
         available cores (used for whole-table ranks).
         """
         entity = F.col(self.entity) if self.entity else F.lit(0)
-        keyed = df.select(entity.alias("_hot"), as_micros(self.time).alias("_t"))
-        sizes = keyed.groupBy("_hot").agg(
-            F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_origin"), F.max("_t").alias("_end")
-        )
+        keyed = df.select(entity.alias("_hot"), order_key(self.time, self.ties).alias("_key"))
+        sizes = keyed.groupBy("_hot").agg(F.count(F.lit(1)).alias("_n"))
         top = sizes.agg(F.sum("_n").alias("total"), F.max("_n").alias("largest")).first()
         total, largest = top["total"] or 0, top["largest"] or 0
         if always:
@@ -115,46 +116,20 @@ class Panel:
         return replace(self, slices=self._plan(keyed, sizes, limit))
 
     def _plan(self, keyed: DataFrame, sizes: DataFrame, limit: int) -> Slices:
+        """Borders at even distances in a sorted draw of each large entity's rows. Rows are drawn by a hash of their
+        key, so a draw depends on the data alone; equal keys are drawn together, and no order between them matters."""
         spark = keyed.sparkSession
-        cells = F.ceil(F.col("_n") * F.lit(CELLS_PER_SLICE) / F.lit(limit)).cast("int")
-        hot = sizes.filter(F.col("_n") > limit).select(
-            "_hot",
-            "_origin",
-            cells.alias("_count"),
-            F.greatest(F.lit(1.0), (F.col("_end") - F.col("_origin") + 1) / cells).alias("_width"),
-        )
-        # At most total/limit <= MAX_SLICED rows; keeping them as literals spares every later query
-        # the counting pass.
-        hot = spark.createDataFrame(hot.collect(), hot.schema)
-        cell = F.floor((F.col("_t") - F.col("_origin")) / F.col("_width")).cast("int")
-        hist = (
-            keyed.join(F.broadcast(hot.withColumnRenamed("_hot", "_key")), F.col("_hot").eqNullSafe(F.col("_key")))
-            .select("_hot", F.least(cell, F.col("_count") - 1).alias("_cell"))
-            .groupBy("_hot", "_cell")
-            .agg(F.count(F.lit(1)).alias("_rows"))
-        )
-        every = hot.select("_hot", F.explode(F.sequence(F.lit(0), F.col("_count") - 1)).alias("_cell"))
-        filled = every.alias("e").join(
-            hist.alias("h"),
-            F.col("e._hot").eqNullSafe(F.col("h._hot")) & (F.col("e._cell") == F.col("h._cell")),
-            "left",
-        ).select("e._hot", "e._cell", F.coalesce("h._rows", F.lit(0)).alias("_rows"))
-        before = Window.partitionBy("_hot").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-        numbered = filled.withColumn(
-            "_no", F.floor(F.coalesce(F.sum("_rows").over(before), F.lit(0)) / F.lit(limit)).cast("int")
-        )
-        arrays = numbered.groupBy(F.col("_hot").alias("_key")).agg(
-            F.transform(F.array_sort(F.collect_list(F.struct("_cell", "_no"))), lambda s: s["_no"]).alias("_cells")
-        )
-        table = hot.join(arrays, F.col("_hot").eqNullSafe(F.col("_key"))).select(
-            "_hot", "_origin", "_width", "_cells"
-        )
-        schema = T.StructType(
-            [
-                T.StructField("_hot", hot.schema["_hot"].dataType),
-                T.StructField("_origin", T.LongType()),
-                T.StructField("_width", T.DoubleType()),
-                T.StructField("_cells", T.ArrayType(T.IntegerType())),
-            ]
+        hot = sizes.filter(F.col("_n") > limit).withColumnRenamed("_hot", "_own")
+        slices = F.ceil(F.col("_n") * 2 / F.lit(limit)).cast("long")
+        share = F.least(F.lit(1.0), slices * F.lit(float(DRAWN_PER_SLICE)) / F.col("_n"))
+        numbered = keyed.join(F.broadcast(hot), F.col("_hot").eqNullSafe(F.col("_own")))
+        draw = F.pmod(F.xxhash64("_key", F.lit("draw")), F.lit(1 << 30)) < share * (1 << 30)
+        drawn = numbered.filter(draw).groupBy("_hot").agg(
+            F.array_sort(F.collect_list("_key")).alias("_sorted"), F.first(slices).alias("_slices")
         )
-        return Slices(spark.createDataFrame(table.collect(), schema), self.entity, self.time)
+        steps = F.sequence(F.lit(1).cast("long"), F.greatest(F.col("_slices") - 1, F.lit(1)))
+        place = lambda k: (k * F.size("_sorted") / F.col("_slices")).cast("int")
+        borders = F.array_distinct(F.transform(steps, lambda k: F.get(F.col("_sorted"), place(k))))
+        # At most total/limit <= MAX_SLICED rows; as literals they spare every later query the counting passes.
+        table = drawn.select("_hot", F.array_compact(borders).alias("_borders"))
+        return Slices(spark.createDataFrame(table.collect(), table.schema), self.entity, self.time, self.ties)

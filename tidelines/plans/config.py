@@ -29,7 +29,7 @@ class DailyConfig:
 @dataclass(frozen=True)
 class HourlyConfig:
     target: str = "pm2_5_ugm3"
-    years: tuple[int, ...] = (2023, 2024, 2025)
+    years: tuple[int, ...] | None = None  # all
     lag_hours: tuple[int, ...] = (1, 2, 3, 6, 12, 24)
     rolling_windows: tuple[int, ...] = (3, 6, 12, 24)
     interpolate: bool = True
@@ -50,7 +50,7 @@ class HourlyConfig:
 @dataclass(frozen=True)
 class CombinedConfig:
     target: str = "pm2_5_ugm3"
-    years: tuple[int, ...] = (2023, 2024, 2025)
+    years: tuple[int, ...] | None = None  # all
     lag_hours: tuple[int, ...] = (1, 3, 6, 12, 24)
     rolling_windows: tuple[int, ...] = (3, 6, 12, 24)
     weekend_from: int = 5

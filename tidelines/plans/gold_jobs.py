@@ -77,8 +77,9 @@ HOURLY_METADATA = [
 
 def newest_readings(df: DataFrame) -> DataFrame:
     """One row per station and time: the last one ingested."""
-    newest = [c for c in ("ingestion_timestamp_utc", "record_hash") if c in df.columns]
-    return latest_per_key(df, ["stationID", "timestamp_utc"], [F.col(c).desc() for c in newest])
+    newest = [F.col(c).desc() for c in ("ingestion_timestamp_utc", "record_hash") if c in df.columns]
+    # Older hashes name only station and time: readings of one ingestion that differ are told apart by all values.
+    return latest_per_key(df, ["stationID", "timestamp_utc"], [*newest, F.xxhash64(*df.columns)])
 
 
 def newest_counted(df: DataFrame) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
@@ -155,9 +156,10 @@ def hourly_features(air_quality: DataFrame, config: HourlyConfig = HourlyConfig(
     if panel is None:
         panel = Panel("stationID", "timestamp_utc", config.ties).fit(air_quality)
     target = config.target
-    rows = require(air_quality, [target])
-    if config.max_missing_ratio is not None:
+    rows = air_quality
+    if config.max_missing_ratio is not None:  # before rows without a target go: they are what is missing
         rows = complete_entities(rows, "stationID", target, config.max_missing_ratio)
+    rows = require(rows, [target])
     if config.interpolate:
         rows = interpolate(rows, panel, LONG_POLLUTANTS, config.interpolation_method)
     dated = add_hourly_calendar(rows, weekend_from=config.weekend_from)
@@ -167,7 +169,7 @@ def hourly_features(air_quality: DataFrame, config: HourlyConfig = HourlyConfig(
         lags([target], config.lag_hours),
         rolling([target], config.rolling_windows),
         differences(target),
-        percent_change(target),
+        percent_change(target, zero_div="ieee"),  # a change from zero is no missing value
         leads([target], [config.horizon]),
     )
     return drop_null_rows(featured)
@@ -223,13 +225,17 @@ def run_daily_gold(
     """Silver folders to Gold splits, statistics and manifest below ``target``."""
     weather = silver.read_weather(spark, weather_path)
     air = silver.read_optional_air_quality(spark, air_quality_path) if air_quality_path else None
-    counts = dict  # nothing counted
+    counts = []
     if config.dedupe:
-        weather, counts = newest_counted(weather)
-        air = newest_readings(air) if air is not None else None
+        weather, count = newest_counted(weather)
+        counts.append(("weather", count))
+        if air is not None:
+            air, count = newest_counted(air)
+            counts.append(("air_quality", count))
     short = silver.to_short_names(air) if air is not None else None
     table, stats = daily_gold(weather, short, config)
-    return _write_gold(spark, table, stats, target, "date", {**asdict(config), **counts()}, config.version)
+    counted = {f"{name}_{k}" if name != "weather" else k: v for name, count in counts for k, v in count().items()}
+    return _write_gold(spark, table, stats, target, "date", {**asdict(config), **counted}, config.version)
 
 
 def run_hourly_gold(
@@ -257,7 +263,8 @@ def run_combined_gold(
     air = silver.read_air_quality(spark, generations, config.years)
     panel = Panel("stationID", "timestamp_utc", config.ties).fit(air)
     if config.dedupe:
-        air = newest_readings(air)
+        # Features and station levels both read it; staged, the source is scanned and deduplicated once.
+        air = staged(newest_readings(air), "combined-readings")
     path = f"{target}/airquality_combined"
     gold.write_table(combined_gold(air, config, panel), path)
     return {"table": path}
