@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import argparse
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
 from tidelines.operators.quality import column_profile, split_inspection, station_coverage, temporal_coverage
 from tidelines.plans.config import CombinedConfig, HourlyConfig
 from tidelines.plans.gold_jobs import run_combined_gold, run_daily_gold, run_hourly_gold
-from tidelines.plans.silver_jobs import backfill_plan, run_bronze_to_silver
+from tidelines.plans.silver_jobs import backfill_plan, done_periods, run_bronze_to_silver, run_weather_to_silver
 from tidelines.session import build_session
 from tidelines.sources import bronze, inventory, silver
 
@@ -17,6 +18,7 @@ from tidelines.sources import bronze, inventory, silver
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tidelines")
     parser.add_argument("--master", help="only for local runs, for example local[8]")
+    parser.add_argument("--shared", help="folder that the driver and all executors share (spark.checkpoint.dir)")
     jobs = parser.add_subparsers(dest="job", required=True)
 
     daily = jobs.add_parser("daily-gold", help="Silver weather and air quality to the daily table")
@@ -28,22 +30,28 @@ def _parser() -> argparse.ArgumentParser:
         job = jobs.add_parser(name, help="Silver air quality to the " + name.replace("-gold", " table"))
         job.add_argument("target")
         job.add_argument("source", nargs="+", help="folder per schema generation, path[:ingestion type]")
-        job.add_argument("--years", type=int, nargs="+", default=[2023, 2024, 2025])
-
-    load = jobs.add_parser("bronze-to-silver", help="raw air-quality documents to Silver")
-    load.add_argument("source")
-    load.add_argument("target")
-    load.add_argument("--stations")
-    load.add_argument("--data-source", required=True)
-    load.add_argument("--load-id", required=True)
-    load.add_argument("--ingested-at", required=True)
-    load.add_argument("--checksums")
+        job.add_argument("--years", type=int, nargs="+", help="all years unless given")
+        job.add_argument("--losses", help="folder for a report of unreadable files; without it they end the job")
+
+    for name in ("bronze-to-silver", "weather-to-silver"):
+        load = jobs.add_parser(name, help="raw documents to Silver: air quality or weather")
+        load.add_argument("source")
+        load.add_argument("target")
+        load.add_argument("--stations")
+        load.add_argument("--data-source", required=True)
+        load.add_argument("--load-id", required=True)
+        load.add_argument("--ingested-at", required=True)
+        load.add_argument("--losses", help="folder for a report of lost files and documents; without it they end the job")
+    jobs.choices["bronze-to-silver"].add_argument("--checksums")
+    jobs.choices["weather-to-silver"].add_argument("--numbers", help="Parquet table (number, stationID) of numbered files")
 
     plan = jobs.add_parser("backfill-plan", help="station periods without wind components in Bronze")
     plan.add_argument("stations")
     plan.add_argument("bronze")
-    plan.add_argument("--start-year", type=int, default=2010)
-    plan.add_argument("--end-year", type=int, required=True)
+    plan.add_argument("target", help="folder for the work list")
+    plan.add_argument("--start", default="2010-01-01")
+    plan.add_argument("--end", help="last day to plan; yesterday unless given")
+    plan.add_argument("--numbers", help="Parquet table (number, stationID) of numbered files")
     plan.add_argument("--only", nargs="*", help="station ids")
 
     inspect = jobs.add_parser("inspect", help="quality report of a Silver or Gold table")
@@ -59,51 +67,48 @@ def _generations(sources: list[str]) -> list[silver.Generation]:
     kinds = ("timestamp", "timestamp_ntz", "string")
     out = []
     for source in sources:
-        path, _, kind = source.rpartition(":")
+        path, _, kind = source.rpartition(":")  # without a kind, every file is looked at
         out.append(silver.Generation(path, kind) if kind in kinds else silver.Generation(source))
     return out
 
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    spark = build_session(master=args.master)
+    shared = {"spark.checkpoint.dir": args.shared} if args.shared else {}
+    spark = build_session(master=args.master, **shared)
+    years = tuple(args.years) if getattr(args, "years", None) else None
     if args.job == "daily-gold":
         print(run_daily_gold(spark, args.weather, args.air_quality, args.target))
     elif args.job == "hourly-gold":
-        print(run_hourly_gold(spark, _generations(args.source), args.target, HourlyConfig(years=tuple(args.years))))
+        print(run_hourly_gold(spark, _generations(args.source), args.target, HourlyConfig(years=years), args.losses))
     elif args.job == "combined-gold":
-        print(run_combined_gold(spark, _generations(args.source), args.target, CombinedConfig(years=tuple(args.years))))
-    elif args.job == "bronze-to-silver":
-        stations = silver.read_stations(spark, args.stations) if args.stations else None
-        run_bronze_to_silver(
-            spark,
-            args.source,
-            args.target,
-            data_source=args.data_source,
-            load_id=args.load_id,
-            ingested_at=args.ingested_at,
-            stations=stations,
-            checksums=args.checksums,
-        )
+        print(run_combined_gold(spark, _generations(args.source), args.target, CombinedConfig(years=years), args.losses))
+    elif args.job in ("bronze-to-silver", "weather-to-silver"):
+        load = {"data_source": args.data_source, "load_id": args.load_id, "ingested_at": args.ingested_at, "losses": args.losses}
+        load["stations"] = silver.read_stations(spark, args.stations) if args.stations else None
+        if args.job == "bronze-to-silver":
+            run_bronze_to_silver(spark, args.source, args.target, **load, checksums=args.checksums)
+        else:
+            numbers = spark.read.parquet(args.numbers) if args.numbers else None
+            run_weather_to_silver(spark, args.source, args.target, **load, numbered=numbers)
     elif args.job == "backfill-plan":
         stations = silver.read_stations(spark, args.stations)
         if args.only:
             stations = stations.filter(F.col("stationID").isin(args.only))
-        docs = bronze.has_wind_components(
-            bronze.with_station(bronze.read_bronze(spark, args.bronze, bronze.WEATHER_BRONZE))
-        )
-        start = F.to_date(F.substring(F.get(F.col("hourly.time"), 0), 1, 10)).alias("start")
-        done = docs.select("stationID", start)
-        backfill_plan(stations, done, f"{args.start_year}-01-01", f"{args.end_year}-12-31").show(1000, truncate=False)
+        done = done_periods(spark, args.bronze, spark.read.parquet(args.numbers) if args.numbers else None)
+        end = args.end or (date.today() - timedelta(days=1)).isoformat()
+        backfill_plan(stations, done, args.start, end).write.mode("overwrite").parquet(args.target)
     elif args.job == "inspect":
         df = spark.read.parquet(args.path)
         if args.layer == "gold":
-            split_inspection(df, "split", "date", "stationID", "pm2_5_mean").show(truncate=False)
+            reports = [split_inspection(df, "split", "date", "stationID", "pm2_5_mean")]
         else:
-            for report in (column_profile(df), temporal_coverage(df), station_coverage(df)):
-                report.show(200, truncate=False)
+            reports = [column_profile(df), temporal_coverage(df), station_coverage(df)]
+        for report in reports:
+            report.show(len(df.columns) + 10, truncate=False)  # one row per column or split
     else:
-        inventory.layer_inventory(spark, dict(item.split("=", 1) for item in args.layers)).show(truncate=False)
+        layers = dict(item.split("=", 1) for item in args.layers)
+        inventory.layer_inventory(spark, layers).show(len(layers), truncate=False)
 
 
 if __name__ == "__main__":

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 from tidelines.catalog.derived import BRONZE, OBS, W, bronze_docs, obs, panel, silver_obs
 from tidelines.catalog.feature_queries import TARGET
 from tidelines.catalog.registry import day, query, r6
+from tidelines.functions.records import any_time
 from tidelines.operators.windows import lags, rolling
 from tidelines.panel import Panel
+from tidelines.plans.config import HourlyConfig
+from tidelines.plans.gold_jobs import run_hourly_gold
 from tidelines.plans.silver_jobs import run_bronze_to_silver
 from tidelines.session import scratch_dir
 from tidelines.sources import bronze, inventory, silver
@@ -40,22 +43,48 @@ def silver_round_trip(spark, sf_dir):
     return back.select("record_hash", "stationID", TARGET, r6("carbon_monoxide_ugm3"))
 
 
-@query("layer_inventory")
+@query(
+    "layer_inventory",
+    f"""WITH {BRONZE} SELECT * FROM (VALUES ('bronze', true, (SELECT count(*) FROM bronze)), ('gold', false, 0),
+  ('silver', true, (SELECT count(*) FROM events))) AS t(layer, has_files, n_rows)""",
+)
 def layer_inventory(spark, sf_dir):
     root = scratch_dir(spark, "layers")
     bronze.write_bronze(bronze_docs(spark, sf_dir).drop("event_id"), f"{root}/bronze")
     silver.write_silver(silver_obs(spark, sf_dir), f"{root}/silver")
     layers = {"bronze": f"{root}/bronze", "silver": f"{root}/silver", "gold": f"{root}/gold"}
-    return inventory.layer_inventory(spark, layers)
-
-
-@query("checksum_verify")
+    found = inventory.layer_inventory(spark, layers)
+    readings = bronze.read_bronze(spark, layers["bronze"]).select(F.explode("hourly.time").alias("time"))
+    rows = {"bronze": readings.filter(any_time(F.col("time")).isNotNull()).count(), "silver": spark.read.parquet(layers["silver"]).count()}
+    counted = F.create_map(*[F.lit(x) for pair in rows.items() for x in pair])[F.col("layer")]
+    return found.select("layer", F.col("exists").alias("has_files"), F.coalesce(counted, F.lit(0)).cast("long").alias("n_rows"))
+
+
+@query("mixed_generations", f"""WITH {OBS} SELECT lpad(event_id::VARCHAR, 20, '0') AS record_hash, stationID, {TARGET},
+  epoch_us(timestamp_utc) AS at FROM obs""")
+def mixed_generations(spark, sf_dir):
+    """Rows of even and odd events stored by two versions of the loader, in the same month folders."""
+    root = scratch_dir(spark, "mixed")
+    rows = silver_obs(spark, sf_dir)
+    even = F.substring("record_hash", 20, 1).cast("int") % 2 == 0
+    silver.write_silver(rows.filter(even), root)
+    text = F.date_format("ingestion_timestamp_utc", "yyyy-MM-dd'T'HH:mm:ss")
+    silver.write_silver(rows.filter(~even).withColumn("ingestion_timestamp_utc", text), root)
+    back = silver.read_air_quality(spark, [silver.Generation(root)])
+    return back.select("record_hash", "stationID", TARGET, F.unix_micros("timestamp_utc").alias("at"))
+
+
+@query("checksum_verify", "SELECT * FROM (VALUES (false, 'unrecorded'), (true, 'ok')) AS t(stored_before, status)")
 def checksum_verify(spark, sf_dir):
     root = scratch_dir(spark, "checksums")
     silver.write_silver(silver_obs(spark, sf_dir), f"{root}/silver")
     inventory.write_checksums(spark, f"{root}/silver", f"{root}/sums")
-    status = inventory.verify_checksums(spark, f"{root}/silver", inventory.read_checksums(spark, f"{root}/sums"))
-    return status.groupBy("status").count()
+    # A second load adds files without checksums.
+    silver.write_silver(silver_obs(spark, sf_dir), f"{root}/silver")
+    recorded = inventory.read_checksums(spark, f"{root}/sums")
+    status = inventory.verify_checksums(spark, f"{root}/silver", recorded)
+    stored = status.join(recorded.select("name", F.lit(True).alias("known")), "name", "left")
+    return stored.select(F.coalesce("known", F.lit(False)).alias("stored_before"), "status").distinct()
 
 
 @query("stream_bronze_to_silver", _SILVER_SQL)
@@ -68,6 +97,22 @@ def stream_bronze_to_silver(spark, sf_dir):
     return s.select("stationID", "timestamp_unix_ms", *[r6(c) for c in _SILVER_COLS])
 
 
+@query("hourly_gold_files", f"""WITH {OBS} SELECT lpad(event_id::VARCHAR, 20, '0') AS record_hash, {TARGET},
+  lag({TARGET}) OVER w AS {TARGET}_lag_1h, lead({TARGET}) OVER w AS target_{TARGET}_1h FROM obs WHERE {TARGET} IS NOT NULL
+  WINDOW w AS (PARTITION BY stationID ORDER BY timestamp_utc, event_id)
+  QUALIFY lag({TARGET}, 24) OVER w IS NOT NULL AND target_{TARGET}_1h IS NOT NULL""")
+def hourly_gold_files(spark, sf_dir):
+    """The hourly job from written files to written splits, which are read back."""
+    root = scratch_dir(spark, "hourly-job")
+    gaps = ("pm10_ugm3", "nitrogen_dioxide_ugm3", "ozone_ugm3", "sulphur_dioxide_ugm3", "carbon_monoxide_ugm3")
+    rows = silver_obs(spark, sf_dir)
+    silver.write_silver(rows.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in gaps if c in rows.columns}), f"{root}/air")
+    config = HourlyConfig(lag_hours=(1,), rolling_windows=(), horizon=1, dedupe=False, normalise=False)
+    paths = run_hourly_gold(spark, [silver.Generation(f"{root}/air")], f"{root}/gold", config)
+    back = spark.read.parquet(paths["splits"])
+    return back.select("record_hash", TARGET, f"{TARGET}_lag_1h", f"target_{TARGET}_1h")
+
+
 def _event_stream(spark, sf_dir):
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     raw = ps.read_stream(spark, sf_dir, schema, "events.parquet")

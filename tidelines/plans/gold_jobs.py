@@ -243,8 +243,9 @@ def run_hourly_gold(
     generations: list[silver.Generation],
     target: str,
     config: HourlyConfig = HourlyConfig(),
+    losses: str | None = None,
 ) -> dict[str, str]:
-    air = silver.read_air_quality(spark, generations, config.years)
+    air = silver.read_air_quality(spark, generations, config.years, losses)
     # Row counts per station before deduplication bound those after it.
     panel = Panel("stationID", "timestamp_utc", config.ties).fit(air)
     counts = dict  # nothing counted
@@ -259,8 +260,9 @@ def run_combined_gold(
     generations: list[silver.Generation],
     target: str,
     config: CombinedConfig = CombinedConfig(),
+    losses: str | None = None,
 ) -> dict[str, str]:
-    air = silver.read_air_quality(spark, generations, config.years)
+    air = silver.read_air_quality(spark, generations, config.years, losses)
     panel = Panel("stationID", "timestamp_utc", config.ties).fit(air)
     if config.dedupe:
         # Features and station levels both read it; staged, the source is scanned and deduplicated once.
