@@ -124,3 +124,25 @@ def test_plan_and_load_of_numbered_weather_files(spark, tmp_path):
     silver = run_weather_to_silver(spark, str(tmp_path / "b"), str(tmp_path / "s"), **load, numbered=numbers)
     got = silver.orderBy("timestamp_utc").collect()
     assert [(r.stationID, round(r.u10_ms, 3), round(r.v10_ms, 3)) for r in got] == [("y", 1.0, 2.0)] * 3
+
+
+def test_hotspots_in_the_daily_table(spark, sf_dir):
+    from tidelines.catalog.derived import TIES, hotspots, obs
+    from tidelines.operators.aggregate import daily_weather
+    from tidelines.operators.spatial import transboundary_index
+    from tidelines.plans.config import DailyConfig
+    from tidelines.plans.gold_jobs import HOTSPOT_COLUMNS, daily_features
+
+    weather, config = obs(spark, sf_dir), DailyConfig(ties=TIES)
+    first = hotspots(spark, sf_dir).agg(F.min("date")).first()[0]
+    fires = hotspots(spark, sf_dir).filter(F.col("date") > F.lit(first))
+    table = daily_features(weather, None, config, fires)
+    got = {(r.stationID, r.date): tuple(r[c] for c in HOTSPOT_COLUMNS) for r in table.collect()}
+    days = daily_weather(weather, ties=TIES)
+    index = transboundary_index(fires, days.select("date", "stationID", "lat", "lon", "wind_direction_mean"))
+    want = {(r.stationID, r.date): tuple(float(r[c]) for c in HOTSPOT_COLUMNS) for r in index.collect()}
+    assert len(got) == days.count() and any(d == first for _, d in got)
+    for key, values in got.items():
+        assert values == pytest.approx(want.get(key, (0.0,) * 5))
+    plain = daily_features(weather, None, config).agg(*[F.count(c).alias(c) for c in HOTSPOT_COLUMNS]).first()
+    assert set(plain.asDict().values()) == {0}

@@ -25,6 +25,8 @@ def _parser() -> argparse.ArgumentParser:
     daily.add_argument("weather")
     daily.add_argument("target")
     daily.add_argument("--air-quality")
+    daily.add_argument("--hotspots", help="Parquet table of fires: date, lat, lon, frp, country")
+    daily.add_argument("--losses", help="folder for a report of unreadable files; without it they end the job")
 
     for name in ("hourly-gold", "combined-gold"):
         job = jobs.add_parser(name, help="Silver air quality to the " + name.replace("-gold", " table"))
@@ -78,7 +80,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(master=args.master, **shared)
     years = tuple(args.years) if getattr(args, "years", None) else None
     if args.job == "daily-gold":
-        print(run_daily_gold(spark, args.weather, args.air_quality, args.target))
+        fires = spark.read.parquet(args.hotspots) if args.hotspots else None
+        print(run_daily_gold(spark, args.weather, args.air_quality, args.target, hotspots=fires, losses=args.losses))
     elif args.job == "hourly-gold":
         print(run_hourly_gold(spark, _generations(args.source), args.target, HourlyConfig(years=years), args.losses))
     elif args.job == "combined-gold":

@@ -242,14 +242,10 @@ def air_quality_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
     event = F.col("event_id")
-    return (
-        events(spark, sf_dir)
-        .filter(F.col("event_type") == "error")
-        .select(
-            F.to_date("ts").alias("date"),
-            (F.lit(13) + (event % 80) / F.lit(10.0)).alias("lat"),
-            (F.lit(97) + (event % 90) / F.lit(10.0)).alias("lon"),
-            F.col("value").alias("frp"),
-            F.element_at(F.array(F.lit("th"), F.lit("mm"), F.lit("la")), (event % 3 + 1).cast("int")).alias("country"),
-        )
+    return events(spark, sf_dir).select(
+        F.to_date("ts").alias("date"),
+        (F.lit(13) + (event % 80) / F.lit(10.0)).alias("lat"),
+        (F.lit(97) + (event % 90) / F.lit(10.0)).alias("lon"),
+        F.col("value").alias("frp"),
+        F.element_at(F.array(F.lit("th"), F.lit("mm"), F.lit("la")), (event % 3 + 1).cast("int")).alias("country"),
     )

@@ -579,7 +579,7 @@ def backfill_plan_query(spark, sf_dir):
     "transboundary_index",
     f"""WITH {OBS}, {DAILY_WEATHER}, h AS (
   SELECT CAST(ts AS DATE) AS date, 13 + (event_id % 80) / 10.0::DOUBLE AS f_lat, 97 + (event_id % 90) / 10.0::DOUBLE AS f_lon,
-    value AS frp, event_id % 3 AS c FROM events WHERE event_type = 'error'),
+    value AS frp, event_id % 3 AS c FROM events),
 p AS (SELECT d.stationID, d.date, h.*, d.lat, d.lon, d.wind_direction_mean AS wd,
   2 * 6371.0::DOUBLE * asin(sqrt(least(1.0::DOUBLE, pow(sin(radians(lat - f_lat) / 2), 2)
     + cos(radians(f_lat)) * cos(radians(lat)) * pow(sin(radians(lon - f_lon) / 2), 2)))) AS km,

@@ -30,6 +30,7 @@ from tidelines.operators.normalise import (
     numeric_columns,
     write_stats,
 )
+from tidelines.operators.spatial import transboundary_index
 from tidelines.operators.splits import chronological_split
 from tidelines.operators.windows import add_features, differences, lags, leads, percent_change, rolling
 from tidelines.panel import Panel
@@ -93,8 +94,24 @@ def newest_counted(df: DataFrame) -> tuple[DataFrame, Callable[[], dict[str, int
     return out, lambda: {"rows_read": read.get["rows"], "rows_dropped": read.get["rows"] - kept.get["rows"]}
 
 
+def add_hotspots(days: DataFrame, hotspots: DataFrame | None) -> DataFrame:
+    """Fire counts and the transport index of each station day; nulls without a hotspot table.
+
+    With one, a day out of reach of any fire has zeros. ``hotspots``: date, lat, lon, frp, country.
+    """
+    if hotspots is None:
+        return add_placeholders(days, HOTSPOT_COLUMNS)
+    places = days.select("stationID", "date", "lat", "lon", "wind_direction_mean")
+    index = transboundary_index(hotspots, places)
+    joined = days.join(index, ["stationID", "date"], "left")
+    return joined.select(*days.columns, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in HOTSPOT_COLUMNS])
+
+
 def daily_features(
-    weather: DataFrame, air_quality: DataFrame | None, config: DailyConfig = DailyConfig()
+    weather: DataFrame,
+    air_quality: DataFrame | None,
+    config: DailyConfig = DailyConfig(),
+    hotspots: DataFrame | None = None,
 ) -> DataFrame:
     """Daily table up to, but without, the split.
 
@@ -123,7 +140,7 @@ def daily_features(
         lags(series, config.lag_days, "{c}_lag{k}"),
         rolling(series, config.rolling_windows, ("mean", "std"), "{c}_rolling_{stat}_{n}d"),
     )
-    featured = add_placeholders(add_daily_calendar(featured), HOTSPOT_COLUMNS)
+    featured = add_hotspots(add_daily_calendar(featured), hotspots)
     if config.max_interpolation_gap_days > 0:
         gap = config.max_interpolation_gap_days if config.enforce_gap else None
         featured = interpolate(featured, panel, DAILY_INTERPOLATED, max_gap=gap)
@@ -131,13 +148,16 @@ def daily_features(
 
 
 def daily_gold(
-    weather: DataFrame, air_quality: DataFrame | None, config: DailyConfig = DailyConfig()
+    weather: DataFrame,
+    air_quality: DataFrame | None,
+    config: DailyConfig = DailyConfig(),
+    hotspots: DataFrame | None = None,
 ) -> tuple[DataFrame, list[Stat]]:
     """Daily table with split and normalised copies, and the fitted statistics.
 
     The features are staged once; cuts, statistics and the final table all read the staged files.
     """
-    features = staged(daily_features(weather, air_quality, config), "daily-features")
+    features = staged(daily_features(weather, air_quality, config, hotspots), "daily-features")
     table = chronological_split(
         features,
         ["date", "stationID"],
@@ -221,10 +241,12 @@ def run_daily_gold(
     air_quality_path: str | None,
     target: str,
     config: DailyConfig = DailyConfig(),
+    hotspots: DataFrame | None = None,
+    losses: str | None = None,
 ) -> dict[str, str]:
-    """Silver folders to Gold splits, statistics and manifest below ``target``."""
+    """Silver folders, and fires if given, to Gold splits, statistics and manifest below ``target``."""
     weather = silver.read_weather(spark, weather_path)
-    air = silver.read_optional_air_quality(spark, air_quality_path) if air_quality_path else None
+    air = silver.read_optional_air_quality(spark, air_quality_path, losses) if air_quality_path else None
     counts = []
     if config.dedupe:
         weather, count = newest_counted(weather)
@@ -233,7 +255,7 @@ def run_daily_gold(
             air, count = newest_counted(air)
             counts.append(("air_quality", count))
     short = silver.to_short_names(air) if air is not None else None
-    table, stats = daily_gold(weather, short, config)
+    table, stats = daily_gold(weather, short, config, hotspots)
     counted = {f"{name}_{k}" if name != "weather" else k: v for name, count in counts for k, v in count().items()}
     return _write_gold(spark, table, stats, target, "date", {**asdict(config), **counted}, config.version)
 
