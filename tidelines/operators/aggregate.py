@@ -32,8 +32,9 @@ def _date(time: str, shift_hours: float) -> Column:
     return F.to_date(at).alias("date")
 
 
-def _earliest(col: str, time: str, ties: Sequence[str]) -> Column:
-    return F.min_by(F.col(col), F.struct(F.col(time), *[F.col(t) for t in ties])).alias(col)
+def _earliest(cols: Sequence[str], time: str, ties: Sequence[str]) -> Column:
+    """Values of the earliest row, compared once for all columns."""
+    return F.min_by(F.struct(*cols), F.struct(F.col(time), *[F.col(t) for t in ties])).alias("_earliest")
 
 
 def daily_weather(
@@ -58,9 +59,8 @@ def daily_weather(
         angle = F.radians("wind_dir_deg")
         u, v = F.avg(-F.col("wind_ms") * F.sin(angle)), F.avg(-F.col("wind_ms") * F.cos(angle))
         direction = F.pmod(F.degrees(F.atan2(-u, -v)), F.lit(360.0))
-    return df.groupBy(_date(time, shift_hours), entity).agg(
-        _earliest("lat", time, ties),
-        _earliest("lon", time, ties),
+    days = df.groupBy(_date(time, shift_hours), entity).agg(
+        _earliest(["lat", "lon", "load_id"], time, ties),
         F.avg("temp_c").alias("temp_2m_mean"),
         F.min("temp_c").alias("temp_2m_min"),
         F.max("temp_c").alias("temp_2m_max"),
@@ -72,8 +72,9 @@ def daily_weather(
         direction.alias("wind_direction_mean"),
         F.avg("shortwave_radiation_wm2").alias("radiation_mean"),
         F.avg("cloud_cover_pct").alias("cloud_cover_mean"),
-        _earliest("load_id", time, ties),
     )
+    values = [c for c in days.columns if c not in ("date", entity, "_earliest")]
+    return days.select("date", entity, "_earliest.lat", "_earliest.lon", *values, "_earliest.load_id")
 
 
 def daily_air_quality(
@@ -85,11 +86,11 @@ def daily_air_quality(
 ) -> DataFrame:
     """Daily pollutant means per entity."""
     ties = [t for t in ties if t in df.columns]
-    return df.groupBy(_date(time, shift_hours), entity).agg(
-        _earliest("lat", time, ties),
-        _earliest("lon", time, ties),
+    days = df.groupBy(_date(time, shift_hours), entity).agg(
+        _earliest(["lat", "lon"], time, ties),
         *[F.avg(c).alias(out) for c, out in zip(POLLUTANTS, POLLUTANT_MEANS)],
     )
+    return days.select("date", entity, "_earliest.lat", "_earliest.lon", *POLLUTANT_MEANS)
 
 
 def station_aggregates(df: DataFrame, entity: str = "stationID", train_only: str | None = None) -> DataFrame:
