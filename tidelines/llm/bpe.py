@@ -220,14 +220,16 @@ class Codec:
             kept.update(("\ud800" + s, np.int32(i).tobytes()) for s, i in self.special.items())
         cuts = [self.cut(t, PLAIN.findall) for t in texts]
         missing = set(chain.from_iterable(cuts)).difference(kept)
-        if strange := {t for t in missing if not odd().isdisjoint(t)}:
+        # One look at all new characters: odd ones are rare. A pre-token with one is never kept, so it is always new.
+        strange = set() if odd().isdisjoint("".join(missing)) else {t for t in missing if not odd().isdisjoint(t)}
+        if strange:
             cuts = [c if strange.isdisjoint(c) else self.cut(t, self.split.findall) for t, c in zip(texts, cuts)]
             missing = set(chain.from_iterable(cuts)).difference(kept)
         kept.update(self.learn([*missing]))
         parts = [b"".join([*map(kept.__getitem__, c)]) for c in cuts]
-        for t in missing:
-            if len(t) > SHORT or not odd().isdisjoint(t):  # long ones cost memory, odd ones must be noticed again
-                del kept[t]
+        odd_ones = set() if odd().isdisjoint("".join(missing)) else {t for t in missing if not odd().isdisjoint(t)}
+        for t in [t for t in missing if len(t) > SHORT or t in odd_ones]:  # long ones cost memory
+            del kept[t]
         return np.frombuffer(b"".join(parts), np.int32), np.array([len(p) // 4 for p in parts], np.int64)
 
     def encode(self, text: str) -> list[int]:

@@ -46,6 +46,13 @@ class Index:
         self.weights = np.repeat(idf, df) * tf * (K1 + 1) / (tf + norm[self.docs])
         self.n = n
 
+    def keep(self, wanted: np.ndarray) -> None:
+        """Drop the postings of all documents but the ``wanted`` ones; weights stay as they are."""
+        held = wanted[self.docs]
+        before = np.r_[0, np.cumsum(held)]
+        self.starts, self.ends = before[self.starts], before[self.ends]
+        self.docs, self.weights = self.docs[held], self.weights[held]
+
     def scores(self, document: np.ndarray) -> np.ndarray:
         """BM25 of every document of the shard for the distinct tokens of one."""
         at = np.searchsorted(self.terms, np.unique(document))
@@ -84,12 +91,16 @@ class Packer:
         items = self.left
         index = Index([x[2] for x in items])
         unused = np.ones(len(items), bool)
+        indexed = len(items)
         for seed in range(len(items)):
             if not unused[seed]:
                 continue
             unused[seed] = False
             pieces, space = [items[seed]], self.window - len(items[seed][2])
             if space:
+                if (still := int(unused.sum())) < 0.8 * indexed:
+                    index.keep(unused)
+                    indexed = still
                 scores = np.where(unused, index.scores(items[seed][2]), -1.0)
                 open_slots = int(unused.sum())
                 while space and open_slots:
