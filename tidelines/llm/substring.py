@@ -34,6 +34,9 @@ from tidelines.llm.common import map_slices, slices, staged, texts, whole_rows
 WINDOW = 50
 ANCHOR = 25
 SHARE = 2_000
+#: An anchor of so many uses is hot, or of more if the table has more than MOST_HOT such anchors' worth of uses: what
+#: is sent to all tasks is at most MOST_HOT numbers.
+HOT_USES, MOST_HOT = 1_000, 10_000
 #: Odd factors of the polynomial hashes (arbitrary fixed values).
 FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
@@ -101,7 +104,7 @@ def _anchor_frame(keyed: DataFrame, window: int, size: int) -> DataFrame:
 
 
 def _window_frame(candidates: DataFrame, window: int) -> DataFrame:
-    """doc_id, key, at (first word) and two hashes of each candidate window."""
+    """text_no, doc_id, at (first word) and two hashes of each candidate window."""
 
     def make():
         def step(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -115,12 +118,12 @@ def _window_frame(candidates: DataFrame, window: int) -> DataFrame:
                 two.append(rolled(h ^ (h >> np.uint64(32)), window, FACTORS[1])[where])
             row = pa.array(np.concatenate(rows))
             longs = [pa.array(np.concatenate(x).view(np.int64)) for x in (one, two)]
-            return pa.RecordBatch.from_arrays([part.column(0).take(row), part.column(1).take(row), pa.array(np.concatenate(at), pa.int32()), *longs], names=["doc_id", "key", "at", "one", "two"])
+            return pa.RecordBatch.from_arrays([part.column(0).take(row), part.column(1).take(row), pa.array(np.concatenate(at), pa.int32()), *longs], names=["text_no", "doc_id", "at", "one", "two"])
 
         return step
 
     id_kind = candidates.schema["doc_id"].dataType.simpleString()
-    return map_slices(candidates, make, f"doc_id {id_kind}, key binary, at int, one long, two long")
+    return map_slices(candidates.select("text_no", "doc_id", "text", "runs"), make, f"text_no long, doc_id {id_kind}, at int, one long, two long")
 
 
 def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -134,12 +137,15 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _passages(claimed: DataFrame, window: int) -> DataFrame:
-    """owner, doc_id, key, start and the text of each run of neighbouring windows that name one owner."""
+    """owner, text_no, start and the text of each run of neighbouring windows that name one owner."""
+
+    id_kind = claimed.schema["claims"].dataType.elementType["owner"].dataType.simpleString()
 
     def run(batches):
         for part in slices(batches):
+            kind = part.column(2).type.value_type.field("owner").type
             out = {"owner": [], "row": [], "start": [], "passage": []}
-            for i, (t, claims) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist())):
+            for i, (t, claims) in enumerate(zip(part.column(1).to_pylist(), part.column(2).to_pylist())):
                 parts = words(t)
                 claims = sorted((c["at"], c["owner"]) for c in claims)
                 first = 0
@@ -153,28 +159,27 @@ def _passages(claimed: DataFrame, window: int) -> DataFrame:
                         first = k
             row = pa.array(out["row"], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out["owner"], part.column(0).type), part.column(0).take(row), part.column(1).take(row), pa.array(out["start"], pa.int32()), pa.array(out["passage"], pa.string())],
-                names=["owner", "doc_id", "key", "start", "passage"],
+                [pa.array(out["owner"], kind), part.column(0).take(row), pa.array(out["start"], pa.int32()), pa.array(out["passage"], pa.string())],
+                names=["owner", "text_no", "start", "passage"],
             )
 
-    id_kind = claimed.schema["doc_id"].dataType.simpleString()
-    return claimed.mapInArrow(run, f"owner {id_kind}, doc_id {id_kind}, key binary, start int, passage string")
+    return claimed.mapInArrow(run, f"owner {id_kind}, text_no long, start int, passage string")
 
 
 def _verified(passages: DataFrame, candidates: DataFrame, window: int) -> DataFrame:
-    """doc_id, key and the spans (start, stop) of passages that their owner's automaton matches."""
-    load = passages.groupBy("owner").agg(F.ceil(F.count("*") / SHARE).cast("int").alias("shares"))
-    share = F.pmod(F.xxhash64("doc_id", "start"), F.col("shares")).cast("int")
-    asked = passages.join(load, "owner").select("owner", share.alias("share"), F.lit(1).alias("kind"), "doc_id", "key", "start", F.col("passage").alias("text"))
-    known = candidates.join(load, candidates["doc_id"] == load["owner"])
-    known = known.select("owner", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(0).alias("kind"), "doc_id", "key", F.lit(0).alias("start"), "text")
+    """text_no and the spans (start, stop) of passages that their owner's automaton matches."""
+    load = staged(passages.groupBy("owner").agg(F.ceil(F.count("*") / SHARE).cast("int").alias("shares")), "load")
+    share = F.pmod(F.xxhash64("text_no", "start"), F.col("shares")).cast("int")
+    asked = passages.join(load, "owner").select("owner", share.alias("share"), F.lit(1).alias("kind"), "text_no", "start", F.col("passage").alias("text"))
+    known = candidates.select("doc_id", "text_no", "text").join(load, F.col("doc_id") == F.col("owner"))
+    known = known.select("owner", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(0).alias("kind"), "text_no", F.lit(0).alias("start"), "text")
     both = known.union(asked).repartition("owner", "share").sortWithinPartitions("owner", "share", "kind")
 
     def run(batches):
         owner, shards = None, []
         for part in slices(batches):
             rows, starts, stops = [], [], []
-            columns = (part.column(k).to_pylist() for k in (0, 1, 2, 5, 6))
+            columns = (part.column(k).to_pylist() for k in (0, 1, 2, 4, 5))
             for i, (o, s, kind, start, text) in enumerate(zip(*columns)):
                 if (o, s) != owner:
                     owner, shards = (o, s), []
@@ -186,37 +191,49 @@ def _verified(passages: DataFrame, candidates: DataFrame, window: int) -> DataFr
                     starts.append(start + a)
                     stops.append(start + b)
             row = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([part.column(3).take(row), part.column(4).take(row), pa.array(starts, pa.int32()), pa.array(stops, pa.int32())], names=["doc_id", "key", "start", "stop"])
+            yield pa.RecordBatch.from_arrays([part.column(3).take(row), pa.array(starts, pa.int32()), pa.array(stops, pa.int32())], names=["text_no", "start", "stop"])
 
-    id_kind = passages.schema["doc_id"].dataType.simpleString()
-    return both.mapInArrow(run, f"doc_id {id_kind}, key binary, start int, stop int")
+    return both.mapInArrow(run, "text_no long, start int, stop int")
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """doc_id, key (of the text) and ``spans`` (array of start and stop, in words) of what goes."""
     keyed = texts(docs).filter(F.col("doc_id").isNotNull()).select("doc_id", text_key().alias("key"), "text")
-    found = staged(_anchor_frame(keyed, window, anchor), "anchors")
-    classes = staged(found.groupBy("key").agg(F.min("doc_id").alias("first")), "classes")
-    copies = found.join(classes, "key").filter((F.col("doc_id") > F.col("first")) & (F.col("n_words") >= window))
-    whole = copies.select("doc_id", "key", F.lit(0).alias("start"), F.col("n_words").alias("stop"))
-
-    own = found.join(classes, (found["key"] == classes["key"]) & (found["doc_id"] == classes["first"])).select("doc_id", found["key"], F.explode("runs").alias("run"))
-    own = staged(own.select("doc_id", "key", "run.*").dropDuplicates(["doc_id", "key", "start"]), "runs")
-    shared = own.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("anchor")
-    chosen = own.join(shared, "anchor").groupBy("doc_id", "key").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
+    # Written rows keep their number, which stands for a text in what follows.
+    found = staged(_anchor_frame(keyed, window, anchor).withColumn("text_no", F.monotonically_increasing_id()), "anchors")
+    classes = found.groupBy("key").agg(F.min(F.struct("doc_id", "text_no")).alias("first"))
+    classes = staged(classes.select("key", F.col("first.doc_id").alias("first"), F.col("first.text_no").alias("text_no")), "classes")
+    long = found.filter(F.col("n_words") >= window).select("doc_id", "key", "n_words")
+    copies = long.join(classes, "key").filter(F.col("doc_id") > F.col("first")).dropDuplicates(["doc_id", "key"])
+    whole = copies.select("doc_id", "key", F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").alias("stop"))).alias("spans"))
+
+    own = found.select("text_no", "doc_id", "runs").join(classes.select("text_no"), "text_no").select("text_no", "doc_id", F.explode("runs").alias("run"))
+    own = staged(own.select("text_no", "doc_id", "run.*"), "runs")
+    # What a join adds to rows of a hot key is written first: Spark splits a hot join whose sides are only read.
+    shared = own.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("uses"))
+    shared = staged(shared.filter("low < high").select("anchor", "uses"), "shared-anchors")
+    # The most used anchors are few, so their rows stay where they are; the others meet their rows in a join.
+    many = max(HOT_USES, own.count() // MOST_HOT)
+    hot = [r["anchor"] for r in shared.filter(F.col("uses") >= many).select("anchor").toArrow().to_pylist()]
+    runs = own.select("anchor", "text_no", "start", "n")
+    cold = runs.join(shared.filter(F.col("uses") < many), "anchor").select("text_no", "start", "n")
+    every = cold.union(runs.filter(F.col("anchor").isin(hot)).select("text_no", "start", "n"))
+    chosen = every.groupBy("text_no").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
+    chosen = chosen.join(classes, "text_no").select("text_no", F.col("first").alias("doc_id"), "key", "runs")
     # Texts come by id and digest; rows that repeat both are one.
-    candidates = keyed.join(chosen, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"]).select("doc_id", "key", "text", "runs")
+    candidates = keyed.join(chosen, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"]).select("text_no", "doc_id", "key", "text", "runs")
     candidates = staged(candidates, "candidates")
 
     windows = staged(_window_frame(candidates, window), "windows")
     owners = windows.groupBy("one", "two").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).filter("owner < last")
+    owners = staged(owners.select("one", "two", "owner"), "owners")
     claims = windows.join(owners, ["one", "two"]).filter("doc_id > owner")
-    claims = claims.groupBy("doc_id", "key").agg(F.collect_list(F.struct("at", "owner")).alias("claims"))
-    claimed = candidates.select("doc_id", "key", "text").join(claims, ["doc_id", "key"]).select("doc_id", "key", "text", "claims")
+    claims = claims.groupBy("text_no").agg(F.collect_list(F.struct("at", "owner")).alias("claims"))
+    claimed = candidates.select("text_no", "text").join(claims, "text_no").select("text_no", "text", "claims")
     passages = staged(_passages(claimed, window), "passages")
-    spans = _verified(passages, candidates.select("doc_id", "key", "text"), window)
-    every = spans.union(whole).groupBy("doc_id", "key").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans"))
-    return staged(every, "spans")
+    spans = _verified(passages, candidates, window).groupBy("text_no").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans"))
+    decided = spans.join(candidates.select("text_no", "doc_id", "key"), "text_no").select("doc_id", "key", "spans")
+    return staged(decided.union(whole), "spans")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
