@@ -18,6 +18,8 @@ given one if the fingerprint has another; other columns are dropped.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -29,8 +31,9 @@ from tidelines.llm.components import components
 
 SEED = 42
 BUDGET = 3
-#: For near-duplicates of whole texts: fingerprints of words, words of a long fingerprint, bits in which it may differ.
-SERIES, PROOF, AGREE = 8, 8, 84
+#: For near-duplicates of whole texts: their least Jaccard similarity, fingerprints of a text, shingles in each, words of
+#: the long fingerprint, bits in which a pair worth an exact look may differ there, and bits of pairs tied at sight.
+SIMILAR, SERIES, LEAST, PROOF, AGREE, CLOSE = 0.8, 8, 3, 8, 128, 60
 #: Odd factors that make several hashes of one (arbitrary fixed values).
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x94D049BB133111EB, 0xBF58476D1CE4E5B9], np.uint64)
 #: Node pairs of the trie that are followed at once, and products of their sizes that are compared directly.
@@ -165,15 +168,11 @@ def groups(batches, keys: int):
         yield pa.Table.from_batches(held)
 
 
-def links(nodes: DataFrame, budget: int = BUDGET, agree: int | None = None) -> DataFrame:
-    """A spanning forest (``src``, ``dst``) of the links between ``nodes`` (node long, print long, series int).
-
-    Rows are compared within a series. With ``agree``, the column ``proof`` (binary, of one length) must also differ in
-    at most so many bits."""
+def in_blocks(nodes: DataFrame, budget: int, *more: str) -> DataFrame:
+    """A row of ``nodes`` for each block of bits: part, value, turned, node and the columns ``more``, whole groups (of
+    part and value) side by side."""
     blocks = budget + 1
-    edges = [64 * k // blocks for k in range(blocks + 1)]
-    width = max(b - a for a, b in zip(edges, edges[1:]))
-    kind = nodes.schema["node"].dataType.simpleString()
+    edges = block_edges(budget)
     turned = F.array(
         *[
             F.struct(
@@ -184,40 +183,50 @@ def links(nodes: DataFrame, budget: int = BUDGET, agree: int | None = None) -> D
             for k in range(blocks)
         ]
     )
-    proof = [F.col("proof")] if agree is not None else [F.lit(None).cast("binary").alias("proof")]
-    spread = nodes.select("node", "series", F.explode(turned).alias("t"), *proof)
+    spread = nodes.select("node", "series", F.explode(turned).alias("t"), *more)
     spread = spread.select(
         (F.col("series") * blocks + F.col("t.block")).alias("part"),
         F.expr("shiftrightunsigned(t.turned, 64 - t.width)").alias("value"),
         F.col("t.turned").alias("turned"),
         "node",
-        "proof",
+        *more,
     )
+    return spread.repartition("part", "value").sortWithinPartitions("part", "value")
+
+
+def block_edges(budget: int) -> list[int]:
+    return [64 * k // (budget + 1) for k in range(budget + 2)]
+
+
+def open_bit(budget: int) -> int:
+    """Only the bits that all blocks leave open are walked; the walk starts after the narrowest block."""
+    edges = block_edges(budget)
+    return max(b - a for a, b in zip(edges, edges[1:])) - (64 % (budget + 1) > 0)
+
+
+def sorted_group(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The order of a table by group and print, the prints in it, and where its groups start and end."""
+    part, value = table.column(0).to_numpy(), table.column(1).to_numpy()
+    prints = table.column(2).to_numpy().view(np.uint64)
+    change = np.r_[True, (part[1:] != part[:-1]) | (value[1:] != value[:-1])]
+    order = np.lexsort((prints, np.cumsum(change)))
+    starts = np.flatnonzero(change)
+    return order, np.ascontiguousarray(prints[order]), starts, np.r_[starts[1:], len(prints)]
+
+
+def links(nodes: DataFrame, budget: int = BUDGET) -> DataFrame:
+    """A spanning forest (``src``, ``dst``) of the links between ``nodes`` (node long, print long, series int).
+
+    Rows are compared within a series."""
+    kind = nodes.schema["node"].dataType.simpleString()
 
     def run(batches):
         for table in groups(batches, 2):
-            part, value = table.column(0).to_numpy(), table.column(1).to_numpy()
-            prints = table.column(2).to_numpy().view(np.uint64)
-            n = len(prints)
-            change = np.r_[True, (part[1:] != part[:-1]) | (value[1:] != value[:-1])]
-            group = np.cumsum(change)
-            order = np.lexsort((prints, group))
-            prints = np.ascontiguousarray(prints[order])
-            starts = np.flatnonzero(change)
-            ends = np.r_[starts[1:], n]
+            order, prints, starts, ends = sorted_group(table)
             large = ends - starts > 1
-            proofs = None
-            if agree is not None:
-                joined = table.column(4).combine_chunks()
-                length = len(joined[0].as_py())
-                proofs = np.frombuffer(b"".join(joined.to_pylist()), np.uint8).reshape(n, length)[order].view(np.uint64)
-            root = np.arange(n)
-            # Only the bits that all blocks leave open are walked; the walk starts after the narrowest block.
-            for i, j in trie_pairs(prints, starts[large], ends[large], width - (64 % blocks > 0), budget):
-                if proofs is not None and len(i):
-                    near = np.bitwise_count(proofs[i] ^ proofs[j]).sum(axis=1) <= agree
-                    i, j = i[near], j[near]
-                forest(n, i, j, root)
+            root = np.arange(len(prints))
+            for i, j in trie_pairs(prints, starts[large], ends[large], open_bit(budget), budget):
+                forest(len(prints), i, j, root)
             # A tree hangs on its smallest node: trees of one group found in many blocks then share their links.
             ids = table.column(3).to_numpy()[order]
             least = ids.copy()
@@ -226,8 +235,134 @@ def links(nodes: DataFrame, budget: int = BUDGET, agree: int | None = None) -> D
             linked = np.flatnonzero(ids != least)
             yield pa.RecordBatch.from_arrays([pa.array(ids[linked]), pa.array(least[linked])], names=["src", "dst"])
 
-    sorted_in = spread.repartition("part", "value").sortWithinPartitions("part", "value")
-    return sorted_in.mapInArrow(run, f"src {kind}, dst {kind}").distinct()
+    return in_blocks(nodes, budget).mapInArrow(run, f"src {kind}, dst {kind}").distinct()
+
+
+def lightest_forest(root: np.ndarray, i: np.ndarray, j: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Places of the links (i, j) of a lightest spanning forest over the trees of ``root`` (stars), by Boruvka's rounds."""
+    order = np.lexsort((j, i, weight))
+    i, j, root, n = i[order], j[order], root.copy(), len(root)
+    alive, chosen = np.arange(len(i)), [np.empty(0, np.int64)]
+    while True:
+        a, b = root[i[alive]], root[j[alive]]
+        apart = a != b
+        alive, a, b = alive[apart], a[apart], b[apart]
+        if not len(alive):
+            return order[np.concatenate(chosen)]
+        best = np.full(n, -1)
+        ranked = np.argsort(np.r_[alive, alive], kind="stable")[::-1]  # the lightest link is written last
+        best[np.r_[a, b][ranked]] = np.r_[alive, alive][ranked]
+        tips = np.flatnonzero(best >= 0)
+        pick = best[tips]
+        chosen.append(np.unique(pick))
+        parent = np.arange(n)
+        u, v = root[i[pick]], root[j[pick]]
+        parent[tips] = np.where(u == tips, v, u)
+        both = (parent[parent[tips]] == tips) & (tips < parent[tips])
+        parent[tips[both]] = tips[both]
+        while (parent[parent] != parent).any():
+            parent = parent[parent]
+        root = parent[root]
+
+
+def products(a: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_end: np.ndarray):
+    """Yield index arrays (i, j) of all members of pairs of ranges, i < j, about FRONTIER or one row at a time."""
+    many = a_end - a
+    at = np.repeat(np.arange(len(a)), many)
+    i = a[at] + np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
+    start = np.where((a == b)[at], i + 1, b[at])
+    width = b_end[at] - start
+    total = np.cumsum(width)
+    cuts = np.unique(np.r_[0, np.searchsorted(total, np.arange(FRONTIER, total[-1] if len(total) else 0, FRONTIER)) + 1, len(i)])
+    for x, y in zip(cuts, cuts[1:]):
+        w = width[x:y]
+        k = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w)
+        yield np.repeat(i[x:y], w), np.repeat(start[x:y], w) + k
+
+
+class Search:
+    """The closest links of a table of groups, a spanning forest of them and ``extra`` further ones for each row."""
+
+    def __init__(self, table: pa.Table, agree: int, extra: int):
+        self.order, self.prints, self.starts, self.ends = sorted_group(table)
+        self.n, self.agree = len(self.order), agree
+        self.first_block = (table.column(0).to_numpy() % (BUDGET + 1) == 0)[self.order]
+        self.ids = table.column(3).to_numpy()[self.order]
+        proof = table.column(4).combine_chunks()
+        self.proofs = np.frombuffer(b"".join(proof.to_pylist()), np.uint8).reshape(self.n, -1)[self.order].view(np.uint64)
+        # Rows of one component found before (in one group) are one tree from the start.
+        group = np.repeat(np.arange(len(self.starts)), self.ends - self.starts)
+        label = np.unique(table.column(5).to_numpy()[self.order], return_inverse=True)[1]
+        _, first, tree = np.unique(group * self.n + label, return_index=True, return_inverse=True)
+        self.root = first[tree]
+        self.names, self.place = np.unique(self.ids, return_inverse=True)
+        failed = [(self.place[r], x) for r, o in enumerate(self.order.tolist()) for x in table.column(6)[o].as_py() or ()] if table.column(6).null_count < self.n else []
+        known = np.array(failed, np.int64).reshape(-1, 2)
+        other = np.minimum(np.searchsorted(self.names, known[:, 1]), len(self.names) - 1)
+        here = self.names[other] == known[:, 1]
+        self.failed = np.unique(known[here, 0] * len(self.names) + other[here])
+        self.held, self.more, self.room, self.waiting = [], [], extra * self.n, 0
+
+    def look(self, i: np.ndarray, j: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Those of the pairs that are of two trees, not known to fail and within ``most`` bits, and their distance."""
+        apart = self.root[i] != self.root[j]
+        i, j = i[apart], j[apart]
+        bits = np.zeros(len(i), np.int64)
+        for at in range(0, len(i), 1 << 18):
+            bits[at : at + (1 << 18)] = np.bitwise_count(self.proofs[i[at : at + (1 << 18)]] ^ self.proofs[j[at : at + (1 << 18)]]).sum(axis=1)
+        near = bits <= most
+        if len(self.failed):
+            near &= ~np.isin(self.place[i] * len(self.names) + self.place[j], self.failed)
+        return i[near], j[near], bits[near]
+
+    def add(self, i: np.ndarray, j: np.ndarray) -> None:
+        found = self.look(i, j, self.agree)
+        self.held.append(found)
+        if self.room > 0:
+            self.more.append([x[: self.room] for x in found[:2]])
+            self.room -= len(self.more[-1][0])
+        self.waiting += len(found[0])
+        if self.waiting > FRONTIER:
+            self.shrink()
+
+    def shrink(self) -> None:
+        i, j, bits = (np.concatenate(x) for x in zip(*self.held))
+        chosen = lightest_forest(self.root, i, j, bits)
+        self.held, self.waiting = [(i[chosen], j[chosen], bits[chosen])], 0
+
+    def run(self) -> tuple[np.ndarray, np.ndarray]:
+        change = np.r_[True, self.prints[1:] != self.prints[:-1]]
+        change[self.starts] = True
+        run_start = np.flatnonzero(change)
+        run_end = np.r_[run_start[1:], self.n]
+        # Equal prints are in the same group in every block, so they are paired in the first alone.
+        several = (run_end - run_start > 1) & self.first_block[run_start]
+        small, tied = several, []
+        for i, j in products(run_start[small], run_end[small], run_start[small], run_end[small]):
+            self.add(i, j)
+        first, last = np.searchsorted(run_start, self.starts), np.searchsorted(run_start, self.ends)
+        wide = last - first > 1
+        for u, v in trie_pairs(self.prints[run_start], first[wide], last[wide], open_bit(BUDGET), BUDGET):
+            for i, j in products(run_start[u], run_end[u], run_start[v], run_end[v]):
+                self.add(i, j)
+        if self.held:
+            self.shrink()
+        every = [*tied, *[np.stack(x[:2]) for x in self.held], *[np.stack(x) for x in self.more]]
+        both = self.ids[np.concatenate([np.empty((2, 0), np.int64), *every], axis=1)]
+        return both.min(axis=0), both.max(axis=0)
+
+
+def candidates(nodes: DataFrame, agree: int, extra: int) -> DataFrame:
+    """Links (``src`` < ``dst``) worth an exact look between ``nodes`` (node, print, series, proof, component, failed):
+    each is a pair within the budget in one series and within ``agree`` bits of ``proof``, of two components, and not
+    among the ``failed`` of its nodes. They span all such pairs, the closest first."""
+
+    def run(batches):
+        for table in groups(batches, 2):
+            src, dst = Search(table, agree, extra).run()
+            yield pa.RecordBatch.from_arrays([pa.array(src), pa.array(dst)], names=["src", "dst"])
+
+    return in_blocks(nodes, BUDGET, "proof", "component", "failed").mapInArrow(run, "src long, dst long").distinct()
 
 
 def components_of(prints: DataFrame, budget: int = BUDGET) -> DataFrame:
@@ -242,49 +377,119 @@ def components_of(prints: DataFrame, budget: int = BUDGET) -> DataFrame:
     return prints.join(of_print, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
+def shingle_set(text: str, size: int) -> np.ndarray:
+    """The different shingle hashes of a text, in order."""
+    return np.unique(shingle_hashes(words(text), size).view(">u8").astype(np.uint64))
+
+
 def wide_prints(keyed: DataFrame, series: int, size: int) -> DataFrame:
-    """doc_id, key, ``prints`` (array of ``series`` fingerprints over the distinct words, each of its own hash) and
-    ``proof`` (``PROOF`` fingerprints over shingles of ``size`` words, in one value)."""
+    """doc_id, own, ``key`` (the digest of the set of shingles of ``size`` words), ``prints`` (array of ``series``
+    fingerprints over the LEAST shingles that come first in an order of the series' own) and ``proof`` (``PROOF``
+    fingerprints over all different shingles, in one value)."""
 
-    def spread(h: np.ndarray, n: int) -> np.ndarray:
+    def spread(x: np.ndarray, n: int) -> np.ndarray:
         """n hashes from each 64-bit hash, by multiplication and folding."""
-        x = h.view(">u8").astype(np.uint64) * FACTORS[:n]
+        x = x[:, None] * FACTORS[:n]
         x ^= x >> np.uint64(32)
         x *= np.uint64(0xD6E8FEB86659FD93)
         x ^= x >> np.uint64(29)
-        return x.astype(">u8").view(np.uint8)
+        return x
 
     def make():
         def step(part: pa.RecordBatch) -> pa.RecordBatch:
-            short, long = [], []
+            keys, short, long = [], [], []
             for t in part.column(2).to_pylist():
-                parts = words(t)
-                short.append(majority(spread(shingle_hashes(sorted(set(parts)), 1), series)) if parts else bytes(8 * series))
-                long.append(majority(spread(shingle_hashes(parts, size), PROOF)) if parts else bytes(8 * PROOF))
+                found = shingle_set(t, size)
+                keys.append(hashlib.sha256(found.tobytes()).digest())
+                if not len(found):
+                    short.append(bytes(8 * series))
+                    long.append(bytes(8 * PROOF))
+                    continue
+                mixed = spread(found, max(series, PROOF))
+                first = np.argpartition(mixed[:, :series], LEAST - 1, axis=0)[:LEAST] if len(found) > LEAST else np.repeat(np.arange(len(found))[:, None], series, axis=1)
+                short.append(majority(found[first].astype(">u8").view(np.uint8).reshape(len(first), 8 * series)))
+                long.append(majority(np.ascontiguousarray(mixed[:, :PROOF]).astype(">u8").view(np.uint8)))
             flat = np.frombuffer(b"".join(short), ">i8").astype(np.int64)
             prints = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, series), pa.int32()), pa.array(flat))
-            return pa.RecordBatch.from_arrays([part.column(0), part.column(1), prints, pa.array(long, pa.binary())], names=["doc_id", "key", "prints", "proof"])
+            return pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(keys, pa.binary()), prints, pa.array(long, pa.binary())], names=["doc_id", "own", "key", "prints", "proof"])
 
         return step
 
-    return map_slices(keyed, make, f"doc_id {keyed.schema['doc_id'].dataType.simpleString()}, key binary, prints array<long>, proof binary")
+    return map_slices(keyed, make, f"doc_id {keyed.schema['doc_id'].dataType.simpleString()}, own binary, key binary, prints array<long>, proof binary")
+
 
+def shingle_sets(keyed: DataFrame, reps: DataFrame, size: int) -> DataFrame:
+    """node and ``shingles`` (array of long) of the texts named by ``reps`` (node, own, first)."""
+
+    def make():
+        def step(part: pa.RecordBatch) -> pa.RecordBatch:
+            found = [shingle_set(t, size).view(np.int64) for t in part.column(1).to_pylist()]
+            ends = np.cumsum([0, *map(len, found)])
+            shingles = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found)))
+            return pa.RecordBatch.from_arrays([part.column(0), shingles], names=["node", "shingles"])
+
+        return step
 
-def one_of_each(docs: DataFrame, series: int = SERIES, size: int = 5, agree: int = AGREE) -> DataFrame:
+    texts = keyed.join(reps, (keyed["own"] == reps["_own"]) & keyed["doc_id"].eqNullSafe(reps["_first"])).select("node", "text")
+    return map_slices(texts, make, "node long, shingles array<long>").dropDuplicates(["node"])
+
+
+def judged(edges: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """src, dst and ``near``: whether the Jaccard similarity of the two sets of shingles is at least ``least``."""
+    a, b = sets.select(F.col("node").alias("src"), F.col("shingles").alias("a")), sets.select(F.col("node").alias("dst"), F.col("shingles").alias("b"))
+    both = F.size(F.array_intersect("a", "b"))
+    near = both >= F.lit(least) * (F.size("a") + F.size("b") - both)
+    return edges.join(a, "src").join(b, "dst").select("src", "dst", near.alias("near"))
+
+
+def near_components(nodes: DataFrame, sets_of, agree: int, least: float) -> DataFrame:
+    """node and component of the nodes that have links. Candidates span all pairs worth a look; one that fails the
+    exact test may have stood for others, so its group is searched again without the pairs already tested, with more
+    candidates each round, until no pair of two components is left."""
+    active = nodes.withColumn("component", F.col("node")).withColumn("failed", F.lit(None).cast("array<long>"))
+    seen, sets, extra = None, None, 0
+    while True:
+        edges = staged(candidates(active, agree, extra), "candidates")
+        if seen is not None and edges.isEmpty():
+            break
+        if sets is None:
+            sets = staged(sets_of(edges.select(F.col("src").alias("node")).union(edges.select("dst")).distinct()), "shingle-sets")
+        tested = staged(judged(edges, sets, least), "judged")
+        seen = tested if seen is None else seen.union(tested)
+        bad = seen.filter("not near")
+        if bad.isEmpty():
+            break
+        whole = components(seen.select("src", "dst")).select("node", F.col("component").alias("cluster"))
+        own = components(seen.filter("near").select("src", "dst"))
+        label = staged(whole.join(own, "node", "left").select("node", "cluster", F.coalesce("component", "node").alias("component")), "components")
+        split = label.groupBy("cluster").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("cluster")
+        lost = bad.select(F.col("src").alias("node"), F.col("dst").alias("o")).union(bad.select(F.col("dst"), F.col("src"))).groupBy("node").agg(F.collect_set("o").alias("failed"))
+        active = nodes.join(label.join(split, "cluster", "left_semi").select("node", "component"), "node").join(lost, "node", "left")
+        active = staged(active.select(*nodes.columns, "component", "failed"), "active")
+        if active.isEmpty():
+            break
+        extra = 16 * max(1, extra)
+    return components(seen.filter("near").select("src", "dst"))
+
+
+def one_of_each(docs: DataFrame, series: int = SERIES, size: int = 5, agree: int = AGREE, least: float = SIMILAR) -> DataFrame:
     """The rows of ``docs``, one of each group of near-duplicates (the smallest doc_id; equal rows count once).
 
-    Equal texts are one class. Classes are compared by fingerprints of their distinct words, which few edits hardly
-    move; a link needs one of the ``series`` within the budget, and shingles of ``size`` words whose long fingerprints
-    differ in at most ``agree`` bits. For sets of shingles, a Jaccard similarity of 0.8 is a cosine of 0.89 and 77 of
-    512 bits on average, so the default lets nearly all such pairs pass."""
-    keyed = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).select("doc_id", F.unhex(F.sha2("text", 256)).alias("key"), "text")
+    Texts of one set of shingles of ``size`` words (they may differ in case, blanks and repeats) are one class. Two
+    classes are linked if the Jaccard similarity of their sets is at least ``least``, by an exact test of the pairs that
+    agree in one of the ``series`` fingerprints within the budget. A fingerprint is made of the three shingles that come
+    first in one random order, so a pair of similarity 0.8 has the same one with chance 0.5, and none of 8 with 0.005.
+    Long fingerprints of shingles must differ in at most ``agree`` of 512 bits; 78 are the mean of a pair at 0.8."""
+    keyed = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).select("doc_id", F.unhex(F.sha2("text", 256)).alias("own"), "text")
     prints = wide_prints(keyed, series, size)
-    classes = prints.groupBy("key").agg(F.min("doc_id").alias("first"), F.first("prints").alias("prints"), F.first("proof").alias("proof"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "own")).alias("least")
+    classes = prints.groupBy("key").agg(first, F.first("prints").alias("prints"), F.first("proof").alias("proof"))
     classes = staged(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     nodes = classes.select("node", F.posexplode("prints").alias("series", "print"), "proof")
-    found = components(links(nodes, agree=agree))
-    member = classes.select("node", "key", "first").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    kept = member.groupBy("component").agg(F.min(F.struct(F.col("first").isNull().alias("unknown"), "first", "key")).alias("least"))
-    kept = kept.select(F.col("least.first").alias("_first"), F.col("least.key").alias("_key"))
+    rep = classes.select("node", F.col("least.own").alias("_own"), F.col("least.doc_id").alias("_first"))
+    found = near_components(nodes, lambda wanted: shingle_sets(keyed, rep.join(wanted, "node", "left_semi"), size), agree, least)
+    member = classes.select("node", "least").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    kept = member.groupBy("component").agg(F.min("least").alias("least"))
+    kept = kept.select(F.col("least.doc_id").alias("_first"), F.col("least.own").alias("_key"))
     joined = whole_rows(docs).join(kept, (F.col("own") == F.col("_key")) & F.col("id").eqNullSafe(F.col("_first")))
     return joined.dropDuplicates(["own", "id"]).select("row.*")
