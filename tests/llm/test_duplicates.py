@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 from tests.llm.conftest import prose
@@ -206,6 +207,26 @@ def test_block_edits_are_near_copies(table):
     assert len(set(got) ^ set(want)) <= 2, (got, want)  # a pair at 0.8 is missed by all series with chance 0.005
 
 
+def test_copies_in_other_case_and_blanks_are_one_class(spark, table):
+    base = prose(77, 50).split()
+    draw = random.Random(3)
+    pairs = [(k, draw.choice([" ", "  ", "\n"]).join(w.upper() if draw.random() < 0.5 else w for w in base)) for k in range(300)]
+    keyed = spark.createDataFrame([(i, str(i).encode(), t) for i, t in pairs], "doc_id long, own binary, text string")
+    assert simhash.wide_prints(keyed, simhash.SERIES, 5).select("key").distinct().count() == 1
+    assert [r.doc_id for r in simhash.one_of_each(table(pairs)).collect()] == [0]
+
+
+def test_large_sets_of_equal_prints_are_cut(monkeypatch):
+    monkeypatch.setattr(simhash, "FRONTIER", 50)
+    sizes = []
+    found = set()
+    for i, j in simhash.products(np.array([0, 40]), np.array([40, 43]), np.array([0, 50]), np.array([40, 60])):
+        sizes.append(len(i))
+        found |= set(zip(i.tolist(), j.tolist()))
+    assert found == {(a, b) for a in range(40) for b in range(a + 1, 40)} | {(a, b) for a in range(40, 43) for b in range(50, 60)}
+    assert max(sizes) <= 100 and sum(sizes) == len(found)
+
+
 def test_lightest_forest():
     draw = np.random.default_rng(5)
     for _ in range(30):
@@ -215,3 +236,24 @@ def test_lightest_forest():
         for most in range(9):
             under = chosen[weight[chosen] <= most]
             assert roots(20, zip(i[under], j[under])) == roots(20, [(a, b) for a, b, w in zip(i, j, weight) if w <= most])
+
+
+def test_rows_of_equal_prints_meet_their_leader_only(monkeypatch):
+    n, looks = 3000, []
+    proof = np.random.default_rng(1).integers(0, 256, (2, 64), np.uint8)
+    table = pa.table(
+        {
+            "part": pa.array([0] * n, pa.int32()),
+            "value": pa.array([5] * n, pa.int64()),
+            "turned": pa.array([77] * n, pa.int64()),
+            "node": pa.array(range(n), pa.int64()),
+            "proof": [proof[k % 2].tobytes() for k in range(n)],
+            "component": pa.array(range(n), pa.int64()),
+            "failed": pa.array([None] * n, pa.list_(pa.int64())),
+        }
+    )
+    look = simhash.Search.look
+    monkeypatch.setattr(simhash.Search, "look", lambda self, i, j, most: looks.append(len(i)) or look(self, i, j, most))
+    src, dst = simhash.Search(table, 128, 0).run()
+    assert roots(n, zip(src.tolist(), dst.tolist())) == [k % 2 for k in range(n)]
+    assert max(looks) <= 2 * simhash.FRONTIER and len(src) == n - 2

@@ -330,6 +330,26 @@ class Search:
         chosen = lightest_forest(self.root, i, j, bits)
         self.held, self.waiting = [(i[chosen], j[chosen], bits[chosen])], 0
 
+    def leaf(self, start: int, end: int) -> list[np.ndarray]:
+        """Large sets of equal prints: rows close to a leader are tied to it, so that only the others meet all."""
+        tied, rows = [], np.arange(start, end)
+        rest = rows
+        while len(rest) > 1:
+            i, j, _ = self.look(np.full(len(rest) - 1, rest[0]), rest[1:], CLOSE)
+            forest(self.n, i, j, self.root)
+            tied.append(np.stack([i, j]))
+            few = 16 * len(i) < len(rest)
+            rest = rest[1:][self.root[rest[1:]] != self.root[rest[0]]]
+            if few:  # leaders only save work: all that they do not tie is compared below
+                break
+        names, counts = np.unique(self.root[rows], return_counts=True)
+        few = self.root[rows] != names[counts.argmax()]
+        few, lot = rows[few], rows[~few]
+        both = np.r_[few, lot]
+        for x, y in products(np.array([0]), np.array([len(few)]), np.array([0]), np.array([len(both)])):
+            self.add(both[x], both[y])
+        return tied
+
     def run(self) -> tuple[np.ndarray, np.ndarray]:
         change = np.r_[True, self.prints[1:] != self.prints[:-1]]
         change[self.starts] = True
@@ -337,7 +357,9 @@ class Search:
         run_end = np.r_[run_start[1:], self.n]
         # Equal prints are in the same group in every block, so they are paired in the first alone.
         several = (run_end - run_start > 1) & self.first_block[run_start]
-        small, tied = several, []
+        large = several & (run_end - run_start > 64)
+        tied = [x for a, b in zip(run_start[large], run_end[large]) for x in self.leaf(int(a), int(b))]
+        small = several & ~large
         for i, j in products(run_start[small], run_end[small], run_start[small], run_end[small]):
             self.add(i, j)
         first, last = np.searchsorted(run_start, self.starts), np.searchsorted(run_start, self.ends)
