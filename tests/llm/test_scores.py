@@ -234,3 +234,15 @@ def test_pipeline(spark, sf_dir):
     assert pieces.select("doc_id").distinct().count() == n
     sizes = pieces.groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()
     assert all(r.n <= 1024 and r.n & (r.n - 1) == 0 for r in sizes)
+
+
+def test_distinct_words_count_in_the_whole_text():
+    words = [f"w{k}" for k in range(200)]
+    junk = ["junk", "words"] * 400
+    assert quality.window_shares([]) == [0.0] and quality.window_shares(words[:3]) == [1.0]
+    assert quality.window_shares(words + junk[:100]) == [1.0, (100 + 2) / 200]
+    assert quality.window_shares(words + words) == [1.0, 1.0]
+    assert quality.window_shares(words + junk) == quality.window_shares(junk + words)[::-1] == [1.0, *[0.01] * 4]
+    clean, spoiled = (dict(zip(quality.NAMES, quality.features(" ".join(x)))) for x in (words, words + junk))
+    windows = [n for n in quality.NAMES if n.startswith("distinct_")]
+    assert all(spoiled[n] < 0.6 * clean[n] for n in windows)

@@ -35,10 +35,16 @@ _MARKS = {c: ord(c) for c in "!|.,?#$%&*@=<>{}[]()/\\\"'-:;_+~^"}
 NAMES = [
     *("upper", "digits", "high_bytes", "lines", "marks"),
     *(f"mark {c}" for c in _MARKS),
-    *("repeats", "distinct", "distinct_capped", "repeated_lines", "word_length", "longest_word", "capitalised", "mark_ends", "packed", "log_words", "short", "empty"),
+    *("repeats", "distinct", "distinct_windows", "distinct_least", "repeated_lines", "word_length", "longest_word", "capitalised", "mark_ends", "packed", "log_words", "short", "empty"),
 ]
 
 
+def window_shares(words: list[str], size: int = 200) -> list[float]:
+    """The share of different words in each window of ``size`` words, one after the other; the last ends with the text."""
+    starts = [*range(0, len(words) - size, size), max(0, len(words) - size)]
+    return [len(set(words[a : a + size])) / max(1, len(words[a : a + size])) for a in starts]
+
+
 def features(text: str) -> list[float]:
     """A fixed set of figures about one text; shares are spread by a square root."""
     raw = text.encode()
@@ -48,7 +54,7 @@ def features(text: str) -> list[float]:
     lines = [line for line in text.split("\n") if line.strip()]
     letters = counts[_UPPER].sum() + counts[_LOWER].sum() + counts[128:].sum()
     marks = [counts[b] / n for b in _MARKS.values()]
-    first = words[:200] if len(words) > 200 else words
+    distinct = window_shares(words)
     shares = [
         counts[_UPPER].sum() / max(1, letters),
         counts[_DIGIT].sum() / size,
@@ -58,7 +64,8 @@ def features(text: str) -> list[float]:
         *marks,
         sum(map(eq, words, words[1:])) / n,
         len(set(words)) / n,
-        len(set(first)) / max(1, len(first)),
+        sum(distinct) / len(distinct),
+        min(distinct),
         1 - len(set(lines)) / max(1, len(lines)),
         (len(raw) - len(words)) / n / 10,
         max(map(len, words), default=0) / 100,
