@@ -246,3 +246,15 @@ def test_distinct_words_count_in_the_whole_text():
     clean, spoiled = (dict(zip(quality.NAMES, quality.features(" ".join(x)))) for x in (words, words + junk))
     windows = [n for n in quality.NAMES if n.startswith("distinct_")]
     assert all(spoiled[n] < 0.6 * clean[n] for n in windows)
+
+
+def test_search_counts_words_beyond_16_bits(spark):
+    texts = ["often " * 70_000 + "other", "often " * 1_000_000, "often other words", "often often", "rare words"] + [f"w{k} x y" for k in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [(r.doc_id, r.score) for r in search.search(docs, F.col("doc_id") == 3).orderBy("rank").collect()]
+    found = [Counter(t.split()) for t in texts]
+    n, mean = len(texts), sum(c.total() for c in found) / len(texts)
+    df = sum(c["often"] > 0 for c in found)
+    want = {i: math.log1p((n - df + 0.5) / (df + 0.5)) * c["often"] * 2.2 / (c["often"] + 1.2 * (0.25 + 0.75 * c.total() / mean)) for i, c in enumerate(found) if c["often"]}
+    assert [i for i, _ in got] == sorted(want, key=lambda i: (-want[i], i))
+    assert [s for _, s in got] == pytest.approx([want[i] for i, _ in got], rel=1e-12)

@@ -38,16 +38,19 @@ def terms(text: str) -> np.ndarray:
 
 
 def build_index(docs: DataFrame) -> DataFrame:
-    """One row per shard: ids and lengths of its documents, its terms, where their postings end, and the postings."""
+    """One row per shard: ids and lengths of its documents, its terms, where their postings end, and the postings;
+    ``over`` has the places and values of term frequencies beyond 16 bits."""
 
     def pack(ids: list, found: list[np.ndarray], kind):
         sizes = np.array([*map(len, found)], np.int64)
         names, place = np.unique(np.concatenate(found), return_inverse=True)
         key, tf = np.unique(place * SHARD + np.repeat(np.arange(len(found)), sizes), return_counts=True)
         ends = np.cumsum(np.bincount(key // SHARD, minlength=len(names)))
-        values = [ids, sizes.astype(np.int32), names, ends.astype(np.int32), (key % SHARD).astype(np.uint16), np.minimum(tf, 65535).astype(np.uint16)]
+        over = np.flatnonzero(tf > 65535)
+        high = np.stack([over, tf[over]]).astype(np.int64)
+        values = [ids, sizes.astype(np.int32), names, ends.astype(np.int32), (key % SHARD).astype(np.uint16), np.minimum(tf, 65535).astype(np.uint16), high]
         blobs = [pa.array([v.tobytes()], pa.binary()) for v in values[1:]]
-        return pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(kind)), *blobs], names=["ids", "lengths", "terms", "ends", "docs", "tf"])
+        return pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(kind)), *blobs], names=["ids", "lengths", "terms", "ends", "docs", "tf", "over"])
 
     def run(batches):
         ids, found, kind = [], [], None
@@ -64,7 +67,7 @@ def build_index(docs: DataFrame) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     known = texts(docs).filter(F.col("doc_id").isNotNull())
-    return known.mapInArrow(run, f"ids array<{kind}>, lengths binary, terms binary, ends binary, docs binary, tf binary")
+    return known.mapInArrow(run, f"ids array<{kind}>, lengths binary, terms binary, ends binary, docs binary, tf binary, over binary")
 
 
 def frequencies(index: DataFrame) -> DataFrame:
@@ -101,6 +104,9 @@ class Shard:
         self.terms, ends = read("terms", np.int64), read("ends", np.int32).astype(np.int64)
         self.docs = read("docs", np.uint16).astype(np.int64)
         tf = read("tf", np.uint16).astype(float)
+        if row.get("over"):
+            place, count = read("over", np.int64).reshape(2, -1)
+            tf[place] = count
         self.impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.docs] / mean))
         self.n, self.blocks = len(lengths), -(-len(lengths) // BLOCK)
         # A cell is a term's postings within a block.
