@@ -258,3 +258,10 @@ def test_search_counts_words_beyond_16_bits(spark):
     want = {i: math.log1p((n - df + 0.5) / (df + 0.5)) * c["often"] * 2.2 / (c["often"] + 1.2 * (0.25 + 0.75 * c.total() / mean)) for i, c in enumerate(found) if c["often"]}
     assert [i for i, _ in got] == sorted(want, key=lambda i: (-want[i], i))
     assert [s for _, s in got] == pytest.approx([want[i] for i, _ in got], rel=1e-12)
+
+
+def test_rare_blocked_urls_are_in_the_sample(spark):
+    rows = [(k, f"http://a.com/{'en' if k % 500 == 0 else 'fr'}/{k}", "") for k in range(2_000)]
+    parts = urls.with_parts(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = Counter(r.verdict for r in urls.weak_labels(parts, [urls.Rule("block", "com", "/en/")], most=20).collect())
+    assert got == {"block": 4, "allow": 10}

@@ -3,8 +3,8 @@
 Only DataFrame functions and Spark's own logistic regression are used. A labelled URL table of at most
 ``MAX_LABELLED`` rows trains the model; scoring is a projection over the pages, without a shuffle.
 
-``weak_labels`` makes such a table from pages that rules judge: URLs that a rule blocks count as block, a bounded
-sample of all others as allow (positive and unlabelled examples), so the model blocks what looks like blocked URLs.
+``weak_labels`` makes such a table from pages that rules judge: URLs that a rule blocks count as block, all others as
+allow, a bounded sample of each (positive and unlabelled examples), so the model blocks what looks like blocked URLs.
 
 Edge cases: a null URL, or one without ``://``, has empty host and path and is judged by the model like any other
 pair; equal URLs get equal verdicts; a labelled table that is empty or knows one verdict only allows everything; other
@@ -73,10 +73,13 @@ def features(parts: DataFrame) -> DataFrame:
 
 
 def weak_labels(parts: DataFrame, rules: list[Rule], most: int = MAX_LABELLED) -> DataFrame:
-    """host, path and verdict of at most ``most`` different URLs, those of the smallest hashes."""
+    """host, path and verdict of at most ``most`` different URLs: half of them blocked by a rule and half others, each
+    those of the smallest hashes, so that blocked URLs are found however rare they are."""
     verdict = F.when(first_fit(rules, "verdict") == "block", "block").otherwise("allow")
     known = parts.select("host", "path").groupBy("host", "path").agg(F.xxhash64("host", "path").alias("place"))
-    return known.orderBy("place", "host", "path").limit(most).select("host", "path", verdict.alias("verdict"))
+    known = known.withColumn("verdict", verdict)
+    chosen = [known.filter(F.col("verdict") == v).orderBy("place", "host", "path").limit(most // 2) for v in ("block", "allow")]
+    return chosen[0].union(chosen[1]).select("host", "path", "verdict")
 
 
 def train(labelled: DataFrame) -> LogisticRegressionModel | None:
