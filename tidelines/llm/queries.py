@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelines.llm import bpe, digests, packing, quality, search, simhash, substring, token_counts, toxicity, urls
-from tidelines.llm.common import documents, labels, staged
+from tidelines.llm import bpe, digests, packing, quality, quantise, search, simhash, substring, token_counts, toxicity, urls, warc, whitening
+from tidelines.llm.common import documents, labels, shared_dir, staged
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -91,6 +92,29 @@ def packed(docs: DataFrame) -> DataFrame:
     return pieces.select("doc_id", "start", length, F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(embeddings(spark, sf_dir))
+    return white.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = quantise.compress(embeddings(spark, sf_dir))
+    return coded.withColumns({c: F.expr(f"try_cast({c} AS bigint)") for c in ("error", "label_error")})
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_archives(warc.with_types(pages), path)
+    read = warc.read_archives(spark, path)
+    page, refers_to = F.col("page").cast("bigint").alias("page_id"), F.col("refers_to_page").cast("bigint").alias("refers_to")
+    return read.select(page, "payload_bytes", "payload_digest", F.col("type").alias("record_type"), refers_to)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_url_filter": op2_url_filter,
@@ -102,8 +126,49 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_warc": op13_warc,
 }
 
+
+def _vector_codes_sql() -> str:
+    """Six rounds of all parts against all entries, then the last assignment."""
+    text = r"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, label, embedding FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), x AS MATERIALIZED (
+  SELECT r, (i - 1) // (len(embedding) // 8) AS p, (i - 1) % (len(embedding) // 8) AS j,
+         CAST(floor(4096 * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS v
+  FROM kept, unnest(range(1, len(embedding) + 1)) AS t(i)
+), firsts AS (
+  SELECT r, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY e < 16
+), c0 AS MATERIALIZED (
+  SELECT p, e, j, v FROM x JOIN firsts USING (r)
+)"""
+    for k in range(7):
+        text += f""", d{k} AS (
+  SELECT x.r, x.p, c.e, sum((x.v - c.v) * (x.v - c.v)) AS d FROM x JOIN c{k} c ON x.p = c.p AND x.j = c.j GROUP BY ALL
+), a{k} AS MATERIALIZED (
+  SELECT r, p, e, d FROM d{k} QUALIFY row_number() OVER (PARTITION BY r, p ORDER BY d, e) = 1
+)"""
+        if k < 6:
+            text += f""", m{k} AS (
+  SELECT x.p, a.e, x.j, CAST(floor(CAST(sum(x.v) AS DOUBLE) / count(*)) AS BIGINT) AS v
+  FROM x JOIN a{k} a ON x.r = a.r AND x.p = a.p GROUP BY ALL
+), c{k + 1} AS MATERIALIZED (
+  SELECT c.p, c.e, c.j, coalesce(m.v, c.v) AS v FROM c{k} c LEFT JOIN m{k} m ON c.p = m.p AND c.e = m.e AND c.j = m.j
+)"""
+    return text + """, coded AS (
+  SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a6 GROUP BY r
+), books AS (
+  SELECT sha256(string_agg(v, ',' ORDER BY p, e, j)) AS h FROM c6
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM kept JOIN coded USING (r), books
+"""
+
 ORACLES: dict[str, str] = {
     "op4_substring_dedup": r"""
 WITH w AS (
@@ -128,5 +193,17 @@ WITH w AS (
 SELECT w.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words, CAST(coalesce(removed.n, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(kept.kept, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (r) LEFT JOIN removed USING (r)
+""",
+    "op12_vector_codes": _vector_codes_sql(),
+    "op13_warc": """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, row_number() OVER (PARTITION BY coalesce(html, '') ORDER BY page_id NULLS LAST) AS k,
+         first_value(page_id) OVER (PARTITION BY coalesce(html, '') ORDER BY page_id NULLS LAST) AS earliest
+  FROM pages
+)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha256(h) AS payload_digest,
+       CASE WHEN k > 1 AND strlen(h) >= 100 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN k > 1 AND strlen(h) >= 100 THEN earliest END AS refers_to
+FROM p
 """,
 }
