@@ -44,6 +44,7 @@ def _parser() -> argparse.ArgumentParser:
         load.add_argument("--load-id", required=True)
         load.add_argument("--ingested-at", required=True)
         load.add_argument("--losses", help="folder for a report of lost files and documents; without it they end the job")
+        load.add_argument("--ledger", help="folder that notes loaded files, so that a repeated job loads new ones only")
     jobs.choices["bronze-to-silver"].add_argument("--checksums")
     jobs.choices["weather-to-silver"].add_argument("--numbers", help="Parquet table (number, stationID) of numbered files")
 
@@ -87,7 +88,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "combined-gold":
         print(run_combined_gold(spark, _generations(args.source), args.target, CombinedConfig(years=years), args.losses))
     elif args.job in ("bronze-to-silver", "weather-to-silver"):
-        load = {"data_source": args.data_source, "load_id": args.load_id, "ingested_at": args.ingested_at, "losses": args.losses}
+        load = {"data_source": args.data_source, "load_id": args.load_id, "ingested_at": args.ingested_at, "losses": args.losses, "ledger": args.ledger}
         load["stations"] = silver.read_stations(spark, args.stations) if args.stations else None
         if args.job == "bronze-to-silver":
             run_bronze_to_silver(spark, args.source, args.target, **load, checksums=args.checksums)

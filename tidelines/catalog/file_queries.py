@@ -13,8 +13,10 @@ from tidelines.panel import Panel
 from tidelines.plans.config import HourlyConfig
 from tidelines.plans.gold_jobs import run_hourly_gold
 from tidelines.plans.silver_jobs import run_bronze_to_silver
-from tidelines.session import scratch_dir
+from tidelines.session import scratch_dir, staged
 from tidelines.sources import bronze, inventory, silver
+from tidelines.sources.files import delete
+from tidelines.sources.ledger import Ledger
 from tidelines.streaming import panel_streams as ps
 
 _LOAD = {"data_source": "events", "load_id": "load-1", "ingested_at": "2024-02-01T00:00:00"}
@@ -31,6 +33,27 @@ def job_bronze_to_silver(spark, sf_dir):
     return s.select("stationID", "timestamp_unix_ms", *[r6(c) for c in _SILVER_COLS])
 
 
+@query("repeated_loads", _SILVER_SQL)
+def repeated_loads(spark, sf_dir):
+    """Half of the documents are loaded, then all of them, then all again; a load of the rest that was interrupted between
+    its write and its commit lies in between. Silver must hold what one load gives."""
+    root = scratch_dir(spark, "repeated")
+    docs = bronze_docs(spark, sf_dir)
+    even = F.col("event_id") % 2 == 0
+    paths = (f"{root}/bronze", f"{root}/silver")
+    ledger = f"{root}/ledger"
+    load = lambda number: run_bronze_to_silver(spark, *paths, **{**_LOAD, "load_id": f"load-{number}"}, ledger=ledger)
+    bronze.write_bronze(docs.filter(even).drop("event_id"), paths[0])
+    load(1)
+    bronze.write_bronze(docs.filter(~even).drop("event_id"), paths[0])
+    # What the job does up to the moment it is interrupted: begun and written, not committed.
+    Ledger(ledger).begin(spark, "load-2")
+    silver.write_silver(bronze.air_quality_silver(bronze.with_station(bronze.read_bronze(spark, paths[0])), **{**_LOAD, "load_id": "load-2"}), paths[1])
+    load(2)
+    s = load(3)
+    return s.select("stationID", "timestamp_unix_ms", *[r6(c) for c in _SILVER_COLS])
+
+
 @query(
     "silver_round_trip",
     f"""WITH {OBS} SELECT lpad(event_id::VARCHAR, 20, '0') AS record_hash, stationID, {TARGET},
@@ -74,17 +97,37 @@ def mixed_generations(spark, sf_dir):
     return back.select("record_hash", "stationID", TARGET, F.unix_micros("timestamp_utc").alias("at"))
 
 
-@query("checksum_verify", "SELECT * FROM (VALUES (false, 'unrecorded'), (true, 'ok')) AS t(stored_before, status)")
+@query(
+    "checksum_verify",
+    f"""WITH {OBS}, rows AS (SELECT timestamp_utc - to_years(CAST(event_id % 4 AS INTEGER)) AS stamp FROM obs), months AS (
+  SELECT DISTINCT year(stamp) AS year, strftime(stamp, 'year=%Y/month=%m') AS folder FROM rows), top AS (SELECT max(year) AS y FROM months)
+SELECT folder, CASE top.y - year WHEN 0 THEN 'mismatch' WHEN 1 THEN 'missing' ELSE 'ok' END AS status FROM months, top
+UNION ALL SELECT folder || '/more', 'unrecorded' FROM months, top WHERE year = top.y""",
+)
 def checksum_verify(spark, sf_dir):
+    """Checksums of Silver over several years are stored; then the last year is written anew with other contents, a folder
+    is added to it, and the year before is deleted."""
     root = scratch_dir(spark, "checksums")
-    silver.write_silver(silver_obs(spark, sf_dir), f"{root}/silver")
-    inventory.write_checksums(spark, f"{root}/silver", f"{root}/sums")
-    # A second load adds files without checksums.
-    silver.write_silver(silver_obs(spark, sf_dir), f"{root}/silver")
-    recorded = inventory.read_checksums(spark, f"{root}/sums")
-    status = inventory.verify_checksums(spark, f"{root}/silver", recorded)
-    stored = status.join(recorded.select("name", F.lit(True).alias("known")), "name", "left")
-    return stored.select(F.coalesce("known", F.lit(False)).alias("stored_before"), "status").distinct()
+    silver_dir = f"{root}/silver"
+    back = F.make_ym_interval((-(F.col("record_hash").cast("long") % 4)).cast("int"), F.lit(0))
+    rows = silver_obs(spark, sf_dir).withColumn("timestamp_utc", F.col("timestamp_utc") + back)
+    silver.write_silver(rows, silver_dir)
+    inventory.write_checksums(spark, silver_dir, f"{root}/sums")
+    stored = spark.read.parquet(silver_dir)
+    last = stored.agg(F.max("year")).first()[0]
+    altered = stored.filter(F.col("year") == last).withColumn("pipeline_version", F.lit("x"))
+    altered = staged(altered.withColumn("month", F.lpad("month", 2, "0")), "altered")
+    altered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(silver_dir)
+    for row in altered.select("month").distinct().collect():
+        altered.filter(F.col("month") == row["month"]).drop("year", "month").write.parquet(f"{silver_dir}/year={last}/month={row['month']}/more")
+    gone = stored.filter(F.col("year") == last - 1).select(F.col("_metadata.file_path").alias("file")).distinct()
+    delete(spark, [r["file"] for r in gone.collect()])
+    status = inventory.verify_checksums(spark, silver_dir, inventory.read_checksums(spark, f"{root}/sums"))
+    # New files have new names; by folder, old and new ones are the same file.
+    folder = F.regexp_replace("name", "/[^/]*$", "").alias("folder")
+    seen = status.groupBy(folder).agg(F.collect_set("status").alias("s"))
+    altered_in_place = F.array_contains("s", "missing") & F.array_contains("s", "unrecorded")
+    return seen.select("folder", F.when(altered_in_place, F.lit("mismatch")).otherwise(F.element_at("s", 1)).alias("status"))
 
 
 @query("stream_bronze_to_silver", _SILVER_SQL)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,15 +11,52 @@ from pyspark.sql import types as T
 from tidelines.operators.planning import periods, remaining, work_list
 from tidelines.operators.quality import column_profile, station_coverage, temporal_coverage
 from tidelines.schemas import AIR_QUALITY_BRONZE, CORRUPT, WEATHER_BRONZE
+from tidelines.session import staged
 from tidelines.sources import bronze, inventory, silver
+from tidelines.sources.files import list_files
 from tidelines.sources.footers import accept
+from tidelines.sources.ledger import Ledger
+
 
+def _sound_documents(
+    spark: SparkSession, source: str, schema: T.StructType, losses: str | None, numbered: DataFrame | None, only: DataFrame | None
+) -> DataFrame:
+    """Well-formed documents with their station. Losses are an error, or go to the report ``losses``.
 
-def _sound_documents(spark: SparkSession, source: str, schema: T.StructType, losses: str | None, numbered: DataFrame | None) -> DataFrame:
-    """Well-formed documents with their station. Losses are an error, or go to the report ``losses``."""
-    lost = accept(bronze.losses(spark, source, schema), losses)
-    docs = bronze.with_station(bronze.read_bronze(spark, source, schema, skip_broken=lost), numbered)
-    return docs.filter(F.col(CORRUPT).isNull())
+    Bronze is read once: its documents are stored in the shared folder, where losses are counted before any row is loaded.
+    """
+    docs = staged(bronze.scan_documents(spark, source, schema, only), "documents")
+    accept(bronze.losses_of(docs), losses)
+    sound = docs.filter(F.col("reason").isNull() & F.col(CORRUPT).isNull()).drop("reason")
+    return bronze.with_station(sound, numbered)
+
+
+def _load(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    schema: T.StructType,
+    to_rows: Callable[[DataFrame], DataFrame],
+    load_id: str,
+    losses: str | None,
+    numbered: DataFrame | None,
+    ledger: str | None,
+) -> None:
+    """Append the documents of ``source`` to ``target``; with a ledger only those of files no complete load has read,
+    after removing what an interrupted load has left."""
+    if ledger is None:
+        silver.write_silver(to_rows(_sound_documents(spark, source, schema, losses, numbered, None)), target)
+        return
+    book = Ledger(ledger)
+    book.withdraw(spark, target)
+    # Written once: files that arrive while the load runs belong to the next one.
+    files = staged(book.pending(spark, list_files(spark, source, "*.json*").select("path", "length")), "pending")
+    if files.isEmpty():
+        return
+    docs = _sound_documents(spark, source, schema, losses, numbered, files)
+    book.begin(spark, load_id)
+    silver.write_silver(to_rows(docs), target)
+    book.commit(spark, load_id, files)
 
 
 def run_bronze_to_silver(
@@ -31,17 +70,16 @@ def run_bronze_to_silver(
     stations: DataFrame | None = None,
     checksums: str | None = None,
     losses: str | None = None,
+    ledger: str | None = None,
 ) -> DataFrame:
     """Load Bronze air-quality documents into Silver and return the Silver table.
 
     Broken files and malformed documents end the job before it writes, unless ``losses`` names a folder: then they are
-    left out and listed there, with their numbers.
+    left out and listed there, with their numbers. With ``ledger`` (a folder) the job can be repeated: files it has loaded
+    are passed over, and rows of a load that was interrupted are removed first.
     """
-    docs = _sound_documents(spark, source, AIR_QUALITY_BRONZE, losses, None)
-    rows = bronze.air_quality_silver(
-        docs, data_source=data_source, load_id=load_id, ingested_at=ingested_at, stations=stations
-    )
-    silver.write_silver(rows, target)
+    names = {"data_source": data_source, "load_id": load_id, "ingested_at": ingested_at, "stations": stations}
+    _load(spark, source, target, AIR_QUALITY_BRONZE, lambda docs: bronze.air_quality_silver(docs, **names), load_id, losses, None, ledger)
     if checksums:
         inventory.write_checksums(spark, target, checksums)
     return silver.read_air_quality(spark, [silver.Generation(target)])
@@ -58,12 +96,12 @@ def run_weather_to_silver(
     stations: DataFrame | None = None,
     numbered: DataFrame | None = None,
     losses: str | None = None,
+    ledger: str | None = None,
 ) -> DataFrame:
     """Load Bronze weather documents into Silver and return the Silver table; ``numbered`` (number, stationID) names
-    the stations of numbered files."""
-    docs = _sound_documents(spark, source, WEATHER_BRONZE, losses, numbered)
-    rows = bronze.weather_silver(docs, data_source=data_source, load_id=load_id, ingested_at=ingested_at, stations=stations)
-    silver.write_silver(rows, target)
+    the stations of numbered files. ``losses`` and ``ledger`` as for air quality."""
+    names = {"data_source": data_source, "load_id": load_id, "ingested_at": ingested_at, "stations": stations}
+    _load(spark, source, target, WEATHER_BRONZE, lambda docs: bronze.weather_silver(docs, **names), load_id, losses, numbered, ledger)
     return silver.read_weather(spark, target)
 
 

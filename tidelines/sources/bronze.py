@@ -21,7 +21,7 @@ from tidelines.schemas import (
     WEATHER_SILVER,
     WEATHER_VARIABLES,
 )
-from tidelines.sources.footers import broken_gzip
+from tidelines.sources.files import read_lines
 
 # batch_<date>_<batch>_<station>.json.gz and batch_<date>_<station number>.json.gz.
 STATION_IN_NAME = r"batch_\d{8}_[^_/]+_(.+)\.json(?:\.gz)?$"
@@ -51,14 +51,24 @@ def parse_bronze(df: DataFrame, text: str, schema: T.StructType = AIR_QUALITY_BR
     return df.withColumn("_doc", parsed).select(*df.columns, "_doc.*")
 
 
+def scan_documents(spark: SparkSession, path: str, schema: T.StructType = AIR_QUALITY_BRONZE, only: DataFrame | None = None) -> DataFrame:
+    """All documents of a folder and what is lost, in one pass: beside the columns of ``read_bronze`` a row has a null
+    ``reason``, unless it stands for a file that could not be unpacked to its end. The whole documents before such a
+    fault are among the rows. ``only`` (path) limits the files."""
+    texts = read_lines(spark, path, "*.json*", only).withColumn("text", F.col("text").cast("string"))
+    return parse_bronze(texts, "text", schema).drop("text")
+
+
+def losses_of(documents: DataFrame) -> DataFrame:
+    """Broken or cut files (reason) and the number of malformed documents per file, from ``scan_documents``."""
+    broken = documents.filter("reason IS NOT NULL").select("file_path", "reason", F.lit(None).cast("long").alias("documents"))
+    malformed = documents.filter(F.col(CORRUPT).isNotNull()).groupBy("file_path").agg(F.count(F.lit(1)).alias("documents"))
+    return broken.unionByName(malformed.select("file_path", F.lit("malformed documents").alias("reason"), "documents"))
+
+
 def losses(spark: SparkSession, path: str, schema: T.StructType = AIR_QUALITY_BRONZE) -> DataFrame:
-    """What a load would lose, per file: broken or cut files (reason), and the number of malformed documents."""
-    docs = read_bronze(spark, path, schema, skip_broken=True)
-    # Spark reads the text of malformed documents only together with another column of the file.
-    another = F.length(F.concat_ws("", "stationID")) >= 0
-    malformed = docs.filter(F.col(CORRUPT).isNotNull() & another).groupBy("file_path").agg(F.count(F.lit(1)).alias("documents"))
-    counted = malformed.select("file_path", F.lit("malformed documents").alias("reason"), "documents")
-    return broken_gzip(spark, path).unionByName(counted)
+    """What a load would lose, per file."""
+    return losses_of(scan_documents(spark, path, schema).select("file_path", "reason", CORRUPT))
 
 
 def station_from_path(path: str = "file_path") -> Column:
@@ -249,8 +259,10 @@ __all__ = [
     "check_summary",
     "has_wind_components",
     "losses",
+    "losses_of",
     "parse_bronze",
     "read_bronze",
+    "scan_documents",
     "station_from_path",
     "unnest_hourly",
     "weather_silver",

@@ -6,28 +6,10 @@ import re
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_FILES = "path string, length bigint"
-
-
-def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Files below a folder with their size; contents are not read. A missing folder is empty."""
-    try:
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", glob)
-            .load(path)
-        )
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], _FILES)
-    return files.select("path", "length")
-
+from tidelines.sources.files import digests, list_files
 
 def layer_inventory(spark: SparkSession, layers: Mapping[str, str], glob: str = "*") -> DataFrame:
     """Per layer: existence, files, bytes and folders that hold files."""
@@ -55,11 +37,8 @@ def _relative(file_path: Column, root: str) -> Column:
 
 
 def checksums(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
-    """md5 per file. Each task hashes whole files, so one file must fit the 2 GB limit of a binary value."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
-    )
-    return files.select(_relative(F.col("path"), path).alias("name"), F.md5("content").alias("md5"))
+    """md5 per file, of any size: a task reads its files a block at a time."""
+    return digests(spark, path, glob).select(_relative(F.col("path"), path).alias("name"), "md5")
 
 
 def write_checksums(spark: SparkSession, path: str, target: str) -> None:

@@ -18,7 +18,8 @@ from tidelines.schemas import (
     WEATHER_SILVER,
 )
 from tidelines.session import staged
-from tidelines.sources.footers import accept, has_files, parquet_types
+from tidelines.sources.files import has_files, ranged
+from tidelines.sources.footers import accept, parquet_types, read_row_groups
 
 
 def _reader(spark: SparkSession, schema: T.StructType):
@@ -68,10 +69,9 @@ def allow_nanoseconds(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
 
 
-def _scan(spark: SparkSession, paths: list[str], ingestion: str, nanos: bool, base: str | None = None) -> DataFrame:
+def _stored(ingestion: str, nanos: bool) -> T.StructType:
+    """Columns of one class of files as they are stored, under every name a pollutant has had."""
     kinds = {"timestamp": T.TimestampType(), "timestamp_ntz": T.TimestampNTZType(), "string": T.StringType()}
-    if nanos or ingestion.endswith("_nanos"):
-        allow_nanoseconds(spark)
     fields = []
     for f in AIR_QUALITY_SILVER.fields:
         kind = f.dataType
@@ -80,31 +80,58 @@ def _scan(spark: SparkSession, paths: list[str], ingestion: str, nanos: bool, ba
         if f.name == "timestamp_utc" and nanos:
             kind = T.LongType()
         fields.append(T.StructField(f.name, kind))
-    fields += [T.StructField(short, T.DoubleType()) for short in SHORT_TO_LONG]
-    reader = _reader(spark, _with_partitions(T.StructType(fields)))
+    return T.StructType([*fields, *(T.StructField(short, T.DoubleType()) for short in SHORT_TO_LONG)])
+
+
+def _scan(spark: SparkSession, paths: list[str], ingestion: str, nanos: bool, base: str | None = None) -> DataFrame:
+    if nanos or ingestion.endswith("_nanos"):
+        allow_nanoseconds(spark)
+    reader = _reader(spark, _with_partitions(_stored(ingestion, nanos)))
     return (reader.option("basePath", base) if base else reader).parquet(*paths)
 
 
-def read_generations(spark: SparkSession, generation: Generation, losses: str | None = None) -> list[DataFrame]:
+def _partition(name: str) -> Column:
+    return F.regexp_extract("file_path", f"/{name}=([0-9]+)/", 1).try_cast("int").alias(name)
+
+
+def _apart(spark: SparkSession, generation: Generation, kinds: DataFrame, ingestion: str, nanos: bool, years: list[int] | None) -> DataFrame:
+    """The rows of one class of files among others in the same folders, read row group by row group."""
+    files = kinds.filter((F.col("ingestion") == ingestion) & (F.col("nanos") == F.lit(nanos)) & ~F.col("bad"))
+    if years is not None:
+        files = files.filter(_partition("year").isin(years))
+    if not ranged(spark, generation.path):
+        # Storage that tasks cannot open: Spark reads the files by name, which the driver must hold.
+        return _scan(spark, sorted(r["file_path"] for r in files.select("file_path").collect()), ingestion, nanos, generation.path)
+    rows = read_row_groups(files, _stored(ingestion, nanos))
+    return rows.select(*_stored(ingestion, nanos).names, _partition("year"), _partition("month"))
+
+
+def read_generations(spark: SparkSession, generation: Generation, losses: str | None = None, years: Iterable[int] | None = None) -> list[DataFrame]:
     """Scans of one folder, one for each combination of stored types, with every known column name.
 
-    Broken files are an error, or are left out and written to the report ``losses``. Folders of one kind are read as
-    folders, so only mixed ones are listed file by file.
+    Types come from the footers. A folder of files of one kind is read as that folder; where kinds are mixed, or a file is
+    broken, tasks read the row groups of each kind. So the driver holds the names of folders at most, and none if all
+    files are of one kind. Broken files are an error, or are left out and written to the report ``losses``.
     """
     if generation.ingestion is not None:
         return [_scan(spark, [generation.path], generation.ingestion, generation.nanos)]
+    wanted = None if years is None else list(years)
     found = staged(parquet_types(spark, generation.path, ["ingestion_timestamp_utc", "timestamp_utc"]), "footers")
     broken = found.filter("error IS NOT NULL").select("file_path", F.col("error").alias("reason"), F.lit(None).cast("long").alias("documents"))
     accept(broken, losses)
     ingestion = F.coalesce("ingestion_timestamp_utc", F.lit("timestamp")).alias("ingestion")
     nanos = F.coalesce(F.col("timestamp_utc").endswith("_nanos"), F.lit(False)).alias("nanos")
-    kinds = found.select("file_path", "folder", F.col("error").isNotNull().alias("bad"), ingestion, nanos)
-    per_folder = kinds.groupBy("folder").agg(F.count_distinct("bad", "ingestion", "nanos").alias("n"))
-    mixed = kinds.join(per_folder, "folder").filter("NOT bad")
-    place = F.when(F.col("n") == 1, F.col("folder")).otherwise(F.col("file_path"))
-    classes = mixed.groupBy("ingestion", "nanos").agg(F.collect_set(place).alias("places")).collect()
-    base = generation.path
-    return [_scan(spark, sorted(r["places"]), r["ingestion"], r["nanos"], base) for r in sorted(classes, key=lambda r: (r["ingestion"], r["nanos"]))]
+    kinds = found.select("file_path", "folder", "groups", F.col("error").isNotNull().alias("bad"), ingestion, nanos)
+    alike = F.count_distinct("bad", "ingestion", "nanos") == 1
+    one = kinds.agg(alike.alias("alike"), F.max("ingestion").alias("ingestion"), F.max("nanos").alias("nanos"), F.max("bad").alias("bad")).first()
+    if one["alike"] and not one["bad"]:
+        return [_scan(spark, [generation.path], one["ingestion"], one["nanos"])]
+    folders = staged(kinds.groupBy("folder").agg((alike & ~F.max("bad")).alias("alike")), "folders")
+    mixed = staged(kinds.join(folders.filter("NOT alike"), "folder", "left_semi"), "mixed")
+    whole = kinds.join(folders.filter("alike"), "folder", "left_semi").groupBy("ingestion", "nanos").agg(F.collect_set("folder").alias("folders"))
+    scans = [_scan(spark, sorted(r["folders"]), r["ingestion"], r["nanos"], generation.path) for r in whole.orderBy("ingestion", "nanos").collect()]
+    apart = mixed.filter("NOT bad").select("ingestion", "nanos").distinct().orderBy("ingestion", "nanos").collect()
+    return scans + [_apart(spark, generation, mixed, r["ingestion"], r["nanos"], wanted) for r in apart]
 
 
 def _utc(df: DataFrame, col: str) -> Column:
@@ -148,7 +175,7 @@ def read_air_quality(
         raise ValueError("at least one folder of air-quality files is needed")
     frames = []
     for generation in generations:
-        for df in read_generations(spark, generation, losses):
+        for df in read_generations(spark, generation, losses, years):
             if years is not None:
                 df = df.filter(F.col("year").isin(list(years)))
             frames.append(reconcile(df))
