@@ -1,6 +1,6 @@
 """All named queries and their SQL counterparts."""
 
-from tidelines.catalog import feature_queries, file_queries, table_queries
+from tidelines.catalog import feature_queries, file_queries, job_queries, table_queries
 from tidelines.catalog.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "feature_queries", "file_queries", "table_queries"]
+__all__ = ["ORACLES", "QUERIES", "feature_queries", "file_queries", "job_queries", "table_queries"]

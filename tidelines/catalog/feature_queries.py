@@ -27,8 +27,15 @@ from tidelines.operators.evaluate import banded_metrics, error_metrics, persiste
 from tidelines.operators.interpolate import interpolate
 from tidelines.operators.joins import merge_panels
 from tidelines.operators.normalise import add_normalised, fit, normalise_in_place, stats_frame
-from tidelines.operators.rank import ordinal_rank
-from tidelines.operators.splits import chronological_split, fixed_split, walk_forward_folds
+from tidelines.operators.rank import ordinal_rank, position_slice
+from tidelines.operators.splits import (
+    chronological_split,
+    fixed_split,
+    fold_normalised,
+    fold_statistics,
+    fold_tests,
+    walk_forward_folds,
+)
 from tidelines.operators.windows import (
     add_features,
     differences,
@@ -484,6 +491,57 @@ def ordinal_rank_query(spark, sf_dir):
     return ordinal_rank(obs(spark, sf_dir), "timestamp_utc", ["event_id"]).select("event_id", "rank")
 
 
+@query(
+    "position_slice",
+    f"""WITH {OBS}, r AS (SELECT event_id, row_number() OVER (ORDER BY timestamp_utc, event_id) - 1 AS place, count(*) OVER () AS n
+  FROM obs) SELECT event_id FROM r WHERE place >= n // 4 AND place < n // 2""",
+)
+def position_slice_query(spark, sf_dir):
+    """The second quarter of all rows by time."""
+    o = obs(spark, sf_dir)
+    n = o.count()
+    return position_slice(o, "timestamp_utc", ["event_id"], n // 4, n // 2).select("event_id")
+
+
+_FOLDS = f"""d AS (SELECT *, datediff('day', DATE '2024-01-03', CAST(timestamp_utc AS DATE)) AS day FROM obs),
+folds AS (SELECT unnest(range(0, 9)) AS fold), long AS (
+  SELECT day, unnest(['pm2_5_ugm3', 'temp_c']) AS feature, unnest([pm2_5_ugm3, temp_c]) AS value FROM d),
+stats AS (SELECT fold, feature, count(value) AS n, avg(value) AS mean, stddev_samp(value) AS std, min(value) AS lo, max(value) AS hi
+  FROM folds CROSS JOIN (SELECT DISTINCT feature FROM long) LEFT JOIN long USING (feature) WHERE day < (fold + 1) * 3 GROUP BY ALL)"""
+
+
+@query(
+    "fold_statistics",
+    f"""WITH {OBS}, {_FOLDS} SELECT CAST(fold AS INTEGER) AS fold, feature, n, round(mean, 6) AS mean, round(std, 6) AS std, round(lo, 6) AS min,
+  round(hi, 6) AS max FROM stats""",
+)
+def fold_statistics_query(spark, sf_dir):
+    s = fold_statistics(obs(spark, sf_dir), "timestamp_utc", "2024-01-03", 3, 9, [TARGET, "temp_c"])
+    return s.select("fold", "feature", "n", *[r6(c) for c in ("mean", "std", "min", "max")])
+
+
+@query(
+    "fold_metrics",
+    f"""WITH {OBS}, {_FOLDS}, t AS (SELECT d.*, fold FROM d JOIN folds ON day >= (fold + 1) * 3 AND day < (fold + 1) * 3 + 5),
+g AS (SELECT t.fold, s.mean AS predicted, {TARGET} AS actual, (temp_c - w.mean) / w.std AS scaled FROM t
+  JOIN stats s ON s.fold = t.fold AND s.feature = '{TARGET}' JOIN stats w ON w.fold = t.fold AND w.feature = 'temp_c' WHERE {TARGET} IS NOT NULL)
+SELECT CAST(fold AS INTEGER) AS fold, count(*) AS n, round(avg(abs(predicted - actual)), 6) AS mae,
+  round(sqrt(avg((predicted - actual) * (predicted - actual))), 6) AS rmse, round(avg(predicted - actual), 6) AS bias,
+  round(avg(scaled), 6) AS temp_c_norm FROM g GROUP BY fold""",
+)
+def fold_metrics(spark, sf_dir):
+    """Errors of the training mean on each fold's test days, and their temperature on the fold's own scale."""
+    where = ("timestamp_utc", "2024-01-03", 3, 9)
+    o = obs(spark, sf_dir)
+    stats = fold_statistics(o, *where, [TARGET, "temp_c"])
+    rows = fold_normalised(fold_tests(o, *where, 5).filter(f"{TARGET} IS NOT NULL"), stats, ["temp_c"])
+    means = stats.filter(F.col("feature") == TARGET).select("fold", F.col("mean").alias("predicted"))
+    rows = rows.join(F.broadcast(means), "fold").withColumn("actual", F.col(TARGET))
+    scaled = rows.groupBy("fold").agg(F.avg("temp_c_norm").alias("temp_c_norm"))
+    m = error_metrics(rows, ["fold"]).join(scaled, "fold")
+    return m.select("fold", "n", *[r6(c) for c in ("mae", "rmse", "bias", "temp_c_norm")])
+
+
 @query(
     "walk_forward_folds",
     f"""WITH {OBS}, d AS (SELECT event_id, datediff('day', DATE '2024-01-01', CAST(timestamp_utc AS DATE)) AS day FROM obs),

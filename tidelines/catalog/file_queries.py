@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidelines.catalog.derived import BRONZE, OBS, W, bronze_docs, obs, panel, silver_obs
+from tidelines.catalog.derived import BRONZE, OBS, W, bronze_docs, events, obs, panel, silver_obs
 from tidelines.catalog.feature_queries import TARGET
 from tidelines.catalog.registry import day, query, r6
 from tidelines.functions.records import any_time
@@ -168,11 +168,18 @@ def _event_stream(spark, sf_dir):
   min(value) AS value_min, max(value) AS value_max FROM events GROUP BY 1, 2""",
 )
 def stream_daily(spark, sf_dir):
+    """Events arrive in files of one week each, a micro-batch per file; days are finished as the watermark passes them."""
     root = scratch_dir(spark, "stream-daily")
-    days = ps.daily_means(_event_stream(spark, sf_dir), Panel("user_id", "ts"), ["value"])
-    ps.upsert_log(days, f"{root}/log", f"{root}/checkpoint").awaitTermination()
-    final = ps.latest_updates(spark, f"{root}/log", ["date", "user_id"])
-    return final.select(day(), "user_id", "rows", r6("value_mean"), "value_min", "value_max")
+    e = events(spark, sf_dir).select("user_id", "ts", "value")
+    week = F.trunc("ts", "week")
+    for row in e.select(week.alias("week")).distinct().orderBy("week").collect():
+        e.filter(week == F.lit(row.week)).coalesce(1).write.mode("append").parquet(f"{root}/arrivals")
+    days = ps.daily_means(ps.read_stream(spark, f"{root}/arrivals", e.schema, files_per_trigger=1), Panel("user_id", "ts"), ["value"])
+    ps.keep_days(days, f"{root}/days", f"{root}/checkpoint", ["date", "user_id"]).awaitTermination()
+    final = ps.read_days(spark, f"{root}/days")
+    last = e.agg(F.max("ts")).first()[0]
+    open_ = F.col("date") >= F.to_date(F.lit(last) - F.expr("INTERVAL 2 DAYS"))
+    return final.filter(F.col("closed") != open_).select(day(), "user_id", "rows", r6("value_mean"), "value_min", "value_max")
 
 
 @query("stream_dedupe", "SELECT DISTINCT user_id, epoch_us(ts) AS at_micros FROM events")
@@ -193,20 +200,21 @@ def stream_dedupe(spark, sf_dir):
 FROM obs WINDOW f AS ({W} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""",
 )
 def stream_features(spark, sf_dir):
-    """Weekly arrivals in time order; each week is completed with the last rows of the weeks before."""
+    """Rows arrive in shuffled order, in five parts; later parts correct what earlier ones have given. With a ring of
+    five rows most late rows are found in it, the others in the history."""
     root = scratch_dir(spark, "stream-features")
     o = obs(spark, sf_dir).select("event_id", "stationID", "timestamp_utc", TARGET)
-    week = F.trunc("timestamp_utc", "week")
-    for row in o.select(week.alias("week")).distinct().orderBy("week").collect():
-        o.filter(week == F.lit(row.week)).write.mode("append").parquet(f"{root}/arrivals")
-        ps.incremental_features(
-            ps.read_stream(spark, f"{root}/arrivals", o.schema),
-            panel(),
-            [lags([TARGET], [2]), rolling([TARGET], [3], ["mean"])],
-            f"{root}/features",
-            f"{root}/checkpoint",
-            f"{root}/history",
-        ).awaitTermination()
-    return spark.read.parquet(f"{root}/features").select(
-        "event_id", f"{TARGET}_lag_2h", r6(f"{TARGET}_rolling_mean_3h")
-    )
+    part = F.pmod(F.xxhash64("event_id"), F.lit(5))
+    for k in range(5):
+        o.filter(part == k).coalesce(1).write.mode("append").parquet(f"{root}/arrivals")
+    ps.incremental_features(
+        ps.read_stream(spark, f"{root}/arrivals", o.schema, files_per_trigger=1),
+        panel(),
+        [lags([TARGET], [2]), rolling([TARGET], [3], ["mean"])],
+        f"{root}/features",
+        f"{root}/checkpoint",
+        f"{root}/history",
+        late_rows=5,
+    ).awaitTermination()
+    final = ps.latest_updates(spark, f"{root}/features", ["event_id", "stationID", "timestamp_utc"])
+    return final.select("event_id", f"{TARGET}_lag_2h", r6(f"{TARGET}_rolling_mean_3h"))

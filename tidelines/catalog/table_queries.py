@@ -312,6 +312,21 @@ def entity_spans(spark, sf_dir):
     return s.select("stationID", moment("first_seen", "first_seen"), moment("last_seen", "last_seen"), "rows")
 
 
+@query(
+    "coverage_intervals",
+    f"""WITH {OBS}, t AS (SELECT stationID, timestamp_utc AS t, count(*) AS n FROM obs GROUP BY ALL),
+s AS (SELECT *, CASE WHEN t - lag(t) OVER w <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS new FROM t WINDOW w AS (PARTITION BY stationID ORDER BY t)),
+k AS (SELECT *, sum(new) OVER (PARTITION BY stationID ORDER BY t) AS no FROM s),
+i AS (SELECT stationID, no, min(t) AS a, max(t) AS b, CAST(sum(n) AS BIGINT) AS rows, count(*) AS times FROM k GROUP BY ALL)
+SELECT stationID, epoch_us(a) AS started_micros, epoch_us(b) AS ended_micros, rows, times,
+  round((epoch_us(lead(a) OVER (PARTITION BY stationID ORDER BY a)) - epoch_us(b)) / 1000000.0::DOUBLE, 6) AS gap_seconds FROM i""",
+)
+def coverage_intervals(spark, sf_dir):
+    c = q.coverage_intervals(obs(spark, sf_dir), "stationID", "timestamp_utc", "6 hours", "day")
+    micros = [F.unix_micros(x).alias(f"{x}_micros") for x in ("started", "ended")]
+    return c.select("stationID", *micros, "rows", "times", r6("gap_seconds"))
+
+
 @query(
     "split_inspection",
     f"""WITH {OBS}, {SPLIT} SELECT split, count(*) AS rows, strftime(min(timestamp_utc), '%Y-%m-%d') AS first,

@@ -42,7 +42,6 @@ def daily_weather(
     entity: str = "stationID",
     time: str = "timestamp_utc",
     ties: Sequence[str] = ("record_hash",),
-    resolution: str = "daily",
     shift_hours: float = 0,
     wind_mean: str = "degrees",
 ) -> DataFrame:
@@ -51,8 +50,6 @@ def daily_weather(
     ``first`` values are those of the earliest row. ``wind_mean="vector"`` averages the wind as a vector
     instead of averaging degrees; ``shift_hours`` moves the day boundary.
     """
-    if resolution != "daily":
-        raise ValueError(f"weather is only aggregated to days, not to {resolution!r}")
     ties = [t for t in ties if t in df.columns]
     direction = F.avg("wind_dir_deg")
     if wind_mean == "vector":

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelines.panel import SLICE, Panel, as_micros
+from tidelines.panel import as_micros
+from tidelines.session import staged
 
 _CELLS = 2048
 # A candidate set of this size is sorted directly.
@@ -141,27 +142,33 @@ def _hit(hist: DataFrame, rank: int) -> tuple[Row, int]:
     return hit, rank - (hit["upto"] - hit["n"])
 
 
+#: A row's place after a range exchange: partition number, then row number within it (monotonically_increasing_id).
+_ROW_BITS = 33
+
+
 def ordinal_rank(df: DataFrame, time: str, ties: list[str], name: str = "rank") -> DataFrame:
     """Position of every row in the order (time, ties) over the whole table, from 1.
 
-    Rows are numbered within time slices of bounded size; a slice's offset is the row count of all
-    earlier slices (one small row per slice).
+    Rows go to tasks by range, each task sorts its range and numbers its rows, and a range's offset is the row count of
+    all earlier ones (one small row per range). So the cost of a row depends neither on the number of ranges nor on how
+    times are spread: rows of equal keys may be divided among tasks. The numbered rows are stored before they are
+    counted, as both must see the same ranges.
     """
-    panel = Panel(entity=None, time=time, ties=tuple(ties)).fit(df, always=True)
-    sliced = df.withColumn(SLICE, F.lit(0)) if panel.slices is None else panel.slices.attach(df)
-    earlier = Window.orderBy("_no").rowsBetween(Window.unboundedPreceding, -1)
+    order = [F.col(c) for c in (time, *ties)]
+    spread = df.withColumn("_spread", F.monotonically_increasing_id())
+    ranged = spread.repartitionByRange(*order, "_spread").sortWithinPartitions(*order, "_spread")
+    placed = staged(ranged.drop("_spread").withColumn("_place", F.monotonically_increasing_id()), "ranks")
+    part = F.shiftright("_place", _ROW_BITS)
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # As many rows as there are ranges, in whatever number the exchange has made.
     offsets = (
-        sliced.groupBy(F.col(SLICE).alias("_no"))
+        placed.groupBy(part.alias("_part"))
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_no", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
-    )
-    within = F.row_number().over(Window.partitionBy(SLICE).orderBy(*panel.order))
-    # At most MAX_SLICED * CELLS_PER_SLICE offset rows.
-    return (
-        sliced.withColumn("_pos", within)
-        .join(F.broadcast(offsets), F.col(SLICE) == F.col("_no"))
-        .select(*df.columns, (F.col("_offset") + F.col("_pos")).alias(name))
+        .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
     )
+    within = F.col("_place").bitwiseAND((1 << _ROW_BITS) - 1) + 1
+    joined = placed.join(F.broadcast(offsets), part == F.col("_part"))
+    return joined.select(*df.columns, (F.col("_offset") + within).alias(name))
 
 
 def position_slice(df: DataFrame, time: str, ties: list[str], start: int, stop: int) -> DataFrame:

@@ -41,20 +41,32 @@ class Slices:
     entity: str | None
     time: str
     ties: tuple[str, ...]
+    steps: int
 
     def attach(self, df: DataFrame) -> DataFrame:
         """Add ``_slice``: the slice number of a row, or -1 for entities that are not sliced."""
         key = order_key(self.time, self.ties)
-        number = lambda borders: F.size(F.filter(borders, lambda b: b <= key))
         if self.entity is None:
             # The whole table is one entity; its borders become literals.
             kind = self.table.schema["_borders"].dataType.elementType
             borders = F.array(*[F.struct(*[F.lit(b[f.name]).cast(f.dataType).alias(f.name) for f in kind.fields]) for b in self.table.first()["_borders"]])
-            return df.withColumn(SLICE, number(borders.cast(self.table.schema["_borders"].dataType)))
+            return df.withColumn(SLICE, self._number(borders.cast(self.table.schema["_borders"].dataType), key))
         joined = df.join(F.broadcast(self.table), F.col(self.entity).eqNullSafe(F.col("_hot")), "left")
-        own = F.when(F.col("_borders").isNull(), F.lit(-1)).otherwise(number(F.col("_borders")))
+        own = F.when(F.col("_borders").isNull(), F.lit(-1)).otherwise(self._number(F.col("_borders"), key))
         return joined.select(*[df[c] for c in df.columns], own.alias(SLICE))
 
+    def _number(self, borders: Column, key: Column) -> Column:
+        """How many borders are not above the key: they are sorted, so the range in question is halved ``steps`` times."""
+
+        def halve(span: Column, _: Column) -> Column:
+            low, high = span["low"], span["high"]
+            middle = F.shiftright(low + high, 1)
+            open_, above = low < high, F.get(borders, middle) <= key
+            return F.struct(F.when(open_ & above, middle + 1).otherwise(low).alias("low"), F.when(open_ & ~above, middle).otherwise(high).alias("high"))
+
+        start = F.struct(F.lit(0).alias("low"), F.size(borders).alias("high"))
+        return F.aggregate(F.array_repeat(F.lit(0), self.steps), start, halve, lambda span: span["low"])
+
 
 @dataclass(frozen=True)
 class Panel:
@@ -96,20 +108,17 @@ class Panel:
     def reverse_window(self) -> WindowSpec:
         return Window.partitionBy(*self.keys()).orderBy(*[F.col(c).desc() for c in self.order])
 
-    def fit(self, df: DataFrame, max_rows: int = MAX_ROWS, always: bool = False) -> Panel:
+    def fit(self, df: DataFrame, max_rows: int = MAX_ROWS) -> Panel:
         """Measure row counts per entity and plan slices for those above ``max_rows``.
 
         Reads only the key columns, with map-side counting. ``df`` should be the source scan rather than
-        a long pipeline. With ``always`` every entity above the limit 1 is sliced evenly over the
-        available cores (used for whole-table ranks).
+        a long pipeline.
         """
         entity = F.col(self.entity) if self.entity else F.lit(0)
         keyed = df.select(entity.alias("_hot"), order_key(self.time, self.ties).alias("_key"))
         sizes = keyed.groupBy("_hot").agg(F.count(F.lit(1)).alias("_n"))
         top = sizes.agg(F.sum("_n").alias("total"), F.max("_n").alias("largest")).first()
         total, largest = top["total"] or 0, top["largest"] or 0
-        if always:
-            max_rows = max(1, min(max_rows, total // df.sparkSession.sparkContext.defaultParallelism))
         if largest <= max_rows:
             return replace(self, slices=None)
         limit = max(max_rows, total // MAX_SLICED)
@@ -132,4 +141,6 @@ class Panel:
         borders = F.array_distinct(F.transform(steps, lambda k: F.get(F.col("_sorted"), place(k))))
         # At most total/limit <= MAX_SLICED rows; as literals they spare every later query the counting passes.
         table = drawn.select("_hot", F.array_compact(borders).alias("_borders"))
-        return Slices(spark.createDataFrame(table.collect(), table.schema), self.entity, self.time, self.ties)
+        rows = table.collect()
+        steps = max((len(r["_borders"]) for r in rows), default=0).bit_length()
+        return Slices(spark.createDataFrame(rows, table.schema), self.entity, self.time, self.ties, steps)

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class DailyConfig:
-    resolution: str = "daily"
     train_ratio: float = 0.70
     val_ratio: float = 0.15
     test_ratio: float = 0.15

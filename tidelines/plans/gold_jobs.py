@@ -123,7 +123,6 @@ def daily_features(
         daily_weather(
             weather,
             ties=config.ties,
-            resolution=config.resolution,
             shift_hours=config.shift_hours,
             wind_mean=config.wind_mean,
         )

@@ -194,3 +194,24 @@ def delete(spark: SparkSession, uris: list[str]) -> None:
     for uri in uris:
         path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
         path.getFileSystem(conf).delete(path, False)
+
+
+def _folders(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found = files.listStatus(folder) if files.exists(folder) else []
+    return files, [status.getPath() for status in found if status.isDirectory()]
+
+
+def complete_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path`` that a Spark job has written to its end."""
+    files, found = _folders(spark, path)
+    return sorted(f.getName() for f in found if files.exists(spark._jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS")))
+
+
+def remove_folders(spark: SparkSession, path: str, unwanted: Callable[[str], bool]) -> None:
+    """Delete the folders in ``path`` whose names are unwanted."""
+    files, found = _folders(spark, path)
+    for folder in found:
+        if unwanted(folder.getName()):
+            files.delete(folder, True)

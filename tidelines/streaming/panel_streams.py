@@ -10,9 +10,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelines.operators.windows import RowFeatures, add_features
-from tidelines.panel import Panel
+from tidelines.panel import Panel, order_key
 from tidelines.schemas import AIR_QUALITY_BRONZE, CORRUPT
+from tidelines.session import staged
 from tidelines.sources import bronze
+from tidelines.sources.files import complete_folders, remove_folders
 
 
 def read_stream(
@@ -66,25 +68,45 @@ def dedupe(stream: DataFrame, panel: Panel, delay: str = "1 day") -> DataFrame:
 
 
 def daily_means(stream: DataFrame, panel: Panel, cols: Sequence[str], delay: str = "2 days") -> DataFrame:
-    """Tumbling daily mean, minimum and maximum per entity; rows later than the watermark are dropped."""
-    aggs = [F.count(F.lit(1)).alias("rows")]
+    """Tumbling daily mean, minimum and maximum per entity, and the last time of each; rows later than the watermark are
+    dropped."""
+    aggs = [F.count(F.lit(1)).alias("rows"), F.max(panel.time).alias("last_time")]
     for c in cols:
         aggs += [F.avg(c).alias(f"{c}_mean"), F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max")]
     days = stream.withWatermark(panel.time, delay).groupBy(F.window(panel.time, "1 day").alias("_w"), panel.entity)
     return days.agg(*aggs).select(
-        F.to_date("_w.start").alias("date"), panel.entity, "rows", *[f"{c}_{s}" for c in cols for s in ("mean", "min", "max")]
+        F.to_date("_w.start").alias("date"), panel.entity, "rows", "last_time", *[f"{c}_{s}" for c in cols for s in ("mean", "min", "max")]
     )
 
 
-def upsert_log(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Write every update of an aggregate with its batch number; ``latest_updates`` reads the result.
+def keep_days(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], delay: str = "2 days") -> StreamingQuery:
+    """Keep a table of days (``daily_means``): finished ones once and for all, and beside them those still open.
 
-    Open windows are visible at once and nothing waits for a watermark that may never pass. A repeated
-    batch overwrites its own folder, so a restart leaves no duplicates.
+    Days that end ``delay`` or more before the newest time seen get no more rows: from the next batch on, the stream's
+    watermark (give it the same delay) drops what would belong to them. They move to ``closed``, a folder for each day up
+    to which days are closed. All others stand in ``open``, which each batch writes anew from the batch before and then
+    removes what is older. So the number of files follows the number of days, not that of batches. A repeated batch
+    replaces what it wrote before. ``read_days`` reads both.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+        spark = batch.sparkSession
+        updates = batch.withColumn("_batch", F.lit(number))
+        before = _newest_open(spark, target, number)
+        rows = updates
+        if before is not None:
+            rows = spark.read.schema(updates.schema).parquet(f"{target}/open/batch={before}").unionByName(updates)
+        newest = Window.partitionBy(*keys).orderBy(F.col("_batch").desc())
+        latest = staged(rows.withColumn("_rn", F.row_number().over(newest)).filter("_rn = 1").drop("_rn"), "days")
+        # The newest time seen is that of a day still kept here: its own day cannot have been closed before it.
+        until = latest.agg((F.max("last_time") - F.expr(f"INTERVAL {delay}")).alias("t")).select(F.to_date("t").alias("until")).first()["until"]
+        done = F.lit(False) if until is None else F.col("date") < F.lit(until)
+        closed = latest.filter(done).drop("_batch")
+        if not closed.isEmpty():
+            closed.hint("rebalance").write.mode("overwrite").parquet(f"{target}/closed/until={until}")
+        latest.filter(~done).hint("rebalance").write.mode("overwrite").parquet(f"{target}/open/batch={number}")
+        # The batch before is kept: it is what a repeated batch starts from.
+        remove_folders(spark, f"{target}/open", lambda name: name.startswith("batch=") and int(name[6:]) < (number if before is None else before))
 
     return (
         stream.writeStream.outputMode("update")
@@ -95,8 +117,24 @@ def upsert_log(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuer
     )
 
 
+def _newest_open(spark: SparkSession, target: str, below: int | None = None) -> int | None:
+    """The last complete batch of open days, before batch ``below``."""
+    numbers = [int(name[6:]) for name in complete_folders(spark, f"{target}/open") if name.startswith("batch=")]
+    return max((n for n in numbers if below is None or n < below), default=None)
+
+
+def read_days(spark: SparkSession, target: str) -> DataFrame:
+    """All days of ``keep_days``, with ``closed``."""
+    number = _newest_open(spark, target)
+    open_days = spark.read.parquet(f"{target}/open/batch={number}").drop("_batch")
+    if not complete_folders(spark, f"{target}/closed"):
+        return open_days.withColumn("closed", F.lit(False))
+    finished = spark.read.schema(open_days.schema).parquet(f"{target}/closed").select(*open_days.columns)
+    return finished.withColumn("closed", F.lit(True)).unionByName(open_days.withColumn("closed", F.lit(False)))
+
+
 def latest_updates(spark: SparkSession, target: str, keys: Sequence[str]) -> DataFrame:
-    """Last update per key of an ``upsert_log``."""
+    """Last update per key of a folder to which every batch has written its rows."""
     newest = Window.partitionBy(*keys).orderBy(F.col("batch").desc())
     log = spark.read.parquet(target)
     return log.withColumn("_rn", F.row_number().over(newest)).filter(F.col("_rn") == 1).drop("_rn", "batch")
@@ -109,35 +147,65 @@ def incremental_features(
     target: str,
     checkpoint: str,
     history: str,
+    late_rows: int = 168,
 ) -> StreamingQuery:
-    """Look-back features (lags, rolling) for each micro-batch of rows in time order.
-
-    A batch is computed together with the last rows per entity, as many as the features look back. These rows are the
-    state: one folder per batch, written from the one before, so its size follows the number of entities and not the
-    age of the stream, and a repeated batch replaces itself. Rows older than their entity's state would get wrong
-    neighbours; they are written to ``{target}-late`` instead. Folders of older states may be deleted at any time.
+    """Look-back features (lags, rolling) of rows that arrive in any order.
+
+    A late row changes the rows after it: every batch writes the features of its own rows and, again, of the rows that
+    look back at one of them. ``latest_updates`` (keys: entity, time, ties) gives the table, equal to that of one batch
+    over all rows. What a batch starts from is the ring: the last rows per entity, as many as features look back and
+    ``late_rows`` more. Only for an entity whose new rows reach further back than its ring are all its rows read, from the
+    history that every batch adds to. A repeated batch replaces what it wrote. Rows equal in entity, time and ties are one
+    row. Rings before the last one may be deleted at any time.
     """
     if any(f.ahead for f in features):
         raise ValueError("Features that look ahead cannot be computed on arrival")
     back = max((f.back for f in features), default=0)
+    columns = stream.columns
     stored = T.StructType([*stream.schema.fields])
+    ringed = T.StructType([*stored.fields, T.StructField("_seen", T.LongType())])
+    entity = F.col(panel.entity)
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        state = spark.createDataFrame([], stored)
+        batch.write.mode("overwrite").parquet(f"{history}/rows/batch={number}")
+        new = spark.read.schema(stored).parquet(f"{history}/rows/batch={number}")
+        ring = spark.createDataFrame([], ringed)
         if number > 0:
-            state = spark.read.schema(stored).parquet(f"{history}/batch={number - 1}")
-        newest = state.groupBy(F.col(panel.entity).alias("_entity")).agg(F.max(panel.time).alias("_newest"))
-        marked = batch.join(newest, F.col(panel.entity).eqNullSafe(F.col("_entity")), "left")
-        late = F.coalesce(F.col(panel.time) < F.col("_newest"), F.lit(False))
-        marked.filter(late).select(*batch.columns).write.mode("overwrite").parquet(f"{target}-late/batch={number}")
-        new = marked.filter(~late).select(*batch.columns)
-        both = new.withColumn("_new", F.lit(True)).unionByName(state.withColumn("_new", F.lit(False)))
-        out = add_features(both, panel, *features).filter("_new").drop("_new")
-        out.write.mode("overwrite").parquet(f"{target}/batch={number}")
+            ring = spark.read.schema(ringed).parquet(f"{history}/ring/batch={number - 1}")
+        key = order_key(panel.time, panel.ties)
+        first = new.groupBy(entity.alias("_entity")).agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_new_rows"))
+        # One row per entity of the batch; the ring is read once for all that is asked of it.
+        reach = staged(
+            first.join(ring, F.col("_entity").eqNullSafe(entity), "left")
+            .groupBy("_entity")
+            .agg(
+                F.first("_new_rows").alias("_new_rows"),
+                F.count_if(key < F.col("_first")).alias("_before"),
+                F.count("_seen").alias("_held"),
+                F.coalesce(F.max("_seen"), F.lit(0)).alias("_seen_before"),
+            ),
+            "reach",
+        )
+        deep = reach.filter((F.col("_before") < back) & (F.col("_held") < F.col("_seen_before"))).select("_entity")
+        base = ring.join(reach.join(deep, "_entity", "left_anti"), entity.eqNullSafe(F.col("_entity")), "left_semi").select(*columns)
+        if not deep.isEmpty():
+            log = spark.read.schema(T.StructType([*stored.fields, T.StructField("batch", T.IntegerType())])).parquet(f"{history}/rows")
+            earlier = log.filter(F.col("batch") < number).join(deep, entity.eqNullSafe(F.col("_entity")), "left_semi")
+            base = base.unionByName(earlier.select(*columns))
+        both = new.withColumn("_new", F.lit(True)).unionByName(base.withColumn("_new", F.lit(False)))
+        both = staged(both.dropDuplicates([*panel.keys(), *panel.order]), "rows")
+        # A row is written if it is new, or looks back at one that is.
+        fresh = (("_touched", f"max(`_new`) OVER ({{w}} ROWS BETWEEN {back} PRECEDING AND CURRENT ROW)"),)
+        out = add_features(both, panel.fit(both), *features, RowFeatures((fresh,), ("_touched",), back))
+        out.filter("_touched").drop("_new", "_touched").write.mode("overwrite").parquet(f"{target}/batch={number}")
+        keep = max(1, back) + late_rows
         order = F.row_number().over(panel.reverse_window())
-        tail = both.withColumn("_rn", order).filter(F.col("_rn") <= max(1, back)).select(*batch.columns)
-        tail.write.mode("overwrite").parquet(f"{history}/batch={number}")
+        tail = both.withColumn("_rn", order).filter(F.col("_rn") <= keep).select(*columns)
+        total = reach.select("_entity", (F.col("_seen_before") + F.col("_new_rows")).alias("_seen"))
+        named = tail.join(total, entity.eqNullSafe(F.col("_entity"))).select(*columns, "_seen")
+        rest = ring.join(reach, entity.eqNullSafe(F.col("_entity")), "left_anti")
+        rest.unionByName(named).write.mode("overwrite").parquet(f"{history}/ring/batch={number}")
 
     return (
         stream.writeStream.option("checkpointLocation", checkpoint)
