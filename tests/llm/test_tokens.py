@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter
@@ -135,3 +136,44 @@ def test_query_on_table(spark, sf_dir):
         ids = want_ids(docs[r.doc_id])
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256((docs[r.doc_id] or "").encode()).hexdigest()
+
+
+def test_packing_encodes_as_the_codec(odd_pairs, monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = [t or "" for _, t in odd_pairs] + ["<|endoftext|>", "a<|endoftext|><|endoftext|> b", "x" * 300_000, " " * 1000 + "\n\n\u2003z"]
+    for long in (packing.LONG, 10):
+        monkeypatch.setattr(packing, "LONG", long)
+        for text in texts:
+            assert packing.encoder(path).encode(text).tolist() == bpe.codec(path).encode(text)
+
+
+def test_packing_takes_the_nearest_by_plain_bm25():
+    """Whole remainders go to the seed in the order of BM25 over the shard, computed here from its definition."""
+    draw = np.random.default_rng(5)
+    documents = [draw.integers(0, 60, draw.integers(20, 60)).astype("<u4") for _ in range(40)]
+    n, mean = len(documents), np.mean([len(d) for d in documents])
+    df = {t: sum(t in d for d in documents) for t in range(60)}
+
+    def bm25(query, d):
+        tf = {t: int((d == t).sum()) for t in set(query.tolist())}
+        weight = lambda t: math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * tf[t] * (packing.K1 + 1)
+        norm = packing.K1 * (1 - packing.B + packing.B * len(d) / mean)
+        return sum(weight(t) / (tf[t] + norm) for t in tf if tf[t])
+
+    index = packing.Index(documents)
+    for seed in (0, 7, 39):
+        want = [bm25(documents[seed], d) for d in documents]
+        assert index.scores(documents[seed], seed) == pytest.approx(want) and index.scores(documents[seed]) == pytest.approx(want)
+    packer = packing.Packer(256, 100, 0)
+    packer.left = [(i, 0, d, len(d)) for i, d in enumerate(documents)]
+    packer.fill()
+    first = [row for row, _, _, _, sequence, _ in packer.out if sequence == 0]
+    order = [j for j in np.argsort([-bm25(documents[0], d) for d in documents], kind="stable") if j != 0]
+    space, chosen, cut = 256 - len(documents[0]), [0], None
+    for j in order[: packing.NEIGHBOURS]:
+        if len(documents[j]) <= space:
+            chosen.append(int(j))
+            space -= len(documents[j])
+        elif cut is None:
+            cut = int(j)
+    assert first == chosen + ([cut] if space else [])

@@ -14,17 +14,22 @@ other columns are dropped. Sequence ids are unique, not dense: task in the high
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tidelines.llm.bpe import codec
+from tidelines.llm.bpe import PATTERN, codec
 from tidelines.llm.common import slices, texts
 
 WINDOW = 1024
 SHARD = 2048
 END_ID = 0
+#: Characters up to which a text is given to the library at once.
+LONG = 200_000
 #: Neighbours that a seed looks at before one is cut.
 NEIGHBOURS = 24
 K1, B = 1.2, 0.75
@@ -41,6 +46,10 @@ class Index:
         term, self.docs = key // n, key % n
         self.terms, self.starts, df = np.unique(term, return_index=True, return_counts=True)
         self.ends = self.starts + df
+        # The same postings by document: which terms a seed has need not be found again.
+        by_document = np.argsort(self.docs, kind="stable")
+        self.held = np.repeat(np.arange(len(df)), df)[by_document]
+        self.first = np.searchsorted(self.docs[by_document], np.arange(n + 1))
         idf = np.log1p((n - df + 0.5) / (df + 0.5))
         norm = K1 * (1 - B + B * sizes / sizes.mean())
         self.weights = np.repeat(idf, df) * tf * (K1 + 1) / (tf + norm[self.docs])
@@ -53,9 +62,12 @@ class Index:
         self.starts, self.ends = before[self.starts], before[self.ends]
         self.docs, self.weights = self.docs[held], self.weights[held]
 
-    def scores(self, document: np.ndarray) -> np.ndarray:
-        """BM25 of every document of the shard for the distinct tokens of one."""
-        at = np.searchsorted(self.terms, np.unique(document))
+    def scores(self, document: np.ndarray, number: int | None = None) -> np.ndarray:
+        """BM25 of every document of the shard for the distinct tokens of one; ``number`` says which, if it is whole."""
+        if number is not None:
+            at = self.held[self.first[number] : self.first[number + 1]]
+        else:
+            at = np.searchsorted(self.terms, np.unique(document))
         starts, ends = self.starts[at], self.ends[at]
         sizes = ends - starts
         where = np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
@@ -90,7 +102,7 @@ class Packer:
         """Pack the shard; at most one window's pieces are left."""
         items = self.left
         index = Index([x[2] for x in items])
-        unused = np.ones(len(items), bool)
+        unused, whole = np.ones(len(items), bool), np.ones(len(items), bool)
         indexed = len(items)
         for seed in range(len(items)):
             if not unused[seed]:
@@ -101,7 +113,7 @@ class Packer:
                 if (still := int(unused.sum())) < 0.8 * indexed:
                     index.keep(unused)
                     indexed = still
-                scores = np.where(unused, index.scores(items[seed][2]), -1.0)
+                scores = np.where(unused, index.scores(items[seed][2], seed if whole[seed] else None), -1.0)
                 open_slots = int(unused.sum())
                 while space and open_slots:
                     k = min(NEIGHBOURS, open_slots)
@@ -121,6 +133,7 @@ class Packer:
                         row, start, ids, total = items[cut]
                         pieces.append((row, start, ids[:space], total))
                         items[cut] = (row, start + space, ids[space:], total)
+                        whole[cut] = False
                         space = 0
             if space:
                 self.left = pieces
@@ -147,11 +160,43 @@ class Packer:
         self.left = []
 
 
+class Encoder:
+    """Ids of whole texts by the tiktoken library, whose merges by rank give what the file's merges by pair give. Special
+    strings are cut out first. Texts of more than ``LONG`` characters, on which its pattern matching could run out of
+    stack, take the codec of operator 1, with the same ids."""
+
+    def __init__(self, path: str):
+        self.codec = codec(path)
+        bytes_of = self.codec.bytes
+        order = [*self.codec.byte_ids.tolist(), *self.codec.merged.tolist()]
+        self.ids = np.array(order, np.uint32)
+        ranks = {bytes_of[i]: rank for rank, i in enumerate(order)}
+        self.library = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def plain(self, text: str) -> np.ndarray:
+        return self.ids[np.array(self.library.encode_ordinary(text), np.int64)]
+
+    def encode(self, text: str) -> np.ndarray:
+        if len(text) > LONG:
+            return self.codec.encode_all([text])[0].astype(np.uint32)
+        special, mark = self.codec.special, self.codec.mark
+        if mark is None or not any(s in text for s in special):
+            return self.plain(text)
+        parts = mark.split(text)
+        return np.concatenate([np.array([special[p]], np.uint32) if i % 2 else self.plain(p) for i, p in enumerate(parts)])
+
+
+@cache
+def encoder(path: str) -> Encoder:
+    """One encoder for each Python worker."""
+    return Encoder(path)
+
+
 def pack(docs: DataFrame, path: str, window: int = WINDOW, shard: int = SHARD) -> DataFrame:
     """doc_id, start, ``ids`` (little-endian unsigned 32-bit), doc_tokens, sequence_id and offset of every piece."""
 
     def run(batches):
-        encoder = codec(path)
+        encode = encoder(path).encode
         packer = Packer(window, shard, TaskContext.get().partitionId() << 40)
 
         def out():
@@ -166,12 +211,8 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, shard: int = SHARD) -
         kind = None
         for part in slices(batches):
             kind = part.column(0).type
-            flat, counts = encoder.encode_all(part.column(1).to_pylist())
-            flat = flat.astype("<u4")
-            start = 0
-            for row, n in zip(part.column(0).to_pylist(), counts.tolist()):
-                packer.add(row, np.append(flat[start : start + n], np.uint32(END_ID)))
-                start += n
+            for row, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                packer.add(row, np.append(encode(text), np.uint32(END_ID)).astype("<u4"))
             yield from out()
         packer.finish()
         yield from out()
