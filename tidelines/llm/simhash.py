@@ -19,6 +19,7 @@ given one if the fingerprint has another; other columns are dropped.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,10 @@ SEED = 42
 BUDGET = 3
 #: For near-duplicates of whole texts: their least Jaccard similarity, fingerprints of a text, shingles in each, words of
 #: the long fingerprint, bits in which a pair worth an exact look may differ there, and bits of pairs tied at sight.
-SIMILAR, SERIES, LEAST, PROOF, AGREE, CLOSE = 0.8, 8, 3, 8, 128, 60
+SIMILAR, SERIES, LEAST, PROOF, AGREE, CLOSE = 0.8, 8, 3, 8, 104, 60
+#: Words of the longer fingerprint of texts whose groups are searched again, and standard deviations beyond the mean of a
+#: pair of least similarity up to which a pair is worth an exact look there.
+LONG_PROOF, SPARE = 40, 3.5
 #: Odd factors that make several hashes of one (arbitrary fixed values).
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x94D049BB133111EB, 0xBF58476D1CE4E5B9], np.uint64)
 #: Node pairs of the trie that are followed at once, and products of their sizes that are compared directly.
@@ -280,8 +284,17 @@ def products(a: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_end: np.ndarray)
         yield np.repeat(i[x:y], w), np.repeat(start[x:y], w) + k
 
 
+def lightest_each(i: np.ndarray, j: np.ndarray, weight: np.ndarray, most: int) -> np.ndarray:
+    """Places of the links (i, j) that are among the ``most`` lightest of one of their ends."""
+    ends, place = np.r_[i, j], np.r_[np.arange(len(i)), np.arange(len(j))]
+    order = np.lexsort((place, np.r_[weight, weight], ends))
+    first = np.r_[True, ends[order][1:] != ends[order][:-1]]
+    rank = np.arange(len(order)) - np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
+    return np.unique(place[order[rank < most]])
+
+
 class Search:
-    """The closest links of a table of groups, a spanning forest of them and ``extra`` further ones for each row."""
+    """The closest links of a table of groups: a spanning forest of them and the ``extra`` closest of each row."""
 
     def __init__(self, table: pa.Table, agree: int, extra: int):
         self.order, self.prints, self.starts, self.ends = sorted_group(table)
@@ -301,7 +314,7 @@ class Search:
         other = np.minimum(np.searchsorted(self.names, known[:, 1]), len(self.names) - 1)
         here = self.names[other] == known[:, 1]
         self.failed = np.unique(known[here, 0] * len(self.names) + other[here])
-        self.held, self.more, self.room, self.waiting = [], [], extra * self.n, 0
+        self.held, self.extra, self.waiting = [], extra, 0
 
     def look(self, i: np.ndarray, j: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Those of the pairs that are of two trees, not known to fail and within ``most`` bits, and their distance."""
@@ -318,24 +331,23 @@ class Search:
     def add(self, i: np.ndarray, j: np.ndarray) -> None:
         found = self.look(i, j, self.agree)
         self.held.append(found)
-        if self.room > 0:
-            self.more.append([x[: self.room] for x in found[:2]])
-            self.room -= len(self.more[-1][0])
         self.waiting += len(found[0])
-        if self.waiting > FRONTIER:
+        if self.waiting > FRONTIER + (self.extra + 1) * self.n:
             self.shrink()
 
     def shrink(self) -> None:
         i, j, bits = (np.concatenate(x) for x in zip(*self.held))
         chosen = lightest_forest(self.root, i, j, bits)
-        self.held, self.waiting = [(i[chosen], j[chosen], bits[chosen])], 0
+        if self.extra:
+            chosen = np.union1d(chosen, lightest_each(i, j, bits, self.extra))
+        self.held, self.waiting = [(i[chosen], j[chosen], bits[chosen])], len(chosen)
 
     def leaf(self, start: int, end: int) -> list[np.ndarray]:
         """Large sets of equal prints: rows close to a leader are tied to it, so that only the others meet all."""
         tied, rows = [], np.arange(start, end)
         rest = rows
         while len(rest) > 1:
-            i, j, _ = self.look(np.full(len(rest) - 1, rest[0]), rest[1:], CLOSE)
+            i, j, _ = self.look(np.full(len(rest) - 1, rest[0]), rest[1:], CLOSE * self.proofs.shape[1] // PROOF)
             forest(self.n, i, j, self.root)
             tied.append(np.stack([i, j]))
             few = 16 * len(i) < len(rest)
@@ -369,7 +381,7 @@ class Search:
                 self.add(i, j)
         if self.held:
             self.shrink()
-        every = [*tied, *[np.stack(x[:2]) for x in self.held], *[np.stack(x) for x in self.more]]
+        every = [*tied, *[np.stack(x[:2]) for x in self.held]]
         both = self.ids[np.concatenate([np.empty((2, 0), np.int64), *every], axis=1)]
         return both.min(axis=0), both.max(axis=0)
 
@@ -404,19 +416,49 @@ def shingle_set(text: str, size: int) -> np.ndarray:
     return np.unique(shingle_hashes(words(text), size).view(">u8").astype(np.uint64))
 
 
+def spread(x: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """A hash for each factor from each 64-bit hash, by multiplication and folding."""
+    x = x[:, None] * factors
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(29)
+    return x
+
+
+def odd_factors(n: int) -> np.ndarray:
+    """n odd 64-bit numbers, from the digits of a counter mixed by a fixed hash."""
+    return np.array([xxhash.xxh64_intdigest(k.to_bytes(4, "little"), SEED) | 1 for k in range(n)], np.uint64)
+
+
+def agreement(words_: int, similar: float) -> int:
+    """Bits in which fingerprints of ``words_`` words may differ for a pair worth an exact look: the mean for sets of
+    that similarity, and SPARE standard deviations."""
+    share = math.acos(2 * similar / (1 + similar)) / math.pi
+    return int(64 * words_ * share + SPARE * math.sqrt(64 * words_ * share * (1 - share)))
+
+
+def long_proofs(sets: DataFrame, words_: int = LONG_PROOF) -> DataFrame:
+    """node and ``proof`` (fingerprints of ``words_`` words over the set) of (node, shingles)."""
+
+    def run(batches):
+        factors = odd_factors(words_)
+        for batch in batches:
+            out = []
+            for row in batch.column(1):
+                found = row.values.to_numpy().view(np.uint64)
+                # Eight words at a time bound the memory that a very long text takes.
+                parts = [majority(np.ascontiguousarray(spread(found, factors[k : k + 8])).astype(">u8").view(np.uint8)) for k in range(0, words_, 8)]
+                out.append(b"".join(parts) if len(found) else bytes(8 * words_))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["node", "proof"])
+
+    return sets.select("node", "shingles").mapInArrow(run, "node long, proof binary")
+
+
 def wide_prints(keyed: DataFrame, series: int, size: int) -> DataFrame:
     """doc_id, own, ``key`` (the digest of the set of shingles of ``size`` words), ``prints`` (array of ``series``
     fingerprints over the LEAST shingles that come first in an order of the series' own) and ``proof`` (``PROOF``
     fingerprints over all different shingles, in one value)."""
 
-    def spread(x: np.ndarray, n: int) -> np.ndarray:
-        """n hashes from each 64-bit hash, by multiplication and folding."""
-        x = x[:, None] * FACTORS[:n]
-        x ^= x >> np.uint64(32)
-        x *= np.uint64(0xD6E8FEB86659FD93)
-        x ^= x >> np.uint64(29)
-        return x
-
     def make():
         def step(part: pa.RecordBatch) -> pa.RecordBatch:
             keys, short, long = [], [], []
@@ -427,7 +469,7 @@ def wide_prints(keyed: DataFrame, series: int, size: int) -> DataFrame:
                     short.append(bytes(8 * series))
                     long.append(bytes(8 * PROOF))
                     continue
-                mixed = spread(found, max(series, PROOF))
+                mixed = spread(found, FACTORS[: max(series, PROOF)])
                 first = np.argpartition(mixed[:, :series], LEAST - 1, axis=0)[:LEAST] if len(found) > LEAST else np.repeat(np.arange(len(found))[:, None], series, axis=1)
                 short.append(majority(found[first].astype(">u8").view(np.uint8).reshape(len(first), 8 * series)))
                 long.append(majority(np.ascontiguousarray(mixed[:, :PROOF]).astype(">u8").view(np.uint8)))
@@ -466,12 +508,13 @@ def judged(edges: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
 def near_components(nodes: DataFrame, sets_of, agree: int, least: float) -> DataFrame:
     """node and component of the nodes that have links. Candidates span all pairs worth a look; one that fails the
-    exact test may have stood for others, so its group is searched again without the pairs already tested, with more
-    candidates each round, until no pair of two components is left."""
+    exact test may have stood for others, so its group is searched again without the pairs already tested, for the
+    closest pairs of each node, more of them each round, until no pair of two components is left. Those groups compare
+    longer fingerprints, by which few pairs are close and yet fail, so the pairs tested follow the nodes."""
     active = nodes.withColumn("component", F.col("node")).withColumn("failed", F.lit(None).cast("array<long>"))
     seen, sets, extra = None, None, 0
     while True:
-        edges = staged(candidates(active, agree, extra), "candidates")
+        edges = staged(candidates(active, agree if not extra else agreement(LONG_PROOF, least), extra), "candidates")
         if seen is not None and edges.isEmpty():
             break
         if sets is None:
@@ -486,11 +529,13 @@ def near_components(nodes: DataFrame, sets_of, agree: int, least: float) -> Data
         label = staged(whole.join(own, "node", "left").select("node", "cluster", F.coalesce("component", "node").alias("component")), "components")
         split = label.groupBy("cluster").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("cluster")
         lost = bad.select(F.col("src").alias("node"), F.col("dst").alias("o")).union(bad.select(F.col("dst"), F.col("src"))).groupBy("node").agg(F.collect_set("o").alias("failed"))
-        active = nodes.join(label.join(split, "cluster", "left_semi").select("node", "component"), "node").join(lost, "node", "left")
-        active = staged(active.select(*nodes.columns, "component", "failed"), "active")
-        if active.isEmpty():
+        again = staged(label.join(split, "cluster", "left_semi").select("node", "component"), "again")
+        if again.isEmpty():
             break
-        extra = 16 * max(1, extra)
+        proofs = long_proofs(sets.join(again, "node", "left_semi"))
+        active = nodes.drop("proof").join(again.join(proofs, "node"), "node").join(lost, "node", "left")
+        active = staged(active.select(*nodes.columns, "component", "failed"), "active")
+        extra = 8 * extra if extra else 4
     return components(seen.filter("near").select("src", "dst"))
 
 
@@ -501,7 +546,13 @@ def one_of_each(docs: DataFrame, series: int = SERIES, size: int = 5, agree: int
     classes are linked if the Jaccard similarity of their sets is at least ``least``, by an exact test of the pairs that
     agree in one of the ``series`` fingerprints within the budget. A fingerprint is made of the three shingles that come
     first in one random order, so a pair of similarity 0.8 has the same one with chance 0.5, and none of 8 with 0.005.
-    Long fingerprints of shingles must differ in at most ``agree`` of 512 bits; 78 are the mean of a pair at 0.8."""
+    Long fingerprints of shingles must differ in at most ``agree`` of 512 bits; 77 are the mean of a pair at 0.8, and 8
+    the standard deviation.
+
+    A null or empty text, like all texts without a word, has the empty set: such texts are one class, linked to no other.
+    Texts of fewer words than a shingle are their own single shingle. A null doc_id comes after all others, so it is kept
+    only where its group has no other; rows equal in doc_id and text count once, rows of one doc_id and several texts are
+    judged by text. An empty table stays empty."""
     keyed = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).select("doc_id", F.unhex(F.sha2("text", 256)).alias("own"), "text")
     prints = wide_prints(keyed, series, size)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "own")).alias("least")
