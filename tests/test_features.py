@@ -161,8 +161,6 @@ def test_daily_weather_edges(spark):
     assert min(vector, 360 - vector) == pytest.approx(0, abs=1e-6)
     shifted = daily_weather(rows, shift_hours=3.5).orderBy("date").collect()
     assert [str(r.date) for r in shifted] == ["2024-01-01", "2024-01-02"]
-    with pytest.raises(ValueError):
-        daily_weather(rows, resolution="hourly")
 
 
 def test_distance_and_bearing(spark):
