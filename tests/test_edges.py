@@ -146,3 +146,36 @@ def test_hotspots_in_the_daily_table(spark, sf_dir):
         assert values == pytest.approx(want.get(key, (0.0,) * 5))
     plain = daily_features(weather, None, config).agg(*[F.count(c).alias(c) for c in HOTSPOT_COLUMNS]).first()
     assert set(plain.asDict().values()) == {0}
+
+
+def test_hotspots_against_every_pair(spark, monkeypatch):
+    """Stations in and around the region, across the date line and at a pole; busy cells are dealt over tasks."""
+    import math
+    import random
+
+    import tidelines.operators.spatial as spatial
+    from tidelines.functions.geo import bearing_deg, haversine_km
+
+    monkeypatch.setattr(spatial, "PLACES_PER_TASK", 3)
+    rng = random.Random(5)
+    fires = [(f"2024-01-0{1 + k % 2}", rng.uniform(12.5, 21.5), rng.uniform(96.5, 106.5), rng.uniform(0, 9), rng.choice(["th", "mm", "la", "xx"])) for k in range(400)]
+    fires += fires[:50]
+    places = [(rng.uniform(5, 30), rng.uniform(85, 118)) for _ in range(40)] + [(90.0, 0.0), (-15.0, -79.0), (20.9, -170.0), (None, 100.0)]
+    stations = [(d, f"s{k}", lat, lon, rng.uniform(0, 360)) for k, (lat, lon) in enumerate(places) for d in ("2024-01-01", "2024-01-02", "2024-01-03")]
+    f = spark.createDataFrame(fires, "date string, lat double, lon double, frp double, country string")
+    s = spark.createDataFrame(stations, "date string, stationID string, lat double, lon double, wind_direction_mean double")
+    for radius in (60.0, 800.0, 9000.0):
+        got = {(r.stationID, r.date): r for r in spatial.transboundary_index(f, s, radius_km=radius).collect()}
+        a, b = f.select("date", F.col("lat").alias("fa"), F.col("lon").alias("fo"), "frp", "country"), s.filter("lat IS NOT NULL")
+        a = a.filter(F.col("fa").between(13, 21) & F.col("fo").between(97, 106))
+        km = haversine_km(F.col("fa"), F.col("fo"), F.col("lat"), F.col("lon"))
+        toward = bearing_deg(F.col("fa"), F.col("fo"), F.col("lat"), F.col("lon"))
+        weight = F.greatest(F.lit(0.0), F.cos(F.radians(toward - F.col("wind_direction_mean") - 180))) * F.exp(-km / 200)
+        want = a.join(b, "date").filter(km <= radius).groupBy("stationID", "date").agg(
+            F.count_if(F.col("country") == "th").alias("th"), F.sum("frp").alias("frp"), F.sum(F.col("frp") * weight).alias("transport")
+        ).collect()
+        assert {(r.stationID, r.date) for r in want} == set(got) and (radius > 1000 or len(got) < len(stations))
+        for r in want:
+            g = got[r.stationID, r.date]
+            assert g.hotspot_count_th == r.th and math.isclose(g.hotspot_frp_sum, r.frp, rel_tol=1e-9)
+            assert math.isclose(g.transboundary_index, r.transport, rel_tol=1e-6, abs_tol=1e-9)

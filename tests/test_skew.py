@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidelines.operators import rank as rank_module
+import tidelines.operators.aggregate as aggregate_module
 from tidelines.operators.aggregate import exact_quantiles, global_quantiles
 from tidelines.operators.clean import latest_per_key
 from tidelines.operators.interpolate import interpolate
@@ -142,6 +143,29 @@ def test_exact_quantiles(skewed):
         assert value == pytest.approx(np.quantile(groups[station], prob))
 
 
+@pytest.mark.parametrize("most", [1, 40])
+def test_quantiles_of_heavy_tails(spark, monkeypatch, most):
+    """Far outliers leave all other values to one cell of equal width, and one value may be half of a group."""
+    import numpy as np
+
+    monkeypatch.setattr(aggregate_module, "MAX_ORDERED", most)
+    monkeypatch.setattr(aggregate_module, "SKETCH_CELLS", 8)
+    rng = np.random.default_rng(3)
+    tail = np.concatenate([np.exp(rng.normal(0, 30, 1500)), -np.exp(rng.normal(0, 30, 1500)), [1e300, -1e300], np.full(1000, 0.25)])
+    plain = rng.normal(0, 1, 1000)
+    odd = np.concatenate([plain, [np.inf, -np.inf]])
+    rows = [(g, float(v)) for g, vs in (("tail", tail), ("plain", plain), ("odd", odd), (None, plain[:3])) for v in vs]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(4)
+    probs = [0.0, 0.1, 0.5, 0.6, 0.999]
+    got = {(r.g, r.prob): r.value for r in exact_quantiles(df, "x", probs, ["g"]).collect()}
+    assert len(got) == 4 * len(probs)
+    for (g, p), value in got.items():
+        if g == "odd" and p == 0.0:
+            continue  # between minus infinity and a number lies no number
+        data = {"tail": tail, "plain": plain, "odd": odd, None: plain[:3]}[g]
+        assert value == pytest.approx(np.quantile(data, p), rel=1e-12)
+
+
 def test_quantiles_of_one_repeated_value(spark):
     df = spark.range(100).select(F.lit(4.0).alias("x"), F.lit("a").alias("g"))
     assert [r.value for r in exact_quantiles(df, "x", [0.1, 0.9], ["g"]).collect()] == [4.0, 4.0]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidelines.operators.rank import rows_at_ranks
 from tidelines.operators.windows import RowFeatures, add_features, lags
-from tidelines.panel import Panel
+from tidelines.panel import Panel, count_not_above
 from tidelines.session import staged
 
 # Pollutant columns and their daily names.
@@ -23,6 +23,11 @@ POLLUTANT_MEANS = ["pm2_5_mean", "pm10_mean", "no2_mean", "o3_mean", "so2_mean",
 
 # Value ranges of grouped quantiles that may be broadcast (a few dozen bytes each).
 MAX_BROADCAST_RANGES = 100_000
+# Cells of equal width, and of equal row numbers, that one pass of a quantile search cuts a range into.
+CELLS = 1024
+SKETCH_CELLS = 64
+# Rows of one value range that may be put in order in one place.
+MAX_ORDERED = 50_000
 
 
 def _date(time: str, shift_hours: float) -> Column:
@@ -245,11 +250,12 @@ def global_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFra
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str]) -> DataFrame:
     """Exact interpolated quantiles per group, as rows (by..., prob, value).
 
-    Two counting passes over 1024 value cells each find the cells that hold the wanted order statistics;
-    only the distinct values inside those cells are then ordered. No group's values are gathered in one
-    place, whatever its share of the rows.
+    Counting passes narrow the value range that holds each wanted order statistic, until every range has at most
+    MAX_ORDERED rows or a single value; only then are the values inside put in order. Passes by cells of equal width
+    take turns with passes by cells of about equal row numbers, whose borders come from a mergeable quantile sketch and
+    whose rows are counted exactly; so neither far outliers nor repeated values keep a range large. No group's values
+    are gathered in one place, whatever its share of the rows.
     """
-    cells = 1024
     by = list(by)
     group = F.struct(*[F.col(c) for c in by])
     data = df.filter(F.col(col).isNotNull()).select(group.alias("g"), F.col(col).cast("double").alias("x"))
@@ -261,38 +267,18 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequenc
     small = bounds.count() * len(probs) <= MAX_BROADCAST_RANGES
     ranks = F.array(*[F.lit(float(p)) for p in probs])
     position = F.col("prob") * (F.col("n") - 1)
+    # ``wanted``: per group and rank, the value range that holds it, the rows in and below the range, and the passes
+    # that have left it as it was. One pass of either kind without effect ends the search: what is left is ordered.
     wanted = bounds.select("g", "lo", "hi", "n", F.explode(ranks).alias("prob")).select(
-        "g", "lo", "hi", F.explode(F.array(F.floor(position), F.ceil(position))).alias("rank")
-    ).distinct().withColumn("base", F.lit(0).cast("long"))
-    for _ in range(2):
-        # ``wanted``: per group and rank, the value range that holds it and the rows below the range.
-        spans = wanted.select("g", "lo", "hi").distinct()
-        width = (F.col("hi") - F.col("lo")) / cells
-        cell = F.coalesce(F.least(F.floor(F.try_divide(F.col("x") - F.col("lo"), width)), F.lit(cells - 1)), F.lit(0))
-        counts = (
-            _within_spans(data, spans, small)
-            .groupBy("g", F.col("lo").alias("span"), cell.alias("cell"))
-            .agg(F.count(F.lit(1)).alias("rows"), F.min("x").alias("cell_lo"), F.max("x").alias("cell_hi"))
-        )
-        below = Window.partitionBy("g", "span").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-        counts = counts.withColumn("before", F.coalesce(F.sum("rows").over(below), F.lit(0)))
-        hit = (
-            (F.col("w.rank") >= F.col("w.base") + F.col("c.before"))
-            & (F.col("w.rank") < F.col("w.base") + F.col("c.before") + F.col("c.rows"))
-        )
-        found = (
-            wanted.alias("w")
-            .join(counts.alias("c"), F.col("w.g").eqNullSafe(F.col("c.g")) & (F.col("w.lo") == F.col("c.span")) & hit)
-            .select(
-                "w.g",
-                F.col("c.cell_lo").alias("lo"),
-                F.col("c.cell_hi").alias("hi"),
-                "w.rank",
-                (F.col("w.base") + F.col("c.before")).alias("base"),
-            )
-        )
+        "g", "lo", "hi", F.explode(F.array(F.floor(position), F.ceil(position))).alias("rank"), F.col("n").alias("rows")
+    ).distinct().selectExpr("*", "0L AS base", "0 AS idle")
+    large = (F.col("lo") < F.col("hi")) & (F.col("rows") > MAX_ORDERED) & (F.col("idle") < 2)
+    by_width = True
+    while not wanted.filter(large).isEmpty():
+        narrowed = _narrowed(data, wanted.filter(large), small, by_width)
         # A few rows per group; stored, so that the next pass does not repeat this one's scan.
-        wanted = staged(found, "quantiles")
+        wanted = staged(narrowed.unionByName(wanted.filter(~large)), "quantiles")
+        by_width = not by_width
     spans = wanted.select("g", "lo", "hi").distinct()
     values = _within_spans(data, spans, small).groupBy("g", F.col("lo").alias("span"), "x").agg(
         F.count(F.lit(1)).alias("rows")
@@ -321,6 +307,46 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequenc
     return out.select(*[F.col("group")[c].alias(c) for c in by], "prob", "value")
 
 
+def _narrowed(data: DataFrame, wanted: DataFrame, small: bool, by_width: bool) -> DataFrame:
+    """``wanted`` with each range replaced by the cell of it that holds the rank."""
+    inside = _within_spans(data, wanted.select("g", "lo", "hi").distinct(), small)
+    x, lo = F.col("x"), F.col("lo")
+    if by_width:
+        width = (F.col("hi") - lo) / CELLS
+        # Widths beyond doubles, or without a value, give one cell.
+        cell = F.coalesce(F.least(F.floor(F.try_divide(x - lo, width)), F.lit(CELLS - 1)), F.lit(0))
+    else:
+        shares = [k / SKETCH_CELLS for k in range(SKETCH_CELLS + 1)]
+        sketch = F.percentile_approx("x", shares, 20 * SKETCH_CELLS)
+        borders = inside.groupBy("g", F.col("lo").alias("span")).agg(F.array_sort(sketch).alias("borders"))
+        borders = F.broadcast(borders) if small else borders
+        inside = inside.withColumnRenamed("g", "_g").join(borders, F.col("_g").eqNullSafe(F.col("g")) & (lo == F.col("span"))).drop("_g", "span")
+        below = count_not_above(F.col("borders"), x, (SKETCH_CELLS + 1).bit_length())
+        # Values equal to a border have a cell of their own: it needs no further pass, however many they are.
+        beyond = (x > F.coalesce(F.get("borders", below - 1), x)).cast("long")
+        cell = below.cast("long") * 2 + beyond
+    counts = inside.groupBy("g", lo.alias("span"), cell.alias("cell")).agg(
+        F.count(F.lit(1)).alias("cell_rows"), F.min("x").alias("cell_lo"), F.max("x").alias("cell_hi")
+    )
+    order = Window.partitionBy("g", "span").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("before", F.coalesce(F.sum("cell_rows").over(order), F.lit(0)))
+    first = F.col("w.base") + F.col("c.before")
+    hit = (F.col("w.rank") >= first) & (F.col("w.rank") < first + F.col("c.cell_rows"))
+    return (
+        wanted.alias("w")
+        .join(counts.alias("c"), F.col("w.g").eqNullSafe(F.col("c.g")) & (F.col("w.lo") == F.col("c.span")) & hit)
+        .select(
+            "w.g",
+            F.col("c.cell_lo").alias("lo"),
+            F.col("c.cell_hi").alias("hi"),
+            "w.rank",
+            F.col("c.cell_rows").alias("rows"),
+            first.alias("base"),
+            F.when(F.col("c.cell_rows") < F.col("w.rows"), 0).otherwise(F.col("w.idle") + 1).alias("idle"),
+        )
+    )
+
+
 def _within_spans(data: DataFrame, spans: DataFrame, small: bool) -> DataFrame:
     """Rows that fall in one of their group's value ranges; ranges of a group never overlap."""
     s = spans.select(F.col("g").alias("_g"), "lo", "hi")

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelines.functions.geo import EARTH_RADIUS_KM
+from tidelines.session import staged
 
 RADIUS_KM = 800.0
 DECAY_KM = 200.0
 # Region of interest and the country codes of the daily counts.
 BOUNDING_BOX = {"lat": (13.0, 21.0), "lon": (97.0, 106.0)}
 COUNTRIES = ["th", "mm", "la"]
-KM_PER_DEGREE = 111.0
+#: A grid cell is this part of the radius high and wide, so that little of what its stations meet is out of reach.
+CELL = 0.25
+#: Places of one cell and day in one task; a busier cell is dealt over several.
+PLACES_PER_TASK = 2_000
 
 
 def hotspot_locations(hotspots: DataFrame) -> DataFrame:
@@ -30,85 +36,104 @@ def hotspot_locations(hotspots: DataFrame) -> DataFrame:
     )
 
 
-def _sines(lat: str, lon: str, prefix: str) -> list[Column]:
-    """Sines and cosines of a position, computed once per place instead of once per pair."""
-    a, o = F.radians(lat), F.radians(lon)
+def _position(lat: str, lon: str, prefix: str) -> list[str]:
+    """Unit vector of a position and the sine and cosine of its longitude, once per place instead of once per pair."""
+    a, o = f"radians(`{lat}`)", f"radians(`{lon}`)"
     return [
-        F.sin(a).alias(f"{prefix}_sa"),
-        F.cos(a).alias(f"{prefix}_ca"),
-        F.sin(o).alias(f"{prefix}_so"),
-        F.cos(o).alias(f"{prefix}_co"),
+        f"cos({a}) * cos({o}) AS {prefix}_x",
+        f"cos({a}) * sin({o}) AS {prefix}_y",
+        f"sin({a}) AS {prefix}_z",
+        f"cos({a}) AS {prefix}_ca",
+        f"sin({o}) AS {prefix}_so",
+        f"cos({o}) AS {prefix}_co",
     ]
 
 
+def _cells_in_reach(cells: DataFrame, stations: DataFrame, radius_km: float, size: float) -> DataFrame:
+    """Station days with every cell of their date that their radius may touch.
+
+    ``cells``: date, cell_y, cell_x, tasks. A cell is left out if the haversine of the radius is below a bound that
+    holds for all its points: that of the smallest latitude difference, plus that of the smallest longitude difference
+    at the cell's narrower edge.
+    """
+    south, west = F.col("cell_y") * size, F.col("cell_x") * size
+    off_lat = F.greatest(south - F.col("lat"), F.col("lat") - south - size, F.lit(0.0))
+    off_lon = F.greatest(west - F.col("lon"), F.col("lon") - west - size, F.lit(0.0))
+    # The other way round the globe may be shorter.
+    off_lon = F.least(off_lon, F.greatest(F.lit(360.0 - size) - F.abs(F.col("lon") - west), F.lit(0.0)))
+    narrow = F.cos(F.radians(F.least(F.greatest(F.abs(south), F.abs(south + size)), F.lit(90.0))))
+    least = F.pow(F.sin(F.radians(off_lat) / 2), 2) + narrow * F.cos(F.radians("lat")) * F.pow(
+        F.sin(F.radians(F.least(off_lon, F.lit(180.0))) / 2), 2
+    )
+    most = math.sin(min(radius_km / (2 * EARTH_RADIUS_KM), math.pi / 2)) ** 2
+    return stations.join(cells, "date").filter(least <= F.lit(most * (1 + 1e-9)))
+
+
 def transboundary_index(
     hotspots: DataFrame,
     stations: DataFrame,
     radius_km: float = RADIUS_KM,
     decay_km: float = DECAY_KM,
-    salts: int = 4,
 ) -> DataFrame:
     """Per (station, date): hotspot counts per country, FRP sum and the transport index within the radius.
 
     ``hotspots``: date, lat, lon, frp, country. ``stations``: date, stationID, lat, lon, wind_direction_mean
     (one row per station and day). The index is the FRP sum weighted with max(0, cos(bearing from fire to
-    station - direction the wind blows to)) and exp(-distance / decay).
+    station - direction the wind blows to)) and exp(-distance / decay). Stations without a position, and fires
+    outside the region, reach nothing.
 
-    Fires are first combined per place, then matched by an equi-join on (date, grid cell, salt) in which
-    each station day is listed in every cell its radius can reach; the exact distance filter follows. The
-    salt spreads the places of one busy cell over several tasks, and the sums are combined map-side.
+    Fires are first combined per place and counted per cell of a grid finer than the radius. Each station day is
+    listed in the cells that hold fires of its date and lie in its reach, once for every task a busy cell is dealt
+    over, and matched with the places by an equi-join on (date, cell, task). The exact distance filter follows, and
+    the sums are combined map-side.
     """
-    size = reach = radius_km / KM_PER_DEGREE
-    places = hotspot_locations(hotspots).select(
+    size = CELL * math.degrees(radius_km / EARTH_RADIUS_KM)
+    located = hotspot_locations(hotspots).select(
+        "*",
+        F.floor(F.col("lat") / size).cast("int").alias("cell_y"),
+        F.floor(F.col("lon") / size).cast("int").alias("cell_x"),
+    )
+    located = staged(located, "hotspots")
+    cells = located.groupBy("date", "cell_y", "cell_x").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(PLACES_PER_TASK)).cast("int").alias("tasks")
+    )
+    # The number of tasks of a cell is read by its places too; a date has few hundred cells at most.
+    places = located.join(cells, ["date", "cell_y", "cell_x"]).selectExpr(
         "date",
+        "cell_y",
+        "cell_x",
+        "pmod(hash(lat, lon), tasks) AS task",
         "frp",
         *[f"n_{c}" for c in COUNTRIES],
-        *_sines("lat", "lon", "f"),
-        F.floor(F.col("lat") / size).alias("cell_y"),
-        F.floor(F.col("lon") / size).alias("cell_x"),
-        F.pmod(F.hash("lat", "lon"), F.lit(salts)).alias("salt"),
+        *_position("lat", "lon", "f"),
     )
-
-    def span(centre: Column, half: Column, box: tuple[float, float]) -> Column:
-        first = F.floor(F.greatest(centre - half, F.lit(box[0])) / size)
-        last = F.floor(F.least(centre + half, F.lit(box[1])) / size)
-        # Stations out of reach of the region have no cell.
-        return F.when(first <= last, F.sequence(first, last))
-
-    # One degree of longitude shrinks with latitude; take the widest circle of latitude in reach.
-    far = F.least(F.abs(F.col("lat")) + reach, F.lit(89.0))
-    half_lon = F.lit(reach) / F.cos(F.radians(far))
-    downwind = F.radians(F.col("wind_direction_mean") + 180.0)
-    spread = (
-        stations.select(
-            "stationID",
-            "date",
-            *_sines("lat", "lon", "s"),
-            F.sin(downwind).alias("w_sin"),
-            F.cos(downwind).alias("w_cos"),
-            span(F.col("lat"), F.lit(reach), BOUNDING_BOX["lat"]).alias("ys"),
-            span(F.col("lon"), half_lon, BOUNDING_BOX["lon"]).alias("xs"),
-        )
-        .withColumn("cell_y", F.explode("ys"))
-        .withColumn("cell_x", F.explode("xs"))
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        .drop("ys", "xs")
+    spread = _cells_in_reach(cells, stations, radius_km, size).selectExpr(
+        "stationID",
+        "date",
+        "cell_y",
+        "cell_x",
+        "explode(sequence(0, tasks - 1)) AS task",
+        *_position("lat", "lon", "s"),
+        "sin(radians(wind_direction_mean + 180)) AS w_sin",
+        "cos(radians(wind_direction_mean + 180)) AS w_cos",
     )
-    # Great-circle geometry from the sines alone: difference of longitudes, chord and bearing components.
-    pairs = spread.join(places, ["date", "cell_y", "cell_x", "salt"]).selectExpr(
+    # Great-circle geometry by products alone: the chord, and the components of the bearing.
+    pairs = spread.join(places, ["date", "cell_y", "cell_x", "task"]).selectExpr(
         "stationID",
         "date",
         "frp",
         *[f"n_{c}" for c in COUNTRIES],
         "w_sin",
         "w_cos",
-        "(s_so * f_co - s_co * f_so) * s_ca AS east",
-        "f_ca * s_sa - f_sa * s_ca * (s_co * f_co + s_so * f_so) AS north",
-        "pow(s_ca * s_co - f_ca * f_co, 2) + pow(s_ca * s_so - f_ca * f_so, 2) + pow(s_sa - f_sa, 2) AS chord2",
+        "s_y * f_co - s_x * f_so AS east",
+        "f_ca * s_z - f_z * (s_x * f_co + s_y * f_so) AS north",
+        "(s_x - f_x) * (s_x - f_x) + (s_y - f_y) * (s_y - f_y) + (s_z - f_z) * (s_z - f_z) AS chord2",
+    )
+    # The chord decides, so that the arc is computed once and for fires in reach only.
+    chord = 2 * math.sin(min(radius_km / (2 * EARTH_RADIUS_KM), math.pi / 2))
+    near = pairs.filter(F.col("chord2") <= chord * chord).selectExpr(
+        "*", f"{2 * EARTH_RADIUS_KM!r}D * asin(least(sqrt(chord2) / 2, 1D)) AS km", "sqrt(east * east + north * north) AS length"
     )
-    near = pairs.selectExpr(
-        "*", f"{2 * EARTH_RADIUS_KM!r}D * asin(least(sqrt(chord2) / 2, 1D)) AS km", "hypot(east, north) AS length"
-    ).filter(F.col("km") <= radius_km)
     # A fire at the station itself counts as lying to its south (bearing 0).
     aligned = "greatest(0D, coalesce(try_divide(north * w_cos + east * w_sin, length), w_cos))"
     return near.groupBy("stationID", "date").agg(

@@ -29,6 +29,19 @@ def order_key(time: str, ties: tuple[str, ...]) -> Column:
     return F.struct(as_micros(time).alias("time"), *[F.col(c).alias(f"tie{k}") for k, c in enumerate(ties)])
 
 
+def count_not_above(borders: Column, key: Column, steps: int) -> Column:
+    """How many borders are not above the key: they are sorted, so the range in question is halved ``steps`` times."""
+
+    def halve(span: Column, _: Column) -> Column:
+        low, high = span["low"], span["high"]
+        middle = F.shiftright(low + high, 1)
+        open_, above = low < high, F.get(borders, middle) <= key
+        return F.struct(F.when(open_ & above, middle + 1).otherwise(low).alias("low"), F.when(open_ & ~above, middle).otherwise(high).alias("high"))
+
+    start = F.struct(F.lit(0).alias("low"), F.size(borders).alias("high"))
+    return F.aggregate(F.array_repeat(F.lit(0), steps), start, halve, lambda span: span["low"])
+
+
 @dataclass(frozen=True)
 class Slices:
     """Slices, in the order of time and ties, of the entities that are too large for one window group.
@@ -50,23 +63,11 @@ class Slices:
             # The whole table is one entity; its borders become literals.
             kind = self.table.schema["_borders"].dataType.elementType
             borders = F.array(*[F.struct(*[F.lit(b[f.name]).cast(f.dataType).alias(f.name) for f in kind.fields]) for b in self.table.first()["_borders"]])
-            return df.withColumn(SLICE, self._number(borders.cast(self.table.schema["_borders"].dataType), key))
+            return df.withColumn(SLICE, count_not_above(borders.cast(self.table.schema["_borders"].dataType), key, self.steps))
         joined = df.join(F.broadcast(self.table), F.col(self.entity).eqNullSafe(F.col("_hot")), "left")
-        own = F.when(F.col("_borders").isNull(), F.lit(-1)).otherwise(self._number(F.col("_borders"), key))
+        own = F.when(F.col("_borders").isNull(), F.lit(-1)).otherwise(count_not_above(F.col("_borders"), key, self.steps))
         return joined.select(*[df[c] for c in df.columns], own.alias(SLICE))
 
-    def _number(self, borders: Column, key: Column) -> Column:
-        """How many borders are not above the key: they are sorted, so the range in question is halved ``steps`` times."""
-
-        def halve(span: Column, _: Column) -> Column:
-            low, high = span["low"], span["high"]
-            middle = F.shiftright(low + high, 1)
-            open_, above = low < high, F.get(borders, middle) <= key
-            return F.struct(F.when(open_ & above, middle + 1).otherwise(low).alias("low"), F.when(open_ & ~above, middle).otherwise(high).alias("high"))
-
-        start = F.struct(F.lit(0).alias("low"), F.size(borders).alias("high"))
-        return F.aggregate(F.array_repeat(F.lit(0), self.steps), start, halve, lambda span: span["low"])
-
 
 @dataclass(frozen=True)
 class Panel:
