@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import prose
@@ -145,6 +146,83 @@ def test_fingerprints_do_not_depend_on_neighbours():
     assert digests.likeness(half, alone[7]) > 0.5
 
 
+def plain_filters(text, rank):
+    """The same fingerprint window by window."""
+    if len(text) < 64:
+        picked = [xxhash.xxh64_intdigest(text)] if text else []
+    else:
+        level, _ = digests.levels(np.frombuffer(text, np.uint8), np.array([len(text)]))
+        windows = len(text) - 63
+        runs = [range(r, r + 64) for r in range(windows - 63)] or [range(windows)]
+        points = Counter(min(run, key=lambda w: (rank[level[w]], w)) for run in runs)
+        needed = min(16, max(1, len(runs) // 8))
+        picked = []
+        for w in sorted(w for w, n in points.items() if n >= needed):
+            value = sum((b + 1) * (int.from_bytes(xxhash.xxh64_digest(bytes([k])), "little") | 1) for k, b in enumerate(text[w : w + 64])) % 2**64
+            value = (value ^ value >> 32) * 0xD6E8FEB86659FD93 % 2**64
+            picked.append(value ^ value >> 29)
+    chain = []
+    for start in range(0, len(picked), 160):
+        bits = {value >> 11 * k & 2047 for value in picked[start : start + 160] for k in range(5)}
+        chain.append(bits)
+    return chain
+
+
+def plain_likeness(a, b):
+    a, b = sorted((a, b), key=len)
+    if not a:
+        return float(not b)
+    total = 0.0
+    for one in a:
+        best = 0.0
+        for two in b:
+            most, chance = min(len(one), len(two)), len(one) * len(two) / 2048
+            floor = chance + 0.2 * (most - chance)
+            common = len(one & two)
+            best = max(best, (common - floor) / (most - floor) if most > floor else float(common >= most))
+        total += min(best, 1) * len(one)
+    return total / sum(map(len, a))
+
+
+@pytest.mark.parametrize("piece", [digests.PIECE, 300])
+def test_fingerprints_against_plain_ones(monkeypatch, piece):
+    monkeypatch.setattr(digests, "PIECE", piece)
+    rank = digests.ranks(np.random.default_rng(2).integers(0, 50, digests.LEVELS))
+    found = [prose(k, n).encode() for k, n in enumerate((0, 1, 9, 12, 16, 22, 30, 60, 300, 4000))] + [b"ab" * 900]
+    found.append(found[8][:700] + found[9][:900])
+    got = digests.fingerprints(found, rank)
+    want = [plain_filters(f, rank) for f in found]
+    for g, w in zip(got, want):
+        assert [set(np.flatnonzero(bits)) for bits in np.unpackbits(g, axis=1)] == w
+    for i in range(len(found)):
+        for j in range(len(found)):
+            assert digests.likeness(got[i], got[j]) == pytest.approx(plain_likeness(want[i], want[j]))
+
+
+def test_fingerprints_of_rows_that_share_an_id(table, monkeypatch):
+    """Most rows have one doc_id, or none; each is followed by the next in the order of doc_id, text hash and text."""
+    monkeypatch.setattr(digests, "ROWS_PER_RANGE", 4)
+    pairs = [(k, prose(k, 30)) for k in range(20)] + [(7, prose(100 + k, 30)) for k in range(40)] + [(None, prose(200 + k, 30)) for k in range(30)]
+    pairs += [(7, prose(101, 30))] * 5 + [(None, None)] * 3
+    rows = digests.with_next(table(pairs)).withColumn("p", F.spark_partition_id()).collect()
+    assert Counter((r.doc_id, r.text) for r in rows if not r.guest) == Counter((i, t or "") for i, t in pairs)
+    assert max(Counter(r.cell for r in rows).values()) <= 20 and len({r.cell for r in rows if r.doc_id == 7 and not r.guest}) > 3
+    by_cell = defaultdict(list)
+    for r in rows:
+        by_cell[r.cell].append(r)
+    # Cells follow each other; the guest of one is the first row of the next.
+    order = sorted(by_cell, reverse=True)
+    first = {c: by_cell[c][0] for c in order}
+    joined = [r for c in order for r in by_cell[c] if not r.guest]
+    keys = [(r.doc_id is None, -(r.doc_id or 0)) for r in joined]
+    assert keys == sorted(keys)
+    for k, c in enumerate(order):
+        guest = by_cell[c][-1]
+        after = first[order[(k + 1) % len(order)]]
+        assert guest.guest and (guest.doc_id, guest.text) == (after.doc_id, after.text)
+    assert digests.digest(table(pairs)).count() == len(pairs)
+
+
 @pytest.mark.parametrize("rows", [2_000, 3])
 def test_digest_of_odd_rows(table, odd_pairs, rows, monkeypatch):
     monkeypatch.setattr(digests, "ROWS_PER_RANGE", rows)

@@ -10,7 +10,8 @@ chance, and the result is averaged by the bits set.
 Edge cases: a null or empty text has the empty fingerprint, which is like itself (1) and unlike all others (0); a text
 shorter than a window is one feature; equal texts have equal fingerprints; rows of one doc_id are put in order by
 text digest; a row without doc_id comes after all others; a single row is its own next document; other columns are
-dropped.
+dropped. Long texts are gone through in pieces, with the same result. Rows of one doc_id, or without one, are dealt over
+tasks by their text hashes; only equal rows stay together.
 """
 
 from __future__ import annotations
@@ -20,13 +21,13 @@ import hashlib
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelines.llm.common import slices, texts
+from tidelines.panel import count_not_above
 
 SIZE = 64
 POINTS = 16
@@ -36,6 +37,8 @@ LEVELS = 1001
 #: Windows of lower entropy (in thousandths of six bits) come last whatever their rarity: runs and rulers.
 LEAST_ENTROPY = 100
 BLOCK = 1 << 17
+#: Bytes of a longer text that are looked at at once, but for what its windows overlap.
+PIECE = 1 << 20
 ROWS_PER_RANGE = 2_000
 MOST_RANGES = 20_000
 
@@ -92,11 +95,9 @@ def joined(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(found), np.uint8), np.array([*map(len, found)], np.int64)
 
 
-def fingerprints(found: list[bytes], rank: np.ndarray) -> list[np.ndarray]:
-    """The chain of filters of each text, as rows of bytes."""
-    raw, sizes = joined(found)
-    if not len(raw):
-        return [np.empty((0, FILTER_BITS // 8), np.uint8) for _ in found]
+def features(raw: np.ndarray, sizes: np.ndarray, rank: np.ndarray, points_needed: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The selected windows of concatenated texts: their text, their place in it and their hash, in order. By default the
+    points that select a window are fewer in short texts."""
     level, valid = levels(raw, sizes)
     n, starts = len(raw), np.cumsum(sizes) - sizes
     index = np.repeat(np.arange(len(sizes)), sizes)
@@ -116,7 +117,7 @@ def fingerprints(found: list[bytes], rank: np.ndarray) -> list[np.ndarray]:
     for d in few:
         reach[starts[d]] = best[starts[d] : starts[d] + windows[d]].min()
     points = np.bincount(reach[inside] & ((np.int64(1) << shift) - 1), minlength=n)
-    needed = np.minimum(POINTS, np.maximum(1, runs // 8))
+    needed = np.minimum(POINTS, np.maximum(1, runs // 8)) if points_needed is None else np.full(len(sizes), points_needed)
     chosen = np.flatnonzero(points >= np.maximum(needed[index], 1))
     view = np.lib.stride_tricks.sliding_window_view(raw, SIZE) if n >= SIZE else np.empty((0, SIZE), np.uint8)
     value = np.empty(len(chosen), np.uint64)
@@ -127,13 +128,41 @@ def fingerprints(found: list[bytes], rank: np.ndarray) -> list[np.ndarray]:
     value ^= value >> np.uint64(32)
     value *= np.uint64(0xD6E8FEB86659FD93)
     value ^= value >> np.uint64(29)
-    owner = index[chosen]
+    return index[chosen], place[chosen], value
+
+
+def long_features(text: bytes, rank: np.ndarray) -> np.ndarray:
+    """Hashes of the selected windows of one text of more than PIECE bytes, piece by piece. Points of a window come from
+    runs that begin up to 63 windows before it and end up to 63 windows after it."""
+    raw, windows, found = np.frombuffer(text, np.uint8), len(text) - SIZE + 1, []
+    for start in range(0, windows, PIECE):
+        stop, first = min(windows, start + PIECE), max(0, start - SIZE + 1)
+        part = raw[first : stop + 2 * SIZE - 2]
+        _, place, value = features(part, np.array([len(part)]), rank, POINTS)
+        found.append(value[(place >= start - first) & (place < stop - first)])
+    return np.concatenate(found)
+
+
+def fingerprints(found: list[bytes], rank: np.ndarray) -> list[np.ndarray]:
+    """The chain of filters of each text, as rows of bytes."""
+    if not any(found):
+        return [np.empty((0, FILTER_BITS // 8), np.uint8) for _ in found]
     # Texts shorter than a window are features of their own.
-    short = np.flatnonzero((sizes > 0) & (sizes < SIZE))
-    own = np.array([xxhash.xxh64_intdigest(found[d]) for d in short], np.uint64)
-    order = np.argsort(np.concatenate([owner, short]), kind="stable")
-    owner, value = np.concatenate([owner, short])[order], np.concatenate([value, own])[order]
-    counts = np.bincount(owner, minlength=len(sizes))
+    short = [d for d, t in enumerate(found) if 0 < len(t) < SIZE]
+    owners, values = [np.array(short, np.int64)], [np.array([xxhash.xxh64_intdigest(found[d]) for d in short], np.uint64)]
+    rest = np.array([d for d, t in enumerate(found) if SIZE <= len(t) <= PIECE], np.int64)
+    if len(rest):
+        owner, _, value = features(*joined([found[d] for d in rest]), rank)
+        owners.append(rest[owner])
+        values.append(value)
+    for d, t in enumerate(found):
+        if len(t) > PIECE:
+            values.append(long_features(t, rank))
+            owners.append(np.full(len(values[-1]), d))
+    owner, value = np.concatenate(owners), np.concatenate(values)
+    order = np.argsort(owner, kind="stable")
+    owner, value = owner[order], value[order]
+    counts = np.bincount(owner, minlength=len(found))
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
     chain = -(-counts // PER_FILTER)
     row = (np.cumsum(chain) - chain)[owner] + nth // PER_FILTER
@@ -172,10 +201,13 @@ def level_histogram(docs: DataFrame) -> np.ndarray:
     def run(batches):
         total = np.zeros(LEVELS, np.int64)
         for part in slices(batches):
-            raw, sizes = joined([t.encode() for t in part.column(0).to_pylist()])
-            if len(raw):
-                level, valid = levels(raw, sizes)
-                total += np.bincount(level[valid], minlength=LEVELS)
+            found = [t.encode() for t in part.column(0).to_pylist()]
+            pieces = [[t[k : k + PIECE + SIZE - 1]] for t in found if len(t) > PIECE for k in range(0, len(t) - SIZE + 1, PIECE)]
+            for some in [[t for t in found if len(t) <= PIECE], *pieces]:
+                raw, sizes = joined(some)
+                if len(raw):
+                    level, valid = levels(raw, sizes)
+                    total += np.bincount(level[valid], minlength=LEVELS)
         yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(total)), pa.array(total[total > 0])], names=["level", "n"])
 
     counted = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "level long, n long").groupBy("level").agg(F.sum("n").alias("n")).collect()
@@ -188,34 +220,38 @@ def level_histogram(docs: DataFrame) -> np.ndarray:
 def with_next(docs: DataFrame) -> DataFrame:
     """Rows (range, doc_id, guest, text), sorted within partitions so that every row is followed by its next document
     in descending order of doc_id. A range's last row needs the first of the range below, which comes as a guest."""
-    source = texts(docs)
-    known = source.filter(F.col("doc_id").isNotNull())
-    n = known.count()
-    cells = int(min(MOST_RANGES, max(1, n // ROWS_PER_RANGE)))
+    rows = texts(docs).select("doc_id", "text", F.xxhash64("text").alias("h"))
+    n, known = docs.agg(F.count(F.lit(1)), F.count("doc_id")).first()
+    cells = int(min(MOST_RANGES, max(1, known // ROWS_PER_RANGE)))
     shares = [k / cells for k in range(1, cells)] or [0.5]
-    cuts = np.unique(np.array(known.agg(F.percentile_approx("doc_id", shares, max(1000, 4 * cells))).first()[0] or [0]))
-
-    @F.pandas_udf("int")
-    def cell(ids: pd.Series) -> pd.Series:
-        return pd.Series((1 + np.searchsorted(cuts, ids.to_numpy())).astype(np.int32))
-
-    # Rows without doc_id form the lowest range.
-    own = cell(F.coalesce("doc_id", F.lit(0)))
-    placed = source.withColumn("cell", F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(own))
-    heads = placed.select("cell", "doc_id").groupBy("cell").agg(F.max("doc_id").alias("head")).orderBy("cell").collect()
+    cuts = docs.agg(F.percentile_approx("doc_id", shares, max(1000, 4 * cells))).first()[0] or [0]
+    # A doc_id that is the cut of several ranges has rows for several: they are dealt by their text hashes, in order.
+    cuts, repeats = np.unique(np.array(cuts), return_counts=True)
+    without = int(min(MOST_RANGES, max(1, (n - known) // ROWS_PER_RANGE)))
+    borders, shared = F.lit(cuts), F.lit(repeats)
+    rows = rows.withColumn("below", count_not_above(borders, F.col("doc_id"), int(len(cuts)).bit_length() + 1))
+    rows = rows.withColumn("cut", F.coalesce(F.get(borders, F.col("below") - 1) == F.col("doc_id"), F.lit(False)))
+    parts = F.when(F.col("doc_id").isNull(), F.lit(without)).when(F.col("cut"), F.get(shared, F.col("below") - 1)).otherwise(1)
+    rows = rows.withColumn("parts", parts.cast("long"))
+    # Ranges in the order of doc_id, those without one lowest; within a doc_id the smaller hashes come first.
+    range_ = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(2 * (1 + F.col("below") - F.col("cut").cast("int")) + (F.col("parts") > 1).cast("int"))
+    part = F.least(F.floor((F.col("h") / F.lit(2.0**64) + 0.5) * F.col("parts")), F.col("parts") - 1)
+    cell = range_.cast("long") * (2 * MOST_RANGES) + F.col("parts") - 1 - part
+    placed = rows.select(cell.alias("cell"), "doc_id", "text", "h")
+    # One row per range, so at most a few tens of thousands.
+    first = F.max(F.struct("doc_id", F.bitwise_not("h").alias("h"))).alias("first")
+    heads = placed.groupBy("cell").agg(first).orderBy("cell").select("cell", "first.*").collect()
+    home = placed.select("cell", "doc_id", F.lit(False).alias("guest"), "text")
     if not heads:
-        return placed.select("cell", "doc_id", F.lit(False).alias("guest"), "text")
-    cells_used = [r["cell"] for r in heads]
-    targets = [(r["cell"], r["head"], cells_used[(k + 1) % len(heads)]) for k, r in enumerate(heads)]
-    spark = docs.sparkSession
-    guests = spark.createDataFrame(targets, f"at int, head {docs.schema['doc_id'].dataType.simpleString()}, target int")
-    visiting = placed.join(F.broadcast(guests), (F.col("cell") == F.col("at")) & F.col("doc_id").eqNullSafe(F.col("head")), "left")
-    home = F.struct(F.col("cell").alias("cell"), F.lit(False).alias("guest"))
-    away = F.when(F.col("target").isNotNull(), F.struct(F.col("target").alias("cell"), F.lit(True).alias("guest")))
-    both = visiting.select("doc_id", "text", F.explode(F.array_compact(F.array(home, away))).alias("to"))
-    both = both.select("to.cell", "doc_id", "to.guest", "text")
+        return home
+    targets = [(r["cell"], r["doc_id"], ~r["h"], heads[(k + 1) % len(heads)]["cell"]) for k, r in enumerate(heads)]
+    at = docs.sparkSession.createDataFrame(targets, f"at long, head {docs.schema['doc_id'].dataType.simpleString()}, hash long, target long")
+    is_head = (F.col("cell") == F.col("at")) & F.col("doc_id").eqNullSafe(F.col("head")) & (F.col("h") == F.col("hash"))
+    # Repeated rows are one guest.
+    guests = placed.join(F.broadcast(at), is_head).groupBy("target", "doc_id").agg(F.min("text").alias("text"))
+    both = home.union(guests.select("target", "doc_id", F.lit(True), "text"))
     order = [F.col("cell"), F.col("guest"), F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), F.col("text")]
-    return both.repartition("cell").sortWithinPartitions(*order)
+    return both.repartition(len(heads), "cell").sortWithinPartitions(*order)
 
 
 def edited(text: str, following: str) -> str:
