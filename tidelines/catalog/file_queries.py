@@ -8,6 +8,7 @@ from tidelines.catalog.derived import BRONZE, OBS, W, bronze_docs, events, obs,
 from tidelines.catalog.feature_queries import TARGET
 from tidelines.catalog.registry import day, query, r6
 from tidelines.functions.records import any_time
+from tidelines.operators.reports import merged_coverage, merged_profile, store_report, stored_report
 from tidelines.operators.windows import lags, rolling
 from tidelines.panel import Panel
 from tidelines.plans.config import HourlyConfig
@@ -218,3 +219,35 @@ def stream_features(spark, sf_dir):
     ).awaitTermination()
     final = ps.latest_updates(spark, f"{root}/features", ["event_id", "stationID", "timestamp_utc"])
     return final.select("event_id", f"{TARGET}_lag_2h", r6(f"{TARGET}_rolling_mean_3h"))
+
+
+def _monthly_report(spark, sf_dir):
+    """All months but the last are stored, then a last one that was half there, then that month again, alone."""
+    path = f"{scratch_dir(spark, 'reports')}/report"
+    table = obs(spark, sf_dir)
+    last = table.agg(F.max(F.to_date("timestamp_utc"))).first()[0].replace(day=1)
+    store_report(table.filter(F.col("timestamp_utc") < F.lit(last).cast("timestamp")), path, "timestamp_utc", [TARGET])
+    for part in (table.filter(F.dayofmonth("timestamp_utc") < 5), table):
+        store_report(part, path, "timestamp_utc", [TARGET], months=[last])
+    return stored_report(spark, path)
+
+
+@query(
+    "monthly_profile",
+    f"""WITH {OBS} SELECT count(*) AS rows, count(*) FILTER (pm2_5_ugm3 IS NULL) AS null_count, round(min(pm2_5_ugm3), 6) AS min,
+  round(max(pm2_5_ugm3), 6) AS max, round(avg(pm2_5_ugm3), 6) AS mean FROM obs""",
+)
+def monthly_profile(spark, sf_dir):
+    return merged_profile(_monthly_report(spark, sf_dir)).select("rows", "null_count", r6("min"), r6("max"), r6("mean"))
+
+
+@query(
+    "monthly_coverage",
+    f"""WITH {OBS}, c AS (SELECT min(timestamp_utc::DATE) AS first, max(timestamp_utc::DATE) AS last,
+    count(DISTINCT timestamp_utc::DATE) AS days FROM obs)
+SELECT strftime(first, '%Y-%m-%d') AS min_date, strftime(last, '%Y-%m-%d') AS max_date, days AS unique_dates,
+  last - first + 1 AS expected_days, last - first + 1 - days AS missing_days FROM c""",
+)
+def monthly_coverage(spark, sf_dir):
+    cover = merged_coverage(_monthly_report(spark, sf_dir))
+    return cover.select(day("min_date", "min_date"), day("max_date", "max_date"), "unique_dates", "expected_days", "missing_days")
