@@ -179,3 +179,26 @@ def test_hotspots_against_every_pair(spark, monkeypatch):
             g = got[r.stationID, r.date]
             assert g.hotspot_count_th == r.th and math.isclose(g.hotspot_frp_sum, r.frp, rel_tol=1e-9)
             assert math.isclose(g.transboundary_index, r.transport, rel_tol=1e-6, abs_tol=1e-9)
+
+
+def test_hotspot_at_a_station(spark):
+    """The same place but for the last digit of a latitude, which no difference of products can tell."""
+    from tidelines.functions.geo import bearing_deg, haversine_km
+    from tidelines.operators.spatial import transboundary_index
+
+    places = [(13.640000000000001 + k * 0.01, 100.34 + k * 0.06) for k in (0, 6, 16)] + [(13.700000000000001, 100.7), (13.8, 100.8)]
+    stations = spark.createDataFrame(
+        [("2024-01-01", f"s{k}-{wind}", lat, lon, float(wind)) for k, (lat, lon) in enumerate(places) for wind in range(0, 360, 30)],
+        "date string, stationID string, lat double, lon double, wind_direction_mean double",
+    )
+    fires = spark.createDataFrame(
+        [("2024-01-01", round(lat, 2), round(lon, 2), 5.0, "th") for lat, lon in places], "date string, lat double, lon double, frp double, country string"
+    )
+    a = fires.select("date", F.col("lat").alias("fa"), F.col("lon").alias("fo"), "frp")
+    ends = [F.col(c) for c in ("fa", "fo", "lat", "lon")]
+    weight = F.greatest(F.lit(0.0), F.cos(F.radians(bearing_deg(*ends) - F.col("wind_direction_mean") - 180)))
+    pairs = a.join(stations, "date").withColumn("km", haversine_km(*ends)).filter("km <= 0.1")
+    want = {r.stationID: r.t for r in pairs.groupBy("stationID").agg(F.sum(F.col("frp") * weight * F.exp(-F.col("km") / 200)).alias("t")).collect()}
+    got = {r.stationID: r.transboundary_index for r in transboundary_index(fires, stations, radius_km=0.1).collect()}
+    assert set(got) == set(want) == {r.stationID for r in stations.collect()}
+    assert all(got[k] == pytest.approx(want[k], abs=1e-6) for k in want)

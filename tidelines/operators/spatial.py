@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelines.functions.geo import EARTH_RADIUS_KM
+from tidelines.functions.geo import EARTH_RADIUS_KM, bearing_deg
 from tidelines.session import staged
 
 RADIUS_KM = 800.0
@@ -19,6 +19,9 @@ COUNTRIES = ["th", "mm", "la"]
 CELL = 0.25
 #: Places of one cell and day in one task; a busier cell is dealt over several.
 PLACES_PER_TASK = 2_000
+#: Square of the chord (of the unit sphere; some 60 m) below which a bearing is computed from the differences of latitude
+#: and longitude, which products of coordinates would drown in rounding.
+SAME_PLACE = 1e-10
 
 
 def hotspot_locations(hotspots: DataFrame) -> DataFrame:
@@ -46,6 +49,8 @@ def _position(lat: str, lon: str, prefix: str) -> list[str]:
         f"cos({a}) AS {prefix}_ca",
         f"sin({o}) AS {prefix}_so",
         f"cos({o}) AS {prefix}_co",
+        f"`{lat}` AS {prefix}_lat",
+        f"`{lon}` AS {prefix}_lon",
     ]
 
 
@@ -125,6 +130,10 @@ def transboundary_index(
         *[f"n_{c}" for c in COUNTRIES],
         "w_sin",
         "w_cos",
+        "s_lat",
+        "s_lon",
+        "f_lat",
+        "f_lon",
         "s_y * f_co - s_x * f_so AS east",
         "f_ca * s_z - f_z * (s_x * f_co + s_y * f_so) AS north",
         "(s_x - f_x) * (s_x - f_x) + (s_y - f_y) * (s_y - f_y) + (s_z - f_z) * (s_z - f_z) AS chord2",
@@ -134,8 +143,13 @@ def transboundary_index(
     near = pairs.filter(F.col("chord2") <= chord * chord).selectExpr(
         "*", f"{2 * EARTH_RADIUS_KM!r}D * asin(least(sqrt(chord2) / 2, 1D)) AS km", "sqrt(east * east + north * north) AS length"
     )
-    # A fire at the station itself counts as lying to its south (bearing 0).
-    aligned = "greatest(0D, coalesce(try_divide(north * w_cos + east * w_sin, length), w_cos))"
+    # Of a fire at the station itself, or a last digit beside it, the bearing is that of the differences (0 if there are none).
+    toward = bearing_deg(*[F.col(c) for c in ("f_lat", "f_lon", "s_lat", "s_lon")])
+    near = near.withColumn("at_place", F.when(F.col("chord2") < SAME_PLACE, F.radians(toward)))
+    aligned = (
+        "greatest(0D, CASE WHEN at_place IS NOT NULL THEN cos(at_place) * w_cos + sin(at_place) * w_sin "
+        "ELSE coalesce(try_divide(north * w_cos + east * w_sin, length), w_cos) END)"
+    )
     return near.groupBy("stationID", "date").agg(
         *[F.sum(f"n_{c}").alias(f"hotspot_count_{c}") for c in COUNTRIES],
         F.sum("frp").alias("hotspot_frp_sum"),
