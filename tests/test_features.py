@@ -180,3 +180,30 @@ def test_seasonal_metrics(spark):
     )
     got = {r.season: (r.n, r.mae, r.bias) for r in seasonal_metrics(df, "at").collect()}
     assert got == {"DJF": (2, 2.0, 2.0), "JJA": (1, 0.0, 0.0)}
+
+
+@pytest.fixture
+def calm(spark, tmp_path):
+    """Still air from every direction, each event a station of its own, and the rows that SQL gives."""
+    import duckdb
+
+    from __spark_entry__ import oracle_sql, queries
+
+    spark.range(360).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 10:00:00' AS ts", "id AS user_id", "'view' AS event_type", "0D AS value", "'' AS props"
+    ).write.parquet(f"{tmp_path}/events.parquet")
+
+    def both(name):
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+        got = queries()[name](spark, str(tmp_path))
+        names = ", ".join(got.columns)
+        want = con.execute(f"SELECT {names} FROM ({oracle_sql()[name]})").fetchall()
+        return sorted(tuple(r) for r in got.collect()), sorted(want)
+
+    return both
+
+
+def test_direction_of_calm_air(calm):
+    got, want = calm("wind_recompose")
+    assert got == want and {r[2] for r in got} == {0.0, 180.0}

@@ -19,7 +19,11 @@ def wind_speed(u: Column, v: Column) -> Column:
 
 
 def wind_direction(u: Column, v: Column) -> Column:
-    return F.pmod(F.degrees(F.atan2(-u, -v)), F.lit(360.0))
+    """Degrees from 0 to 360. A vector of length zero has the direction of its zeros: 180 where the northward part to the
+    source, ``-v``, is a negative zero, else 0. Spark's atan2 takes all zeros as positive; a power tells them apart."""
+    calm = F.when(F.pow(v, F.lit(-1.0)) > 0, F.lit(180.0)).otherwise(F.lit(0.0))
+    turned = (F.degrees(F.atan2(-u, -v)) + F.lit(360.0)) % F.lit(360.0)
+    return F.when((u == 0) & (v == 0), calm).otherwise(turned)
 
 
 def kmh_to_ms(speed: Column) -> Column:
