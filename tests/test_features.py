@@ -207,3 +207,8 @@ def calm(spark, tmp_path):
 def test_direction_of_calm_air(calm):
     got, want = calm("wind_recompose")
     assert got == want and {r[2] for r in got} == {0.0, 180.0}
+
+
+def test_mean_direction_of_calm_days(calm):
+    got, want = calm("vector_mean_wind")
+    assert got == want and {r[2] for r in got} == {180.0}

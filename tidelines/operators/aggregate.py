@@ -11,6 +11,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelines.functions.wind import wind_direction
 from tidelines.operators.rank import rows_at_ranks
 from tidelines.operators.windows import RowFeatures, add_features, lags
 from tidelines.panel import Panel, count_not_above
@@ -60,7 +61,7 @@ def daily_weather(
     if wind_mean == "vector":
         angle = F.radians("wind_dir_deg")
         u, v = F.avg(-F.col("wind_ms") * F.sin(angle)), F.avg(-F.col("wind_ms") * F.cos(angle))
-        direction = F.pmod(F.degrees(F.atan2(-u, -v)), F.lit(360.0))
+        direction = wind_direction(u, v)
     days = df.groupBy(_date(time, shift_hours), entity).agg(
         _earliest(["lat", "lon", "load_id"], time, ties),
         F.avg("temp_c").alias("temp_2m_mean"),
