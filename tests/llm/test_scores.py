@@ -343,3 +343,42 @@ def test_rare_blocked_urls_are_in_the_sample(spark):
     parts = urls.with_parts(spark.createDataFrame(rows, "page_id long, url string, html string"))
     got = Counter(r.verdict for r in urls.weak_labels(parts, [urls.Rule("block", "com", "/en/")], most=20).collect())
     assert got == {"block": 4, "allow": 10}
+
+
+def test_equal_texts_tie_across_matrix_and_postings(spark):
+    """More copies than places, with frequent and rare words: all score alike, so the smallest ids are found, whole."""
+    texts = [" ".join(f"w{(7 * i + j * j) % 60}" for j in range(30)) + f" own{i // 3}" for i in range(90)]
+    docs = spark.createDataFrame([(i, texts[i] if i % 4 else "alpha beta gamma w1 w2 w3") for i in range(90)], "doc_id long, text string")
+    got = search.search(docs, F.col("doc_id").isin(0, 50), k=5).orderBy("query_id", "rank").collect()
+    first = [r for r in got if r.query_id == 0]
+    assert [r.doc_id for r in first] == [0, 4, 8, 12, 16] and len({r.score for r in first}) == 1
+    assert [r.doc_id for r in got if r.query_id == 50][0] == 50
+
+
+def test_search_of_many_queries_in_a_shard_is_fast():
+    """A pair of query and document costs little: the shard is walked by matrix products, not by sorted blocks."""
+    import time
+
+    draw = np.random.default_rng(3)
+    n, vocabulary = 8192, 20_000
+    found = [np.unique(draw.zipf(1.2, 400) % vocabulary) for _ in range(n)]
+    term, doc = np.concatenate(found), np.repeat(np.arange(n), [*map(len, found)])
+    order = np.lexsort((doc, term))
+    names, counts = np.unique(term, return_counts=True)
+    blob = {
+        "ids": list(range(n)),
+        "lengths": np.full(n, 400, np.int32).tobytes(),
+        "terms": names.astype(np.int64).tobytes(),
+        "ends": np.cumsum(counts).astype(np.int32).tobytes(),
+        "docs": doc[order].astype(np.uint16).tobytes(),
+        "tf": np.ones(len(doc), np.uint16).tobytes(),
+    }
+    shard = search.Shard(blob, 400.0)
+    asked = found[:256]
+    cuts = np.cumsum([0, *map(len, asked)])
+    weight_of = dict(zip(names.tolist(), np.log1p((n - counts + 0.5) / (counts + 0.5)).tolist()))
+    weights = np.array([weight_of[t] for q in asked for t in q.tolist()])
+    start = time.process_time()
+    best = list(shard.search(cuts, shard.places(np.concatenate(asked)), weights, 10))
+    assert time.process_time() - start < 3
+    assert all(q in ids for q, (ids, _) in enumerate(best))

@@ -1,12 +1,14 @@
-"""Exact top-k search by BM25 with block-max pruning (operator 5).
+"""Exact top-k search by BM25, shard by shard (operator 5).
 
-Documents are indexed in shards of ``SHARD`` within their task: postings sorted by term, cut into blocks of documents.
+Documents are indexed in shards of ``SHARD`` within their task: postings sorted by term.
 Document frequencies, the number of documents and their mean length are summed over all shards before any query runs,
 so scores do not depend on shards. A query is the set of a text's distinct lower-cased words.
 
-In a shard a query first adds up the largest impact that each of its terms has in each block. Blocks are then scored
-in descending order of that bound, a few at a time; as soon as a block's bound falls below the k-th best score so far,
-it and all after it are skipped. Every shard's k best are merged exactly.
+In a shard every document gets a score of known precision: the few terms that many documents have by a product of
+matrices in single precision, for many queries at once, and all others by their postings. The k-th largest of the
+blocks' best scores tells which documents may be among the k best; their scores are then computed in full, term by term
+in one order. Every shard's k best are merged exactly. The work grows with queries times documents, but what a pair
+costs is little more than a multiplication for each frequent term.
 
 Queries go to the shards in blocks of at most ``QUERY_TERMS`` terms, which bounds what is broadcast. Terms are known by
 64-bit hashes.
@@ -20,13 +22,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelines.llm.common import slices, staged, texts
 
 SHARD = 8192
 BLOCK = 16
+#: Terms that this part of a shard's documents have are scored by matrix product, for so many queries at once.
+FREQUENT, TOGETHER = 1 / 16, 256
 QUERY_TERMS = 2_000_000
 K1, B = 1.2, 0.75
 
@@ -96,59 +100,92 @@ def query_terms(queries: DataFrame) -> DataFrame:
 
 
 class Shard:
-    """Postings of one shard with their impacts, cut into blocks of documents."""
+    """Postings of one shard with their impacts, by term and by document. The terms that a good part of the documents
+    have are a matrix as well."""
 
     def __init__(self, row: dict, mean: float):
         read = lambda name, kind: np.frombuffer(row[name], kind)
         self.ids, lengths = np.array(row["ids"]), read("lengths", np.int32)
-        self.terms, ends = read("terms", np.int64), read("ends", np.int32).astype(np.int64)
+        self.terms, self.ends = read("terms", np.int64), read("ends", np.int32).astype(np.int64)
+        self.sizes = np.diff(self.ends, prepend=0)
         self.docs = read("docs", np.uint16).astype(np.int64)
         tf = read("tf", np.uint16).astype(float)
         if row.get("over"):
             place, count = read("over", np.int64).reshape(2, -1)
             tf[place] = count
         self.impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.docs] / mean))
-        self.n, self.blocks = len(lengths), -(-len(lengths) // BLOCK)
-        # A cell is a term's postings within a block.
-        term = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-        cell = term * self.blocks + self.docs // BLOCK
-        self.cell_start = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.empty(0, np.int64)
-        self.cell_end = np.r_[self.cell_start[1:], len(cell)]
-        self.cell_block = self.docs[self.cell_start] // BLOCK
-        self.cell_best = np.maximum.reduceat(self.impact, self.cell_start) if len(cell) else np.empty(0)
-        self.term_ends = np.cumsum(np.bincount(term[self.cell_start], minlength=len(ends)))
+        self.n = len(lengths)
+        term = np.repeat(np.arange(len(self.ends)), self.sizes)
+        frequent = self.sizes >= max(1, self.n * FREQUENT)
+        self.column = np.where(frequent, np.cumsum(frequent) - 1, -1)
+        own = frequent[term]
+        self.matrix = np.zeros((int(frequent.sum()), self.n), np.float32)
+        self.matrix[self.column[term[own]], self.docs[own]] = self.impact[own]
+        # By document, the terms of each in order.
+        order = np.argsort(self.docs, kind="stable")
+        self.doc_terms, self.doc_impact = term[order], self.impact[order]
+        self.doc_sizes = np.bincount(self.docs, minlength=self.n)
+        self.doc_ends = np.cumsum(self.doc_sizes)
+        # Sums of numbers that are not negative, in single precision: no score is further off than this share of it.
+        self.slack = 1 - 4 * (len(self.matrix) + 8) * 2.0**-24
+
+    def search(self, cuts: np.ndarray, at: np.ndarray, weights: np.ndarray, k: int):
+        """Yield, for each query, places and scores of the k best documents, all ties of the last one included.
+
+        ``at``: places of the queries' terms in the shard, -1 for those it lacks; ``cuts``: where queries start and end."""
+        weight_of = np.zeros(len(self.terms))
+        for first in range(0, len(cuts) - 1, TOGETHER):
+            own = cuts[first : first + TOGETHER + 1]
+            asked, weight = at[own[0] : own[-1]], weights[own[0] : own[-1]]
+            row = np.repeat(np.arange(len(own) - 1), np.diff(own))
+            column = np.where(asked >= 0, self.column[asked], -1) if len(self.terms) else np.full(len(asked), -1)
+            table = np.zeros((len(own) - 1, len(self.matrix)), np.float32)
+            table[row[column >= 0], column[column >= 0]] = weight[column >= 0]
+            about = table @ self.matrix
+            for q in range(len(own) - 1):
+                a, b = own[q] - own[0], own[q + 1] - own[0]
+                here = asked[a:b] >= 0
+                terms, w = asked[a:b][here], weight[a:b][here]
+                rare = column[a:b][here] < 0
+                sizes = self.sizes[terms[rare]]
+                postings = _ranges(self.ends[terms[rare]] - sizes, sizes)
+                scores = about[q]
+                if len(postings):
+                    scores = scores + np.bincount(self.docs[postings], self.impact[postings] * np.repeat(w[rare], sizes), self.n)
+                weight_of[terms] = w
+                yield self.exact(weight_of, self.promising(scores, k), k)
+                weight_of[terms] = 0
+
+    def places(self, names: np.ndarray) -> np.ndarray:
+        """Places of terms in the shard, -1 for those it lacks."""
+        at = np.searchsorted(self.terms, names)
+        at[(at == len(self.terms)) | (np.append(self.terms, 0)[at] != names)] = -1
+        return at
 
     def best(self, query: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Documents (places in the shard) and scores of the k best, all ties of the last one included."""
-        at = np.searchsorted(self.terms, query)
-        here = (at < len(self.terms)) & (self.terms[np.minimum(at, len(self.terms) - 1)] == query)
-        at, weight = at[here], weight[here]
-        ends = self.term_ends[at]
-        sizes = ends - np.where(at, self.term_ends[at - 1], 0)
-        cells = _ranges(ends - sizes, sizes)
-        cell_weight = np.repeat(weight, sizes)
-        block = self.cell_block[cells]
-        bound = np.bincount(block, self.cell_best[cells] * cell_weight, self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        rank = np.empty(self.blocks, np.int64)
-        rank[order] = np.arange(self.blocks)
-        by_rank = np.argsort(rank[block], kind="stable")
-        cells, cell_weight, sorted_rank = cells[by_rank], cell_weight[by_rank], rank[block][by_rank]
-        docs, scores = np.empty(0, np.int64), np.empty(0)
-        done, step, least = 0, 32, 0.0
-        while done < self.blocks and bound[order[done]] > 0 and bound[order[done]] >= least * (1 - 1e-12):
-            stop = min(self.blocks, done + step)
-            a, b = np.searchsorted(sorted_rank, [done, stop])
-            sizes = self.cell_end[cells[a:b]] - self.cell_start[cells[a:b]]
-            postings = _ranges(self.cell_start[cells[a:b]], sizes)
-            total = np.bincount(self.docs[postings], self.impact[postings] * np.repeat(cell_weight[a:b], sizes), self.n)
-            new = np.flatnonzero(total > 0)
-            docs, scores = np.concatenate([docs, new]), np.concatenate([scores, total[new]])
-            if len(scores) > k:
-                least = np.partition(scores, len(scores) - k)[len(scores) - k]
-                docs, scores = docs[scores >= least], scores[scores >= least]
-            done, step = stop, 2 * step
-        return docs, scores
+        """``search`` for one query."""
+        return next(self.search(np.array([0, len(query)]), self.places(query), weight, k))
+
+    def promising(self, scores: np.ndarray, k: int) -> np.ndarray:
+        """Documents that may be among the k best, by scores that are off by less than the slack."""
+        whole = self.n - self.n % BLOCK
+        best = np.r_[scores[:whole].reshape(-1, BLOCK).max(axis=1), scores[whole:]]
+        # So many blocks have a document as good as that.
+        least = np.partition(best, len(best) - k)[len(best) - k] if len(best) > k else 0.0
+        found = np.flatnonzero(scores >= least * self.slack) if least > 0 else np.flatnonzero(scores > 0)
+        if len(found) > k:
+            least = np.partition(scores[found], len(found) - k)[len(found) - k]
+            found = found[scores[found] >= least * self.slack]
+        return found
+
+    def exact(self, weight_of: np.ndarray, found: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k best of some documents with their scores, added up term by term in one order, so that equal texts tie."""
+        sizes = self.doc_sizes[found]
+        postings = _ranges(self.doc_ends[found] - sizes, sizes)
+        scores = np.bincount(np.repeat(np.arange(len(found)), sizes), weight_of[self.doc_terms[postings]] * self.doc_impact[postings], len(found))
+        least = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) > k else 0.0
+        good = (scores >= least) & (scores > 0)
+        return found[good], scores[good]
 
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -184,24 +221,25 @@ def search(docs: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
 
         def run(batches, sent=sent):
             asked_ids, cuts, hashes, weights = sent.value
+            names, place = np.unique(hashes, return_inverse=True)
             for batch in batches:
                 for row in range(batch.num_rows):
                     shard = Shard({name: batch.column(c)[row].as_py() for c, name in enumerate(batch.schema.names)}, mean)
-                    out_q, out_d, out_s = [], [], []
-                    for q, a, b in zip(asked_ids, cuts, cuts[1:]):
-                        found, scores = shard.best(hashes[a:b], weights[a:b], k)
-                        out_q.extend([q] * len(found))
-                        out_d.append(shard.ids[found])
-                        out_s.append(scores)
-                    flat = np.concatenate(out_d) if out_d else np.empty(0, np.int64)
-                    scores = np.concatenate(out_s) if out_s else np.empty(0)
-                    yield pa.RecordBatch.from_arrays([pa.array(out_q, batch.column(0).type.value_type), pa.array(flat.tolist(), batch.column(0).type.value_type), pa.array(scores)], names=["query_id", "doc_id", "score"])
+                    best = []
+                    for found, scores in shard.search(cuts, shard.places(names)[place], weights, k):
+                        # Of a shard's ties no more than k can be among the k best of all.
+                        best.append(sorted(zip((-scores).tolist(), shard.ids[found].tolist()))[:k])
+                    entry = pa.struct([("minus", pa.float64()), ("doc_id", batch.column(0).type.value_type)])
+                    lists = [[{"minus": m, "doc_id": d} for m, d in x] for x in best]
+                    yield pa.RecordBatch.from_arrays([pa.array(asked_ids, entry.field("doc_id").type), pa.array(lists, pa.list_(entry))], names=["query_id", "best"])
 
         # A row is a whole shard, so each row may be a task of its own.
         spread = index.repartition(max(1, n // SHARD))
-        parts.append(spread.mapInArrow(run, f"query_id {kind}, doc_id {kind}, score double"))
+        parts.append(spread.mapInArrow(run, f"query_id {kind}, best array<struct<minus: double, doc_id: {kind}>>"))
     found = parts[0]
     for part in parts[1:]:
         found = found.union(part)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    # A query has a row of at most k entries from each shard.
+    merged = found.groupBy("query_id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, k).alias("best"))
+    ranked = merged.select("query_id", F.posexplode("best").alias("place", "entry"))
+    return ranked.select("query_id", "entry.doc_id", (-F.col("entry.minus")).alias("score"), (F.col("place") + 1).alias("rank"))
