@@ -299,3 +299,34 @@ def test_dense_group_is_searched_with_few_tests(table, monkeypatch):
     assert fails > 8_000 and len(want) > 5
     assert want <= got and len(got) <= len(want) + 2  # a pair at 0.8 is missed with chance 0.005
     assert sum(tested) < 20 * len(pairs)
+
+
+def test_components_read_a_link_about_once(spark, monkeypatch):
+    """Chains, a star whose centre is the largest node, and a dense group: each level leaves far fewer links."""
+    from tidelines.llm import components as module
+
+    rng = np.random.default_rng(4)
+    pairs = [(k, k + 1) for k in range(100, 160)] + [(int(a), int(b)) for a, b in zip(rng.permutation(40) + 200, rng.permutation(40) + 200) if a != b]
+    pairs += [(900, k) for k in range(300, 340)] + [(a, b) for a in range(400, 440) for b in range(a + 1, 440)]
+    written, real = [], module.staged
+
+    def counted(df, name):
+        out = real(df, name)
+        if name == "edges":
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(module, "staged", counted)
+    got = {r.node: r.component for r in module.components(spark.createDataFrame(pairs + pairs[:5], "src long, dst long")).collect()}
+    parent = {n: n for p in pairs for n in p}
+
+    def root(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for a, b in pairs:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    assert got == {n: root(n) for n in parent}
+    assert sum(written) < 1.5 * written[0] and written[-1] == 0
