@@ -167,3 +167,16 @@ def test_files_of_several_loads_are_not_withdrawn(spark, tmp_path):
     withdraw(spark, str(tmp_path / "nowhere"), ["a"])
     withdraw(spark, str(tmp_path / "t"), ["a", "b"])
     assert not list((tmp_path / "t").glob("*.parquet"))
+
+
+def test_a_file_for_each_station_name(spark, sf_dir, tmp_path, monkeypatch):
+    """Events read by several tasks still give one file a name."""
+    from tidelines.catalog import job_queries
+
+    spark.read.parquet(f"{sf_dir}/events.parquet").repartition(6).write.parquet(f"{tmp_path}/in/events.parquet")
+    monkeypatch.setattr(job_queries, "scratch_dir", lambda spark, purpose: f"{tmp_path}/out")
+    rows = job_queries.station_names_in_paths(spark, f"{tmp_path}/in").collect()
+    names = {p.name for p in (tmp_path / "out" / "docs").glob("name=*")}
+    files = list((tmp_path / "out" / "docs").glob("name=*/*.json"))
+    assert len(rows) == len(names) == len(files)
+    assert sum(r.documents for r in rows) == spark.read.parquet(f"{sf_dir}/events.parquet").count()

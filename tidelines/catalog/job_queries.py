@@ -227,7 +227,8 @@ def station_names_in_paths(spark, sf_dir):
     """Documents without a station, stored under names that carry it."""
     root = scratch_dir(spark, "named")
     docs = bronze_docs(spark, sf_dir).select("hourly", F.concat(F.lit("batch_20240101_1_s_"), F.substring("stationID", 3, 20), F.lit(".json")).alias("name"))
-    docs.write.partitionBy("name").option("compression", "none").json(f"{root}/docs")
+    # The documents of a name meet first, so that there is a file for each name and not one from each task as well.
+    docs.repartition("name").write.partitionBy("name").option("compression", "none").json(f"{root}/docs")
     # Spark chooses its own file names; the folder stands for the file here.
     read = bronze.read_bronze(spark, f"{root}/docs").withColumn("file_path", F.regexp_replace("file_path", "^.*/name=([^/]+)/.*$", "/$1"))
     named = bronze.with_station(read)
