@@ -89,6 +89,34 @@ def test_features_of_rows_in_any_order(spark, tmp_path, late_rows):
     assert ring.agg(F.max("count")).first()[0] <= 4 + late_rows
 
 
+def test_features_with_large_entities_null_times_and_ties(spark, tmp_path):
+    """Entities above the limit are cut into slices; a late row without a time, and one that shares its time, are early."""
+    at = lambda name: str(tmp_path / name)
+    rows = _rows(spark, [("a", h // 2) for h in range(60)] + [("b", h) for h in range(9)])
+    rows = rows.withColumn("t", F.when(~F.col("id").isin(20, 68), F.col("t")))
+    for ids in (range(24, 66), [*range(24), 66], [67, 68]):
+        _arrive(rows.filter(F.col("id").isin(*ids)), at("in"))
+    features = [lags(["x"], [1, 2])]
+    stream = ps.read_stream(spark, at("in"), rows.schema, files_per_trigger=1)
+    ps.incremental_features(stream, P, features, at("f"), at("check"), at("h"), 2, max_rows=20).awaitTermination()
+    names = ["id", "x_lag_1h", "x_lag_2h"]
+    got = ps.latest_updates(spark, at("f"), ["stationID", "t", "id"]).select(names)
+    want = add_features(rows, P, *features).select(names)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_batches_of_the_query_are_read_by_several_tasks(spark, tmp_path, monkeypatch, sf_dir):
+    from tidelines.catalog import file_queries
+
+    monkeypatch.setattr(file_queries, "scratch_dir", lambda spark, purpose: str(tmp_path / purpose))
+    source = str(tmp_path / "source")
+    spark.read.parquet(f"{sf_dir}/events.parquet").repartition(3).write.parquet(f"{source}/events.parquet")
+    assert file_queries.stream_features(spark, source).count() == spark.read.parquet(f"{source}/events.parquet").count()
+    rows = tmp_path / "stream-features/history/rows"
+    assert len(list(rows.glob("batch=*"))) == 5
+    assert min(_files(folder) for folder in rows.glob("batch=*")) > 1
+
+
 def test_features_that_look_ahead_are_refused(spark):
     from tidelines.operators.windows import leads
 

@@ -16,7 +16,7 @@ from tidelines.plans.gold_jobs import run_hourly_gold
 from tidelines.plans.silver_jobs import run_bronze_to_silver
 from tidelines.session import scratch_dir, staged
 from tidelines.sources import bronze, inventory, silver
-from tidelines.sources.files import delete
+from tidelines.sources.files import delete, list_files
 from tidelines.sources.ledger import Ledger
 from tidelines.streaming import panel_streams as ps
 
@@ -207,9 +207,11 @@ def stream_features(spark, sf_dir):
     o = obs(spark, sf_dir).select("event_id", "stationID", "timestamp_utc", TARGET)
     part = F.pmod(F.xxhash64("event_id"), F.lit(5))
     for k in range(5):
-        o.filter(part == k).coalesce(1).write.mode("append").parquet(f"{root}/arrivals")
+        o.filter(part == k).write.mode("append").parquet(f"{root}/arrivals")
+    # A part has as many files as tasks have written it; batches are a fifth of the files each.
+    files = list_files(spark, f"{root}/arrivals", "*.parquet").count()
     ps.incremental_features(
-        ps.read_stream(spark, f"{root}/arrivals", o.schema, files_per_trigger=1),
+        ps.read_stream(spark, f"{root}/arrivals", o.schema, files_per_trigger=max(1, -(-files // 5))),
         panel(),
         [lags([TARGET], [2]), rolling([TARGET], [3], ["mean"])],
         f"{root}/features",

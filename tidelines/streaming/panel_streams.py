@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelines.operators.windows import RowFeatures, add_features
-from tidelines.panel import Panel, order_key
+from tidelines.panel import MAX_ROWS, Panel, as_micros
 from tidelines.schemas import AIR_QUALITY_BRONZE, CORRUPT
 from tidelines.session import staged
 from tidelines.sources import bronze
@@ -148,6 +148,7 @@ def incremental_features(
     checkpoint: str,
     history: str,
     late_rows: int = 168,
+    max_rows: int = MAX_ROWS,
 ) -> StreamingQuery:
     """Look-back features (lags, rolling) of rows that arrive in any order.
 
@@ -165,6 +166,10 @@ def incremental_features(
     stored = T.StructType([*stream.schema.fields])
     ringed = T.StructType([*stored.fields, T.StructField("_seen", T.LongType())])
     entity = F.col(panel.entity)
+    keep = max(1, back) + late_rows
+    # Times alone, which can be compared in a hash aggregate; a null comes first. Rows of equal time do not count as
+    # earlier, so where ties matter the history is read.
+    at = F.coalesce(as_micros(panel.time), F.lit(-(1 << 63)))
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
@@ -173,37 +178,51 @@ def incremental_features(
         ring = spark.createDataFrame([], ringed)
         if number > 0:
             ring = spark.read.schema(ringed).parquet(f"{history}/ring/batch={number - 1}")
-        key = order_key(panel.time, panel.ties)
-        first = new.groupBy(entity.alias("_entity")).agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_new_rows"))
+        first = new.groupBy(entity.alias("_entity")).agg(F.min(at).alias("_first"), F.count(F.lit(1)).alias("_new_rows"))
         # One row per entity of the batch; the ring is read once for all that is asked of it.
         reach = staged(
             first.join(ring, F.col("_entity").eqNullSafe(entity), "left")
             .groupBy("_entity")
             .agg(
                 F.first("_new_rows").alias("_new_rows"),
-                F.count_if(key < F.col("_first")).alias("_before"),
+                F.count_if(F.col("_seen").isNotNull() & (at < F.col("_first"))).alias("_before"),
                 F.count("_seen").alias("_held"),
                 F.coalesce(F.max("_seen"), F.lit(0)).alias("_seen_before"),
             ),
             "reach",
         )
-        deep = reach.filter((F.col("_before") < back) & (F.col("_held") < F.col("_seen_before"))).select("_entity")
-        base = ring.join(reach.join(deep, "_entity", "left_anti"), entity.eqNullSafe(F.col("_entity")), "left_semi").select(*columns)
-        if not deep.isEmpty():
+        is_deep = (F.col("_before") < back) & (F.col("_held") < F.col("_seen_before"))
+        seen = F.col("_seen_before") + F.col("_new_rows")
+        found = reach.agg(F.coalesce(F.max(is_deep), F.lit(False)).alias("deep"), F.max(seen).alias("largest")).first()
+        deep = reach.filter(is_deep).select("_entity")
+        base = ring.join(reach.filter(~is_deep), entity.eqNullSafe(F.col("_entity")), "left_semi").select(*columns)
+        if found["deep"]:
             log = spark.read.schema(T.StructType([*stored.fields, T.StructField("batch", T.IntegerType())])).parquet(f"{history}/rows")
             earlier = log.filter(F.col("batch") < number).join(deep, entity.eqNullSafe(F.col("_entity")), "left_semi")
             base = base.unionByName(earlier.select(*columns))
         both = new.withColumn("_new", F.lit(True)).unionByName(base.withColumn("_new", F.lit(False)))
-        both = staged(both.dropDuplicates([*panel.keys(), *panel.order]), "rows")
-        # A row is written if it is new, or looks back at one that is.
+        fitted = panel
+        if (found["largest"] or 0) > max_rows:
+            both = staged(both.dropDuplicates([*panel.keys(), *panel.order]), "rows")
+            fitted = panel.fit(both, max_rows)
+        else:
+            # No entity is large: copies are dropped and windows computed on one exchange.
+            both = both.repartition(entity).dropDuplicates([*panel.keys(), *panel.order])
+        # A row is written if it is new, or looks back at one that is; the last rows make the next ring.
         fresh = (("_touched", f"max(`_new`) OVER ({{w}} ROWS BETWEEN {back} PRECEDING AND CURRENT ROW)"),)
-        out = add_features(both, panel.fit(both), *features, RowFeatures((fresh,), ("_touched",), back))
+        if fitted.slices is None:
+            place = (("_from_last", "count(1) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) - row_number() OVER ({w})"),)
+            out = add_features(both, fitted, *features, RowFeatures((fresh,), ("_touched",), back), RowFeatures((place,), ("_from_last",)))
+            out = staged(out.filter(F.col("_touched") | (F.col("_from_last") < keep)), "features")
+            tail = out.filter(F.col("_from_last") < keep)
+            out = out.drop("_from_last")
+        else:
+            out = add_features(both, fitted, *features, RowFeatures((fresh,), ("_touched",), back))
+            order = F.row_number().over(panel.reverse_window())
+            tail = both.withColumn("_rn", order).filter(F.col("_rn") <= keep)
         out.filter("_touched").drop("_new", "_touched").write.mode("overwrite").parquet(f"{target}/batch={number}")
-        keep = max(1, back) + late_rows
-        order = F.row_number().over(panel.reverse_window())
-        tail = both.withColumn("_rn", order).filter(F.col("_rn") <= keep).select(*columns)
-        total = reach.select("_entity", (F.col("_seen_before") + F.col("_new_rows")).alias("_seen"))
-        named = tail.join(total, entity.eqNullSafe(F.col("_entity"))).select(*columns, "_seen")
+        total = reach.select("_entity", seen.alias("_seen"))
+        named = tail.select(*columns).join(total, entity.eqNullSafe(F.col("_entity"))).select(*columns, "_seen")
         rest = ring.join(reach, entity.eqNullSafe(F.col("_entity")), "left_anti")
         rest.unionByName(named).write.mode("overwrite").parquet(f"{history}/ring/batch={number}")
 
