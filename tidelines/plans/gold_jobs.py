@@ -36,7 +36,7 @@ from tidelines.operators.windows import add_features, differences, lags, leads,
 from tidelines.panel import Panel
 from tidelines.plans.config import CombinedConfig, DailyConfig, HourlyConfig
 from tidelines.schemas import LONG_POLLUTANTS
-from tidelines.session import staged
+from tidelines.session import allow_wide_rows, staged
 from tidelines.sources import gold, silver
 
 # Daily columns that are interpolated, and inputs that have no source yet.
@@ -244,6 +244,7 @@ def run_daily_gold(
     losses: str | None = None,
 ) -> dict[str, str]:
     """Silver folders, and fires if given, to Gold splits, statistics and manifest below ``target``."""
+    allow_wide_rows(spark)
     weather = silver.read_weather(spark, weather_path)
     air = silver.read_optional_air_quality(spark, air_quality_path, losses) if air_quality_path else None
     counts = []

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SCRATCH: dict[str, str] = {}
+# Wide feature tables generate methods the JVM would not compile; beyond this size (in bytes) Spark splits them.
+HUGE_METHOD = "8000"
 
 
 def build_session(app: str = "tidelines", master: str | None = None, **conf: str) -> SparkSession:
@@ -22,8 +24,7 @@ def build_session(app: str = "tidelines", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.parquet.compression.codec", "snappy")
-        # Wide feature tables generate methods the JVM would not compile; beyond this size Spark splits them.
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .config("spark.sql.codegen.hugeMethodLimit", HUGE_METHOD)
     )
     if master:
         builder = builder.master(master)
@@ -32,6 +33,12 @@ def build_session(app: str = "tidelines", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def allow_wide_rows(spark: SparkSession) -> None:
+    """The same limit in a session that was built elsewhere, unless it has one of its own."""
+    if spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "65535":
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", HUGE_METHOD)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the shared ``spark.checkpoint.dir`` of the session.
 
