@@ -6,12 +6,18 @@ import gzip
 import hashlib
 import io
 import json
+from urllib.parse import unquote
 
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
+from tidelines.catalog import derived
+from tidelines.catalog.derived import bronze_docs, events
 from tidelines.plans.silver_jobs import run_bronze_to_silver
+from tidelines.schemas import AIR_QUALITY_BRONZE
+from tidelines.session import staged
 from tidelines.sources import bronze, files, footers, inventory, silver
 from tidelines.sources.ledger import Ledger, withdraw
 
@@ -180,3 +186,66 @@ def test_a_file_for_each_station_name(spark, sf_dir, tmp_path, monkeypatch):
     files = list((tmp_path / "out" / "docs").glob("name=*/*.json"))
     assert len(rows) == len(names) == len(files)
     assert sum(r.documents for r in rows) == spark.read.parquet(f"{sf_dir}/events.parquet").count()
+
+
+def test_documents_a_file_are_bounded(spark, tmp_path, monkeypatch):
+    """A gzip file is unpacked by one task, so one task's documents make several files, and so do the staged ones."""
+    monkeypatch.setattr(bronze, "DOCUMENTS", 10)
+    hours = [("a", 1.0, 2.0, (["2024-01-01T00:00"], [float(k)])) for k in range(25)]
+    docs = spark.createDataFrame(hours, "stationID string, latitude double, longitude double, hourly struct<time:array<string>,pm2_5:array<double>>")
+    bronze.write_bronze(docs.coalesce(1), str(tmp_path / "b"))
+    assert len(list((tmp_path / "b" / "year=2024" / "month=01").glob("*.json.gz"))) == 3
+    names = {"data_source": "t", "load_id": "l1", "ingested_at": "2024-02-01T00:00:00"}
+    rows = run_bronze_to_silver(spark, str(tmp_path / "b"), str(tmp_path / "s"), **names)
+    assert sorted(r.pm2_5_ugm3 for r in rows.collect()) == [float(k) for k in range(25)]
+    one = staged(spark.range(25).coalesce(1), "bounded", 10)
+    assert one.count() == 25 and len(one.inputFiles()) == 3
+
+
+def test_makers_of_documents_grow_with_the_events(spark, sf_dir):
+    """The events are one file of one row group, which a single task reads."""
+    n = events(spark, sf_dir).count()
+    assert bronze_docs(spark, sf_dir).rdd.getNumPartitions() == 1
+    parts = derived.dealt(events(spark, sf_dir), n // 10).rdd.glom().map(len).collect()
+    assert len(parts) in (10, 11) and sum(parts) == n and max(parts) < n // 5
+    assert bronze_docs(spark, sf_dir, deal=True).count() == n
+
+
+def test_a_load_is_read_in_small_shares(spark, tmp_path, monkeypatch):
+    key = "spark.sql.files.maxPartitionBytes"
+    share = lambda: spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    before, seen, write = share(), [], silver.write_silver
+    monkeypatch.setattr(silver, "write_silver", lambda *args: (seen.append(share()), write(*args)))
+    _drop(tmp_path / "b", "a.json", "a", range(3))
+    names = {"data_source": "t", "load_id": "l1", "ingested_at": "2024-02-01T00:00:00"}
+    load = lambda target: run_bronze_to_silver(spark, str(tmp_path / "b"), str(tmp_path / target), **names)
+    assert load("s").count() == 3
+    assert seen == [24 << 20] and share() == before
+    spark.conf.set(key, "1m")  # a smaller one of the session stays
+    try:
+        assert load("t").count() == 3 and seen[1:] == [1 << 20] == [share()]
+        (tmp_path / "b" / "bad.json.gz").write_bytes(b"xyz")
+        with pytest.raises(footers.LostData):
+            load("u")
+        assert share() == 1 << 20
+    finally:
+        spark.conf.unset(key)
+    assert share() == before
+
+
+def test_a_time_is_read_once(spark):
+    times = ["2024-01-01T00:00", "not-a-time", None, "2024-01-01T03:00"]
+    docs = spark.createDataFrame([("a", 1.0, 2.0, (times, [1.0, 2.0, 3.0]))], "stationID string, latitude double, longitude double, hourly struct<time:array<string>,pm2_5:array<double>>")
+    hourly = F.struct("hourly.*", *[F.lit(None).cast("array<double>").alias(c) for c in AIR_QUALITY_BRONZE["hourly"].dataType.names if c not in ("time", "pm2_5")])
+    rows = bronze.air_quality_silver(docs.withColumn("hourly", hourly), data_source="t", load_id="l", ingested_at="2024-02-01T00:00:00")
+    assert [(str(r.timestamp_utc), r.pm2_5_ugm3) for r in rows.orderBy("timestamp_utc").collect()] == [("2024-01-01 00:00:00", 1.0), ("2024-01-01 03:00:00", None)]
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("gettimestamp") == 1
+
+
+def test_month_folders_of_any_year(spark, tmp_path):
+    """Folders are named as a formatted time, in years of other than four digits as well."""
+    rows = spark.sql("SELECT 'a' AS stationID, explode(array(TIMESTAMP'0999-01-31', TIMESTAMP'2024-12-01', TIMESTAMP'+12024-10-05')) AS timestamp_utc")
+    want = {(r.y, r.m) for r in rows.select(F.date_format("timestamp_utc", "yyyy").alias("y"), F.date_format("timestamp_utc", "MM").alias("m")).collect()}
+    silver.write_silver(rows, str(tmp_path / "s"))
+    got = {tuple(unquote(p.split("=")[1]) for p in (f.parent.name, f.name)) for f in (tmp_path / "s").glob("year=*/month=*")}
+    assert got == want

@@ -144,13 +144,19 @@ def station_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dealt(rows: DataFrame, size: int = 25_000) -> DataFrame:
+    """Rows dealt out by event, about ``size`` to a task, however few parts their file can be read in."""
+    return rows.repartition(max(1, -(-rows.count() // size)), "event_id")
+
+
+def bronze_docs(spark: SparkSession, sf_dir: str, deal: bool = False) -> DataFrame:
     """One air-quality response per event: four hours from the event's hour.
 
     Arrays may be short or absent, pollutants come under long or short names, and every 50th document has a
-    time that cannot be read.
+    time that cannot be read. With ``deal`` the tasks that make them grow in number with the events.
     """
-    e = events(spark, sf_dir)
+    e = events(spark, sf_dir).select("event_id", "user_id", "ts", "value")
+    e = dealt(e) if deal else e
     v, event = F.col("value"), F.col("event_id")
     hour = F.date_trunc("hour", "ts")
 

@@ -29,7 +29,7 @@ _SILVER_COLS = [TARGET, "nitrogen_dioxide_ugm3", "pm10_ugm3"]
 @query("job_bronze_to_silver", _SILVER_SQL)
 def job_bronze_to_silver(spark, sf_dir):
     root = scratch_dir(spark, "bronze")
-    bronze.write_bronze(bronze_docs(spark, sf_dir).drop("event_id"), f"{root}/bronze")
+    bronze.write_bronze(bronze_docs(spark, sf_dir, deal=True).drop("event_id"), f"{root}/bronze")
     s = run_bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver", **_LOAD)
     return s.select("stationID", "timestamp_unix_ms", *[r6(c) for c in _SILVER_COLS])
 
@@ -39,7 +39,7 @@ def repeated_loads(spark, sf_dir):
     """Half of the documents are loaded, then all of them, then all again; a load of the rest that was interrupted between
     its write and its commit lies in between. Silver must hold what one load gives."""
     root = scratch_dir(spark, "repeated")
-    docs = bronze_docs(spark, sf_dir)
+    docs = bronze_docs(spark, sf_dir, deal=True)
     even = F.col("event_id") % 2 == 0
     paths = (f"{root}/bronze", f"{root}/silver")
     ledger = f"{root}/ledger"
@@ -74,7 +74,7 @@ def silver_round_trip(spark, sf_dir):
 )
 def layer_inventory(spark, sf_dir):
     root = scratch_dir(spark, "layers")
-    bronze.write_bronze(bronze_docs(spark, sf_dir).drop("event_id"), f"{root}/bronze")
+    bronze.write_bronze(bronze_docs(spark, sf_dir, deal=True).drop("event_id"), f"{root}/bronze")
     silver.write_silver(silver_obs(spark, sf_dir), f"{root}/silver")
     layers = {"bronze": f"{root}/bronze", "silver": f"{root}/silver", "gold": f"{root}/gold"}
     found = inventory.layer_inventory(spark, layers)
@@ -134,7 +134,7 @@ def checksum_verify(spark, sf_dir):
 @query("stream_bronze_to_silver", _SILVER_SQL)
 def stream_bronze_to_silver(spark, sf_dir):
     root = scratch_dir(spark, "stream-bronze")
-    bronze.write_bronze(bronze_docs(spark, sf_dir).drop("event_id"), f"{root}/bronze")
+    bronze.write_bronze(bronze_docs(spark, sf_dir, deal=True).drop("event_id"), f"{root}/bronze")
     rows = ps.bronze_to_silver(ps.read_bronze_stream(spark, f"{root}/bronze"), **_LOAD)
     ps.append_parquet(rows, f"{root}/silver", f"{root}/checkpoint", ["year", "month"]).awaitTermination()
     s = silver.read_air_quality(spark, [silver.Generation(f"{root}/silver")])

@@ -11,13 +11,24 @@ from pyspark.sql import types as T
 from tidelines.operators.planning import periods, remaining, work_list
 from tidelines.operators.quality import column_profile, station_coverage, temporal_coverage
 from tidelines.schemas import AIR_QUALITY_BRONZE, CORRUPT, WEATHER_BRONZE
-from tidelines.session import staged
+from tidelines.session import settings, staged
 from tidelines.sources import bronze, inventory, silver
 from tidelines.sources.files import list_files
 from tidelines.sources.footers import accept
 from tidelines.sources.ledger import Ledger
 
 
+#: Bytes that a task of a load reads at most, where each file is taken for 4 MB more than it has. Spark's 128 MB would be
+#: too much for one: packed documents grow to many times their size, as text and again as rows.
+SHARE = 24 << 20
+
+
+def _shares(spark: SparkSession) -> dict[str, str]:
+    """The setting for it, unless the session already has a smaller one."""
+    own = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return {"spark.sql.files.maxPartitionBytes": str(min(own, SHARE))}
+
+
 def _sound_documents(
     spark: SparkSession, source: str, schema: T.StructType, losses: str | None, numbered: DataFrame | None, only: DataFrame | None
 ) -> DataFrame:
@@ -25,7 +36,7 @@ def _sound_documents(
 
     Bronze is read once: its documents are stored in the shared folder, where losses are counted before any row is loaded.
     """
-    docs = staged(bronze.scan_documents(spark, source, schema, only), "documents")
+    docs = staged(bronze.scan_documents(spark, source, schema, only), "documents", bronze.DOCUMENTS)
     accept(bronze.losses_of(docs), losses)
     sound = docs.filter(F.col("reason").isNull() & F.col(CORRUPT).isNull()).drop("reason")
     return bronze.with_station(sound, numbered)
@@ -45,7 +56,8 @@ def _load(
     """Append the documents of ``source`` to ``target``; with a ledger only those of files no complete load has read,
     after removing what an interrupted load has left."""
     if ledger is None:
-        silver.write_silver(to_rows(_sound_documents(spark, source, schema, losses, numbered, None)), target)
+        with settings(spark, _shares(spark)):
+            silver.write_silver(to_rows(_sound_documents(spark, source, schema, losses, numbered, None)), target)
         return
     book = Ledger(ledger)
     book.withdraw(spark, target)
@@ -53,9 +65,10 @@ def _load(
     files = staged(book.pending(spark, list_files(spark, source, "*.json*").select("path", "length")), "pending")
     if files.isEmpty():
         return
-    docs = _sound_documents(spark, source, schema, losses, numbered, files)
-    book.begin(spark, load_id)
-    silver.write_silver(to_rows(docs), target)
+    with settings(spark, _shares(spark)):
+        docs = _sound_documents(spark, source, schema, losses, numbered, files)
+        book.begin(spark, load_id)
+        silver.write_silver(to_rows(docs), target)
     book.commit(spark, load_id, files)
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +34,22 @@ def build_session(app: str = "tidelines", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Settings of the session for what runs within the block; afterwards they are what they were."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the shared ``spark.checkpoint.dir`` of the session.
 
@@ -49,13 +67,14 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/tidelines/{purpose}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
+def staged(df: DataFrame, purpose: str, per_file: int = 0) -> DataFrame:
     """Write ``df`` once to shared storage and read it back.
 
     Used where one expensive frame feeds several actions (fitting, splitting, writing): it is computed
     once, later reads are column-pruned, and a lost executor costs a re-read instead of a recompute.
+    ``per_file`` bounds the rows of a file (0: no bound), for rows that are small in files and grow into many.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, purpose)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", per_file).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +28,8 @@ from tidelines.sources.files import read_lines
 # batch_<date>_<batch>_<station>.json.gz and batch_<date>_<station number>.json.gz.
 STATION_IN_NAME = r"batch_\d{8}_[^_/]+_(.+)\.json(?:\.gz)?$"
 NUMBER_IN_NAME = r"batch_\d{8}_(\d{4})\.json(?:\.gz)?$"
+#: Documents in a written file at most: a gzip file is unpacked by one task, whatever its size.
+DOCUMENTS = 25_000
 
 
 def read_bronze(spark: SparkSession, path: str, schema: T.StructType = AIR_QUALITY_BRONZE, skip_broken: bool = False) -> DataFrame:
@@ -87,18 +91,23 @@ def with_station(docs: DataFrame, numbered: DataFrame | None = None) -> DataFram
     return joined.withColumn("stationID", F.coalesce("stationID", "_station")).select(*named.columns)
 
 
-def unnest_hourly(docs: DataFrame, arrays: dict[str, Column], keep: list[str]) -> DataFrame:
+def unnest_hourly(
+    docs: DataFrame, arrays: dict[str, Column], keep: list[str], parse: Callable[[Column], Column] | None = None
+) -> DataFrame:
     """One row per entry of ``hourly.time``; shorter or missing arrays give null.
 
-    Values beyond the last time are dropped.
+    Values beyond the last time are dropped. With ``parse`` each row also has its ``timestamp_utc``. It is read within the
+    array: a filter on a column made after the explosion would be pushed below it and read each text twice.
     """
     empty = F.array().cast("array<double>")
+    stamps = {} if parse is None else {"timestamp_utc": F.transform("hourly.time", parse)}
     flat = docs.select(
         *keep,
         F.col("hourly.time").alias("time_text"),
+        *[a.alias(name) for name, a in stamps.items()],
         *[F.coalesce(a, empty).alias(name) for name, a in arrays.items()],
     )
-    rows = flat.filter(F.size("time_text") > 0).select(*keep, F.inline(F.arrays_zip("time_text", *arrays)))
+    rows = flat.filter(F.size("time_text") > 0).select(*keep, F.inline(F.arrays_zip("time_text", *stamps, *arrays)))
     return rows.filter(F.col("time_text").isNotNull())
 
 
@@ -137,9 +146,9 @@ def air_quality_silver(
     Generation 2 writes long names, doubles and the md5 record hash; generation 1 short names, floats and
     the sha256 hash. Rows whose time cannot be read are dropped.
     """
-    rows = unnest_hourly(docs, air_quality_arrays(), ["stationID", "latitude", "longitude"])
-    at = parse_time(F.col("time_text")) if generation == 2 else any_time(F.col("time_text"))
-    timed = _located(rows.withColumn("timestamp_utc", at), stations).filter(F.col("timestamp_utc").isNotNull())
+    at = parse_time if generation == 2 else any_time
+    rows = unnest_hourly(docs, air_quality_arrays(), ["stationID", "latitude", "longitude"], at)
+    timed = _located(rows, stations).filter(F.col("timestamp_utc").isNotNull())
     if generation == 2:
         digest, schema, names = (
             record_hash_v2(F.col("stationID"), F.col("time_text"), F.col("pm2_5_ugm3")),
@@ -167,10 +176,9 @@ def weather_silver(
 ) -> DataFrame:
     """Silver weather rows of Bronze documents; only the wind components are converted from km/h."""
     arrays = {name: F.col(f"hourly.{v}") for v, name in WEATHER_VARIABLES.items()}
-    rows = unnest_hourly(docs, arrays, ["stationID", "latitude", "longitude"])
+    rows = unnest_hourly(docs, arrays, ["stationID", "latitude", "longitude"], any_time)
     timed = rows.withColumns(
         {
-            "timestamp_utc": any_time(F.col("time_text")),
             "u10_ms": kmh_to_ms(F.col("u10_ms")),
             "v10_ms": kmh_to_ms(F.col("v10_ms")),
         }
@@ -197,10 +205,11 @@ def _with_provenance(
 
 
 def write_bronze(docs: DataFrame, path: str, mode: str = "append") -> None:
-    """Gzipped JSON documents in year=/month= folders taken from each document's first time."""
+    """Gzipped JSON documents in year=/month= folders taken from each document's first time, ``DOCUMENTS`` a file."""
     first = F.get(F.col("hourly.time"), 0)
     keyed = docs.withColumns({"year": F.substring(first, 1, 4), "month": F.substring(first, 6, 2)})
-    keyed.write.mode(mode).partitionBy("year", "month").option("compression", "gzip").json(path)
+    files = keyed.write.mode(mode).partitionBy("year", "month").option("maxRecordsPerFile", DOCUMENTS)
+    files.option("compression", "gzip").json(path)
 
 
 def check_documents(docs: DataFrame, min_hours: int = 2000, extreme: float = 200.0) -> DataFrame:

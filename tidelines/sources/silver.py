@@ -198,13 +198,17 @@ def write_silver(df: DataFrame, path: str, time: str = "timestamp_utc", mode: st
     joins small ones. Rows are sorted within files, so row
     groups can be skipped by station and time. Spark's commit protocol publishes the files only when the job succeeds.
     """
-    keyed = df.withColumns({"year": F.date_format(time, "yyyy"), "month": F.date_format(time, "MM")})
+    # Formatting a time costs more than taking its parts; years of other than four digits are left to it.
+    year = F.year(time)
+    written = F.when(year.between(1000, 9999), year.cast("string")).otherwise(F.date_format(time, "yyyy"))
+    keyed = df.withColumns({"year": written, "month": F.lpad(F.month(time).cast("string"), 2, "0")})
     (
         keyed.hint("rebalance", "year", "month")
         .sortWithinPartitions("year", "month", *[c for c in ("stationID", time) if c in df.columns])
         .write.mode(mode)
         .partitionBy("year", "month")
         .option("compression", "snappy")
+        .option("parquet.enable.dictionary#record_hash", "false")  # no hash comes twice
         .parquet(path)
     )
 
