@@ -382,3 +382,39 @@ def test_search_of_many_queries_in_a_shard_is_fast():
     best = list(shard.search(cuts, shard.places(np.concatenate(asked)), weights, 10))
     assert time.process_time() - start < 3
     assert all(q in ids for q, (ids, _) in enumerate(best))
+
+
+def test_search_leaves_the_index_where_it_is_for_every_block_of_queries(table, monkeypatch):
+    """Many blocks of queries find what one finds, each from the stored index, which is never exchanged."""
+    docs = table([(k, prose(k % 70, 30 + k % 7)) for k in range(300)])
+    rows = lambda found: sorted(tuple(r) for r in found.collect())
+    want = rows(search.search(docs, F.col("doc_id") % 20 == 0, k=4))
+    monkeypatch.setattr(search, "QUERY_TERMS", 60)
+    found = search.search(docs, F.col("doc_id") % 20 == 0, k=4)
+    plan = found._jdf.queryExecution().toString()
+    assert plan.count("MapInArrow") > 8 and "REPARTITION" not in plan
+    assert rows(found) == want and len(want) == 15 * 4
+
+
+def test_later_shards_score_few_documents_in_full(table):
+    """What earlier shards have found keeps other documents from being scored in full, and loses none of the k best."""
+    parts = [[(k, prose(k, 40)) for k in range(1200)], [(k, prose(k, 40)) for k in range(1200, 1500)]]
+    shards = [search.Shard(search.build_index(table(p).coalesce(1)).first().asDict(), 40.0) for p in parts]
+    asked = [np.unique(search.terms(prose(k, 40))) for k in range(1190, 1220)]
+    cuts, names = np.cumsum([0, *map(len, asked)]), np.concatenate(asked)
+    weights = 1 + (names % 7) / 3
+    first, whole = (list(s.search(cuts, s.places(names), weights, 5)) for s in shards)
+    least, counts, inner = np.array([np.sort(x)[-5] for _, x in first]), [], shards[1].exact
+    shards[1].exact = lambda *a: (counts.append(len(a[3])), inner(*a))[1]
+    later = list(shards[1].search(cuts, shards[1].places(names), weights, 5, least))
+    assert 0 < sum(counts) < 5 * len(asked) / 2
+    for (_, x), (found, y), (every, z) in zip(first, later, whole):
+        best = lambda *a: np.sort(np.concatenate(a))[::-1][:5].tolist()
+        assert set(found) <= set(every) and best(x, y) == best(x, z)
+
+
+def test_shard_ends_with_its_words(table):
+    """Long texts make smaller shards, so that memory does not follow the length of texts."""
+    docs = table([(k, "alpha beta " * 1_100_000) for k in range(9)]).coalesce(1)
+    sizes = [len(r.ids) for r in search.build_index(docs).collect()]
+    assert sizes == [4, 4, 1]

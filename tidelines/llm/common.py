@@ -53,15 +53,16 @@ def map_slices(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.R
     return df.mapInArrow(run, schema)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, rows_per_file: int = 0) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage with files that outlive an executor.
+    ``rows_per_file``, unless 0, is the most that a file holds.
 
     Shuffle files of the job that wrote it are no longer needed; Spark drops them when the driver collects garbage,
     which a driver with little to do would put off for long."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
     del df
     gc.collect()
     spark.sparkContext._jvm.System.gc()

@@ -1,16 +1,17 @@
 """Exact top-k search by BM25, shard by shard (operator 5).
 
-Documents are indexed in shards of ``SHARD`` within their task: postings sorted by term.
+Documents are indexed in shards of at most ``SHARD`` within their task: postings sorted by term.
 Document frequencies, the number of documents and their mean length are summed over all shards before any query runs,
 so scores do not depend on shards. A query is the set of a text's distinct lower-cased words.
 
 In a shard every document gets a score of known precision: the few terms that many documents have by a product of
-matrices in single precision, for many queries at once, and all others by their postings. The k-th largest of the
-blocks' best scores tells which documents may be among the k best; their scores are then computed in full, term by term
-in one order. Every shard's k best are merged exactly. The work grows with queries times documents, but what a pair
-costs is little more than a multiplication for each frequent term.
+matrices in single precision, for many queries at once, and all others by their postings. Only documents that may reach
+the k-th best score found so far are then scored in full, term by term in one order. That score comes from the task's
+earlier shards; in its first shard, the k-th largest of the blocks' best scores stands for it. Tasks hand on the k best
+of all their shards, which are merged exactly. The work grows with queries times documents, but what a pair costs is
+little more than a multiplication for each frequent term and one addition for each rare word that both have.
 
-Queries go to the shards in blocks of at most ``QUERY_TERMS`` terms, which bounds what is broadcast. Terms are known by
+Queries go to the shards in blocks of about ``QUERY_TERMS`` terms, which bounds what is broadcast. Terms are known by
 64-bit hashes.
 
 Edge cases: a text without words is never found and finds nothing; equal scores are put in order of doc_id; repeated
@@ -27,11 +28,18 @@ from pyspark.sql import functions as F
 
 from tidelines.llm.common import slices, staged, texts
 
-SHARD = 8192
+#: A shard ends with so many documents or words, whichever come first.
+SHARD, WORDS = 16384, 8 << 20
 BLOCK = 16
 #: Terms that this part of a shard's documents have are scored by matrix product, for so many queries at once.
 FREQUENT, TOGETHER = 1 / 16, 256
-QUERY_TERMS = 2_000_000
+QUERY_TERMS = 4_000_000
+#: A block has no fewer terms than this for the sake of more tasks.
+LEAST_TERMS = 250_000
+#: Shards of a task, as long as that leaves so many tasks to a core; rows of its result in a batch.
+SHARDS_PER_TASK, TASKS_PER_CORE, ROWS = 4, 3, 5_000
+#: Postings whose impacts are computed at once.
+PIECE = 1 << 18
 K1, B = 1.2, 0.75
 
 
@@ -57,15 +65,16 @@ def build_index(docs: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(kind)), *blobs], names=["ids", "lengths", "terms", "ends", "docs", "tf", "over"])
 
     def run(batches):
-        ids, found, kind = [], [], None
+        ids, found, words, kind = [], [], 0, None
         for part in slices(batches):
             kind = part.column(0).type
             for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 ids.append(i)
                 found.append(terms(t))
-                if len(ids) == SHARD:
+                words += len(found[-1])
+                if len(ids) == SHARD or words >= WORDS:
                     yield pack(ids, found, kind)
-                    ids, found = [], []
+                    ids, found, words = [], [], 0
         if ids:
             yield pack(ids, found, kind)
 
@@ -99,62 +108,92 @@ def query_terms(queries: DataFrame) -> DataFrame:
     return texts(queries).mapInArrow(run, f"query_id {kind}, term long")
 
 
+def saturated(tf: np.ndarray, norm: np.ndarray) -> np.ndarray:
+    """Impacts of term frequencies in documents of such norms."""
+    tf = tf.astype(float)
+    return tf * (K1 + 1) / (tf + norm)
+
+
 class Shard:
-    """Postings of one shard with their impacts, by term and by document. The terms that a good part of the documents
-    have are a matrix as well."""
+    """Postings of one shard, by term and by document. In a search, the terms that a good part of the documents
+    have become a matrix."""
 
     def __init__(self, row: dict, mean: float):
         read = lambda name, kind: np.frombuffer(row[name], kind)
         self.ids, lengths = np.array(row["ids"]), read("lengths", np.int32)
         self.terms, self.ends = read("terms", np.int64), read("ends", np.int32).astype(np.int64)
         self.sizes = np.diff(self.ends, prepend=0)
-        self.docs = read("docs", np.uint16).astype(np.int64)
-        tf = read("tf", np.uint16).astype(float)
+        self.docs, self.tf = read("docs", np.uint16), read("tf", np.uint16)
         if row.get("over"):
             place, count = read("over", np.int64).reshape(2, -1)
-            tf[place] = count
-        self.impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.docs] / mean))
-        self.n = len(lengths)
-        term = np.repeat(np.arange(len(self.ends)), self.sizes)
+            self.tf = self.tf.astype(np.int32)
+            self.tf[place] = count
+        self.n, self.norm = len(lengths), K1 * (1 - B + B * lengths / mean)
         frequent = self.sizes >= max(1, self.n * FREQUENT)
-        self.column = np.where(frequent, np.cumsum(frequent) - 1, -1)
-        own = frequent[term]
-        self.matrix = np.zeros((int(frequent.sum()), self.n), np.float32)
-        self.matrix[self.column[term[own]], self.docs[own]] = self.impact[own]
+        self.column, self.frequent = np.where(frequent, np.cumsum(frequent) - 1, -1), np.flatnonzero(frequent)
         # By document, the terms of each in order.
         order = np.argsort(self.docs, kind="stable")
-        self.doc_terms, self.doc_impact = term[order], self.impact[order]
-        self.doc_sizes = np.bincount(self.docs, minlength=self.n)
-        self.doc_ends = np.cumsum(self.doc_sizes)
+        self.doc_terms, self.doc_tf = np.repeat(np.arange(len(self.ends), dtype=np.int32), self.sizes)[order], self.tf[order]
+        self.doc_starts = np.r_[0, np.cumsum(np.bincount(self.docs, minlength=self.n))]
         # Sums of numbers that are not negative, in single precision: no score is further off than this share of it.
-        self.slack = 1 - 4 * (len(self.matrix) + 8) * 2.0**-24
+        self.slack = 1 - 4 * (len(self.frequent) + 8) * 2.0**-24
+
+    @property
+    def impact(self) -> np.ndarray:
+        """What each posting adds to a score, before its term's weight."""
+        return saturated(self.tf, self.norm[self.docs])
 
-    def search(self, cuts: np.ndarray, at: np.ndarray, weights: np.ndarray, k: int):
+    def search(self, cuts: np.ndarray, at: np.ndarray, weights: np.ndarray, k: int, least: np.ndarray | None = None):
         """Yield, for each query, places and scores of the k best documents, all ties of the last one included.
 
-        ``at``: places of the queries' terms in the shard, -1 for those it lacks; ``cuts``: where queries start and end."""
+        ``at``: places of the queries' terms in the shard, -1 for those it lacks; ``cuts``: where queries start and end;
+        ``weights``: of the queries' terms, the same for a term in all queries."""
         weight_of = np.zeros(len(self.terms))
+        weight_of[at[at >= 0]] = weights[at >= 0]
+        yield from self.scan(cuts, at, weight_of, k, np.zeros(len(cuts) - 1) if least is None else least)
+
+    def scan(self, cuts: np.ndarray, at: np.ndarray, weight_of: np.ndarray, k: int, least: np.ndarray):
+        """``search`` with a weight for each term of the shard. Documents that score less than ``least`` of the query are
+        left out; it is read query by query, so the caller may raise it meanwhile."""
+        # A posting is one number: its document below, its weighted impact in single precision above.
+        postings = np.empty((len(self.docs), 2), np.int32)
+        postings[:, 0] = self.docs
+        values, weight = postings.view(np.float32)[:, 1], np.repeat(weight_of.astype(np.float32), self.sizes)
+        for a in range(0, len(values), PIECE):
+            values[a : a + PIECE] = saturated(self.tf[a : a + PIECE], self.norm[self.docs[a : a + PIECE]])
+        values *= weight
+        del weight
+        matrix = np.zeros((len(self.frequent), self.n), np.float32)
+        for row, a, b in zip(matrix, (self.ends - self.sizes)[self.frequent].tolist(), self.ends[self.frequent].tolist()):
+            row[self.docs[a:b]] = values[a:b]
+        postings = postings.reshape(-1).view(np.int64)
+        starts, asked = self.ends - self.sizes, np.zeros(len(self.terms), bool)
+        places = taken = np.empty(0, np.int64)
         for first in range(0, len(cuts) - 1, TOGETHER):
             own = cuts[first : first + TOGETHER + 1]
-            asked, weight = at[own[0] : own[-1]], weights[own[0] : own[-1]]
-            row = np.repeat(np.arange(len(own) - 1), np.diff(own))
-            column = np.where(asked >= 0, self.column[asked], -1) if len(self.terms) else np.full(len(asked), -1)
-            table = np.zeros((len(own) - 1, len(self.matrix)), np.float32)
-            table[row[column >= 0], column[column >= 0]] = weight[column >= 0]
-            about = table @ self.matrix
+            here = at[own[0] : own[-1]]
+            row, here = np.repeat(np.arange(len(own) - 1), np.diff(own))[here >= 0], here[here >= 0]
+            column = self.column[here]
+            table = np.zeros((len(own) - 1, len(matrix)), np.float32)
+            table[row[column >= 0], column[column >= 0]] = 1
+            about = table @ matrix
+            rows, rare = np.arange(len(own)), here[column < 0]
+            ends, rare_ends = np.searchsorted(row, rows), np.searchsorted(row[column < 0], rows)
+            sizes, begin = self.sizes[rare], starts[rare]
+            found = np.add.reduceat(np.append(sizes, 0), rare_ends[:-1]) * (np.diff(rare_ends) > 0)
+            at_most = int(found.max(initial=0))
+            if at_most > len(places):
+                places, taken = np.empty(at_most, np.int64), np.empty(at_most, np.int64)
             for q in range(len(own) - 1):
-                a, b = own[q] - own[0], own[q + 1] - own[0]
-                here = asked[a:b] >= 0
-                terms, w = asked[a:b][here], weight[a:b][here]
-                rare = column[a:b][here] < 0
-                sizes = self.sizes[terms[rare]]
-                postings = _ranges(self.ends[terms[rare]] - sizes, sizes)
-                scores = about[q]
-                if len(postings):
-                    scores = scores + np.bincount(self.docs[postings], self.impact[postings] * np.repeat(w[rare], sizes), self.n)
-                weight_of[terms] = w
-                yield self.exact(weight_of, self.promising(scores, k), k)
-                weight_of[terms] = 0
+                a, b, m = rare_ends[q], rare_ends[q + 1], found[q]
+                if m:
+                    _ranges(begin[a:b], sizes[a:b], places[:m])
+                    postings.take(places[:m], out=taken[:m], mode="clip")
+                    scores = np.bincount(taken[:m].view(np.int32)[::2], taken[:m].view(np.float32)[1::2], self.n)
+                    scores += about[q]
+                else:
+                    scores = about[q].astype(float)
+                yield self.exact(asked, here[ends[q] : ends[q + 1]], weight_of, self.promising(scores, k, least[first + q]), k)
 
     def places(self, names: np.ndarray) -> np.ndarray:
         """Places of terms in the shard, -1 for those it lacks."""
@@ -166,37 +205,63 @@ class Shard:
         """``search`` for one query."""
         return next(self.search(np.array([0, len(query)]), self.places(query), weight, k))
 
-    def promising(self, scores: np.ndarray, k: int) -> np.ndarray:
-        """Documents that may be among the k best, by scores that are off by less than the slack."""
-        whole = self.n - self.n % BLOCK
-        best = np.r_[scores[:whole].reshape(-1, BLOCK).max(axis=1), scores[whole:]]
-        # So many blocks have a document as good as that.
-        least = np.partition(best, len(best) - k)[len(best) - k] if len(best) > k else 0.0
+    def promising(self, scores: np.ndarray, k: int, least: float = 0.0) -> np.ndarray:
+        """Documents that may be among the k best and have ``least``, by scores that are off by less than the slack."""
+        if least <= 0 and len(scores) > k * BLOCK:
+            whole = self.n - self.n % BLOCK
+            best = np.r_[scores[:whole].reshape(-1, BLOCK).max(axis=1), scores[whole:]]
+            # So many blocks have a document as good as that.
+            least = np.partition(best, len(best) - k)[len(best) - k] if len(best) > k else 0.0
         found = np.flatnonzero(scores >= least * self.slack) if least > 0 else np.flatnonzero(scores > 0)
         if len(found) > k:
             least = np.partition(scores[found], len(found) - k)[len(found) - k]
             found = found[scores[found] >= least * self.slack]
         return found
 
-    def exact(self, weight_of: np.ndarray, found: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k best of some documents with their scores, added up term by term in one order, so that equal texts tie."""
-        sizes = self.doc_sizes[found]
-        postings = _ranges(self.doc_ends[found] - sizes, sizes)
-        scores = np.bincount(np.repeat(np.arange(len(found)), sizes), weight_of[self.doc_terms[postings]] * self.doc_impact[postings], len(found))
+    def exact(self, asked: np.ndarray, terms: np.ndarray, weight_of: np.ndarray, found: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k best of some documents with their scores, added up term by term in one order, so that equal texts tie.
+        ``asked``: a flag for each term, none of them set."""
+        if not len(found):
+            return found, np.zeros(0)
+        starts, ends = self.doc_starts[found], self.doc_starts[found + 1]
+        names = np.concatenate([self.doc_terms[a:b] for a, b in zip(starts.tolist(), ends.tolist())])
+        asked[terms] = True
+        hit = np.flatnonzero(asked[names])
+        asked[terms] = False
+        here = np.cumsum(ends - starts)
+        doc = np.searchsorted(here, hit, side="right")
+        values = weight_of[names[hit]] * saturated(self.doc_tf[hit + (ends - here)[doc]], self.norm[found[doc]])
+        scores = np.bincount(doc, values, len(found))
         least = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) > k else 0.0
         good = (scores >= least) & (scores > 0)
         return found[good], scores[good]
 
 
-def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """All places of several ranges, one range after the other."""
-    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+def _ranges(starts: np.ndarray, sizes: np.ndarray, out: np.ndarray) -> None:
+    """All places of several ranges, none of them empty, one range after the other."""
+    out.fill(1)
+    out[0] = starts[0]
+    out[np.cumsum(sizes[:-1])] = np.diff(starts) - sizes[:-1] + 1
+    np.cumsum(out, out=out)
+
+
+def query_block(weighted: DataFrame) -> tuple[list, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of some queries: ids, where their words start and end, the words' places in a sorted list, that list, and the
+    weights of its words."""
+    table = weighted.toArrow().combine_chunks()
+    ids = table.column("query_id").combine_chunks()
+    ids = (ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids).dictionary_encode() if len(ids) else pa.array([], ids.type).dictionary_encode()
+    query = ids.indices.to_numpy()
+    names, first, place = np.unique(table.column("term").to_numpy(), return_index=True, return_inverse=True)
+    place = place.astype(np.int32)[np.lexsort((place, query))]
+    cuts = np.r_[0, np.cumsum(np.bincount(query, minlength=len(ids.dictionary)))]
+    return ids.dictionary.to_pylist(), cuts, place, names, table.column("weight").to_numpy()[first]
 
 
 def search(docs: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     """query_id, doc_id, score and rank of the k best documents for each row that ``is_query`` chooses."""
     spark = docs.sparkSession
-    index = staged(build_index(docs), "bm25-index")
+    index = staged(build_index(docs), "bm25-index", rows_per_file=1)
 
     def sizes(batches):
         for batch in batches:
@@ -209,37 +274,49 @@ def search(docs: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     known = frequencies(index).join(asked.select("term").distinct(), "term", "left_semi")
     weight = F.log1p((F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighted = staged(asked.join(known, "term").select("query_id", "term", weight.alias("weight")), "query-terms")
-    blocks = weighted.count() // QUERY_TERMS + 1
     kind = docs.schema["doc_id"].dataType.simpleString()
+    # A task goes through several shards, the later ones with what the earlier ones have found. Where files of the index
+    # come in few partitions, more blocks of queries make the tasks.
+    tasks, pieces, words = TASKS_PER_CORE * spark.sparkContext.defaultParallelism, index.rdd.getNumPartitions(), weighted.count()
+    spread = index.coalesce(max(tasks, n // (SHARDS_PER_TASK * SHARD)))
+    blocks = max(words // QUERY_TERMS, min(tasks // max(1, pieces), words // LEAST_TERMS)) + 1
     parts = []
     for block in range(blocks):
         own = weighted.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block) if blocks > 1 else weighted
-        table = own.orderBy("query_id", "term").toArrow()
-        names = table.column("query_id").to_pylist()
-        cuts = [i for i in range(len(names)) if not i or names[i] != names[i - 1]]
-        sent = spark.sparkContext.broadcast(([names[i] for i in cuts], np.array([*cuts, len(names)]), table.column("term").to_numpy(), table.column("weight").to_numpy()))
+        sent = spark.sparkContext.broadcast(query_block(own))
 
         def run(batches, sent=sent):
-            asked_ids, cuts, hashes, weights = sent.value
-            names, place = np.unique(hashes, return_inverse=True)
+            asked_ids, cuts, place, names, weights = sent.value
+            best, least = [[] for _ in asked_ids], np.zeros(len(asked_ids))
             for batch in batches:
+                kind = batch.schema.field("ids").type.value_type
                 for row in range(batch.num_rows):
-                    shard = Shard({name: batch.column(c)[row].as_py() for c, name in enumerate(batch.schema.names)}, mean)
-                    best = []
-                    for found, scores in shard.search(cuts, shard.places(names)[place], weights, k):
-                        # Of a shard's ties no more than k can be among the k best of all.
-                        best.append(sorted(zip((-scores).tolist(), shard.ids[found].tolist()))[:k])
-                    entry = pa.struct([("minus", pa.float64()), ("doc_id", batch.column(0).type.value_type)])
-                    lists = [[{"minus": m, "doc_id": d} for m, d in x] for x in best]
-                    yield pa.RecordBatch.from_arrays([pa.array(asked_ids, entry.field("doc_id").type), pa.array(lists, pa.list_(entry))], names=["query_id", "best"])
-
-        # A row is a whole shard, so each row may be a task of its own.
-        spread = index.repartition(max(1, n // SHARD))
+                    shard = Shard({name: x[row].as_py() if name == "ids" else x[row].as_buffer() for name, x in zip(batch.schema.names, batch.columns)}, mean)
+                    # Of the block's words, those that the shard has.
+                    at = np.searchsorted(names, shard.terms)
+                    own = np.flatnonzero(np.append(names, 0)[at] == shard.terms) if len(names) else at[:0]
+                    weight_of, there = np.zeros(len(shard.terms)), np.full(len(names), -1, np.int32)
+                    weight_of[own], there[at[own]] = weights[at[own]], own
+                    for q, (found, scores) in enumerate(shard.scan(cuts, there[place], weight_of, k, least)):
+                        if len(found):
+                            # Of ties no more than k can be among the k best of all.
+                            best[q] = sorted(best[q] + list(zip((-scores).tolist(), shard.ids[found].tolist())))[:k]
+                            if len(best[q]) == k:
+                                least[q] = -best[q][-1][0]
+                    del shard
+            had = [q for q, x in enumerate(best) if x]
+            if had:
+                entry = pa.struct([("minus", pa.float64()), ("doc_id", kind)])
+                for first in range(0, len(had), ROWS):
+                    rows = had[first : first + ROWS]
+                    lists = [[{"minus": m, "doc_id": d} for m, d in best[q]] for q in rows]
+                    yield pa.RecordBatch.from_arrays([pa.array([asked_ids[q] for q in rows], kind), pa.array(lists, pa.list_(entry))], names=["query_id", "best"])
+
         parts.append(spread.mapInArrow(run, f"query_id {kind}, best array<struct<minus: double, doc_id: {kind}>>"))
     found = parts[0]
     for part in parts[1:]:
         found = found.union(part)
-    # A query has a row of at most k entries from each shard.
+    # A query has a row of at most k entries from each task.
     merged = found.groupBy("query_id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, k).alias("best"))
     ranked = merged.select("query_id", F.posexplode("best").alias("place", "entry"))
     return ranked.select("query_id", "entry.doc_id", (-F.col("entry.minus")).alias("score"), (F.col("place") + 1).alias("rank"))
