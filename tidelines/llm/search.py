@@ -135,8 +135,6 @@ class Shard:
         order = np.argsort(self.docs, kind="stable")
         self.doc_terms, self.doc_tf = np.repeat(np.arange(len(self.ends), dtype=np.int32), self.sizes)[order], self.tf[order]
         self.doc_starts = np.r_[0, np.cumsum(np.bincount(self.docs, minlength=self.n))]
-        # Sums of numbers that are not negative, in single precision: no score is further off than this share of it.
-        self.slack = 1 - 4 * (len(self.frequent) + 8) * 2.0**-24
 
     @property
     def impact(self) -> np.ndarray:
@@ -189,11 +187,10 @@ class Shard:
                 if m:
                     _ranges(begin[a:b], sizes[a:b], places[:m])
                     postings.take(places[:m], out=taken[:m], mode="clip")
-                    scores = np.bincount(taken[:m].view(np.int32)[::2], taken[:m].view(np.float32)[1::2], self.n)
-                    scores += about[q]
-                else:
-                    scores = about[q].astype(float)
-                yield self.exact(asked, here[ends[q] : ends[q + 1]], weight_of, self.promising(scores, k, least[first + q]), k)
+                    np.bitwise_and(taken[:m], 0xFFFF, out=places[:m])
+                    np.add.at(about[q], places[:m], taken[:m].view(np.float32)[1::2])
+                terms = here[ends[q] : ends[q + 1]]
+                yield self.exact(asked, terms, weight_of, self.promising(about[q], k, float(least[first + q]), len(terms)), k)
 
     def places(self, names: np.ndarray) -> np.ndarray:
         """Places of terms in the shard, -1 for those it lacks."""
@@ -205,17 +202,19 @@ class Shard:
         """``search`` for one query."""
         return next(self.search(np.array([0, len(query)]), self.places(query), weight, k))
 
-    def promising(self, scores: np.ndarray, k: int, least: float = 0.0) -> np.ndarray:
-        """Documents that may be among the k best and have ``least``, by scores that are off by less than the slack."""
+    def promising(self, scores: np.ndarray, k: int, least: float = 0.0, terms: int = 0) -> np.ndarray:
+        """Documents that may be among the k best and have ``least``, by sums in single precision over so many terms."""
+        # Sums of numbers that are not negative: no score is further off than this share of it.
+        slack = 1 - 4 * (terms + 8) * 2.0**-24
         if least <= 0 and len(scores) > k * BLOCK:
             whole = self.n - self.n % BLOCK
-            best = np.r_[scores[:whole].reshape(-1, BLOCK).max(axis=1), scores[whole:]]
+            best = np.r_[scores[:whole].reshape(BLOCK, -1).max(axis=0), scores[whole:]]
             # So many blocks have a document as good as that.
-            least = np.partition(best, len(best) - k)[len(best) - k] if len(best) > k else 0.0
-        found = np.flatnonzero(scores >= least * self.slack) if least > 0 else np.flatnonzero(scores > 0)
+            least = float(np.partition(best, len(best) - k)[len(best) - k])
+        found = np.flatnonzero(scores >= least * slack) if least > 0 else np.flatnonzero(scores > 0)
         if len(found) > k:
-            least = np.partition(scores[found], len(found) - k)[len(found) - k]
-            found = found[scores[found] >= least * self.slack]
+            least = float(np.partition(scores[found], len(found) - k)[len(found) - k])
+            found = found[scores[found] >= least * slack]
         return found
 
     def exact(self, asked: np.ndarray, terms: np.ndarray, weight_of: np.ndarray, found: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
