@@ -418,3 +418,12 @@ def test_shard_ends_with_its_words(table):
     docs = table([(k, "alpha beta " * 1_100_000) for k in range(9)]).coalesce(1)
     sizes = [len(r.ids) for r in search.build_index(docs).collect()]
     assert sizes == [4, 4, 1]
+
+
+def test_search_of_no_rows_no_queries_and_text_ids(table, spark):
+    assert search.search(table([]), F.col("doc_id") % 50 == 0).count() == 0
+    docs = table([(k, prose(k, 20)) for k in range(1, 30)])
+    assert search.search(docs, F.col("doc_id") < 0).count() == 0
+    named = docs.select(F.concat(F.lit("d"), "doc_id").alias("doc_id"), "text")
+    got = search.search(named, F.col("doc_id").isin("d3", "d7"), k=2).collect()
+    assert {(r.query_id, r.doc_id) for r in got if r["rank"] == 1} == {("d3", "d3"), ("d7", "d7")} and len(got) == 4
